@@ -133,7 +133,7 @@ def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
     salted = (base.join(F.broadcast(hot), F.col(key) == F.col("hk"), "left")
               .select("src", "dst", F.pmod(F.xxhash64(other), nsalt).cast("int").alias("salt")))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = cut_lineage(salted.repartition(n, key, "salt"))
+    laid = cut_lineage(salted.repartition(n, key, "salt"), keep_partitioning=True)
     base.unpersist()
     return EdgeLayout(laid, hot, key, t)
 
@@ -167,13 +167,13 @@ def propagate(edges: DataFrame, vertices: DataFrame, rounds: int = ROUNDS,
     spark = edges.sparkSession
     layout = layout_edges(edges, "src", hot_threshold, max_hot)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    labels = cut_lineage(init_labels(vertices.select("id").distinct()).repartition(n, "id"))
+    labels = init_labels(vertices.select("id").distinct()).repartition(n, "id")
     for _ in range(rounds):
         lab = layout.salted_labels(labels)
         e = layout.edges
         msgs = (e.join(lab, (e["src"] == lab["id"]) & (e["salt"] == lab["salt"]))
                 .select(e["dst"].alias("id"), lab["grp"]))
-        labels = cut_lineage(_apply_messages(labels, msgs))
+        labels = cut_lineage(_apply_messages(labels, msgs), keep_partitioning=True)
     return labels
 
 
@@ -242,11 +242,11 @@ def pregel_min(edges: DataFrame, rounds: int = ROUNDS, hot_threshold: int = HOT_
     e = src_layout.edges
     verts = (e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id")))
              .distinct())
-    labels = cut_lineage(init_labels(verts).repartition(n, "id"))
+    labels = init_labels(verts).repartition(n, "id")
     for _ in range(rounds):
         t = graph_triplets(e, labels, "src", src_layout, dst_layout)
         msg = (F.when(F.col("attr") < F.col("dst_grp"), F.col("attr"))
                .when(F.col("src_grp") < F.col("attr"), F.col("src_grp")))
         msgs = t.select(F.col("dst").alias("id"), msg.alias("grp")).where(F.col("grp").isNotNull())
-        labels = cut_lineage(_apply_messages(labels, msgs))
+        labels = cut_lineage(_apply_messages(labels, msgs), keep_partitioning=True)
     return labels

@@ -4,6 +4,7 @@ shared checkpoint folder that iterative operators cut their lineage into."""
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,9 +58,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "folder (HDFS/object store) to cut lineage into")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+@contextmanager
+def _static_planning(spark: SparkSession):
+    """Plan the enclosed action without AQE. An adaptive plan reports no
+    output partitioning, so a checkpoint taken under AQE forgets how its
+    rows are clustered and every later join re-shuffles it."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     """Reliable checkpoint into the shared folder: the plan restarts from the
-    written files (keeping the output partitioning), and a lost executor
-    costs a re-read, not a recomputation of earlier rounds."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    written files, and a lost executor costs a re-read, not a recomputation
+    of earlier rounds.
+
+    ``keep_partitioning``: the checkpoint records the hash partitioning of
+    ``df`` (planned without AQE), so joins and aggregates on the same keys
+    and partition count read it without an exchange.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    if not keep_partitioning:
+        return df.checkpoint(eager=True)
+    with _static_planning(spark):
+        # a new Dataset, so no physical plan made earlier under AQE is reused
+        return df.select(*df.columns).checkpoint(eager=True)
