@@ -50,8 +50,11 @@ MAX_HOT_KEYS = 100_000
 def adjacency_to_edges(adj: DataFrame) -> DataFrame:
     """``(id, adj)`` -> distinct ``(src, dst)``; lines repeating an id add
     their neighbours (union of adjacency)."""
-    return (adj.select(F.col("id").alias("src"), F.explode("adj").alias("dst"))
-            .distinct())
+    # explode_outer + a filter on the generated column: a plain explode makes
+    # the optimizer infer a size(adj) > 0 filter and push it below the
+    # parser, where it re-evaluates the whole parse expression
+    return (adj.select(F.col("id").alias("src"), F.explode_outer("adj").alias("dst"))
+            .where(F.col("dst").isNotNull()).distinct())
 
 
 def vertex_universe(adj: DataFrame, kind: str = "all",

@@ -81,7 +81,10 @@ def parse_adjacency(lines: DataFrame, mode: str = "strict",
     """
     if mode not in ("strict", "prefix"):
         raise ValueError(f"mode must be 'strict' or 'prefix', not {mode!r}")
-    t = comma_tokens(F.col(col))
+    # split once into a column; the projections below reuse it instead of
+    # re-splitting the line for every reference
+    toks = lines.select(comma_tokens(F.col(col)).alias("_t"))
+    t = F.col("_t")
     head = strict_long(token(t, 0), "vertex id")
     tail = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
     if mode == "strict":
@@ -92,7 +95,7 @@ def parse_adjacency(lines: DataFrame, mode: str = "strict",
         kept = F.when(first_bad == 0, tail).otherwise(
             F.slice(tail, 1, (first_bad - 1).cast("int")))
         adj = F.transform(kept, lambda x: x.cast("long"))
-    return lines.select(head.alias("id"), adj.alias("adj"))
+    return toks.select(head.alias("id"), adj.alias("adj"))
 
 
 def read_adjacency(spark: SparkSession, path: str | list[str],
@@ -114,14 +117,15 @@ def parse_ratings(lines: DataFrame, mode: str = "typed", user_type: str = "int",
     ``raw``: header lines removed by suffix, both fields kept as strings ->
     ``(user STRING, rating STRING)``.
     """
-    t = F.split(F.col(col), ",")
     if mode == "typed":
-        return lines.select(
-            F.expr(f"try_cast(get(split(`{col}`, ','), 0) as {user_type})").alias("user"),
-            F.expr(f"try_cast(get(split(`{col}`, ','), 1) as double)").alias("rating"))
+        t = lines.select(F.split(F.col(col), ",").alias("_t"))
+        return t.select(
+            F.expr(f"try_cast(get(_t, 0) as {user_type})").alias("user"),
+            F.expr("try_cast(get(_t, 1) as double)").alias("rating"))
     if mode == "raw":
-        return strip_headers(lines, col).select(
-            token(t, 0).alias("user"), token(t, 1).alias("rating"))
+        t = strip_headers(lines, col).select(F.split(F.col(col), ",").alias("_t"))
+        return t.select(token(F.col("_t"), 0).alias("user"),
+                        token(F.col("_t"), 1).alias("rating"))
     raise ValueError(f"mode must be 'typed' or 'raw', not {mode!r}")
 
 
