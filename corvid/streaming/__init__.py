@@ -1,0 +1,15 @@
+"""Streaming sources.
+
+The reference programs are batch jobs and define no stream semantics
+(no windows, watermarks or state). What carries over is the input side:
+the line parsers are stateless column expressions, so the same parsers read
+a folder of arriving text files through Structured Streaming. Aggregating
+operators stay batch (``corvid.operators``), run over the accumulated data.
+"""
+
+from corvid.streaming.text import (  # noqa: F401
+    stream_adjacency,
+    stream_cells,
+    stream_lines,
+    stream_ratings,
+)

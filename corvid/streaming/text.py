@@ -1,0 +1,29 @@
+"""Text folders as streams of lines, parsed with the batch parsers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from corvid.sources.text import parse_adjacency, parse_cells, parse_ratings
+
+
+def stream_lines(spark: SparkSession, path: str,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """New files of a folder as a stream of lines (column ``value``)."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
+
+
+def stream_cells(spark: SparkSession, path: str, **kw) -> DataFrame:
+    return parse_cells(stream_lines(spark, path, **kw))
+
+
+def stream_adjacency(spark: SparkSession, path: str, mode: str = "strict", **kw) -> DataFrame:
+    return parse_adjacency(stream_lines(spark, path, **kw), mode=mode)
+
+
+def stream_ratings(spark: SparkSession, path: str, mode: str = "typed",
+                   user_type: str = "int", **kw) -> DataFrame:
+    return parse_ratings(stream_lines(spark, path, **kw), mode=mode, user_type=user_type)
