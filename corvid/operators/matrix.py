@@ -68,7 +68,9 @@ def matrix_add(m: DataFrame, n: DataFrame, how: str = "outer",
     ``inner``: only blocks present in both inputs are kept; inside such a
     block every cell of either input is kept.
     Repeated cells inside one input are resolved by ``on_duplicate`` before
-    the addition; all of it happens in the one cell-keyed aggregate.
+    the addition; all of it happens in the one cell-keyed aggregate. With
+    ``inner`` the inputs are cut to the common blocks first, so ``error``
+    checks the cells of the kept blocks.
     """
     if how not in ("outer", "inner"):
         raise ValueError(f"how must be 'outer' or 'inner', not {how!r}")
@@ -89,17 +91,20 @@ def matrix_add(m: DataFrame, n: DataFrame, how: str = "outer",
     if on_duplicate == "error":
         v = (F.when(F.col("cm") > 1, _duplicate_error("cm", "M"))
              .when(F.col("cn") > 1, _duplicate_error("cn", "N")).otherwise(v))
-    out = block_coords(cells.select("i", "j", v.alias("v"), "cm", "cn"), rows, cols,
-                       keep=("cm", "cn"))
-    result = out.select("bi", "bj", "oi", "oj", "v")
+    result = block_coords(cells.select("i", "j", v.alias("v")), rows, cols)
     if how == "outer":
         return result
-    # A block survives when both inputs own at least one of its cells. The
-    # block set is a small aggregate (partial per task); AQE broadcasts it
-    # when its measured size is under the threshold and otherwise runs a
-    # sort-merge semi join whose groups hold at most rows * cols cells.
-    both = (out.groupBy("bi", "bj")
-            .agg(F.sum("cm").alias("sm"), F.sum("cn").alias("sn"))
+    # A block survives when both inputs own at least one of its cells.
+    # Presence is counted per block straight from the inputs, so the partial
+    # aggregate leaves one row per block per task. Catalyst pushes the semi
+    # join below the cell aggregate into both inputs (they are filtered
+    # before the main shuffle); AQE broadcasts the block set when its
+    # measured size is under the threshold, otherwise it plans a sort-merge
+    # semi join (skewed partitions split by AQE).
+    blocks = tagged.select(block_index("i", rows).alias("bi"),
+                           block_index("j", cols).alias("bj"), "in_m")
+    both = (blocks.groupBy("bi", "bj")
+            .agg(F.count_if(in_m).alias("sm"), F.count_if(in_n).alias("sn"))
             .where((F.col("sm") > 0) & (F.col("sn") > 0)).select("bi", "bj"))
     return result.join(both, ["bi", "bj"], "left_semi")
 
