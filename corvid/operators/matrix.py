@@ -114,15 +114,19 @@ def render_dense(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataF
     the ``cols`` values of block row ``oi`` as ``%.3f`` joined by tabs, zeros
     where no cell is stored. Input: unique cells in block form. Each group
     holds one block row (at most ``cols`` cells)."""
+    # stored cells are formatted before they are collected (inside codegen);
+    # the per-row transform then only looks strings up
     per_row = (blocks.groupBy("bi", "bj", "oi")
-               .agg(F.map_from_entries(F.collect_list(F.struct("oj", "v"))).alias("m")))
+               .agg(F.map_from_entries(F.collect_list(F.struct("oj", fixed3(F.col("v")))))
+                    .alias("m")))
     all_rows = (blocks.select("bi", "bj").distinct()
                 .select("bi", "bj", F.explode(F.sequence(F.lit(0).cast("long"),
                                                           F.lit(rows - 1).cast("long"))).alias("oi")))
     grid = all_rows.join(per_row, ["bi", "bj", "oi"], "left")
+    zero = fixed3(F.lit(0.0))
     cells = F.transform(
         F.sequence(F.lit(0).cast("long"), F.lit(cols - 1).cast("long")),
-        lambda c: fixed3(F.coalesce(F.try_element_at(F.col("m"), c), F.lit(0.0))))
+        lambda c: F.coalesce(F.try_element_at(F.col("m"), c), zero))
     return grid.select("bi", "bj", "oi", F.array_join(cells, "\t").alias("line"))
 
 
