@@ -92,36 +92,54 @@ class EdgeLayout:
 
     ``edges``: ``(src, dst, salt)`` hash-partitioned on ``(key, salt)`` and
     checkpointed. ``hot``: ``(hk, nsalt)`` for keys spread over several
-    salts, at most ``MAX_HOT_KEYS`` rows (broadcast).
+    salts, at most ``MAX_HOT_KEYS`` rows (broadcast); ``None`` when no key
+    exceeds the threshold, and then every salt is 0.
     """
     edges: DataFrame
-    hot: DataFrame
+    hot: DataFrame | None
     key: str
     threshold: int
 
     def salted_labels(self, labels: DataFrame) -> DataFrame:
         """Labels replicated once per salt of their key; a label whose key is
         not hot gets salt 0 only."""
+        if self.hot is None:
+            return labels.select("id", "grp", F.lit(0).alias("salt"))
         nsalt = F.coalesce(F.col("nsalt"), F.lit(1))
         return (labels.join(F.broadcast(self.hot), F.col("id") == F.col("hk"), "left")
                 .select("id", "grp", F.explode(F.sequence(F.lit(0), nsalt - 1)).alias("salt")))
 
+    def salt_of(self, key_col: str, spread_col: str) -> tuple[DataFrame | None, F.Column]:
+        """Salt expression for rows keyed by ``key_col`` (after a left join
+        with ``hot`` when there is one), spread by hashing ``spread_col``."""
+        if self.hot is None:
+            return None, F.lit(0)
+        nsalt = F.coalesce(F.col("nsalt"), F.lit(1))
+        return F.broadcast(self.hot), F.pmod(F.xxhash64(spread_col), nsalt).cast("int")
+
 
 def hot_keys(edges: DataFrame, key: str, threshold: int = HOT_EDGES,
-             max_hot: int = MAX_HOT_KEYS) -> tuple[DataFrame, int]:
+             max_hot: int = MAX_HOT_KEYS) -> tuple[DataFrame | None, int]:
     """Keys of ``edges`` holding more than ``threshold`` edges, with their
-    salt count ``ceil(degree / threshold)``.
+    salt count ``ceil(degree / threshold)``; ``None`` when there are none.
 
     The threshold is raised to ``ceil(|E| / max_hot)`` when that is larger,
     so the result has at most ``max_hot`` rows and at most ``2 * max_hot``
-    salts in total: a proven bound for the broadcast. Two small jobs: the
-    degree table (partially aggregated) and its total.
+    salts in total: a proven bound for the broadcast. One job reads the
+    degree table (partially aggregated) for |E| and the largest degree; the
+    hot table is only built when some degree exceeds the threshold.
     """
-    deg = cut_lineage(edges.groupBy(F.col(key).alias("hk")).agg(F.count(F.lit(1)).alias("d")))
-    n_edges = deg.agg(F.sum("d")).first()[0] or 0
+    deg = (edges.groupBy(F.col(key).alias("hk")).agg(F.count(F.lit(1)).alias("d"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    n_edges, max_deg = deg.agg(F.sum("d"), F.max("d")).first()
+    n_edges, max_deg = n_edges or 0, max_deg or 0
     t = max(int(threshold), math.ceil(n_edges / max_hot), 1)
-    hot = deg.where(F.col("d") > t).select("hk", F.ceil(F.col("d") / t).cast("int").alias("nsalt"))
-    return cut_lineage(hot), t
+    hot = None
+    if max_deg > t:
+        hot = cut_lineage(deg.where(F.col("d") > t)
+                          .select("hk", F.ceil(F.col("d") / t).cast("int").alias("nsalt")))
+    deg.unpersist()
+    return hot, t
 
 
 def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
@@ -132,13 +150,17 @@ def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
     spark = edges.sparkSession
     base = edges.select("src", "dst").distinct().persist(StorageLevel.MEMORY_AND_DISK)
     hot, t = hot_keys(base, key, threshold, max_hot)
-    nsalt = F.coalesce(F.col("nsalt"), F.lit(1))
-    salted = (base.join(F.broadcast(hot), F.col(key) == F.col("hk"), "left")
-              .select("src", "dst", F.pmod(F.xxhash64(other), nsalt).cast("int").alias("salt")))
+    layout = EdgeLayout(base, hot, key, t)
+    joined, salt = layout.salt_of(key, other)
+    if joined is not None:
+        base_j = base.join(joined, F.col(key) == F.col("hk"), "left")
+    else:
+        base_j = base
+    salted = base_j.select("src", "dst", salt.alias("salt"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = cut_lineage(salted.repartition(n, key, "salt"), keep_partitioning=True)
+    layout.edges = cut_lineage(salted.repartition(n, key, "salt"), keep_partitioning=True)
     base.unpersist()
-    return EdgeLayout(laid, hot, key, t)
+    return layout
 
 
 # ---------------------------------------------------------------- rounds
@@ -164,12 +186,14 @@ def _apply_messages(labels: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, vertices: DataFrame, rounds: int = ROUNDS,
-              hot_threshold: int = HOT_EDGES, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+              hot_threshold: int = HOT_EDGES, max_hot: int = MAX_HOT_KEYS,
+              partitions: int | None = None) -> DataFrame:
     """Labels ``(id, grp)`` of every vertex of ``vertices`` after ``rounds``
-    rounds of min-label propagation along ``edges``."""
+    rounds of min-label propagation along ``edges``. ``partitions`` sets how
+    edges and labels are split (default: ``spark.sql.shuffle.partitions``)."""
     spark = edges.sparkSession
-    layout = layout_edges(edges, "src", hot_threshold, max_hot)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    layout = layout_edges(edges, "src", hot_threshold, max_hot, n)
     labels = init_labels(vertices.select("id").distinct()).repartition(n, "id")
     for _ in range(rounds):
         lab = layout.salted_labels(labels)
@@ -215,11 +239,10 @@ def graph_triplets(edges: DataFrame, labels: DataFrame, attr: str | None = "src"
     if dst_layout is None:
         d = labels.select(F.col("id").alias("did"), F.col("grp").alias("dst_grp"))
         return step.join(d, step["dst"] == d["did"]).drop("did")
-    hot = F.broadcast(dst_layout.hot)
-    nsalt = F.coalesce(F.col("nsalt"), F.lit(1))
-    step = (step.join(hot, F.col("dst") == F.col("hk"), "left")
-            .select("src", "dst", "attr", "src_grp",
-                    F.pmod(F.xxhash64("src"), nsalt).cast("int").alias("ds")))
+    joined, ds = dst_layout.salt_of("dst", "src")
+    if joined is not None:
+        step = step.join(joined, F.col("dst") == F.col("hk"), "left")
+    step = step.select("src", "dst", "attr", "src_grp", ds.alias("ds"))
     d = dst_layout.salted_labels(labels).select(
         F.col("id").alias("did"), F.col("grp").alias("dst_grp"), F.col("salt").alias("dsalt"))
     return (step.join(d, (F.col("dst") == F.col("did")) & (F.col("ds") == F.col("dsalt")))
@@ -238,9 +261,10 @@ def pregel_min(edges: DataFrame, rounds: int = ROUNDS, hot_threshold: int = HOT_
     ``endpoints`` universe.
     """
     spark = edges.sparkSession
-    base = edges.select("src", "dst").distinct()
+    base = edges.select("src", "dst").distinct().persist(StorageLevel.MEMORY_AND_DISK)
     src_layout = layout_edges(base, "src", hot_threshold, max_hot)
     dst_layout = layout_edges(base, "dst", hot_threshold, max_hot)
+    base.unpersist()
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = src_layout.edges
     verts = (e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id")))

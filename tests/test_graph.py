@@ -136,13 +136,21 @@ def test_hot_source_salting_gives_same_labels(spark):
 
 
 def test_hot_key_bound(spark):
-    # more hot keys than allowed: the threshold rises until at most max_hot remain
+    # more keys above the threshold than allowed: the threshold rises to
+    # ceil(|E| / max_hot), here 22 > every degree, so no key stays hot
     lines = [f"{k}," + ",".join(str(100 + x) for x in range(k + 2)) for k in range(10)]
     e = G.adjacency_to_edges(adj(spark, lines))
     hot, t = G.hot_keys(e, "src", threshold=1, max_hot=3)
-    assert hot.count() <= 3
-    n_edges = e.count()
-    assert t >= -(-n_edges // 3)
+    assert hot is None
+    assert t == -(-e.count() // 3) == 22
+    # one key with 60 of 78 edges stays hot: threshold 26, 3 salts
+    lines = ["0," + ",".join(str(100 + x) for x in range(60))] + \
+        [f"{k},{200 + k},{300 + k}" for k in range(1, 10)]
+    e = G.adjacency_to_edges(adj(spark, lines))
+    hot, t = G.hot_keys(e, "src", threshold=1, max_hot=3)
+    assert t == 26
+    assert [tuple(r) for r in hot.collect()] == [(0, 3)]
+    assert labels(spark, lines, "all", hot_threshold=1) == brute(lines, "all")
 
 
 def test_triplets(spark):
