@@ -7,20 +7,26 @@ Data model: ``adjacency(id, adj)`` as read from text, normalised to
 ``grp`` is the smallest id that reaches the vertex in at most ``k`` hops (or
 its own id) -- not connected components.
 
-Execution plan per round (see ``propagate``):
-
-* edges are prepared once: distinct, every source with more than a
-  threshold of out-edges ("hot") gets its edges spread over several salt
-  values, and the result is hash-partitioned on ``(src, salt)`` and written
-  to the checkpoint folder. Rounds never shuffle the edges again.
-* labels are joined to the edges on ``(id, salt)``; only the labels move
-  (hot labels are replicated once per salt, a bounded number of rows).
-* messages are reduced with ``min`` per target, partially in the map tasks,
-  then joined back to the labels with a left join and ``least``. Labels and
-  reduced messages are both hash-partitioned on the vertex id, so this join
-  adds no shuffle of the labels, and targets outside the universe drop out.
-* the new labels are checkpointed (reliable, shared folder), which cuts the
-  plan back to a scan each round and makes a lost executor cost a re-read.
+Execution plan (see ``propagate``):
+
+* edges are prepared once (``layout_edges``): made distinct, then split by
+  source degree. Edges of ordinary sources are hash-partitioned on ``src``
+  and written to the checkpoint folder; edges of "hot" sources (more than a
+  threshold of out-edges) are spread evenly over all partitions instead.
+  The hot-key table has a proven size bound (``hot_keys``).
+* labels are hash-partitioned on ``id`` with the same partition count, so
+  the join of ordinary edges with labels needs no exchange at all; hot
+  edges are joined with a broadcast of the hot sources' labels only (at most
+  ``MAX_HOT_KEYS`` rows). Edges never move after the layout, labels never
+  move in full.
+* messages are reduced with ``min`` per target, partially in the map tasks
+  (a target with a third of all edges leaves one row per task), exchanged
+  once, and merged into the labels with a left join + ``least``; the
+  reduced messages are partitioned like the labels, so that join adds no
+  exchange either, and targets outside the universe drop out.
+* every round's labels are written with a reliable checkpoint (shared
+  folder): the plan restarts from a scan each round and a lost executor
+  costs a re-read, not a recomputation of earlier rounds.
 """
 
 from __future__ import annotations
@@ -37,9 +43,9 @@ from corvid.session import cut_lineage
 ROUNDS = 5  # fixed value: propagation rounds of the reference programs
 UNIVERSES = ("all", "sources", "endpoints")
 
-# A key with more edges than this is spread over ceil(degree / threshold)
-# salts. The threshold is raised when needed so that at most MAX_HOT_KEYS
-# keys are hot, which bounds the broadcast hot-key table.
+# A key with more edges than this is "hot". The threshold is raised when
+# needed so that at most MAX_HOT_KEYS keys are hot, which bounds every
+# broadcast made from the hot-key table.
 HOT_EDGES = 1_000_000
 MAX_HOT_KEYS = 100_000
 
@@ -83,84 +89,124 @@ def init_labels(vertices: DataFrame) -> DataFrame:
     return vertices.select("id", F.col("id").alias("grp"))
 
 
-# ---------------------------------------------------------------- edge layout
+# ---------------------------------------------------------------- hot keys
 
 
 @dataclass
-class EdgeLayout:
-    """Edges prepared for repeated joins on one endpoint.
-
-    ``edges``: ``(src, dst, salt)`` hash-partitioned on ``(key, salt)`` and
-    checkpointed. ``hot``: ``(hk, nsalt)`` for keys spread over several
-    salts, at most ``MAX_HOT_KEYS`` rows (broadcast); ``None`` when no key
-    exceeds the threshold, and then every salt is 0.
-    """
-    edges: DataFrame
-    hot: DataFrame | None
-    key: str
+class HotKeys:
+    """Keys holding more than ``threshold`` edges: ``table`` is
+    ``(hk, nsalt)`` with at most ``MAX_HOT_KEYS`` rows, or ``None`` when no
+    key is hot. ``nsalt = ceil(degree / threshold)``."""
+    table: DataFrame | None
     threshold: int
 
+    def labels_of(self, labels: DataFrame) -> DataFrame:
+        """The labels of hot keys only: at most ``MAX_HOT_KEYS`` rows, safe
+        to broadcast."""
+        return labels.join(F.broadcast(self.table), F.col("id") == F.col("hk"), "left_semi")
+
     def salted_labels(self, labels: DataFrame) -> DataFrame:
-        """Labels replicated once per salt of their key; a label whose key is
-        not hot gets salt 0 only."""
-        if self.hot is None:
+        """Labels with a ``salt`` column: one copy per salt of a hot key
+        (bounded total), salt 0 for the rest."""
+        if self.table is None:
             return labels.select("id", "grp", F.lit(0).alias("salt"))
         nsalt = F.coalesce(F.col("nsalt"), F.lit(1))
-        return (labels.join(F.broadcast(self.hot), F.col("id") == F.col("hk"), "left")
+        return (labels.join(F.broadcast(self.table), F.col("id") == F.col("hk"), "left")
                 .select("id", "grp", F.explode(F.sequence(F.lit(0), nsalt - 1)).alias("salt")))
 
-    def salt_of(self, key_col: str, spread_col: str) -> tuple[DataFrame | None, F.Column]:
-        """Salt expression for rows keyed by ``key_col`` (after a left join
-        with ``hot`` when there is one), spread by hashing ``spread_col``."""
-        if self.hot is None:
-            return None, F.lit(0)
+    def salt_rows(self, rows: DataFrame, key: str, spread: str) -> DataFrame:
+        """Add a ``salt`` column to rows keyed by ``key``: rows of a hot key
+        are spread over its salts by hashing ``spread``, the rest get 0."""
+        if self.table is None:
+            return rows.withColumn("salt", F.lit(0))
         nsalt = F.coalesce(F.col("nsalt"), F.lit(1))
-        return F.broadcast(self.hot), F.pmod(F.xxhash64(spread_col), nsalt).cast("int")
+        return (rows.join(F.broadcast(self.table), F.col(key) == F.col("hk"), "left")
+                .select(*rows.columns, F.pmod(F.xxhash64(spread), nsalt).cast("int").alias("salt")))
 
 
 def hot_keys(edges: DataFrame, key: str, threshold: int = HOT_EDGES,
-             max_hot: int = MAX_HOT_KEYS) -> tuple[DataFrame | None, int]:
-    """Keys of ``edges`` holding more than ``threshold`` edges, with their
-    salt count ``ceil(degree / threshold)``; ``None`` when there are none.
+             max_hot: int = MAX_HOT_KEYS) -> HotKeys:
+    """Keys of ``edges`` with more than ``threshold`` edges.
 
     The threshold is raised to ``ceil(|E| / max_hot)`` when that is larger,
-    so the result has at most ``max_hot`` rows and at most ``2 * max_hot``
-    salts in total: a proven bound for the broadcast. One job reads the
-    degree table (partially aggregated) for |E| and the largest degree; the
-    hot table is only built when some degree exceeds the threshold.
+    so at most ``max_hot`` keys are hot and their salts total at most
+    ``2 * max_hot``: a proven bound for every broadcast built from them. One
+    job reads the degree table (partially aggregated) for |E| and the
+    largest degree; the hot table is only built when some degree is above
+    the threshold.
     """
     deg = (edges.groupBy(F.col(key).alias("hk")).agg(F.count(F.lit(1)).alias("d"))
            .persist(StorageLevel.MEMORY_AND_DISK))
     n_edges, max_deg = deg.agg(F.sum("d"), F.max("d")).first()
     n_edges, max_deg = n_edges or 0, max_deg or 0
     t = max(int(threshold), math.ceil(n_edges / max_hot), 1)
-    hot = None
+    table = None
     if max_deg > t:
-        hot = cut_lineage(deg.where(F.col("d") > t)
-                          .select("hk", F.ceil(F.col("d") / t).cast("int").alias("nsalt")))
+        table = cut_lineage(deg.where(F.col("d") > t)
+                            .select("hk", F.ceil(F.col("d") / t).cast("int").alias("nsalt")))
     deg.unpersist()
-    return hot, t
+    return HotKeys(table, t)
+
+
+# ---------------------------------------------------------------- edge layout
+
+
+@dataclass
+class EdgeLayout:
+    """Distinct edges laid out for repeated joins with labels on ``key``.
+
+    ``light``: edges of ordinary keys, hash-partitioned on ``key`` into
+    ``partitions`` parts and checkpointed. ``heavy``: edges of hot keys,
+    spread over all partitions and checkpointed, or ``None``.
+    """
+    light: DataFrame
+    heavy: DataFrame | None
+    hot: HotKeys
+    key: str
+    partitions: int
+
+    def edges(self) -> DataFrame:
+        return self.light if self.heavy is None else self.light.unionByName(self.heavy)
+
+    def with_labels(self, labels: DataFrame, out: str = "grp") -> DataFrame:
+        """``(src, dst, <out>)``: every edge with the label of its ``key``
+        end. ``labels`` must be hash-partitioned on ``id`` into
+        ``partitions`` parts for the ordinary edges to join in place."""
+        k = self.key
+        lab = labels.select(F.col("id").alias("_k"), F.col("grp").alias(out))
+        # sort-merge on co-partitioned inputs: no exchange on either side,
+        # whatever the size estimates say
+        light = (self.light.hint("merge").join(lab, self.light[k] == lab["_k"])
+                 .select("src", "dst", out))
+        if self.heavy is None:
+            return light
+        hot_lab = F.broadcast(self.hot.labels_of(labels)
+                              .select(F.col("id").alias("_k"), F.col("grp").alias(out)))
+        heavy = (self.heavy.join(hot_lab, self.heavy[k] == hot_lab["_k"])
+                 .select("src", "dst", out))
+        return light.unionByName(heavy)
 
 
 def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
                  max_hot: int = MAX_HOT_KEYS, partitions: int | None = None) -> EdgeLayout:
-    """Distinct edges salted on hot ``key`` values and clustered on
-    ``(key, salt)``; written once to the checkpoint folder."""
+    """Make ``edges`` distinct and lay them out for joins on ``key``
+    (written once to the checkpoint folder)."""
     other = "dst" if key == "src" else "src"
     spark = edges.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = edges.select("src", "dst").distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    hot, t = hot_keys(base, key, threshold, max_hot)
-    layout = EdgeLayout(base, hot, key, t)
-    joined, salt = layout.salt_of(key, other)
-    if joined is not None:
-        base_j = base.join(joined, F.col(key) == F.col("hk"), "left")
+    hot = hot_keys(base, key, threshold, max_hot)
+    if hot.table is None:
+        light, heavy = base, None
     else:
-        base_j = base
-    salted = base_j.select("src", "dst", salt.alias("salt"))
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    layout.edges = cut_lineage(salted.repartition(n, key, "salt"), keep_partitioning=True)
+        tagged = base.join(F.broadcast(hot.table), F.col(key) == F.col("hk"), "left")
+        light = tagged.where(F.col("hk").isNull()).select("src", "dst")
+        spread = F.pmod(F.xxhash64(other), F.col("nsalt"))
+        heavy = cut_lineage(tagged.where(F.col("hk").isNotNull())
+                            .repartition(n, F.col(key), spread).select("src", "dst"))
+    light = cut_lineage(light.repartition(n, key), keep_partitioning=True)
     base.unpersist()
-    return layout
+    return EdgeLayout(light, heavy, hot, key, n)
 
 
 # ---------------------------------------------------------------- rounds
@@ -185,21 +231,20 @@ def _apply_messages(labels: DataFrame, messages: DataFrame) -> DataFrame:
             .select("id", F.least(F.col("grp"), F.coalesce(F.col("m"), F.col("grp"))).alias("grp")))
 
 
+def _start_labels(vertices: DataFrame, n: int) -> DataFrame:
+    return init_labels(vertices.select("id").distinct()).repartition(n, "id")
+
+
 def propagate(edges: DataFrame, vertices: DataFrame, rounds: int = ROUNDS,
               hot_threshold: int = HOT_EDGES, max_hot: int = MAX_HOT_KEYS,
               partitions: int | None = None) -> DataFrame:
     """Labels ``(id, grp)`` of every vertex of ``vertices`` after ``rounds``
     rounds of min-label propagation along ``edges``. ``partitions`` sets how
     edges and labels are split (default: ``spark.sql.shuffle.partitions``)."""
-    spark = edges.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    layout = layout_edges(edges, "src", hot_threshold, max_hot, n)
-    labels = init_labels(vertices.select("id").distinct()).repartition(n, "id")
+    layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions)
+    labels = _start_labels(vertices, layout.partitions)
     for _ in range(rounds):
-        lab = layout.salted_labels(labels)
-        e = layout.edges
-        msgs = (e.join(lab, (e["src"] == lab["id"]) & (e["salt"] == lab["salt"]))
-                .select(e["dst"].alias("id"), lab["grp"]))
+        msgs = layout.with_labels(labels).select(F.col("dst").alias("id"), "grp")
         labels = cut_lineage(_apply_messages(labels, msgs), keep_partitioning=True)
     return labels
 
@@ -210,10 +255,11 @@ def group_sizes(labels: DataFrame) -> DataFrame:
 
 
 def min_label_groups(adj: DataFrame, universe: str = "all", rounds: int = ROUNDS,
-                     hot_threshold: int = HOT_EDGES) -> DataFrame:
+                     hot_threshold: int = HOT_EDGES, partitions: int | None = None) -> DataFrame:
     """Adjacency -> labels after ``rounds`` rounds over the chosen universe."""
     edges = adjacency_to_edges(adj)
-    return propagate(edges, vertex_universe(adj, universe, edges), rounds, hot_threshold)
+    return propagate(edges, vertex_universe(adj, universe, edges), rounds, hot_threshold,
+                     partitions=partitions)
 
 
 # ---------------------------------------------------------------- triplets
@@ -221,36 +267,33 @@ def min_label_groups(adj: DataFrame, universe: str = "all", rounds: int = ROUNDS
 
 def graph_triplets(edges: DataFrame, labels: DataFrame, attr: str | None = "src",
                    src_layout: EdgeLayout | None = None,
-                   dst_layout: EdgeLayout | None = None) -> DataFrame:
+                   hot_dst: HotKeys | None = None) -> DataFrame:
     """Triplet view ``(src, dst, attr, src_grp, dst_grp)``: every edge with
-    the labels of both endpoints (inner joins, so both endpoints must be
-    labelled). ``attr`` is the edge attribute column, by default the source
-    id. Hot endpoints are salted on either side when layouts are given."""
-    e = edges.select("src", "dst", (F.col(attr) if attr else F.lit(None).cast("long")).alias("attr"))
+    the labels of both ends (inner joins: both ends must be labelled).
+    ``attr`` is the edge attribute column, by default the source id.
+
+    With ``src_layout`` the source labels are joined in place (see
+    ``EdgeLayout.with_labels``) and ``edges`` is not read; the target labels
+    need one exchange of the edges by target, where ``hot_dst`` spreads hot
+    targets over salts.
+    """
     if src_layout is None:
-        s = labels.select(F.col("id").alias("sid"), F.col("grp").alias("src_grp"))
-        step = e.join(s, e["src"] == s["sid"]).drop("sid")
+        s = labels.select(F.col("id").alias("_s"), F.col("grp").alias("src_grp"))
+        step = edges.join(s, edges["src"] == s["_s"]).select("src", "dst", "src_grp")
     else:
-        s = src_layout.salted_labels(labels).select(
-            F.col("id").alias("sid"), F.col("grp").alias("src_grp"), F.col("salt").alias("ss"))
-        step = (src_layout.edges.join(s, (F.col("src") == F.col("sid")) & (F.col("salt") == F.col("ss")))
-                .select("src", "dst", F.col(attr).alias("attr") if attr else F.lit(None).cast("long").alias("attr"),
-                        "src_grp"))
-    if dst_layout is None:
-        d = labels.select(F.col("id").alias("did"), F.col("grp").alias("dst_grp"))
-        return step.join(d, step["dst"] == d["did"]).drop("did")
-    joined, ds = dst_layout.salt_of("dst", "src")
-    if joined is not None:
-        step = step.join(joined, F.col("dst") == F.col("hk"), "left")
-    step = step.select("src", "dst", "attr", "src_grp", ds.alias("ds"))
-    d = dst_layout.salted_labels(labels).select(
-        F.col("id").alias("did"), F.col("grp").alias("dst_grp"), F.col("salt").alias("dsalt"))
-    return (step.join(d, (F.col("dst") == F.col("did")) & (F.col("ds") == F.col("dsalt")))
+        step = src_layout.with_labels(labels, "src_grp")
+    attr_col = (F.col(attr) if attr else F.lit(None).cast("long")).alias("attr")
+    step = step.select("src", "dst", attr_col, "src_grp")
+    hot = hot_dst or HotKeys(None, 0)
+    step = hot.salt_rows(step, "dst", "src")
+    d = hot.salted_labels(labels).select(F.col("id").alias("_d"), F.col("grp").alias("dst_grp"),
+                                         F.col("salt").alias("_ds"))
+    return (step.join(d, (step["dst"] == d["_d"]) & (step["salt"] == d["_ds"]))
             .select("src", "dst", "attr", "src_grp", "dst_grp"))
 
 
 def pregel_min(edges: DataFrame, rounds: int = ROUNDS, hot_threshold: int = HOT_EDGES,
-               max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+               max_hot: int = MAX_HOT_KEYS, partitions: int | None = None) -> DataFrame:
     """Vertex-program form over the triplet view, vertices = edge endpoints.
 
     Each vertex starts with its own id. Per superstep every edge sends to
@@ -260,18 +303,13 @@ def pregel_min(edges: DataFrame, rounds: int = ROUNDS, hot_threshold: int = HOT_
     its messages. Gives the same labels as ``propagate`` over the
     ``endpoints`` universe.
     """
-    spark = edges.sparkSession
-    base = edges.select("src", "dst").distinct().persist(StorageLevel.MEMORY_AND_DISK)
-    src_layout = layout_edges(base, "src", hot_threshold, max_hot)
-    dst_layout = layout_edges(base, "dst", hot_threshold, max_hot)
-    base.unpersist()
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = src_layout.edges
-    verts = (e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id")))
-             .distinct())
-    labels = init_labels(verts).repartition(n, "id")
+    layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions)
+    e = layout.edges()
+    hot_dst = hot_keys(e, "dst", hot_threshold, max_hot)
+    verts = e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id")))
+    labels = _start_labels(verts, layout.partitions)
     for _ in range(rounds):
-        t = graph_triplets(e, labels, "src", src_layout, dst_layout)
+        t = graph_triplets(e, labels, "src", layout, hot_dst)
         msg = (F.when(F.col("attr") < F.col("dst_grp"), F.col("attr"))
                .when(F.col("src_grp") < F.col("attr"), F.col("src_grp")))
         msgs = t.select(F.col("dst").alias("id"), msg.alias("grp")).where(F.col("grp").isNotNull())
