@@ -227,7 +227,10 @@ def _apply_messages(labels: DataFrame, messages: DataFrame) -> DataFrame:
     in the map tasks), then left join + ``least``; ids not in ``labels`` are
     not added."""
     best = messages.groupBy("id").agg(F.min("grp").alias("m"))
-    return (labels.join(best, "id", "left")
+    # labels and reduced messages are both hash-partitioned on id: a
+    # sort-merge join reads them in place (never a broadcast chosen from
+    # size estimates)
+    return (labels.hint("merge").join(best, "id", "left")
             .select("id", F.least(F.col("grp"), F.coalesce(F.col("m"), F.col("grp"))).alias("grp")))
 
 
@@ -288,7 +291,7 @@ def graph_triplets(edges: DataFrame, labels: DataFrame, attr: str | None = "src"
     step = hot.salt_rows(step, "dst", "src")
     d = hot.salted_labels(labels).select(F.col("id").alias("_d"), F.col("grp").alias("dst_grp"),
                                          F.col("salt").alias("_ds"))
-    return (step.join(d, (step["dst"] == d["_d"]) & (step["salt"] == d["_ds"]))
+    return (step.hint("merge").join(d, (step["dst"] == d["_d"]) & (step["salt"] == d["_ds"]))
             .select("src", "dst", "attr", "src_grp", "dst_grp"))
 
 
