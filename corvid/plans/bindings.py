@@ -43,6 +43,12 @@ def matrix_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_cells(spark, sf_dir, False)
 
 
+def cell_lines(cells: DataFrame) -> DataFrame:
+    """Cells as ``i,j,v`` text lines (the matrix file layout)."""
+    return cells.select(F.concat_ws(",", F.col("i").cast("string"), F.col("j").cast("string"),
+                                    F.format_string("%.3f", "v")).alias("value"))
+
+
 def order_line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lineitem as an order x line-number matrix of quantities."""
     return table(spark, sf_dir, "lineitem").select(
@@ -63,6 +69,17 @@ def order_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(customers)
 
 
+def order_adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order graph as adjacency text: ``customer,order`` per order and a
+    bare ``customer`` line per customer."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.concat_ws(",", F.col("o_custkey").cast("string"),
+                    F.col("o_orderkey").cast("string")).alias("value"))
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("value"))
+    return orders.unionByName(customers)
+
+
 def lineitem_adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines ``order,part,supplier`` (an id and two neighbours), one
     per lineitem row."""

@@ -17,7 +17,7 @@ from corvid.operators import graph as G
 from corvid.operators import matrix as M
 from corvid.operators import ratings as R
 from corvid.plans import bindings as B
-from corvid.sources import parse_adjacency, parse_ratings, strip_headers
+from corvid.sources import parse_adjacency, parse_cells, parse_ratings, strip_headers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,20 @@ def mat_add_max(spark, d):
                         on_duplicate="max")
 
 
+def mat_add_text(spark, d):
+    """Text in, as the matrix programs read it: ``i,j,v`` lines -> sum."""
+    m = parse_cells(B.cell_lines(B.matrix_m(spark, d)))
+    n = parse_cells(B.cell_lines(B.matrix_n(spark, d)))
+    return M.matrix_add(m, n, how="outer", on_duplicate="sum")
+
+
+def mat_add_checked(spark, d):
+    """Default duplicate policy (``error``) over inputs without repeats."""
+    m = M.resolve_duplicates(B.matrix_m(spark, d), "sum")
+    n = M.resolve_duplicates(B.matrix_n(spark, d), "sum")
+    return M.matrix_add(m, n)
+
+
 def mat_render_dense(spark, d):
     cells = M.resolve_duplicates(B.order_line_cells(spark, d), "sum")
     return M.render_dense(M.block_coords(cells, rows=100, cols=8), rows=100, cols=8)
@@ -79,6 +93,12 @@ def _sizes(universe):
     return q
 
 
+def graph_text_group_sizes(spark, d):
+    """Text in, as the graph programs read it: adjacency lines -> sizes."""
+    adj = parse_adjacency(B.order_adjacency_lines(spark, d))
+    return G.group_sizes(G.min_label_groups(adj, "all"))
+
+
 def graph_pregel_min(spark, d):
     _, edges = _order_graph(spark, d)
     return G.pregel_min(edges)
@@ -105,6 +125,12 @@ def rating_hist_avg(spark, d):
     return R.rating_histogram(B.part_ratings(spark, d), mode="avg")
 
 
+def rating_hist_text(spark, d):
+    """Text in, as the typed ratings program reads it (headers included)."""
+    typed = parse_ratings(B.rating_lines(spark, d), mode="typed", user_type="bigint")
+    return R.rating_histogram(typed, mode="avg")
+
+
 def rating_hist_sql(spark, d):
     raw = parse_ratings(B.rating_lines(spark, d), mode="raw")
     return R.rating_histogram(raw, mode="sql")
@@ -127,6 +153,8 @@ QUERIES: dict[str, Query] = {
     "mat_add_outer": mat_add_outer,
     "mat_add_blockjoin": mat_add_blockjoin,
     "mat_add_max": mat_add_max,
+    "mat_add_text": mat_add_text,
+    "mat_add_checked": mat_add_checked,
     "mat_render_dense": mat_render_dense,
     "graph_candidates": graph_candidates,
     "graph_minlabel_all": _minlabel("all"),
@@ -134,11 +162,13 @@ QUERIES: dict[str, Query] = {
     "graph_minlabel_endpoints": _minlabel("endpoints"),
     "graph_group_sizes_all": _sizes("all"),
     "graph_group_sizes_sources": _sizes("sources"),
+    "graph_text_group_sizes": graph_text_group_sizes,
     "graph_pregel_min": graph_pregel_min,
     "graph_triplets": graph_triplets,
     "adjacency_to_edges": adjacency_to_edges,
     "user_avg_rating": user_avg_rating,
     "rating_hist_avg": rating_hist_avg,
+    "rating_hist_text": rating_hist_text,
     "rating_hist_sql": rating_hist_sql,
     "ratings_parse": ratings_parse,
     "ratings_parse_raw": ratings_parse_raw,
@@ -193,6 +223,8 @@ ORACLES: dict[str, str] = {
                    f"nm as (select i, j, max(v) v from n group by i, j) "
                    f"select i // 100 bi, j // 100 bj, i % 100 oi, j % 100 oj, sum(v) v "
                    f"from (select * from mm union all select * from nm) group by all",
+    "mat_add_text": f"{_MN} {_OUTER}",
+    "mat_add_checked": f"{_MN} {_OUTER}",
     "mat_render_dense": "with c as (select l_orderkey i, cast(l_linenumber as bigint) j, "
                         "sum(l_quantity) v from lineitem group by 1, 2), "
                         "b as (select i // 100 bi, j // 8 bj, i % 100 oi, j % 8 oj, v from c), "
@@ -210,6 +242,8 @@ ORACLES: dict[str, str] = {
         " select grp, count(*) n from l5 group by grp order by grp",
     "graph_group_sizes_sources": _label_ctes("sources") +
         " select grp, count(*) n from l5 group by grp order by grp",
+    "graph_text_group_sizes": _label_ctes("all") +
+        " select grp, count(*) n from l5 group by grp order by grp",
     "graph_pregel_min": _label_ctes("endpoints") + " select id, grp from l5",
     "graph_triplets": _label_ctes("endpoints", 1) +
         " select e.src, e.dst, e.src attr, s.grp src_grp, d.grp dst_grp from e "
@@ -221,6 +255,9 @@ ORACLES: dict[str, str] = {
     "rating_hist_avg": f"with t as ({_R}), b as (select cast(trunc(avg(r) * 10) as integer) b "
                        f"from t where r > 0 group by u) select cast(b as double) / 10 rating, "
                        f"count(*) n from b group by b order by 1",
+    "rating_hist_text": f"with t as ({_R}), b as (select cast(trunc(avg(r) * 10) as integer) b "
+                        f"from t where r > 0 group by u) select cast(b as double) / 10 rating, "
+                        f"count(*) n from b group by b order by 1",
     "rating_hist_sql": f"with t as ({_R}), b as (select cast(trunc(sum(r) * 10 / count(r)) "
                        f"as integer) b from t group by u) select cast(b as double) / 10 rating, "
                        f"count(b) n from b group by b order by 1",
