@@ -247,11 +247,17 @@ def propagate(edges: DataFrame, vertices: DataFrame, rounds: int = ROUNDS,
     layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions)
     labels = _start_labels(vertices, layout.partitions)
     for _ in range(rounds):
-        msgs = layout.with_labels(labels).select(F.col("dst").alias("id"), "grp")
-        labels = cut_lineage(_apply_messages(labels, msgs), keep_partitioning=True)
+        labels = cut_lineage(propagation_round(layout, labels), keep_partitioning=True)
     return labels
 
 
+def propagation_round(layout: EdgeLayout, labels: DataFrame) -> DataFrame:
+    """One round: every label sent along the out-edges of its vertex, the
+    minimum kept per vertex."""
+    msgs = layout.with_labels(labels).select(F.col("dst").alias("id"), "grp")
+    return _apply_messages(labels, msgs)
+
+
 def group_sizes(labels: DataFrame) -> DataFrame:
     """``(grp, n)``: vertices per group, ordered by group."""
     return labels.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).orderBy("grp")
