@@ -48,6 +48,9 @@ UNIVERSES = ("all", "sources", "endpoints")
 # broadcast made from the hot-key table.
 HOT_EDGES = 1_000_000
 MAX_HOT_KEYS = 100_000
+# Edges per partition of the laid-out edges (and labels) when the partition
+# count is chosen from the data: ~16 MB of edge rows per task.
+EDGES_PER_PARTITION = 1_000_000
 
 
 # ---------------------------------------------------------------- topology
@@ -99,6 +102,7 @@ class HotKeys:
     key is hot. ``nsalt = ceil(degree / threshold)``."""
     table: DataFrame | None
     threshold: int
+    n_edges: int = 0
 
     def labels_of(self, labels: DataFrame) -> DataFrame:
         """The labels of hot keys only: at most ``MAX_HOT_KEYS`` rows, safe
@@ -145,12 +149,21 @@ def hot_keys(edges: DataFrame, key: str, threshold: int = HOT_EDGES,
         table = cut_lineage(deg.where(F.col("d") > t)
                             .select("hk", F.ceil(F.col("d") / t).cast("int").alias("nsalt")))
     deg.unpersist()
-    return HotKeys(table, t)
+    return HotKeys(table, t, n_edges)
 
 
 # ---------------------------------------------------------------- edge layout
 
 
+def partitions_for(spark, n_edges: int) -> int:
+    """Partition count for ``n_edges`` edges: about ``EDGES_PER_PARTITION``
+    per partition, at least the default parallelism, at most the session's
+    shuffle partitions (which the cluster owner sizes for the cluster)."""
+    lo = spark.sparkContext.defaultParallelism
+    hi = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lo)
+    return min(max(math.ceil(n_edges / EDGES_PER_PARTITION), lo), hi)
+
+
 @dataclass
 class EdgeLayout:
     """Distinct edges laid out for repeated joins with labels on ``key``.
@@ -193,9 +206,9 @@ def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
     (written once to the checkpoint folder)."""
     other = "dst" if key == "src" else "src"
     spark = edges.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = edges.select("src", "dst").distinct().persist(StorageLevel.MEMORY_AND_DISK)
     hot = hot_keys(base, key, threshold, max_hot)
+    n = partitions or partitions_for(spark, hot.n_edges)
     if hot.table is None:
         light, heavy = base, None
     else:
@@ -243,7 +256,7 @@ def propagate(edges: DataFrame, vertices: DataFrame, rounds: int = ROUNDS,
               partitions: int | None = None) -> DataFrame:
     """Labels ``(id, grp)`` of every vertex of ``vertices`` after ``rounds``
     rounds of min-label propagation along ``edges``. ``partitions`` sets how
-    edges and labels are split (default: ``spark.sql.shuffle.partitions``)."""
+    edges and labels are split (default: ``partitions_for`` the edge count)."""
     layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions)
     labels = _start_labels(vertices, layout.partitions)
     for _ in range(rounds):
