@@ -4,6 +4,7 @@ shared checkpoint folder that iterative operators cut their lineage into."""
 from __future__ import annotations
 
 import tempfile
+import threading
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,18 +59,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "folder (HDFS/object store) to cut lineage into")
 
 
+_PLANNING_LOCK = threading.RLock()
+
+
 @contextmanager
 def _static_planning(spark: SparkSession):
     """Plan the enclosed action without AQE. An adaptive plan reports no
     output partitioning, so a checkpoint taken under AQE forgets how its
-    rows are clustered and every later join re-shuffles it."""
+    rows are clustered and every later join re-shuffles it. The lock keeps
+    two such actions of this process from interleaving the switch."""
     key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _PLANNING_LOCK:
+        before = spark.conf.get(key)
+        spark.conf.set(key, "false")
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
