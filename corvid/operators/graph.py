@@ -38,7 +38,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.session import cut_lineage
+from corvid.session import cut_lineage, default_parallelism
 
 ROUNDS = 5  # fixed value: propagation rounds of the reference programs
 UNIVERSES = ("all", "sources", "endpoints")
@@ -159,7 +159,7 @@ def partitions_for(spark, n_edges: int) -> int:
     """Partition count for ``n_edges`` edges: about ``EDGES_PER_PARTITION``
     per partition, at least the default parallelism, at most the session's
     shuffle partitions (which the cluster owner sizes for the cluster)."""
-    lo = spark.sparkContext.defaultParallelism
+    lo = default_parallelism(spark)
     hi = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lo)
     return min(max(math.ceil(n_edges / EDGES_PER_PARTITION), lo), hi)
 

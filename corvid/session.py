@@ -33,6 +33,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one in this process
+    (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise here
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session.
 
@@ -42,12 +51,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     a shared folder is an error, since a machine-local folder would not
     survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if sc is None:
+        if configured:
+            return configured
+        raise RuntimeError("spark.checkpoint.dir is not set on the session")
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or \
-        sc.getConf().get("spark.checkpoint.dir", None)
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
@@ -59,6 +72,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "folder (HDFS/object store) to cut lineage into")
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 _PLANNING_LOCK = threading.RLock()
 
 
