@@ -107,7 +107,7 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = li.select(F.concat_ws(
         ",", F.col("l_partkey").cast("string"),
         (F.col("l_quantity").cast("int") % 6).cast("string"),
-        F.date_format("l_shipdate", "yyyy-MM-dd")).alias("value"))
+        F.to_date("l_shipdate").cast("string")).alias("value"))
     headers = li.where(F.col("l_linenumber") == 1).select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit(":")).alias("value"))
     return body.unionByName(headers)
