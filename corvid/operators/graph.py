@@ -217,7 +217,7 @@ def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
         spread = F.pmod(F.xxhash64(other), F.col("nsalt"))
         heavy = cut_lineage(tagged.where(F.col("hk").isNotNull())
                             .repartition(n, F.col(key), spread).select("src", "dst"))
-    light = cut_lineage(light.repartition(n, key), keep_partitioning=True)
+    light = cut_lineage(light.repartition(n, key), keep_partitioning=True, partitions=n)
     base.unpersist()
     return EdgeLayout(light, heavy, hot, key, n)
 
@@ -260,7 +260,8 @@ def propagate(edges: DataFrame, vertices: DataFrame, rounds: int = ROUNDS,
     layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions)
     labels = _start_labels(vertices, layout.partitions)
     for _ in range(rounds):
-        labels = cut_lineage(propagation_round(layout, labels), keep_partitioning=True)
+        labels = cut_lineage(propagation_round(layout, labels), keep_partitioning=True,
+                             partitions=layout.partitions)
     return labels
 
 
@@ -335,5 +336,6 @@ def pregel_min(edges: DataFrame, rounds: int = ROUNDS, hot_threshold: int = HOT_
         msg = (F.when(F.col("attr") < F.col("dst_grp"), F.col("attr"))
                .when(F.col("src_grp") < F.col("attr"), F.col("src_grp")))
         msgs = t.select(F.col("dst").alias("id"), msg.alias("grp")).where(F.col("grp").isNotNull())
-        labels = cut_lineage(_apply_messages(labels, msgs), keep_partitioning=True)
+        labels = cut_lineage(_apply_messages(labels, msgs), keep_partitioning=True,
+                             partitions=layout.partitions)
     return labels

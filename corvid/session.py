@@ -83,34 +83,42 @@ _PLANNING_LOCK = threading.RLock()
 
 
 @contextmanager
-def _static_planning(spark: SparkSession):
-    """Plan the enclosed action without AQE. An adaptive plan reports no
-    output partitioning, so a checkpoint taken under AQE forgets how its
-    rows are clustered and every later join re-shuffles it. The lock keeps
-    two such actions of this process from interleaving the switch."""
-    key = "spark.sql.adaptive.enabled"
+def _static_planning(spark: SparkSession, shuffle_partitions: int | None = None):
+    """Plan the enclosed action without AQE, and with ``shuffle_partitions``
+    when given. An adaptive plan reports no output partitioning, so a
+    checkpoint taken under AQE forgets how its rows are clustered and every
+    later join re-shuffles it; and exchanges must produce the same partition
+    count as the data they meet, or Spark re-shuffles that data to match.
+    The lock keeps two such actions of this process from interleaving."""
+    settings = {"spark.sql.adaptive.enabled": "false"}
+    if shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(int(shuffle_partitions))
     with _PLANNING_LOCK:
-        before = spark.conf.get(key)
-        spark.conf.set(key, "false")
+        before = {k: spark.conf.get(k) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         try:
             yield
         finally:
-            spark.conf.set(key, before)
+            for k, v in before.items():
+                spark.conf.set(k, v)
 
 
-def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
+def cut_lineage(df: DataFrame, keep_partitioning: bool = False,
+                partitions: int | None = None) -> DataFrame:
     """Reliable checkpoint into the shared folder: the plan restarts from the
     written files, and a lost executor costs a re-read, not a recomputation
     of earlier rounds.
 
     ``keep_partitioning``: the checkpoint records the hash partitioning of
-    ``df`` (planned without AQE), so joins and aggregates on the same keys
-    and partition count read it without an exchange.
+    ``df`` (planned without AQE, exchanges with ``partitions`` parts), so
+    joins and aggregates on the same keys and partition count read it
+    without an exchange.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     if not keep_partitioning:
         return df.checkpoint(eager=True)
-    with _static_planning(spark):
+    with _static_planning(spark, partitions):
         # a new Dataset, so no physical plan made earlier under AQE is reused
         return df.select(*df.columns).checkpoint(eager=True)

@@ -11,9 +11,9 @@ from corvid.session import _static_planning, cut_lineage
 SF = "/root/testdata/sf0.001"
 
 
-def plan_of(df, static=False):
+def plan_of(df, static=False, partitions=None):
     if static:
-        with _static_planning(df.sparkSession):
+        with _static_planning(df.sparkSession, partitions):
             return df.select(*df.columns)._jdf.queryExecution().executedPlan().toString()
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -36,6 +36,23 @@ def test_round_moves_only_reduced_messages(spark):
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
+def test_round_keeps_its_own_partition_count(spark):
+    # layout with 3 partitions in a session with 8 shuffle partitions: the
+    # round must still read edges and labels in place
+    adj = B.order_adjacency(spark, SF)
+    edges = G.adjacency_to_edges(adj)
+    layout = G.layout_edges(edges, "src", partitions=3)
+    labels = cut_lineage(G.propagation_round(layout, G._start_labels(
+        G.vertex_universe(adj, "all", edges), 3)), keep_partitioning=True, partitions=3)
+    assert labels.rdd.getNumPartitions() == 3
+    plan = plan_of(G.propagation_round(layout, labels), static=True, partitions=3)
+    assert len(exchanges(plan)) == 1, plan
+    got = {r.id: r.grp for r in G.propagate(edges, G.vertex_universe(adj, "all", edges),
+                                            partitions=3).collect()}
+    ref = {r.id: r.grp for r in G.propagate(edges, G.vertex_universe(adj, "all", edges)).collect()}
+    assert got == ref
+
+
 def test_round_with_hot_sources_broadcasts_only_hot_labels(spark):
     adj = B.order_adjacency(spark, SF)
     edges = G.adjacency_to_edges(adj)
