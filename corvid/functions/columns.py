@@ -33,8 +33,10 @@ def token(tokens: Column, k: int) -> Column:
 
 
 def strict_long(tok: Column, what: str = "token") -> Column:
-    """Parse a token as LONG; a token that is not an integer fails the job."""
-    return F.when(tok.rlike(LONG_TOKEN), tok.cast("long")).otherwise(
+    """Parse a token as LONG; a token that is not an integer, or does not fit
+    in 64 bits, fails the job (whatever the session's ANSI setting)."""
+    parsed = tok.try_cast("long")
+    return F.when(tok.rlike(LONG_TOKEN) & parsed.isNotNull(), parsed).otherwise(
         F.raise_error(F.concat(F.lit(f"not an integer {what}: '"),
                                F.coalesce(tok, F.lit("<missing>")), F.lit("'"))))
 

@@ -40,13 +40,16 @@ def parse_cells(lines: DataFrame, col: str = "value") -> DataFrame:
     readers throw on such input); negative indices are rejected too, since
     they have no block position.
     """
-    t = comma_tokens(F.col(col))
+    toks = lines.select(comma_tokens(F.col(col)).alias("_t"))
+    t = F.col("_t")
     v_tok = F.trim(token(t, 2))
-    cells = lines.select(
+    v = v_tok.try_cast("double")
+    cells = toks.select(
         strict_long(F.trim(token(t, 0)), "row index").alias("i"),
         strict_long(F.trim(token(t, 1)), "column index").alias("j"),
-        F.when(v_tok.isNull(), F.raise_error(F.lit("cell line without a value")))
-         .otherwise(v_tok.cast("double")).alias("v"),
+        F.when(v.isNull(), F.raise_error(F.concat(
+            F.lit("cell line without a numeric value: '"),
+            F.coalesce(v_tok, F.lit("<missing>")), F.lit("'")))).otherwise(v).alias("v"),
     )
     return reject_negative_indices(cells)
 

@@ -98,6 +98,17 @@ def test_bad_cell_line_rejected(spark):
         parse_cells(lines_df(spark, ["1,2"])).collect()
 
 
+def test_bad_values_fail_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(FAIL, match="numeric value"):
+            parse_cells(lines_df(spark, ["1,2,abc"])).collect()
+        with pytest.raises(FAIL, match="not an integer"):
+            parse_cells(lines_df(spark, ["99999999999999999999,2,1.0"])).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_block_coords_large_indices(spark):
     big = 2 ** 40 + 123
     got = M.block_coords(cells(spark, [(big, 7, 1.0)])).collect()[0]
