@@ -108,6 +108,8 @@ def read_adjacency(spark: SparkSession, path: str | list[str],
 
 # ---------------------------------------------------------------- ratings
 
+USER_TYPES = ("int", "bigint", "string")
+
 
 def parse_ratings(lines: DataFrame, mode: str = "typed", user_type: str = "int",
                   col: str = "value") -> DataFrame:
@@ -121,6 +123,8 @@ def parse_ratings(lines: DataFrame, mode: str = "typed", user_type: str = "int",
     ``(user STRING, rating STRING)``.
     """
     if mode == "typed":
+        if user_type not in USER_TYPES:
+            raise ValueError(f"user_type must be one of {USER_TYPES}, not {user_type!r}")
         t = lines.select(F.split(F.col(col), ",").alias("_t"))
         return t.select(
             F.expr(f"try_cast(get(_t, 0) as {user_type})").alias("user"),
