@@ -112,22 +112,30 @@ def matrix_add(m: DataFrame, n: DataFrame, how: str = "outer",
 def render_dense(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataFrame:
     """Text rows of every dense block: ``(bi, bj, oi, line)``, ``line`` being
     the ``cols`` values of block row ``oi`` as ``%.3f`` joined by tabs, zeros
-    where no cell is stored. Input: unique cells in block form. Each group
-    holds one block row (at most ``cols`` cells)."""
-    # stored cells are formatted before they are collected (inside codegen);
-    # the per-row transform then only looks strings up
+    where no cell is stored. Input: unique cells in block form.
+
+    Two bounded groupings, no join: the stored cells of a block row (at most
+    ``cols``) become its line; the lines of a block (at most ``rows``) are
+    gathered, and the block's ``rows`` row numbers are generated in place,
+    rows without stored cells taking the constant zero line.
+    """
+    zero = fixed3(F.lit(0.0))
+    # stored cells are formatted before they are collected (inside codegen)
     per_row = (blocks.groupBy("bi", "bj", "oi")
                .agg(F.map_from_entries(F.collect_list(F.struct("oj", fixed3(F.col("v")))))
                     .alias("m")))
-    all_rows = (blocks.select("bi", "bj").distinct()
-                .select("bi", "bj", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                          F.lit(rows - 1).cast("long"))).alias("oi")))
-    grid = all_rows.join(per_row, ["bi", "bj", "oi"], "left")
-    zero = fixed3(F.lit(0.0))
-    cells = F.transform(
+    line = F.array_join(F.transform(
         F.sequence(F.lit(0).cast("long"), F.lit(cols - 1).cast("long")),
-        lambda c: F.coalesce(F.try_element_at(F.col("m"), c), zero))
-    return grid.select("bi", "bj", "oi", F.array_join(cells, "\t").alias("line"))
+        lambda c: F.coalesce(F.try_element_at(F.col("m"), c), zero)), "\t")
+    per_block = (per_row.select("bi", "bj", F.struct("oi", line.alias("line")).alias("r"))
+                 .groupBy("bi", "bj").agg(F.map_from_entries(F.collect_list("r")).alias("lines")))
+    zero_line = F.array_join(F.array_repeat(zero, cols), "\t")
+    return (per_block
+            .select("bi", "bj", "lines", F.explode(F.sequence(
+                F.lit(0).cast("long"), F.lit(rows - 1).cast("long"))).alias("oi"))
+            .select("bi", "bj", "oi",
+                    F.coalesce(F.try_element_at(F.col("lines"), F.col("oi")), zero_line)
+                    .alias("line")))
 
 
 def cells_from_blocks(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataFrame:
