@@ -307,10 +307,15 @@ def graph_triplets(edges: DataFrame, labels: DataFrame, attr: str | None = "src"
         step = src_layout.with_labels(labels, "src_grp")
     attr_col = (F.col(attr) if attr else F.lit(None).cast("long")).alias("attr")
     step = step.select("src", "dst", attr_col, "src_grp")
-    hot = hot_dst or HotKeys(None, 0)
-    step = hot.salt_rows(step, "dst", "src")
-    d = hot.salted_labels(labels).select(F.col("id").alias("_d"), F.col("grp").alias("dst_grp"),
-                                         F.col("salt").alias("_ds"))
+    if hot_dst is None or hot_dst.table is None:
+        # no hot target: join on the target alone, so labels partitioned on
+        # id are read in place and only the edge rows move
+        d = labels.select(F.col("id").alias("_d"), F.col("grp").alias("dst_grp"))
+        return (step.hint("merge").join(d, step["dst"] == d["_d"])
+                .select("src", "dst", "attr", "src_grp", "dst_grp"))
+    step = hot_dst.salt_rows(step, "dst", "src")
+    d = hot_dst.salted_labels(labels).select(
+        F.col("id").alias("_d"), F.col("grp").alias("dst_grp"), F.col("salt").alias("_ds"))
     return (step.hint("merge").join(d, (step["dst"] == d["_d"]) & (step["salt"] == d["_ds"]))
             .select("src", "dst", "attr", "src_grp", "dst_grp"))
 
@@ -332,10 +337,16 @@ def pregel_min(edges: DataFrame, rounds: int = ROUNDS, hot_threshold: int = HOT_
     verts = e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id")))
     labels = _start_labels(verts, layout.partitions)
     for _ in range(rounds):
-        t = graph_triplets(e, labels, "src", layout, hot_dst)
-        msg = (F.when(F.col("attr") < F.col("dst_grp"), F.col("attr"))
-               .when(F.col("src_grp") < F.col("attr"), F.col("src_grp")))
-        msgs = t.select(F.col("dst").alias("id"), msg.alias("grp")).where(F.col("grp").isNotNull())
-        labels = cut_lineage(_apply_messages(labels, msgs), keep_partitioning=True,
+        labels = cut_lineage(pregel_round(e, labels, layout, hot_dst), keep_partitioning=True,
                              partitions=layout.partitions)
     return labels
+
+
+def pregel_round(edges: DataFrame, labels: DataFrame, layout: EdgeLayout | None = None,
+                 hot_dst: HotKeys | None = None) -> DataFrame:
+    """One superstep of ``pregel_min`` over the triplet view."""
+    t = graph_triplets(edges, labels, "src", layout, hot_dst)
+    msg = (F.when(F.col("attr") < F.col("dst_grp"), F.col("attr"))
+           .when(F.col("src_grp") < F.col("attr"), F.col("src_grp")))
+    msgs = t.select(F.col("dst").alias("id"), msg.alias("grp")).where(F.col("grp").isNotNull())
+    return _apply_messages(labels, msgs)

@@ -84,3 +84,17 @@ def test_scans_are_pruned_and_filters_pushed(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double," \
            "l_returnflag:string>" in plan
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan
+
+
+def test_pregel_round_moves_edge_rows_once(spark):
+    adj = B.order_adjacency(spark, SF)
+    edges = G.adjacency_to_edges(adj)
+    layout = G.layout_edges(edges, "src", partitions=4)
+    e = layout.edges()
+    hot_dst = G.hot_keys(e, "dst")
+    verts = e.select(G.F.col("src").alias("id")).unionByName(e.select(G.F.col("dst").alias("id")))
+    labels = cut_lineage(G.pregel_round(e, G._start_labels(verts, 4), layout, hot_dst),
+                         keep_partitioning=True, partitions=4)
+    plan = plan_of(G.pregel_round(e, labels, layout, hot_dst), static=True, partitions=4)
+    ex = exchanges(plan)
+    assert len(ex) == 1 and "hashpartitioning(dst" in ex[0], plan
