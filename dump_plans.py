@@ -62,6 +62,17 @@ def main(argv):
         parts += [f"## {title}", "", f"{layout.partitions} partitions; edges and labels "
                   "are checkpointed scans (`Scan ExistingRDD`).", "", "```", _clean(plan),
                   "```", ""]
+    layout = G.layout_edges(edges, "src")
+    e = layout.edges()
+    hot_dst = G.hot_keys(e, "dst")
+    verts = e.select(G.F.col("src").alias("id")).unionByName(e.select(G.F.col("dst").alias("id")))
+    labels = cut_lineage(G.pregel_round(e, G._start_labels(verts, layout.partitions), layout,
+                                        hot_dst), keep_partitioning=True, partitions=layout.partitions)
+    step = G.pregel_round(e, labels, layout, hot_dst)
+    with _static_planning(spark, layout.partitions):
+        plan = step.select(*step.columns)._jdf.queryExecution().executedPlan().toString()
+    parts += ["## Pregel superstep (triplet form)", "", f"{layout.partitions} partitions.", "",
+              "```", _clean(plan), "```", ""]
     with open(out, "w") as f:
         f.write("\n".join(parts))
     spark.stop()
