@@ -34,11 +34,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.session import cut_lineage, default_parallelism
+from corvid.session import cut_lineage, default_parallelism, persist_adaptive
 
 ROUNDS = 5  # fixed value: propagation rounds of the reference programs
 UNIVERSES = ("all", "sources", "endpoints")
@@ -139,8 +138,8 @@ def hot_keys(edges: DataFrame, key: str, threshold: int = HOT_EDGES,
     largest degree; the hot table is only built when some degree is above
     the threshold.
     """
-    deg = (edges.groupBy(F.col(key).alias("hk")).agg(F.count(F.lit(1)).alias("d"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    deg = persist_adaptive(edges.groupBy(F.col(key).alias("hk"))
+                           .agg(F.count(F.lit(1)).alias("d")))
     n_edges, max_deg = deg.agg(F.sum("d"), F.max("d")).first()
     n_edges, max_deg = n_edges or 0, max_deg or 0
     t = max(int(threshold), math.ceil(n_edges / max_hot), 1)
@@ -206,7 +205,7 @@ def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
     (written once to the checkpoint folder)."""
     other = "dst" if key == "src" else "src"
     spark = edges.sparkSession
-    base = edges.select("src", "dst").distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    base = persist_adaptive(edges.select("src", "dst").distinct())
     hot = hot_keys(base, key, threshold, max_hot)
     n = partitions or partitions_for(spark, hot.n_edges)
     if hot.table is None:

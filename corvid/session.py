@@ -106,6 +106,26 @@ def _static_planning(spark: SparkSession, shuffle_partitions: int | None = None)
                 spark.conf.set(k, v)
 
 
+def persist_adaptive(df: DataFrame, level=None) -> DataFrame:
+    """``persist`` whose cached plan may be re-partitioned by AQE.
+
+    By default Spark plans cached data without AQE partition coalescing, so
+    a cache built in a session with many shuffle partitions keeps them all
+    and every later job over it runs that many tasks. Used only for caches
+    whose partitioning nothing relies on."""
+    from pyspark import StorageLevel
+
+    spark = df.sparkSession
+    key = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    with _PLANNING_LOCK:
+        before = spark.conf.get(key, "false")
+        spark.conf.set(key, "true")
+        try:
+            return df.persist(level or StorageLevel.MEMORY_AND_DISK)
+        finally:
+            spark.conf.set(key, before)
+
+
 def cut_lineage(df: DataFrame, keep_partitioning: bool = False,
                 partitions: int | None = None) -> DataFrame:
     """Reliable checkpoint into the shared folder: the plan restarts from the
