@@ -83,3 +83,24 @@ def test_static_planning_restores_settings(spark):
         with _static_planning(spark, 3):
             raise ValueError("boom")
     assert spark.conf.get("spark.sql.shuffle.partitions") == before_n
+
+
+def test_adaptive_cache_coalesces_partitions(spark):
+    from corvid.session import persist_adaptive
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        plain = spark.range(1000).selectExpr("id % 10 as k").distinct().persist()
+        plain.count()
+        adaptive = persist_adaptive(spark.range(2000).selectExpr("id % 10 as k").distinct())
+        adaptive.count()
+        assert plain.rdd.getNumPartitions() == 64
+        assert adaptive.rdd.getNumPartitions() < 64
+        assert sorted(r.k for r in adaptive.collect()) == list(range(10))
+        plain.unpersist()
+        adaptive.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning",
+                          "false") == "false"
