@@ -5,17 +5,88 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corvid.llm import packing
+from corvid.llm import decontaminate, divergence, langid, packing, pu_quality, toxicity
 from corvid.llm.common import table
 
 
+def op1_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"),
+                                        table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = pu_quality.fit_quality(docs, table(spark, sf_dir, "labels"))
+    return pu_quality.score_quality(docs, model)
+
+
+def op6_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op8_marginal_unigram_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit_languages(docs))
+
+
+def op9_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_winnowing_decontamination": op1_winnowing_decontamination,
+    "op2_pu_quality": op2_pu_quality,
+    "op6_distribution_divergence": op6_distribution_divergence,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_marginal_unigram_langid": op8_marginal_unigram_langid,
+    "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+OP1_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (
+  SELECT DISTINCT item, least(13, len(w)) AS n,
+         array_to_string(w[s : s + least(13, len(w)) - 1], ' ') AS win
+  FROM b, unnest(range(1, greatest(len(w) - 11, 2))) AS t(s) WHERE len(w) > 0),
+ns AS (SELECT DISTINCT n FROM bw),
+hits AS (
+  SELECT d.rid, t.s, ns.n, bw.item
+  FROM d CROSS JOIN ns, unnest(range(1, len(d.w) - ns.n + 2)) AS t(s)
+  JOIN bw ON bw.n = ns.n AND bw.win = array_to_string(d.w[t.s : t.s + ns.n - 1], ' ')),
+places AS (
+  SELECT rid, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT rid, s, n FROM hits), unnest(range(s, s + n)) AS u(p) GROUP BY rid),
+its AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+       CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN places USING (rid) LEFT JOIN its USING (rid)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_winnowing_decontamination": OP1_SQL,
+}
