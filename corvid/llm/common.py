@@ -100,3 +100,9 @@ def gram_hashes(ids, k: int):
         for i in range(k):
             out = out * np.uint64(0x9E3779B97F4A7C15) + ids[i:i + n]
     return mix64(out)
+
+
+def join_sized(big: DataFrame, small: DataFrame, on, how: str, rows: int = 1_000_000) -> DataFrame:
+    """Join a stored ``small`` by broadcast when it has at most ``rows`` rows
+    (of bounded width), and by shuffling both sides beyond."""
+    return big.join(F.broadcast(small) if small.count() <= rows else small, on, how)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import decontaminate, divergence, langid, packing, pu_quality, toxicity
+from corvid.llm import decontaminate, divergence, langid, minhash, packing, pu_quality, substring_dedup, toxicity
 from corvid.llm.common import table
 
 
@@ -25,6 +25,15 @@ def op2_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality.score_quality(docs, model)
 
 
+def op3_bbit_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op10_fm_index_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -47,10 +56,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_pu_quality": op2_pu_quality,
+    "op3_bbit_minhash_dedup": op3_bbit_minhash_dedup,
     "op6_distribution_divergence": op6_distribution_divergence,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_marginal_unigram_langid": op8_marginal_unigram_langid,
     "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
+    "op10_fm_index_substring_dedup": op10_fm_index_substring_dedup,
 }
 
 OP1_SQL = r"""
@@ -87,6 +98,55 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
 FROM d LEFT JOIN places USING (rid) LEFT JOIN its USING (rid)
 """
 
+# words are the runs of anything but space and \t..\r
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[t.i : t.i + 4], ' ') AS g
+  FROM w, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       least(doc_id, coalesce(low.b, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(low.b, doc_id)) AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = doc_id
+"""
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+win AS (
+  SELECT doc_id, t.s AS s, hash(array_to_string(w[t.s : t.s + 49], ' ')) AS h,
+         md5(array_to_string(w[t.s : t.s + 49], ' ')) AS m
+  FROM d, unnest(range(1, greatest(len(w) - 48, 1))) AS t(s)),
+low AS (SELECT h, m, min(doc_id) AS first FROM win GROUP BY h, m),
+gone AS (
+  SELECT DISTINCT doc_id, p FROM win JOIN low USING (h, m), unnest(range(s, s + 50)) AS u(p)
+  WHERE first < doc_id),
+places AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, w, coalesce(len(ps), 0) AS n_removed,
+         CASE WHEN ps IS NULL THEN w ELSE
+           list_filter(w, lambda x, i: NOT list_contains(ps, i)) END AS k
+  FROM d LEFT JOIN places USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(k, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
 ORACLES: dict[str, str] = {
     "op1_winnowing_decontamination": OP1_SQL,
+    "op3_bbit_minhash_dedup": OP3_SQL,
+    "op10_fm_index_substring_dedup": OP10_SQL,
 }
