@@ -106,3 +106,23 @@ def join_sized(big: DataFrame, small: DataFrame, on, how: str, rows: int = 1_000
     """Join a stored ``small`` by broadcast when it has at most ``rows`` rows
     (of bounded width), and by shuffling both sides beyond."""
     return big.join(F.broadcast(small) if small.count() <= rows else small, on, how)
+
+
+NO_ID = (1 << 63) - 1  # stands for a null id in join keys
+
+
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """Key of a row by its id and text: equal rows share it, rows that only
+    share the id do not."""
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__id"),
+            F.xxhash64(F.col(text_col).cast("string")).alias("__key")]
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str,
+              rows: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows whose key is in ``gone`` (__id, __key), with
+    their own columns whatever their names."""
+    keyed = docs.select(*row_key(id_col, text_col),
+                        F.struct(*[docs[c] for c in docs.columns]).alias("__row"))
+    gone = store(gone.distinct(), "dropped")
+    return join_sized(keyed, gone, ["__id", "__key"], "left_anti", rows).select("__row.*")

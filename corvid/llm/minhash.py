@@ -35,7 +35,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import WordIds, gram_hashes, join_sized, mix64, raw_bytes, store
+from corvid.llm.common import (NO_ID, WordIds, drop_rows, gram_hashes, join_sized, mix64, raw_bytes,
+                               store)
 from corvid.llm.components import connected_components
 
 SHINGLE = 5
@@ -47,7 +48,6 @@ MEMBERS = 300
 HUBS = 64
 SET_WORDS = 2_000_000
 WIDE = 2_000_000  # rows of the key tables that may be broadcast
-NO_ID = (1 << 63) - 1
 
 
 def shingle_set(data: bytes | None, known: WordIds, size: int = SHINGLE):
@@ -412,11 +412,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id",
                          text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, all columns, that are kept."""
-    gone = store(near_duplicates(docs, id_col, text_col, **options).where(~F.col("kept"))
-                 .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"),
-                         F.col("row_key").alias("__key")).distinct(), "dropped")
-    keyed = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__id"),
-        F.xxhash64(F.col(text_col).cast("string")).alias("__key"),
-        F.struct(*[docs[c] for c in docs.columns]).alias("__row"))
-    return join_sized(keyed, gone, ["__id", "__key"], "left_anti", WIDE).select("__row.*")
+    found = near_duplicates(docs, id_col, text_col, **options).where(~F.col("kept"))
+    return drop_rows(docs, found.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"),
+                                        F.col("row_key").alias("__key")), id_col, text_col)

@@ -169,24 +169,30 @@ def fit(lengths, capacity: int) -> tuple[list[int], list[int]]:
 
 def best_fit(pieces: DataFrame, capacity: int = 1024, group: int = GROUP) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to stored ``pieces`` (read twice)."""
-    from pyspark.sql.types import LongType
+    from pyspark.sql.types import LongType, StructField, StructType
 
     groups = max(1, math.ceil(pieces.count() / group))
-    schema = pieces.schema.add("sequence_id", LongType()).add("offset", LongType())
+    # row numbers of a stored table: the same on a re-read, and never hot;
+    # pandas has no null integer, so a flag carries a missing id
+    dealt = (pieces.withColumn("__group", F.pmod(
+        F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
+        .withColumn("__no_id", F.col("doc_id").isNull())
+        .withColumn("doc_id", F.coalesce("doc_id", F.lit(0))))
 
     def pack(frame):
         number = int(frame["__group"].iloc[0])
         frame = frame.drop(columns="__group").sort_values(
-            ["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
+            ["length", "__no_id", "doc_id", "piece"], ascending=[False, True, True, True],
+            kind="stable")
         sequences, offsets = fit(frame["length"].tolist(), capacity)
         frame["sequence_id"] = [(number << 32) + s for s in sequences]
         frame["offset"] = offsets
         return frame
 
-    # row numbers of a stored table: the same on a re-read, and never hot
-    dealt = pieces.withColumn(
-        "__group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
-    return dealt.groupBy("__group").applyInPandas(pack, schema)
+    schema = StructType([*dealt.drop("__group").schema, StructField("sequence_id", LongType()),
+                         StructField("offset", LongType())])
+    return (dealt.groupBy("__group").applyInPandas(pack, schema)
+            .withColumn("doc_id", F.when(~F.col("__no_id"), F.col("doc_id"))).drop("__no_id"))
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import decontaminate, divergence, langid, minhash, packing, pu_quality, substring_dedup, toxicity
+from corvid.llm import decontaminate, divergence, langid, licenses, minhash, packing, pu_quality, substring_dedup, toxicity, warc
 from corvid.llm.common import table
 
 
@@ -30,10 +30,18 @@ def op3_bbit_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_fm_index_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -57,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_pu_quality": op2_pu_quality,
     "op3_bbit_minhash_dedup": op3_bbit_minhash_dedup,
+    "op4_warc_boundary_chain": op4_warc_boundary_chain,
+    "op5_license_scan": op5_license_scan,
     "op6_distribution_divergence": op6_distribution_divergence,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_marginal_unigram_langid": op8_marginal_unigram_langid,
@@ -122,6 +132,16 @@ SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = doc_id
 """
 
+OP4_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+m AS (SELECT d, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM p LEFT JOIN m USING (d)
+"""
+
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
@@ -148,5 +168,6 @@ FROM kept
 ORACLES: dict[str, str] = {
     "op1_winnowing_decontamination": OP1_SQL,
     "op3_bbit_minhash_dedup": OP3_SQL,
+    "op4_warc_boundary_chain": OP4_SQL,
     "op10_fm_index_substring_dedup": OP10_SQL,
 }

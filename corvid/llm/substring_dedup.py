@@ -254,7 +254,7 @@ def kept_words(data: bytes | None, spans) -> tuple[list[bytes], int, int]:
     import numpy as np
 
     words = (data or b"").split()
-    if not spans:
+    if spans is None or not len(spans):
         return words, len(words), 0
     stays = np.ones(len(words), bool)
     for x in spans:
