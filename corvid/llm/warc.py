@@ -233,7 +233,7 @@ def _digest_of_pieces(frame):
 
     frame = frame.sort_values("piece_at")
     start, length = int(frame["start"].iloc[0]), int(frame["length"].iloc[0])
-    data = MAGIC.encode().join(frame["value"])
+    data = b"".join(x + MAGIC.encode() for x in frame["value"])
     skip = start - int(frame["piece_at"].iloc[0])
     return pd.DataFrame({"file": frame["file"].iloc[:1], "at": frame["at"].iloc[:1], "sha1": [
         hashlib.sha1(data[skip:skip + length]).hexdigest()]})
