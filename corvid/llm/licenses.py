@@ -5,8 +5,8 @@ every ``WINDOW`` consecutive hashes of ``K`` words is a fingerprint in an
 inverted index fingerprint -> (template, place); the index is a parameter of
 bounded size and travels with the tasks. A document's grams are looked up in
 it. Hits of one template on nearby diagonals form a candidate region, which is
-aligned with the template word by word inside a band of ``BAND`` diagonals
-around the hits: the alignment maximises matching words, and among those of
+aligned with the template word by word inside a band of ``BAND`` diagonals (a
+quarter of the template's words, if that is less) around the hits: the alignment maximises matching words, and among those of
 equal matches takes the shortest span. Regions whose matched words reach
 ``coverage`` of the template are reported with their spans.
 
@@ -106,14 +106,18 @@ def align(template: list, words: list, start: int, end: int, low: int, high: int
     return best
 
 
+def band(size: int) -> int:
+    return min(BAND, size // 4)
+
+
 def regions(hits: list[tuple[int, int]], size: int):
     """Hits (word, place) of one template grouped: a group's diagonals stay
-    within ``BAND`` of its first and its words within one template length."""
+    within the band of its first and its words within one template length."""
     open_groups: list[list] = []
     for word, place in sorted(hits):
         diagonal = word - place
         for group in reversed(open_groups):
-            if abs(diagonal - group[0]) <= BAND and word - group[2] <= size:
+            if abs(diagonal - group[0]) <= band(size) and word - group[2] <= size:
                 group[1].append(diagonal)
                 group[2] = word
                 break
@@ -158,9 +162,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None,
                 for name, found in hits.items():
                     template, seen = texts[name], set()
                     for low, high in regions(found, len(template)):
-                        match = align(template, words, max(0, low - BAND),
-                                      min(len(words), high + len(template) + BAND),
-                                      low - BAND, high + BAND)
+                        wide = band(len(template))
+                        match = align(template, words, max(0, low - wide),
+                                      min(len(words), high + len(template) + wide),
+                                      low - wide, high + wide)
                         if match[0] >= coverage * len(template) and match not in seen:
                             seen.add(match)
                             rows.append((doc_id, name, match[1], match[2], match[0],
