@@ -62,7 +62,7 @@ def raw_bytes(batch, name: str = "text") -> list:
 class WordIds(dict):
     """word (bytes) -> 64-bit hash, remembered; forgets all when too large."""
 
-    LIMIT = 2_000_000
+    LIMIT = 500_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash

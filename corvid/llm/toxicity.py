@@ -35,6 +35,7 @@ from corvid.llm.common import fold, raw_bytes, text_frame
 
 SAMPLE = 4_000
 LEXICON = 20_000
+SLICE = 64  # texts whose features are held at once
 #: what a mark may stand for (fixed values)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t",
         "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c",
@@ -114,7 +115,9 @@ def decode(word: str, logp, keep: float = -1.0, swap: float = -2.0, drop: float
             if 2 < run <= 4:
                 options.append((cost, letter * run))
         if ch in SEPARATORS or ch in LEET or not ch.isalnum():
-            options.append((drop if ch not in SEPARATORS else keep, ""))
+            cost = keep if ch in SEPARATORS else drop if ch not in LEET else \
+                8 * drop if ch.isdigit() else 3 * drop
+            options.append((cost, ""))
         if not options:
             options.append((4 * drop, ""))
         after: dict = {}
@@ -135,17 +138,20 @@ def decode(word: str, logp, keep: float = -1.0, swap: float = -2.0, drop: float
 class Restored(dict):
     """word -> restored word, remembered (forgets all when too large)."""
 
-    LIMIT = 1_000_000
+    LIMIT = 200_000
 
     def __init__(self, logp):
         super().__init__()
         self.logp = logp.tolist()
 
+    def restore(self, word: str) -> str:
+        low = word.lower()
+        return (decode(low, self.logp) if disguised(low) else low).strip(STRIP)
+
     def __missing__(self, word: str) -> str:
         if len(self) >= self.LIMIT:
             self.clear()
-        low = word.lower()
-        value = self[word] = (decode(low, self.logp) if disguised(low) else low).strip(STRIP)
+        value = self[word] = self.restore(word)
         return value
 
 
@@ -181,18 +187,20 @@ def _supports(frame: DataFrame, logp, only: set | None) -> DataFrame:
 
         restored = Restored(logp)
         for batch in batches:
-            pairs, single = set(), []
-            for text in batch.column("text").to_pylist():
-                words = [restored[w] for w in joined_words(text or "")]
-                if only is None:
-                    for left, word in zip(["", *words], words):
-                        pairs.update((f, left) for f in word_features(word))
-                else:
-                    single += {f for w in set(words) for f in word_features(w)} & only
-            found = list(pairs) if only is None else [(f, "") for f in single]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in found], pa.string()),
-                 pa.array([x[1] for x in found], pa.string())], ["feature", "left"])
+            texts = batch.column("text").to_pylist()
+            for i in range(0, len(texts), SLICE):
+                pairs, single = set(), []
+                for text in texts[i:i + SLICE]:
+                    words = [restored[w] for w in joined_words(text or "")]
+                    if only is None:
+                        for left, word in zip(["", *words], words):
+                            pairs.update((f, left) for f in word_features(word))
+                    else:
+                        single += {f for w in set(words) for f in word_features(w)} & only
+                found = list(pairs) if only is None else [(f, "") for f in single]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[0] for x in found], pa.string()),
+                     pa.array([x[1] for x in found], pa.string())], ["feature", "left"])
 
     rows = frame.select("text").mapInArrow(count, "feature string, left string")
     rows = rows.distinct() if only is None else rows
@@ -210,7 +218,8 @@ class Evidence(dict):
         if len(self) >= Restored.LIMIT:
             self.clear()
         value = self[word] = max(
-            (self.weights.get(f, 0.0) for f in word_features(self.restored[word])), default=0.0)
+            (self.weights.get(f, 0.0) for f in word_features(self.restored.restore(word))),
+            default=0.0)
         return value
 
     def of(self, text: str | None) -> tuple[float, float]:
