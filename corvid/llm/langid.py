@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import fold, store, text_frame
+from corvid.llm.common import fold, mix64, store, text_frame
 
 CHUNK = 24
 FLUSH = 400_000
@@ -69,68 +69,131 @@ def chunks(word: str) -> list[str]:
     return [word[i:i + CHUNK] for i in range(0, len(word), CHUNK)]
 
 
-class Lattices:
-    """The segmentation lattices of many words, as arrays: edge [word, end,
-    length] is the piece that ends there, or ``size`` (an unknown character,
-    only of length 1) or ``size + 1`` (no such piece)."""
+class Pieces:
+    """The vocabulary as hashes of code points, to look up the substrings of
+    many words at once."""
+
+    BASE = 0x9E3779B97F4A7C15
 
-    def __init__(self, pieces: dict[str, int], words: list[str]):
+    def __init__(self, pieces: dict[str, int]):
         import numpy as np
 
         self.size, self.longest = len(pieces), min(CHUNK, max(map(len, pieces), default=1))
-        width = max(map(len, words), default=1)
+        inverse = pow(self.BASE, -1, 1 << 64)
+        with np.errstate(over="ignore"):
+            self.powers, self.inverses = (
+                np.cumprod(np.array([1] + [x] * (1 << 18), np.uint64), dtype=np.uint64)
+                for x in (self.BASE, inverse))
+        names = list(pieces)
+        sums, ends = self._sums(names)
+        lengths = np.fromiter(map(len, names), np.int64, len(names))
+        hashes = self._hash(sums, ends - lengths, ends)
+        order = np.argsort(hashes)
+        self.hashes = hashes[order]
+        self.numbers = np.fromiter(pieces.values(), np.int64, len(names))[order]
+        self.sieve = np.zeros(1 << 20, bool)
+        self.sieve[hashes & np.uint64((1 << 20) - 1)] = True
+
+    def _sums(self, words: list[str]):
+        """Prefix sums over the joined code points, and where each word ends."""
+        import numpy as np
+
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        if len(flat) >= len(self.powers):
+            raise ValueError("too many characters at once")
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(flat) + 1, np.uint64)
+            np.cumsum(mix64(flat.astype(np.uint64) + np.uint64(1)) * self.powers[:len(flat)],
+                      dtype=np.uint64, out=sums[1:])
+        return sums, np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+
+    def _hash(self, sums, start, end):
+        import numpy as np
+
+        with np.errstate(over="ignore"):
+            return mix64((sums[end] - sums[start]) * self.inverses[start]
+                         + (end - start).astype(np.uint64))
+
+    def edges(self, words: list[str]):
+        """(word, end in it, length, piece) of every piece inside a word;
+        a character that is no piece is an edge to the number ``size``."""
+        import numpy as np
+
+        sums, ends = self._sums(words)
+        lengths = np.diff(ends, prepend=0)
+        word = np.repeat(np.arange(len(words)), lengths)
+        begin = ends - lengths
+        at = np.arange(len(word))
+        left = ends[word] - at
+        out = []
+        for length in range(1, self.longest + 1):
+            if length > 1:
+                at = at[left[at] >= length]
+            hashes = self._hash(sums, at, at + length)
+            maybe = at if length == 1 else at[self.sieve[hashes & np.uint64((1 << 20) - 1)]]
+            if length > 1:
+                hashes = hashes[self.sieve[hashes & np.uint64((1 << 20) - 1)]]
+            place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            same = self.hashes[place] == hashes
+            piece = np.where(same, self.numbers[place], self.size)
+            if length > 1:
+                maybe, piece = maybe[same], piece[same]
+            w = word[maybe]
+            out.append((w, maybe + length - begin[w], np.full(len(w), length), piece))
+        return [np.concatenate(x) for x in zip(*out)]
+
+
+class Lattices:
+    """The segmentation lattices of many words: edges sorted into groups of
+    one end and one length, in which a word has one edge at most."""
+
+    def __init__(self, pieces: Pieces, words: list[str]):
+        import numpy as np
+
+        self.size = pieces.size
         self.lengths = np.fromiter(map(len, words), np.int64, len(words))
-        self.edges = np.full((len(words), width + 1, self.longest + 1), self.size + 1, np.int32)
-        for i, word in enumerate(words):
-            row, n = self.edges[i], len(word)
-            for end in range(1, n + 1):
-                row[end, 1] = pieces.get(word[end - 1], self.size)
-                for length in range(2, min(self.longest, end) + 1):
-                    at = pieces.get(word[end - length:end])
-                    if at is not None:
-                        row[end, length] = at
+        word, end, length, piece = pieces.edges(words)
+        key = end * 64 + length
+        order = np.argsort(key, kind="stable")
+        self.word, self.piece, key = word[order], piece[order], key[order]
+        cuts = np.flatnonzero(np.diff(key, prepend=-1, append=-1))
+        self.groups = [(int(key[i]) >> 6, int(key[i]) & 63, slice(i, j))
+                       for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
     def forward(self, p):
-        """alpha [word, position, language] for piece probabilities
-        ``p`` [size + 2, language]."""
+        """alpha [position, word, language] for piece probabilities
+        ``p`` [size + 1, language]."""
         import numpy as np
 
-        count, width, _ = self.edges.shape
-        alpha = np.zeros((count, width, p.shape[1]))
-        alpha[:, 0] = 1
-        for end in range(1, width):
-            for length in range(1, min(self.longest, end) + 1):
-                edge = self.edges[:, end, length]
-                has = np.flatnonzero(edge <= self.size)
-                if len(has):
-                    alpha[has, end] += alpha[has, end - length] * p[edge[has]]
+        alpha = np.zeros((int(self.lengths.max(initial=0)) + 1, len(self.lengths), p.shape[1]))
+        alpha[0] = 1
+        for end, length, some in self.groups:
+            word = self.word[some]
+            alpha[end, word] += alpha[end - length, word] * p[self.piece[some]]
         return alpha
 
     def totals(self, alpha):
         import numpy as np
 
-        return alpha[np.arange(len(self.lengths)), self.lengths]
+        return alpha[self.lengths, np.arange(len(self.lengths))]
 
     def expected(self, p, weights):
-        """Expected piece counts [size + 2, language] with ``weights``
+        """Expected piece counts [size + 1, language] with ``weights``
         [word, language] over all segmentations."""
         import numpy as np
 
         alpha = self.forward(p)
-        count, width, _ = self.edges.shape
         beta = np.zeros_like(alpha)
-        total = np.maximum(self.totals(alpha), 1e-300)
-        beta[np.arange(count), self.lengths] = weights / total
-        out = np.zeros((self.size + 2, p.shape[1]))
-        for end in range(width - 1, 0, -1):
-            for length in range(1, min(self.longest, end) + 1):
-                edge = self.edges[:, end, length]
-                has = np.flatnonzero(edge <= self.size)
-                if len(has):
-                    flow = p[edge[has]] * beta[has, end]
-                    beta[has, end - length] += flow
-                    np.add.at(out, edge[has], flow * alpha[has, end - length])
-        return out
+        beta[self.lengths, np.arange(len(self.lengths))] = \
+            weights / np.maximum(self.totals(alpha), 1e-300)
+        flows = np.zeros((len(self.word), p.shape[1]))
+        for end, length, some in reversed(self.groups):
+            word = self.word[some]
+            flow = p[self.piece[some]] * beta[end, word]
+            beta[end - length, word] += flow
+            flows[some] = flow * alpha[end - length, word]
+        return np.stack([np.bincount(self.piece, flows[:, k], self.size + 1)
+                         for k in range(p.shape[1])], 1)
 
 
 def word_counts(frame: DataFrame) -> DataFrame:
@@ -165,7 +228,7 @@ def word_counts(frame: DataFrame) -> DataFrame:
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   lang_col: str = "lang", mod: int = 3, held: int = 1, rounds: int = 2,
                   vocabulary_path: str | None = None) -> dict:
-    """{"langs": [...], "p": [piece + 2, lang]} learnt from all learning rows."""
+    """{"langs": [...], "p": [piece + 1, lang]} learnt from all learning rows."""
     import numpy as np
 
     learn = (text_frame(docs, id_col, text_col, F.col(lang_col).cast("string").alias("lang"))
@@ -175,21 +238,21 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     langs = sorted(r["lang"] for r in learn.groupBy("lang").count()
                    .where(F.col("count") >= max(1, total / 10_000)).collect())
     if not langs:
-        return {"langs": [], "p": np.zeros((len(pieces) + 2, 0))}
+        return {"langs": [], "p": np.zeros((len(pieces) + 1, 0))}
     counts = (word_counts(learn.where(F.col("lang").isin(langs)).select("lang", "text"))
               .groupBy("word").agg(F.collect_list(F.struct("lang", "n")).alias("by")))
     counts = store(counts, "words")  # one row per distinct word, at most len(langs) entries each
     at = {g: i for i, g in enumerate(langs)}
     # first guess: by rank in the public vocabulary, the same for all languages
-    p = np.repeat(1.0 / (np.arange(len(pieces) + 2) + 100.0)[:, None], len(langs), 1)
-    p[-2], p[-1] = 1e-9, 0
+    p = np.repeat(1.0 / (np.arange(len(pieces) + 1) + 100.0)[:, None], len(langs), 1)
+    p[-1] = 1e-9
     p /= p.sum(0)
     for _ in range(rounds):
 
         def expect(batches, p=p):
             import pyarrow as pa
 
-            sums = np.zeros_like(p)
+            sums, lookup = np.zeros_like(p), Pieces(pieces)
             for batch in batches:
                 words, by = batch.column("word").to_pylist(), batch.column("by").to_pylist()
                 for i in range(0, len(words), 4000):
@@ -201,7 +264,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         for part in chunks(word):
                             parts.append(part)
                             weights.append(w)
-                    sums += Lattices(pieces, parts).expected(p, np.array(weights))
+                    sums += Lattices(lookup, parts).expected(p, np.array(weights))
             rows, cols = np.nonzero(sums)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.int32()), pa.array(cols, pa.int32()),
@@ -211,7 +274,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  .groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas())
         q = np.zeros_like(p)
         q[found["piece"], found["lang"]] = found["n"]
-        q[:-1] += 0.01  # smoothing; also the unknown character's share
+        q += 0.01  # smoothing; also the unknown character's share
         p = q / q.sum(0)
     return {"langs": langs, "p": p, "pieces": vocabulary_path}
 
@@ -220,13 +283,13 @@ class WordScores(dict):
     """word -> row of log probabilities per language; unknown words of a batch
     are scored together."""
 
-    LIMIT = 1_000_000
+    LIMIT = 300_000
 
     def __init__(self, model: dict):
         import numpy as np
 
         super().__init__()
-        self.p, self.pieces = model["p"], vocabulary(model.get("pieces"))
+        self.p, self.pieces = model["p"], Pieces(vocabulary(model.get("pieces")))
         self.rows = np.zeros((1024, len(model["langs"])))
 
     def learn(self, words: set[str]) -> None:
