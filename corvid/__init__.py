@@ -10,7 +10,7 @@ Operators take and return DataFrames; nothing is collected to the driver.
     hist = ratings.rating_histogram(sources.read_ratings(spark, r_path), mode="avg")
 """
 
-from corvid import sources, streaming  # noqa: F401
+from corvid import sources  # noqa: F401
 from corvid.operators import graph, matrix, ratings  # noqa: F401
 
 __version__ = "0.1.0"

@@ -7,14 +7,9 @@ expression.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the text form of a signed 64-bit decimal integer as the JVM
-# number parsers accept it (optional sign, then digits).
-LONG_TOKEN = r"^[+-]?[0-9]+$"
-
-
 def comma_tokens(text: Column, drop_trailing_empty: bool = True) -> Column:
     """Split a line on commas.
 
@@ -23,7 +18,7 @@ def comma_tokens(text: Column, drop_trailing_empty: bool = True) -> Column:
     the middle stay (Spark's ``split`` alone keeps both).
     """
     if drop_trailing_empty:
-        text = F.regexp_replace(text, ",+$", "")
+        text = F.rtrim(text, F.lit(","))
     return F.split(text, ",")
 
 
@@ -32,18 +27,37 @@ def token(tokens: Column, k: int) -> Column:
     return F.get(tokens, k)
 
 
+def long_or_null(tok: Column) -> Column:
+    """A token as LONG when it is an optional sign and digits that fit in 64
+    bits, else NULL (whatever the session's ANSI setting). The cast alone
+    would also take blanks around the number: the first character must be a
+    sign or digit, the last a digit."""
+    first, last = F.ascii(tok), F.ascii(F.substring(tok, -1, 1))
+    plain = ((first.between(ord("0"), ord("9")) | first.isin(ord("+"), ord("-")))
+             & last.between(ord("0"), ord("9")))
+    return F.when(plain, tok.try_cast("long"))
+
+
+def not_long(tok: Column, what: str = "token") -> tuple[Column, Column]:
+    """(condition, message) of a token that is not an integer."""
+    return long_or_null(tok).isNull(), F.concat(
+        F.lit(f"not an integer {what}: '"), F.coalesce(tok, F.lit("<missing>")), F.lit("'"))
+
+
 def strict_long(tok: Column, what: str = "token") -> Column:
-    """Parse a token as LONG; a token that is not an integer, or does not fit
-    in 64 bits, fails the job (whatever the session's ANSI setting)."""
-    parsed = tok.try_cast("long")
-    return F.when(tok.rlike(LONG_TOKEN) & parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.concat(F.lit(f"not an integer {what}: '"),
-                               F.coalesce(tok, F.lit("<missing>")), F.lit("'"))))
+    """Parse a token as LONG; anything else fails the job."""
+    bad, message = not_long(tok, what)
+    return F.when(bad, F.raise_error(message)).otherwise(long_or_null(tok))
+
+
+INT_MIN, INT_MAX = -(1 << 31), (1 << 31) - 1
 
 
 def trunc_to_int(x: Column) -> Column:
-    """Double -> INT truncating toward zero (Java ``(int)`` cast)."""
-    return x.cast("int")
+    """Double -> INT as a Java ``(int)`` cast: truncated toward zero, values
+    beyond the range saturate, NaN gives 0."""
+    return (F.when(F.isnan(x), 0).when(x >= INT_MAX, INT_MAX).when(x <= INT_MIN, INT_MIN)
+            .otherwise(x.try_cast("int")))
 
 
 def block_index(name: str, size: int) -> Column:
@@ -60,3 +74,13 @@ def block_offset(name: str, size: int) -> Column:
 def fixed3(v: Column) -> Column:
     """Render a double with three decimals (JVM ``%.3f``, HALF_UP)."""
     return F.format_string("%.3f", v)
+
+
+def check_rows(df: DataFrame, *checks: tuple[Column, Column]) -> DataFrame:
+    """Fail the job when a row meets a condition; ``checks`` are (condition,
+    message). The check is a row filter, so no projection or count over the
+    result can do without it."""
+    ok = F.lit(True)
+    for bad, message in reversed(checks):
+        ok = F.when(bad, F.raise_error(message).cast("boolean")).otherwise(ok)
+    return df.where(ok)

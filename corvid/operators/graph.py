@@ -9,16 +9,19 @@ its own id) -- not connected components.
 
 Execution plan (see ``propagate``):
 
-* edges are prepared once (``layout_edges``): made distinct, then split by
-  source degree. Edges of ordinary sources are hash-partitioned on ``src``
-  and written to the checkpoint folder; edges of "hot" sources (more than a
-  threshold of out-edges) are spread evenly over all partitions instead.
-  The hot-key table has a proven size bound (``hot_keys``).
-* labels are hash-partitioned on ``id`` with the same partition count, so
-  the join of ordinary edges with labels needs no exchange at all; hot
-  edges are joined with a broadcast of the hot sources' labels only (at most
-  ``MAX_HOT_KEYS`` rows). Edges never move after the layout, labels never
-  move in full.
+* edges are prepared once (``layout_edges``), split by source degree. Edges
+  of ordinary sources are hash-partitioned and sorted on ``src`` and written
+  to the checkpoint folder; edges of "hot" sources (more than a threshold of
+  out-edges) are spread evenly over all partitions instead. The hot-key table
+  has a proven size bound (``hot_keys``). Repeated edges stay: ``min`` ignores
+  them, and making them distinct would cost a shuffle of its own.
+* labels are hash-partitioned and sorted on ``id`` with the same partition
+  count, so the join of ordinary edges with labels needs no exchange and no
+  sort of the edges; hot edges are joined with a broadcast of the hot sources'
+  labels only (at most ``MAX_HOT_KEYS`` rows). Edges never move after the
+  layout, labels never move in full.
+* only labels that changed in the round before are sent, and the loop stops
+  when none has changed: the others have been sent already.
 * messages are reduced with ``min`` per target, partially in the map tasks
   (a target with a third of all edges leaves one row per task), exchanged
   once, and merged into the labels with a left join + ``least``; the
@@ -27,6 +30,9 @@ Execution plan (see ``propagate``):
 * every round's labels are written with a reliable checkpoint (shared
   folder): the plan restarts from a scan each round and a lost executor
   costs a re-read, not a recomputation of earlier rounds.
+
+Building is executing: ``layout_edges``, ``propagate``, ``min_label_groups`` and
+``pregel_min`` run their jobs (layout and rounds) before they return.
 """
 
 from __future__ import annotations
@@ -55,14 +61,16 @@ EDGES_PER_PARTITION = 1_000_000
 # ---------------------------------------------------------------- topology
 
 
-def adjacency_to_edges(adj: DataFrame) -> DataFrame:
+def adjacency_to_edges(adj: DataFrame, distinct: bool = True) -> DataFrame:
     """``(id, adj)`` -> distinct ``(src, dst)``; lines repeating an id add
-    their neighbours (union of adjacency)."""
+    their neighbours (union of adjacency). ``distinct=False`` keeps repeated
+    edges (enough for propagation, and no shuffle)."""
     # explode_outer + a filter on the generated column: a plain explode makes
     # the optimizer infer a size(adj) > 0 filter and push it below the
     # parser, where it re-evaluates the whole parse expression
-    return (adj.select(F.col("id").alias("src"), F.explode_outer("adj").alias("dst"))
-            .where(F.col("dst").isNotNull()).distinct())
+    edges = (adj.select(F.col("id").alias("src"), F.explode_outer("adj").alias("dst"))
+             .where(F.col("dst").isNotNull()))
+    return edges.distinct() if distinct else edges
 
 
 def vertex_universe(adj: DataFrame, kind: str = "all",
@@ -156,19 +164,16 @@ def hot_keys(edges: DataFrame, key: str, threshold: int = HOT_EDGES,
 
 def partitions_for(spark, n_edges: int) -> int:
     """Partition count for ``n_edges`` edges: about ``EDGES_PER_PARTITION``
-    per partition, at least the default parallelism, at most the session's
-    shuffle partitions (which the cluster owner sizes for the cluster)."""
-    lo = default_parallelism(spark)
-    hi = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lo)
-    return min(max(math.ceil(n_edges / EDGES_PER_PARTITION), lo), hi)
+    per partition, at least the default parallelism."""
+    return max(math.ceil(n_edges / EDGES_PER_PARTITION), default_parallelism(spark))
 
 
 @dataclass
 class EdgeLayout:
-    """Distinct edges laid out for repeated joins with labels on ``key``.
+    """Edges laid out for repeated joins with labels on ``key``.
 
-    ``light``: edges of ordinary keys, hash-partitioned on ``key`` into
-    ``partitions`` parts and checkpointed. ``heavy``: edges of hot keys,
+    ``light``: edges of ordinary keys, hash-partitioned and sorted on ``key``
+    in ``partitions`` parts and checkpointed. ``heavy``: edges of hot keys,
     spread over all partitions and checkpointed, or ``None``.
     """
     light: DataFrame
@@ -201,11 +206,11 @@ class EdgeLayout:
 
 def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
                  max_hot: int = MAX_HOT_KEYS, partitions: int | None = None) -> EdgeLayout:
-    """Make ``edges`` distinct and lay them out for joins on ``key``
-    (written once to the checkpoint folder)."""
+    """Lay ``edges`` out for joins on ``key`` (written once to the checkpoint
+    folder); repeated edges stay."""
     other = "dst" if key == "src" else "src"
     spark = edges.sparkSession
-    base = persist_adaptive(edges.select("src", "dst").distinct())
+    base = edges.select("src", "dst")
     hot = hot_keys(base, key, threshold, max_hot)
     n = partitions or partitions_for(spark, hot.n_edges)
     if hot.table is None:
@@ -216,20 +221,20 @@ def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
         spread = F.pmod(F.xxhash64(other), F.col("nsalt"))
         heavy = cut_lineage(tagged.where(F.col("hk").isNotNull())
                             .repartition(n, F.col(key), spread).select("src", "dst"))
-    light = cut_lineage(light.repartition(n, key), keep_partitioning=True, partitions=n)
-    base.unpersist()
+    light = cut_lineage(light.repartition(n, key).sortWithinPartitions(key),
+                        keep_partitioning=True, partitions=n)
     return EdgeLayout(light, heavy, hot, key, n)
 
 
 # ---------------------------------------------------------------- rounds
 
 
-def candidate_groups(edges: DataFrame, labels: DataFrame) -> DataFrame:
+def candidate_groups(layout: EdgeLayout, labels: DataFrame) -> DataFrame:
     """One round in union form: every vertex's own group and the group of
     each in-neighbour, reduced with ``min``. Targets of edges that have no
-    label yet become labelled (neighbour-only vertices enter here)."""
-    msgs = (edges.join(labels, edges["src"] == labels["id"])
-            .select(edges["dst"].alias("id"), labels["grp"]))
+    label yet become labelled (neighbour-only vertices enter here).
+    ``labels`` are partitioned like the layout (``start_labels``)."""
+    msgs = layout.with_labels(labels).select(F.col("dst").alias("id"), "grp")
     return (labels.select("id", "grp").unionByName(msgs)
             .groupBy("id").agg(F.min("grp").alias("grp")))
 
@@ -237,17 +242,40 @@ def candidate_groups(edges: DataFrame, labels: DataFrame) -> DataFrame:
 def _apply_messages(labels: DataFrame, messages: DataFrame) -> DataFrame:
     """Merge ``(id, grp)`` messages into labels: ``min`` per target (partial
     in the map tasks), then left join + ``least``; ids not in ``labels`` are
-    not added."""
+    not added. ``changed`` marks the labels that fell."""
     best = messages.groupBy("id").agg(F.min("grp").alias("m"))
     # labels and reduced messages are both hash-partitioned on id: a
     # sort-merge join reads them in place (never a broadcast chosen from
     # size estimates)
+    lower = F.coalesce(F.col("m") < F.col("grp"), F.lit(False))
     return (labels.hint("merge").join(best, "id", "left")
-            .select("id", F.least(F.col("grp"), F.coalesce(F.col("m"), F.col("grp"))).alias("grp")))
-
-
-def _start_labels(vertices: DataFrame, n: int) -> DataFrame:
-    return init_labels(vertices.select("id").distinct()).repartition(n, "id")
+            .select("id", F.when(lower, F.col("m")).otherwise(F.col("grp")).alias("grp"),
+                    lower.alias("changed")))
+
+
+def start_labels(vertices: DataFrame, layout: EdgeLayout) -> DataFrame:
+    """Initial labels, partitioned and sorted like the layout's edges and
+    checkpointed; all count as changed."""
+    n = layout.partitions
+    # min(id), not a copy of the id column: with two equal columns the
+    # checkpoint may record the partitioning by the wrong one
+    labels = (vertices.groupBy("id").agg(F.min("id").alias("grp"))
+              .withColumn("changed", F.lit(True))
+              .repartition(n, "id").sortWithinPartitions("id"))
+    return cut_lineage(labels, keep_partitioning=True, partitions=n)
+
+
+def run_rounds(layout: EdgeLayout, vertices: DataFrame, rounds: int, step=None) -> DataFrame:
+    """Labels after ``rounds`` rounds of ``step`` (``propagation_round``), or
+    after fewer if no label changes any more."""
+    step = step or propagation_round
+    labels = start_labels(vertices, layout)
+    for done in range(1, rounds + 1):
+        labels = cut_lineage(step(layout, labels), keep_partitioning=True,
+                             partitions=layout.partitions)
+        if done < rounds and not labels.where("changed").head(1):
+            break
+    return labels.select("id", "grp")
 
 
 def propagate(edges: DataFrame, vertices: DataFrame, rounds: int = ROUNDS,
@@ -257,17 +285,14 @@ def propagate(edges: DataFrame, vertices: DataFrame, rounds: int = ROUNDS,
     rounds of min-label propagation along ``edges``. ``partitions`` sets how
     edges and labels are split (default: ``partitions_for`` the edge count)."""
     layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions)
-    labels = _start_labels(vertices, layout.partitions)
-    for _ in range(rounds):
-        labels = cut_lineage(propagation_round(layout, labels), keep_partitioning=True,
-                             partitions=layout.partitions)
-    return labels
+    return run_rounds(layout, vertices, rounds)
 
 
 def propagation_round(layout: EdgeLayout, labels: DataFrame) -> DataFrame:
-    """One round: every label sent along the out-edges of its vertex, the
-    minimum kept per vertex."""
-    msgs = layout.with_labels(labels).select(F.col("dst").alias("id"), "grp")
+    """One round: every label that changed in the round before is sent along
+    the out-edges of its vertex, the minimum kept per vertex."""
+    msgs = (layout.with_labels(labels.where("changed"))
+            .select(F.col("dst").alias("id"), "grp"))
     return _apply_messages(labels, msgs)
 
 
@@ -278,10 +303,11 @@ def group_sizes(labels: DataFrame) -> DataFrame:
 
 def min_label_groups(adj: DataFrame, universe: str = "all", rounds: int = ROUNDS,
                      hot_threshold: int = HOT_EDGES, partitions: int | None = None) -> DataFrame:
-    """Adjacency -> labels after ``rounds`` rounds over the chosen universe."""
-    edges = adjacency_to_edges(adj)
-    return propagate(edges, vertex_universe(adj, universe, edges), rounds, hot_threshold,
-                     partitions=partitions)
+    """Adjacency -> labels after ``rounds`` rounds over the chosen universe.
+    The vertices at edge ends are read from the laid-out edges."""
+    layout = layout_edges(adjacency_to_edges(adj, distinct=False), "src", hot_threshold,
+                          partitions=partitions)
+    return run_rounds(layout, vertex_universe(adj, universe, layout.edges()), rounds)
 
 
 # ---------------------------------------------------------------- triplets
@@ -321,31 +347,24 @@ def graph_triplets(edges: DataFrame, labels: DataFrame, attr: str | None = "src"
 
 def pregel_min(edges: DataFrame, rounds: int = ROUNDS, hot_threshold: int = HOT_EDGES,
                max_hot: int = MAX_HOT_KEYS, partitions: int | None = None) -> DataFrame:
-    """Vertex-program form over the triplet view, vertices = edge endpoints.
-
-    Each vertex starts with its own id. Per superstep every edge sends to
-    its target the edge attribute (the source id) when that is below the
-    target's group, else the source's group when that is below the
-    attribute, else nothing; a vertex keeps the minimum of its group and
-    its messages. Gives the same labels as ``propagate`` over the
-    ``endpoints`` universe.
+    """Vertex-program form, vertices = edge endpoints.
+
+    Each vertex starts with its own id. Per superstep the edges of vertices
+    whose group changed send the edge attribute (the source id), or the
+    source's group once that is smaller; a vertex keeps the minimum of its
+    group and its messages, and the program halts when no group changes.
+    Messages are reduced before they move, so the target's group is compared
+    where it is and no superstep moves the edges. Gives the same labels as
+    ``propagate`` over the ``endpoints`` universe.
     """
     layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions)
     e = layout.edges()
-    hot_dst = hot_keys(e, "dst", hot_threshold, max_hot)
     verts = e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id")))
-    labels = _start_labels(verts, layout.partitions)
-    for _ in range(rounds):
-        labels = cut_lineage(pregel_round(e, labels, layout, hot_dst), keep_partitioning=True,
-                             partitions=layout.partitions)
-    return labels
+    return run_rounds(layout, verts, rounds, pregel_round)
 
 
-def pregel_round(edges: DataFrame, labels: DataFrame, layout: EdgeLayout | None = None,
-                 hot_dst: HotKeys | None = None) -> DataFrame:
-    """One superstep of ``pregel_min`` over the triplet view."""
-    t = graph_triplets(edges, labels, "src", layout, hot_dst)
-    msg = (F.when(F.col("attr") < F.col("dst_grp"), F.col("attr"))
-           .when(F.col("src_grp") < F.col("attr"), F.col("src_grp")))
-    msgs = t.select(F.col("dst").alias("id"), msg.alias("grp")).where(F.col("grp").isNotNull())
-    return _apply_messages(labels, msgs)
+def pregel_round(layout: EdgeLayout, labels: DataFrame) -> DataFrame:
+    """One superstep of ``pregel_min``."""
+    sent = layout.with_labels(labels.where("changed"), "src_grp")
+    msg = F.when(F.col("src_grp") < F.col("src"), F.col("src_grp")).otherwise(F.col("src"))
+    return _apply_messages(labels, sent.select(F.col("dst").alias("id"), msg.alias("grp")))

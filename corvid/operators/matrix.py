@@ -9,10 +9,10 @@ aggregation, and a block is never one 10,000-value object in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.functions.columns import block_index, block_offset, fixed3
+from corvid.functions.columns import block_index, block_offset, check_rows, fixed3
 
 ROWS = 100  # fixed value: block height
 COLS = 100  # fixed value: block width
@@ -29,11 +29,20 @@ def block_coords(cells: DataFrame, rows: int = ROWS, cols: int = COLS,
         F.col("v"), *keep)
 
 
-def _duplicate_error(count_col: str, which: str) -> F.Column:
-    return F.raise_error(F.concat(
-        F.lit(f"duplicate cell in {which}: ("), F.col("i").cast("string"), F.lit(","),
-        F.col("j").cast("string"), F.lit(") appears "), F.col(count_col).cast("string"),
-        F.lit(" times")))
+def _cell_text() -> F.Column:
+    return F.concat(F.lit("("), F.col("i").cast("string"), F.lit(","),
+                    F.col("j").cast("string"), F.lit(")"))
+
+
+def _duplicate(count_col: str, which: str) -> tuple[F.Column, F.Column]:
+    return F.col(count_col) > 1, F.concat(
+        F.lit(f"duplicate cell in {which}: "), _cell_text(), F.lit(" appears "),
+        F.col(count_col).cast("string"), F.lit(" times"))
+
+
+def _negative() -> tuple[F.Column, F.Column]:
+    return ((F.col("i") < 0) | (F.col("j") < 0),
+            F.concat(F.lit("negative cell index "), _cell_text()))
 
 
 def resolve_duplicates(cells: DataFrame, on_duplicate: str = "error") -> DataFrame:
@@ -43,10 +52,9 @@ def resolve_duplicates(cells: DataFrame, on_duplicate: str = "error") -> DataFra
         raise ValueError(f"on_duplicate must be one of {DUPLICATE_POLICIES}")
     agg = F.max("v") if on_duplicate == "max" else F.sum("v")
     g = cells.groupBy("i", "j").agg(agg.alias("v"), F.count(F.lit(1)).alias("c"))
-    v = F.col("v")
     if on_duplicate == "error":
-        v = F.when(F.col("c") > 1, _duplicate_error("c", "matrix")).otherwise(v)
-    return g.select("i", "j", v.alias("v"))
+        g = check_rows(g, _duplicate("c", "matrix"))
+    return g.select("i", "j", "v")
 
 
 def block_assemble(cells: DataFrame, rows: int = ROWS, cols: int = COLS,
@@ -68,9 +76,9 @@ def matrix_add(m: DataFrame, n: DataFrame, how: str = "outer",
     ``inner``: only blocks present in both inputs are kept; inside such a
     block every cell of either input is kept.
     Repeated cells inside one input are resolved by ``on_duplicate`` before
-    the addition; all of it happens in the one cell-keyed aggregate. With
-    ``inner`` the inputs are cut to the common blocks first, so ``error``
-    checks the cells of the kept blocks.
+    the addition; all of it happens in the one cell-keyed aggregate. In both
+    forms every cell of both inputs is checked (repeats under ``error``,
+    negative indices always), also those of blocks that ``inner`` drops.
     """
     if how not in ("outer", "inner"):
         raise ValueError(f"how must be 'outer' or 'inner', not {how!r}")
@@ -87,32 +95,25 @@ def matrix_add(m: DataFrame, n: DataFrame, how: str = "outer",
     cells = tagged.groupBy("i", "j").agg(
         value.alias("v"),
         F.count_if(in_m).alias("cm"), F.count_if(in_n).alias("cn"))
-    v = F.col("v")
+    checks = [_negative()]
     if on_duplicate == "error":
-        v = (F.when(F.col("cm") > 1, _duplicate_error("cm", "M"))
-             .when(F.col("cn") > 1, _duplicate_error("cn", "N")).otherwise(v))
-    result = block_coords(cells.select("i", "j", v.alias("v")), rows, cols)
-    if how == "outer":
-        return result
-    # A block survives when both inputs own at least one of its cells.
-    # Presence is counted per block straight from the inputs, so the partial
-    # aggregate leaves one row per block per task. Catalyst pushes the semi
-    # join below the cell aggregate into both inputs (they are filtered
-    # before the main shuffle); AQE broadcasts the block set when its
-    # measured size is under the threshold, otherwise it plans a sort-merge
-    # semi join (skewed partitions split by AQE).
-    blocks = tagged.select(block_index("i", rows).alias("bi"),
-                           block_index("j", cols).alias("bj"), "in_m")
-    both = (blocks.groupBy("bi", "bj")
-            .agg(F.count_if(in_m).alias("sm"), F.count_if(in_n).alias("sn"))
-            .where((F.col("sm") > 0) & (F.col("sn") > 0)).select("bi", "bj"))
-    return result.join(both, ["bi", "bj"], "left_semi")
+        checks += [_duplicate("cm", "M"), _duplicate("cn", "N")]
+    result = block_coords(check_rows(cells, *checks), rows, cols, ("cm", "cn"))
+    if how == "inner":
+        # a block survives when both inputs own one of its cells; it holds at
+        # most rows * cols cells, so the window over a block is bounded
+        block = Window.partitionBy("bi", "bj")
+        result = (result.withColumn("_m", F.max("cm").over(block))
+                  .withColumn("_n", F.max("cn").over(block))
+                  .where((F.col("_m") > 0) & (F.col("_n") > 0)))
+    return result.select("bi", "bj", "oi", "oj", "v")
 
 
 def render_dense(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataFrame:
     """Text rows of every dense block: ``(bi, bj, oi, line)``, ``line`` being
     the ``cols`` values of block row ``oi`` as ``%.3f`` joined by tabs, zeros
-    where no cell is stored. Input: unique cells in block form.
+    where no cell is stored. Input: unique cells in block form; an offset
+    outside the block fails the job.
 
     Two bounded groupings, no join: the stored cells of a block row (at most
     ``cols``) become its line; the lines of a block (at most ``rows``) are
@@ -120,6 +121,10 @@ def render_dense(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataF
     rows without stored cells taking the constant zero line.
     """
     zero = fixed3(F.lit(0.0))
+    inside = F.col("oi").between(0, rows - 1) & F.col("oj").between(0, cols - 1)
+    blocks = check_rows(blocks, (~F.coalesce(inside, F.lit(False)), F.concat(
+        F.lit("offset outside the block: ("), F.coalesce(F.col("oi").cast("string"), F.lit("null")),
+        F.lit(","), F.coalesce(F.col("oj").cast("string"), F.lit("null")), F.lit(")"))))
     # one exchange on the block serves both groupings (collecting gains
     # nothing from map-side partial aggregation; a block holds at most
     # rows * cols cells). Stored cells are formatted before they are
@@ -141,6 +146,20 @@ def render_dense(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataF
                     .alias("line")))
 
 
+def dense_blocks(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataFrame:
+    """Numeric dense blocks ``(bi, bj, values ARRAY<DOUBLE>)``, row by row,
+    zeros where no cell is stored (at most ``rows * cols`` values a block)."""
+    inside = F.col("oi").between(0, rows - 1) & F.col("oj").between(0, cols - 1)
+    cells = check_rows(blocks, (~F.coalesce(inside, F.lit(False)),
+                                F.lit("offset outside the block")))
+    at = (F.col("oi") * cols + F.col("oj")).cast("int")
+    stored = cells.groupBy("bi", "bj").agg(
+        F.map_from_entries(F.collect_list(F.struct(at.alias("at"), "v"))).alias("m"))
+    return stored.select("bi", "bj", F.transform(
+        F.sequence(F.lit(0), F.lit(rows * cols - 1)),
+        lambda k: F.coalesce(F.try_element_at("m", k), F.lit(0.0))).alias("values"))
+
+
 def cells_from_blocks(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataFrame:
     """Block form back to ``(i, j, v)``."""
     return blocks.select((F.col("bi") * rows + F.col("oi")).alias("i"),

@@ -35,9 +35,13 @@ def user_avg_rating(ratings: DataFrame, user: str = "user",
 _HISTOGRAM_SQL = """
 SELECT CAST(bucket AS DOUBLE) / 10 AS rating, count(bucket) AS n
 FROM (
-  SELECT CAST(sum(try_cast(r AS DOUBLE)) * 10 / count(r) AS INT) AS bucket
-  FROM (SELECT {user} AS u, {rating} AS r FROM {ratings})
-  GROUP BY u
+  SELECT CASE WHEN isnan(x) THEN 0 WHEN x >= 2147483647 THEN 2147483647
+              WHEN x <= -2147483648 THEN -2147483648 ELSE try_cast(x AS INT) END AS bucket
+  FROM (
+    SELECT sum(try_cast(r AS DOUBLE)) * 10 / nullif(count(r), 0) AS x
+    FROM (SELECT {user} AS u, {rating} AS r FROM {ratings})
+    GROUP BY u
+  )
 )
 GROUP BY bucket
 ORDER BY rating
@@ -52,7 +56,8 @@ def rating_histogram(ratings: DataFrame, mode: str = "avg", user: str = "user",
     ``sql``: no row filter, bucket = int(sum * 10 / count) per user, issued
     as a SQL statement over the DataFrame; non-numeric ratings are left out
     of the sum but still counted.
-    Both truncate toward zero; empty buckets are not emitted.
+    Both truncate toward zero like a Java ``(int)`` cast (NaN counts as 0,
+    values out of range saturate); empty buckets are not emitted.
     """
     if mode == "avg":
         buckets = (user_avg_rating(ratings, user, rating)

@@ -8,8 +8,9 @@ scans only read the columns named here.
   together they use every line once. A part ordered twice in one order
   gives a repeated cell, which the addition resolves with ``sum``.
 * graph: orders as directed edges customer -> order over one id space
-  (customer 5 and order 5 are one vertex); every customer also has a line
-  of its own, so a customer without orders is an isolated vertex.
+  (customer 5 and order 5 are one vertex); every customer also has a line of
+  its own, and every supplier a bare line with the id ``-(s_suppkey + 1)``,
+  which no edge touches: these are the isolated vertices.
 * ratings: lineitem as (user = part, rating = whole quantity mod 6), so
   ratings 0..5 occur and zero ratings separate the two histogram modes.
 """
@@ -29,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _lineitem_cells(spark, sf_dir, returned: bool, j: str = "l_partkey") -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    cond = F.col("l_returnflag") == "R"
+    cond = F.col("l_returnflag").eqNullSafe("R")  # a null flag is not 'R'
     return (li.where(cond if returned else ~cond)
             .select(F.col("l_orderkey").alias("i"), F.col(j).cast("long").alias("j"),
                     F.col("l_quantity").alias("v")))
@@ -43,6 +44,13 @@ def matrix_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_cells(spark, sf_dir, False)
 
 
+def all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lineitem as an order x part matrix of quantities."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("i"), F.col("l_partkey").cast("long").alias("j"),
+        F.col("l_quantity").alias("v"))
+
+
 def cell_lines(cells: DataFrame) -> DataFrame:
     """Cells as ``i,j,v`` text lines (the matrix file layout)."""
     return cells.select(F.concat_ws(",", F.col("i").cast("string"), F.col("j").cast("string"),
@@ -60,24 +68,32 @@ def order_line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, adj)`` rows: one per order (customer -> order) and one per
-    customer with no neighbours."""
+    """``(id, adj)`` rows: one per order (customer -> order), and one without
+    neighbours per customer and per supplier."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("id"), F.array(F.col("o_orderkey")).alias("adj"))
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.array().cast("array<bigint>").alias("adj"))
-    return orders.unionByName(customers)
+    suppliers = table(spark, sf_dir, "supplier").select(
+        _supplier_id().alias("id"), F.array().cast("array<bigint>").alias("adj"))
+    return orders.unionByName(customers).unionByName(suppliers)
+
+
+def _supplier_id() -> F.Column:
+    return -(F.col("s_suppkey").cast("long") + 1)
 
 
 def order_adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order graph as adjacency text: ``customer,order`` per order and a
-    bare ``customer`` line per customer."""
+    bare line per customer and per supplier."""
     orders = table(spark, sf_dir, "orders").select(
         F.concat_ws(",", F.col("o_custkey").cast("string"),
                     F.col("o_orderkey").cast("string")).alias("value"))
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("value"))
-    return orders.unionByName(customers)
+    suppliers = table(spark, sf_dir, "supplier").select(
+        _supplier_id().cast("string").alias("value"))
+    return orders.unionByName(customers).unionByName(suppliers)
 
 
 def lineitem_adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from corvid.operators import graph as G
 from corvid.operators import matrix as M
 from corvid.operators import ratings as R
 from corvid.plans import bindings as B
-from corvid.sources import parse_adjacency, parse_cells, parse_ratings, strip_headers
+from corvid.sources import parse_adjacency, parse_cells, parse_edges, parse_ratings, strip_headers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,11 +25,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def mat_block_coords(spark, d):
-    return M.block_coords(M.resolve_duplicates(B.matrix_m(spark, d), "sum"))
+    return M.block_coords(M.resolve_duplicates(B.all_cells(spark, d), "sum"))
 
 
 def mat_block_assemble(spark, d):
-    return M.block_assemble(B.matrix_m(spark, d), on_duplicate="sum")
+    return M.block_assemble(B.all_cells(spark, d), on_duplicate="sum")
 
 
 def mat_add_outer(spark, d):
@@ -61,6 +61,13 @@ def mat_add_checked(spark, d):
     return M.matrix_add(m, n)
 
 
+def mat_add_blockjoin_checked(spark, d):
+    """Block-inner addition with the default duplicate policy."""
+    m = M.resolve_duplicates(B.matrix_m(spark, d), "sum")
+    n = M.resolve_duplicates(B.matrix_n(spark, d), "sum")
+    return M.matrix_add(m, n, how="inner")
+
+
 def mat_render_dense(spark, d):
     cells = M.resolve_duplicates(B.order_line_cells(spark, d), "sum")
     return M.render_dense(M.block_coords(cells, rows=100, cols=8), rows=100, cols=8)
@@ -69,21 +76,20 @@ def mat_render_dense(spark, d):
 # ---------------------------------------------------------------- graph
 
 
-def _order_graph(spark, d):
+def _order_layout(spark, d):
     adj = B.order_adjacency(spark, d)
-    return adj, G.adjacency_to_edges(adj)
+    return adj, G.layout_edges(G.adjacency_to_edges(adj))
 
 
 def graph_candidates(spark, d):
-    adj, edges = _order_graph(spark, d)
-    labels = G.init_labels(G.vertex_universe(adj, "all", edges))
-    return G.candidate_groups(edges, labels)
+    adj, layout = _order_layout(spark, d)
+    return G.candidate_groups(layout, G.start_labels(
+        G.vertex_universe(adj, "all", layout.edges()), layout))
 
 
 def _minlabel(universe):
     def q(spark, d):
-        adj, edges = _order_graph(spark, d)
-        return G.propagate(edges, G.vertex_universe(adj, universe, edges))
+        return G.min_label_groups(B.order_adjacency(spark, d), universe)
     return q
 
 
@@ -100,18 +106,24 @@ def graph_text_group_sizes(spark, d):
 
 
 def graph_pregel_min(spark, d):
-    _, edges = _order_graph(spark, d)
-    return G.pregel_min(edges)
+    return G.pregel_min(G.adjacency_to_edges(B.order_adjacency(spark, d), distinct=False))
+
+
+def graph_group_sizes_endpoints(spark, d):
+    """Sizes of the groups the vertex program leaves over edge endpoints."""
+    return G.group_sizes(graph_pregel_min(spark, d))
 
 
 def graph_triplets(spark, d):
-    adj, edges = _order_graph(spark, d)
-    labels = G.propagate(edges, G.vertex_universe(adj, "endpoints", edges), rounds=1)
-    return G.graph_triplets(edges, labels, "src")
+    """Triplets over the labels after one round."""
+    adj, layout = _order_layout(spark, d)
+    labels = G.run_rounds(layout, G.vertex_universe(adj, "endpoints", layout.edges()), 1)
+    return G.graph_triplets(layout.edges(), labels, "src", layout,
+                            G.hot_keys(layout.edges(), "dst"))
 
 
 def adjacency_to_edges(spark, d):
-    return G.adjacency_to_edges(parse_adjacency(B.lineitem_adjacency_lines(spark, d)))
+    return parse_edges(B.lineitem_adjacency_lines(spark, d)).distinct()
 
 
 # ---------------------------------------------------------------- ratings
@@ -155,6 +167,7 @@ QUERIES: dict[str, Query] = {
     "mat_add_max": mat_add_max,
     "mat_add_text": mat_add_text,
     "mat_add_checked": mat_add_checked,
+    "mat_add_blockjoin_checked": mat_add_blockjoin_checked,
     "mat_render_dense": mat_render_dense,
     "graph_candidates": graph_candidates,
     "graph_minlabel_all": _minlabel("all"),
@@ -162,6 +175,7 @@ QUERIES: dict[str, Query] = {
     "graph_minlabel_endpoints": _minlabel("endpoints"),
     "graph_group_sizes_all": _sizes("all"),
     "graph_group_sizes_sources": _sizes("sources"),
+    "graph_group_sizes_endpoints": graph_group_sizes_endpoints,
     "graph_text_group_sizes": graph_text_group_sizes,
     "graph_pregel_min": graph_pregel_min,
     "graph_triplets": graph_triplets,
@@ -177,18 +191,26 @@ QUERIES: dict[str, Query] = {
 # ================================================================ oracles
 
 _M = ("select l_orderkey i, cast(l_partkey as bigint) j, l_quantity v "
-      "from lineitem where l_returnflag = 'R'")
+      "from lineitem where l_returnflag is not distinct from 'R'")
 _N = ("select l_orderkey i, cast(l_partkey as bigint) j, l_quantity v "
-      "from lineitem where not (l_returnflag = 'R')")
+      "from lineitem where l_returnflag is distinct from 'R'")
+_A = "select l_orderkey i, cast(l_partkey as bigint) j, l_quantity v from lineitem"
 _MN = f"with m as ({_M}), n as ({_N})"
 _OUTER = ("select i // 100 bi, j // 100 bj, i % 100 oi, j % 100 oj, sum(v) v "
           "from (select * from m union all select * from n) group by all")
 
+_INNER = (f"{_MN}, k as (select distinct i // 100 bi, j // 100 bj from m "
+          f"intersect select distinct i // 100 bi, j // 100 bj from n), "
+          f"a as ({_OUTER}) select a.bi, a.bj, a.oi, a.oj, a.v from a "
+          f"join k on a.bi = k.bi and a.bj = k.bj")
+
 _E = "select distinct o_custkey src, o_orderkey dst from orders"
 _V = {
     "all": "select c_custkey id from customer union select o_custkey from orders "
-           "union select o_orderkey from orders",
-    "sources": "select c_custkey id from customer union select o_custkey from orders",
+           "union select o_orderkey from orders "
+           "union select -(s_suppkey + 1) from supplier",
+    "sources": "select c_custkey id from customer union select o_custkey from orders "
+               "union select -(s_suppkey + 1) from supplier",
     "endpoints": "select src id from e union select dst from e",
 }
 
@@ -209,16 +231,14 @@ _R = ("select l_partkey u, cast(cast(trunc(l_quantity) as integer) % 6 as double
       "from lineitem")
 
 ORACLES: dict[str, str] = {
-    "mat_block_coords": f"{_MN} select i // 100 bi, j // 100 bj, i % 100 oi, j % 100 oj, "
-                        f"sum(v) v from m group by all",
-    "mat_block_assemble": f"{_MN}, c as (select i, j, sum(v) v from m group by i, j) "
+    "mat_block_coords": f"select i // 100 bi, j // 100 bj, i % 100 oi, j % 100 oj, "
+                        f"sum(v) v from ({_A}) group by all",
+    "mat_block_assemble": f"with c as (select i, j, sum(v) v from ({_A}) group by i, j) "
                           f"select i // 100 bi, j // 100 bj, count(*) nnz, sum(v) total "
                           f"from c group by all",
     "mat_add_outer": f"{_MN} {_OUTER}",
-    "mat_add_blockjoin": f"{_MN}, k as (select distinct i // 100 bi, j // 100 bj from m "
-                         f"intersect select distinct i // 100 bi, j // 100 bj from n), "
-                         f"a as ({_OUTER}) select a.bi, a.bj, a.oi, a.oj, a.v from a "
-                         f"join k on a.bi = k.bi and a.bj = k.bj",
+    "mat_add_blockjoin": _INNER,
+    "mat_add_blockjoin_checked": _INNER,
     "mat_add_max": f"{_MN}, mm as (select i, j, max(v) v from m group by i, j), "
                    f"nm as (select i, j, max(v) v from n group by i, j) "
                    f"select i // 100 bi, j // 100 bj, i % 100 oi, j % 100 oj, sum(v) v "
@@ -242,6 +262,8 @@ ORACLES: dict[str, str] = {
         " select grp, count(*) n from l5 group by grp order by grp",
     "graph_group_sizes_sources": _label_ctes("sources") +
         " select grp, count(*) n from l5 group by grp order by grp",
+    "graph_group_sizes_endpoints": _label_ctes("endpoints") +
+        " select grp, count(*) n from l5 group by grp order by grp",
     "graph_text_group_sizes": _label_ctes("all") +
         " select grp, count(*) n from l5 group by grp order by grp",
     "graph_pregel_min": _label_ctes("endpoints") + " select id, grp from l5",

@@ -4,11 +4,11 @@ from corvid.sources.sinks import write_delimited, write_lines  # noqa: F401
 from corvid.sources.text import (  # noqa: F401
     parse_adjacency,
     parse_cells,
+    parse_edges,
     parse_ratings,
     read_adjacency,
     read_cells,
     read_lines,
     read_ratings,
-    reject_negative_indices,
     strip_headers,
 )

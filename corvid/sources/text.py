@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.functions.columns import LONG_TOKEN, comma_tokens, strict_long, token
+from corvid.functions.columns import check_rows, comma_tokens, long_or_null, not_long, token
 
 # ---------------------------------------------------------------- lines
 
@@ -42,27 +42,17 @@ def parse_cells(lines: DataFrame, col: str = "value") -> DataFrame:
     """
     toks = lines.select(comma_tokens(F.col(col)).alias("_t"))
     t = F.col("_t")
-    v_tok = F.trim(token(t, 2))
-    v = v_tok.try_cast("double")
-    cells = toks.select(
-        strict_long(F.trim(token(t, 0)), "row index").alias("i"),
-        strict_long(F.trim(token(t, 1)), "column index").alias("j"),
-        F.when(v.isNull(), F.raise_error(F.concat(
-            F.lit("cell line without a numeric value: '"),
-            F.coalesce(v_tok, F.lit("<missing>")), F.lit("'")))).otherwise(v).alias("v"),
-    )
-    return reject_negative_indices(cells)
-
-
-def reject_negative_indices(cells: DataFrame) -> DataFrame:
-    """Fail the job on a cell with a negative index (checked inline, no
-    extra pass over the data)."""
-    bad = (F.col("i") < 0) | (F.col("j") < 0)
-    return cells.select(
-        F.when(bad, F.raise_error(F.concat(
-            F.lit("negative cell index ("), F.col("i").cast("string"), F.lit(","),
-            F.col("j").cast("string"), F.lit(")")))).otherwise(F.col("i")).alias("i"),
-        "j", "v")
+    i, j, v = (F.trim(token(t, k)) for k in range(3))
+    parsed = toks.select(i.alias("_i"), j.alias("_j"), v.alias("_v"), long_or_null(i).alias("i"),
+                         long_or_null(j).alias("j"), v.try_cast("double").alias("v"))
+    # a row filter, so the checks hold whatever columns are read
+    good = check_rows(
+        parsed, not_long(F.col("_i"), "row index"), not_long(F.col("_j"), "column index"),
+        (F.col("v").isNull(), F.concat(F.lit("cell line without a numeric value: '"),
+                                       F.coalesce("_v", F.lit("<missing>")), F.lit("'"))),
+        ((F.col("i") < 0) | (F.col("j") < 0), F.concat(
+            F.lit("negative cell index ("), F.col("_i"), F.lit(","), F.col("_j"), F.lit(")"))))
+    return good.select("i", "j", "v")
 
 
 def read_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -84,21 +74,37 @@ def parse_adjacency(lines: DataFrame, mode: str = "strict",
     """
     if mode not in ("strict", "prefix"):
         raise ValueError(f"mode must be 'strict' or 'prefix', not {mode!r}")
-    # split once into a column; the projections below reuse it instead of
-    # re-splitting the line for every reference
     toks = lines.select(comma_tokens(F.col(col)).alias("_t"))
     t = F.col("_t")
-    head = strict_long(token(t, 0), "vertex id")
+    toks = check_rows(toks, not_long(token(t, 0), "vertex id"))
     tail = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
+    parsed = toks.select(long_or_null(token(t, 0)).alias("id"), tail.alias("_n"),
+                         F.transform(tail, long_or_null).alias("adj"))
+    first_bad = F.coalesce(F.array_position(F.transform("adj", lambda x: x.isNull()), True),
+                           F.lit(0))
     if mode == "strict":
-        adj = F.transform(tail, lambda x: strict_long(x, "neighbour"))
-    else:
-        ok = F.transform(tail, lambda x: x.rlike(LONG_TOKEN))
-        first_bad = F.array_position(ok, False)
-        kept = F.when(first_bad == 0, tail).otherwise(
-            F.slice(tail, 1, (first_bad - 1).cast("int")))
-        adj = F.transform(kept, lambda x: x.cast("long"))
-    return toks.select(head.alias("id"), adj.alias("adj"))
+        parsed = check_rows(parsed, (first_bad > 0, F.concat(
+            F.lit("not an integer neighbour: '"),
+            F.get("_n", (first_bad - 1).cast("int")), F.lit("'"))))
+        return parsed.select("id", "adj")
+    return parsed.select("id", F.when(first_bad == 0, F.col("adj")).otherwise(
+        F.slice("adj", 1, F.greatest(first_bad - 1, F.lit(0)).cast("int"))).alias("adj"))
+
+
+def parse_edges(lines: DataFrame, col: str = "value") -> DataFrame:
+    """``id,n1,n2,...`` lines (strict) -> ``(src LONG, dst LONG)``, a row per
+    neighbour: the tokens are exploded first and parsed as scalars, inside
+    code generation. A bare id gives no edge but is checked as well."""
+    t = F.col("_t")
+    toks = (lines.select(comma_tokens(F.col(col)).alias("_t"))
+            .select(token(t, 0).alias("_s"), F.explode_outer(
+                F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))).alias("_d")))
+    parsed = toks.select("_s", "_d", long_or_null(F.col("_s")).alias("src"),
+                         long_or_null(F.col("_d")).alias("dst"))
+    neighbour = not_long(F.col("_d"), "neighbour")
+    good = check_rows(parsed, not_long(F.col("_s"), "vertex id"),
+                      (F.col("_d").isNotNull() & neighbour[0], neighbour[1]))
+    return good.where("dst is not null").select("src", "dst")
 
 
 def read_adjacency(spark: SparkSession, path: str | list[str],

@@ -114,9 +114,42 @@ def test_rounds_parameter(spark):
 def test_candidates_one_round_union_form(spark):
     a = adj(spark, SMALL)
     e = G.adjacency_to_edges(a)
-    lab = G.init_labels(G.vertex_universe(a, "all", e))
-    got = {r.id: r.grp for r in G.candidate_groups(e, lab).collect()}
-    assert got == brute(SMALL, "all", rounds=1)
+    for threshold in (G.HOT_EDGES, 1):
+        layout = G.layout_edges(e, "src", threshold=threshold)
+        lab = G.start_labels(G.vertex_universe(a, "all", e), layout)
+        got = {r.id: r.grp for r in G.candidate_groups(layout, lab).collect()}
+        assert got == brute(SMALL, "all", rounds=1)
+
+
+def test_partition_count_follows_the_edges_alone(spark):
+    before = G.partitions_for(spark, 10 ** 12)
+    assert before == 10 ** 12 // G.EDGES_PER_PARTITION
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        assert G.partitions_for(spark, 10 ** 12) == before
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_loop_stops_when_nothing_changes(spark):
+    steps = []
+
+    def step(layout, labels):
+        steps.append(1)
+        return G.propagation_round(layout, labels)
+
+    e = G.adjacency_to_edges(adj(spark, ["0,1", "1,2", "5,5"]))
+    layout = G.layout_edges(e)
+    ends = G.vertex_universe(None, "endpoints", e)
+    got = {r.id: r.grp for r in G.run_rounds(layout, ends, 50, step).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 5: 5} and len(steps) == 3
+
+
+def test_universes_of_the_driver_graph_differ(spark):
+    from corvid.plans.queries import QUERIES
+    rows = [frozenset(map(tuple, QUERIES[f"graph_minlabel_{u}"](
+        spark, "/root/testdata/sf0.001").collect())) for u in G.UNIVERSES]
+    assert len(set(rows)) == 3
 
 
 def test_hot_source_salting_gives_same_labels(spark):

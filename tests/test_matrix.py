@@ -69,6 +69,32 @@ def test_duplicate_policies(spark):
     assert [tuple(r) for r in M.resolve_duplicates(m, "max").collect()] == [(0, 0, 7.0)]
 
 
+@pytest.mark.parametrize("how", ["outer", "inner"])
+@pytest.mark.parametrize("bad", [[(500, 500, 1), (500, 500, 7)], [(-1, 0, 5)], [(0, -1, 5)]])
+def test_checks_cannot_be_pruned(spark, how, bad):
+    m = cells(spark, [(0, 0, 1)] + bad)  # block (5, 5) only in M: checked all the same
+    n = cells(spark, [(0, 0, 2)])
+    out = M.matrix_add(m, n, how=how)
+    for df in (out, out.groupBy("bi", "bj"), *(out.select(c) for c in out.columns)):
+        with pytest.raises(FAIL):
+            df.count().collect() if hasattr(df, "agg") and not hasattr(df, "columns") else df.count()
+
+
+def test_offsets_outside_the_block_fail(spark):
+    blocks = spark.createDataFrame([(0, 0, -1, 0, 5.0)], "bi long, bj long, oi long, oj long, v double")
+    for f in (M.render_dense, M.dense_blocks):
+        with pytest.raises(FAIL):
+            f(blocks, 2, 2).count()
+        with pytest.raises(FAIL):
+            f(M.block_coords(cells(spark, [(-1, 0, 5)]), 2, 2), 2, 2).collect()
+
+
+def test_dense_blocks(spark):
+    got = M.dense_blocks(M.block_coords(cells(spark, [(0, 1, 2), (1, 0, 3), (5, 5, 9)]), 2, 2), 2, 2)
+    assert {(r.bi, r.bj): r["values"] for r in got.collect()} == {
+        (0, 0): [0.0, 2.0, 3.0, 0.0], (2, 2): [0.0, 0.0, 0.0, 9.0]}
+
+
 def test_duplicates_are_per_matrix_not_the_addition(spark):
     m = cells(spark, [(0, 0, 1)])
     n = cells(spark, [(0, 0, 2)])

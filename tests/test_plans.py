@@ -27,12 +27,13 @@ def test_round_moves_only_reduced_messages(spark):
     adj = B.order_adjacency(spark, SF)
     edges = G.adjacency_to_edges(adj)
     layout = G.layout_edges(edges, "src", partitions=8)
-    labels = cut_lineage(G.propagation_round(layout, G._start_labels(
-        G.vertex_universe(adj, "all", edges), 8)), keep_partitioning=True)
+    labels = cut_lineage(G.propagation_round(layout, G.start_labels(
+        G.vertex_universe(adj, "all", edges), layout)), keep_partitioning=True)
     plan = plan_of(G.propagation_round(layout, labels), static=True)
     ex = exchanges(plan)
     assert len(ex) == 1, plan
     assert "partial_min" in plan
+    assert not [x for x in plan.splitlines() if "Sort [src" in x], plan
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
 
 
@@ -42,8 +43,8 @@ def test_round_keeps_its_own_partition_count(spark):
     adj = B.order_adjacency(spark, SF)
     edges = G.adjacency_to_edges(adj)
     layout = G.layout_edges(edges, "src", partitions=3)
-    labels = cut_lineage(G.propagation_round(layout, G._start_labels(
-        G.vertex_universe(adj, "all", edges), 3)), keep_partitioning=True, partitions=3)
+    labels = cut_lineage(G.propagation_round(layout, G.start_labels(
+        G.vertex_universe(adj, "all", edges), layout)), keep_partitioning=True, partitions=3)
     assert labels.rdd.getNumPartitions() == 3
     plan = plan_of(G.propagation_round(layout, labels), static=True, partitions=3)
     assert len(exchanges(plan)) == 1, plan
@@ -58,8 +59,8 @@ def test_round_with_hot_sources_broadcasts_only_hot_labels(spark):
     edges = G.adjacency_to_edges(adj)
     layout = G.layout_edges(edges, "src", threshold=5, partitions=8)
     assert layout.heavy is not None
-    labels = cut_lineage(G.propagation_round(layout, G._start_labels(
-        G.vertex_universe(adj, "all", edges), 8)), keep_partitioning=True)
+    labels = cut_lineage(G.propagation_round(layout, G.start_labels(
+        G.vertex_universe(adj, "all", edges), layout)), keep_partitioning=True)
     plan = plan_of(G.propagation_round(layout, labels), static=True)
     assert len(exchanges(plan)) == 1, plan
     # hot edges meet a broadcast of the hot labels only (a semi join with
@@ -83,18 +84,23 @@ def test_scans_are_pruned_and_filters_pushed(spark):
     plan = plan_of(B.matrix_m(spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double," \
            "l_returnflag:string>" in plan
-    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan
+    assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)]" in plan or \
+        "PushedFilters: [EqualNullSafe(l_returnflag,R)]" in plan
 
 
-def test_pregel_round_moves_edge_rows_once(spark):
-    adj = B.order_adjacency(spark, SF)
-    edges = G.adjacency_to_edges(adj)
+def test_pregel_round_moves_only_reduced_messages(spark):
+    edges = G.adjacency_to_edges(B.order_adjacency(spark, SF))
     layout = G.layout_edges(edges, "src", partitions=4)
-    e = layout.edges()
-    hot_dst = G.hot_keys(e, "dst")
-    verts = e.select(G.F.col("src").alias("id")).unionByName(e.select(G.F.col("dst").alias("id")))
-    labels = cut_lineage(G.pregel_round(e, G._start_labels(verts, 4), layout, hot_dst),
-                         keep_partitioning=True, partitions=4)
-    plan = plan_of(G.pregel_round(e, labels, layout, hot_dst), static=True, partitions=4)
+    labels = G.start_labels(G.vertex_universe(None, "endpoints", layout.edges()), layout)
+    plan = plan_of(G.pregel_round(layout, labels), static=True, partitions=4)
     ex = exchanges(plan)
-    assert len(ex) == 1 and "hashpartitioning(dst" in ex[0], plan
+    assert len(ex) == 1 and "hashpartitioning(id" in ex[0], plan
+    assert "partial_min" in plan
+
+
+def test_inner_add_has_no_join(spark):
+    for policy in ("error", "sum"):
+        plan = plan_of(M.matrix_add(B.matrix_m(spark, SF), B.matrix_n(spark, SF), how="inner",
+                                    on_duplicate=policy))
+        assert len(exchanges(plan)) == 2 and "Join" not in plan, plan
+        assert plan.count("Scan parquet") == 2 and "partial_sum" in plan, plan

@@ -88,3 +88,16 @@ def test_histogram_counts_all_users(spark, rows):
     assert got == sorted(expect.items())
     sql = hist(spark, lines, "sql")
     assert sum(n for _, n in sql) == len(by_user)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_buckets_are_java_int_casts(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        lines = ["1,NaN,d", "2,1e300,d", "3,4,d", "4,Infinity,d"]
+        want = [(0.0, 1), (4.0, 1), (214748364.7, 2)]
+        for mode in ("avg", "sql"):
+            df = parse_ratings(lines_df(spark, lines), "typed" if mode == "avg" else "raw")
+            assert [tuple(r) for r in rating_histogram(df, mode).collect()] == want
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

@@ -1,14 +1,16 @@
-"""Text sources and sinks over real files; streaming readers."""
+"""Text sources and sinks over real files."""
 
 import os
 import tempfile
 
+import pytest
+from pyspark.errors import PySparkException
+
 from corvid.operators import graph as G
 from corvid.operators import matrix as M
 from corvid.operators.ratings import rating_histogram
-from corvid.sources import (read_adjacency, read_cells, read_lines, read_ratings,
+from corvid.sources import (parse_adjacency, parse_cells, parse_edges, read_adjacency, read_cells, read_lines, read_ratings,
                             strip_headers, write_delimited, write_lines)
-from corvid.streaming import stream_adjacency, stream_ratings
 from tests.test_graph import SMALL as GRAPH_SMALL
 from tests.test_matrix import M_SMALL, N_SMALL
 from tests.test_ratings import GOLDEN as RATINGS_GOLDEN
@@ -53,17 +55,32 @@ def test_sinks_round_trip(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, cells.collect()))
 
 
-def test_streaming_readers(spark):
-    src = write_text(GRAPH_SMALL)
-    q = (stream_adjacency(spark, src).writeStream.format("memory").queryName("adj_stream")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    got = spark.table("adj_stream")
-    assert got.count() == 10
-    assert sorted(r.id for r in got.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9]
-    rsrc = write_text(RATINGS_SMALL)
-    q = (stream_ratings(spark, rsrc).writeStream.format("memory").queryName("ratings_stream")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    hist = rating_histogram(spark.table("ratings_stream"), "avg")
-    assert [tuple(x) for x in hist.collect()] == RATINGS_GOLDEN
+def test_edges_parser_matches_adjacency_parser(spark):
+    lines = GRAPH_SMALL + ["77", "5,,", "-3,+4"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    edges = G.adjacency_to_edges(parse_adjacency(df), distinct=False)
+    assert sorted(map(tuple, parse_edges(df).collect())) == sorted(map(tuple, edges.collect()))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_checks_cannot_be_pruned(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        def lines(*x):
+            return spark.createDataFrame([(y,) for y in x], "value string")
+        frames = [parse_cells(lines("1,2,3", bad)) for bad in
+                  ("a,1,2", "1,b,2", "1,2,c", "1,2", "-1,0,4", "0,-1,4", "1 1,2,3",
+                   "9223372036854775808,1,2")]
+        frames += [f(lines("1,2", bad)) for f in (parse_adjacency, parse_edges)
+                   for bad in ("x,2", "1,2,y", "1,,2", "1, 2", "1,9223372036854775808", "x", "")]
+        for df in frames:
+            with pytest.raises(PySparkException):
+                df.count()
+            for c in df.columns:
+                with pytest.raises(PySparkException):
+                    df.select(c).collect()
+        got = parse_adjacency(lines("4,2,99999999999999999999,3", "5,1,x", "6,+7,-8", "7, 2"),
+                              mode="prefix").collect()
+        assert sorted((r.id, r.adj) for r in got) == [(4, [2]), (5, [1]), (6, [7, -8]), (7, [])]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
