@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import LOWER, UPPER, store
+from corvid.llm.common import LOWER, UPPER, drop_rows, row_key, store
 
 WINDOW, K = 13, 8
 BLOCK = 2_000_000
@@ -140,19 +140,17 @@ def benchmark_contexts(bench: DataFrame, id_col: str = "item_id",
                  .agg(F.collect_set("__item").alias("items")), "benchmark")
 
 
-def _run_length(equal: list[Column]) -> Column:
-    """How many of the conditions hold from the first on."""
-    out = F.lit(0)
-    for e in reversed(equal):
-        out = F.when(e, out + 1).otherwise(0)
-    return out
+def _run_length(a: Column, b: Column) -> Column:
+    """How many entries of two arrays are equal from the first on."""
+    differ = F.zip_with(a, b, lambda x, y: ~F.coalesce(x == y, F.lit(False)))
+    at = F.array_position(differ, True).cast("int")
+    return F.when(at == 0, F.size(differ)).otherwise(at - 1)
 
 
 def scan(docs: DataFrame, contexts: DataFrame, id_col: str = "doc_id",
-         text_col: str = "text", carry: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_words, spans (hit [start, end)
-    word intervals, may overlap), items (ids). ``carry`` keeps the whole input
-    row as ``__row``."""
+         text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: its key (__id, __key), doc_id, n_words, spans
+    (hit [start, end) word intervals, may overlap), items (ids)."""
     short = sorted(r["k"] for r in contexts.where("need = 0").select("k").distinct().collect())
     keys = contexts.select("fp").distinct()
     blocks = max(1, math.ceil(keys.count() / BLOCK))
@@ -160,9 +158,9 @@ def scan(docs: DataFrame, contexts: DataFrame, id_col: str = "doc_id",
     wings, reach = WINDOW - K, max(K, *short, 1) + WINDOW - K
     base = docs.select(
         F.monotonically_increasing_id().alias("__rid"),
-        F.col(id_col).cast("long").alias("doc_id"), words(F.col(text_col)).alias("__words"),
-        *([F.struct(*[docs[c] for c in docs.columns]).alias("__row")] if carry else []))
-    kept = ["__rid", "doc_id", *(["__row"] if carry else [])]
+        *row_key(id_col, text_col), F.col(id_col).cast("long").alias("doc_id"),
+        words(F.col(text_col)).alias("__words"))
+    kept = ["__rid", "__id", "__key", "doc_id"]
     cut = _fingerprints(base, short).withColumn("n_words", F.size("__words").cast("long"))
     found = None
     for block in range(blocks):
@@ -178,30 +176,22 @@ def scan(docs: DataFrame, contexts: DataFrame, id_col: str = "doc_id",
         p = F.col("__c").bitwiseAND(F.lit(POSITION)).cast("int")
         rows = rows.select(
             *kept, "n_words", "fp", "__c", p.alias("__p"),
-            F.when(F.col("__c").isNotNull(),
-                   F.array(*[_word(p + j) for j in range(-wings, reach)])).alias("__near"))
+            *[F.when(F.col("__c").isNotNull(), F.transform(F.array(*map(F.lit, steps)),
+                                                           lambda j: _word(p + j))).alias(name)
+              for name, steps in (("__back", range(-1, -wings - 1, -1)), ("__on", range(reach)))])
         found = rows if found is None else found.unionByName(rows)
     hits = found.join(near, "fp", "left")
-    here = lambda j: F.get("__near", j + F.lit(wings))
-    same = functools.reduce(lambda a, b: a & b, [
-        (F.lit(j) >= F.col("k")) | (here(F.lit(j)) == F.get("gram", F.lit(j)))
-        for j in range(max(K, *short, 1))])
-    left = _run_length([here(F.lit(-1 - j)) == F.col("before")[j] for j in range(wings)])
-    right = _run_length([here(F.col("k") + j) == F.col("after")[j] for j in range(wings)])
-    hits = hits.select(*kept, "n_words", "__p", "k", "need", "items", "__c", same.alias("__same"),
-                       left.alias("__l"), right.alias("__r"))
+    k = F.col("k")
+    hits = (hits.withColumn("__same", F.slice("__on", 1, k) == F.col("gram"))
+            .withColumn("__l", _run_length(F.col("before"), F.col("__back")))
+            .withColumn("__r", _run_length(F.col("after"), F.slice("__on", k + 1, wings))))
     hit = F.col("__same") & (F.col("__l") + F.col("__r") >= F.col("need"))
     span = F.struct((F.col("__p") - F.col("__l")).alias("start"),
-                    (F.col("__p") + F.col("k") + F.col("__r")).alias("end"))
-    full_span = F.when(F.col("need") > 0, span).otherwise(
-        F.struct(F.col("__p").alias("start"), (F.col("__p") + F.col("k")).alias("end")))
+                    (F.col("__p") + k + F.col("__r")).alias("end"))
     hits = hits.where(F.col("__c").isNull() | hit)
-    first = [F.first(c).alias(c) for c in ("doc_id", "n_words")]
-    if carry:  # the row travels once, with the document's own entry
-        first.append(F.first(F.when(F.col("__c").isNull(), F.col("__row")),
-                             ignorenulls=True).alias("__row"))
+    first = [F.first(c).alias(c) for c in ("__id", "__key", "doc_id", "n_words")]
     return (hits.groupBy("__rid").agg(
-        *first, F.collect_set(F.when(hit, full_span)).alias("spans"),
+        *first, F.collect_set(F.when(hit, span)).alias("spans"),
         F.array_distinct(F.flatten(F.collect_set(F.when(hit, F.col("items"))))).alias("items"))
         .drop("__rid"))
 
@@ -224,7 +214,7 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
     """Per document: doc_id, n_words, n_hit, n_items, contaminated (one hit
     word in ``share`` or more), items and spans."""
     contexts = benchmark_contexts(bench, item_col, item_text_col)
-    return _judged(scan(docs, contexts, id_col, text_col), share)
+    return _judged(scan(docs, contexts, id_col, text_col), share).drop("__id", "__key")
 
 
 def _judged(found: DataFrame, share: int) -> DataFrame:
@@ -240,5 +230,5 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
                       item_text_col: str = "text", share: int = 20) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
     contexts = benchmark_contexts(bench, item_col, item_text_col)
-    found = _judged(scan(docs, contexts, id_col, text_col, carry=True), share)
-    return found.where(~F.col("contaminated")).select("__row.*")
+    found = _judged(scan(docs, contexts, id_col, text_col), share).where("contaminated")
+    return drop_rows(docs, found.select("__id", "__key"), id_col, text_col)
