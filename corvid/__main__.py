@@ -84,6 +84,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = (SparkSession.builder.appName("corvid")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
+             # delete the checkpoint files of rounds nothing refers to any more
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .getOrCreate())
     run(spark, sys.argv[1:] if argv is None else argv)
 

@@ -17,7 +17,10 @@ from corvid.operators import graph as G
 from corvid.operators import matrix as M
 from corvid.operators import ratings as R
 from corvid.plans import bindings as B
-from corvid.sources import parse_adjacency, parse_cells, parse_edges, parse_ratings, strip_headers
+from corvid.session import scratch_path
+from corvid.sources import (parse_adjacency, parse_cells, parse_edges, parse_ratings,
+                            read_adjacency, read_cells, read_ratings, strip_headers,
+                            write_delimited, write_lines)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +71,27 @@ def mat_add_blockjoin_checked(spark, d):
     return M.matrix_add(m, n, how="inner")
 
 
+def _through_files(spark, label, lines):
+    """Lines written as text files in the shared folder; their path."""
+    path = scratch_path(spark, label)
+    lines.write.text(path)
+    return path
+
+
+def _written(spark, label, result, sink):
+    """A result written by a text sink and read back with its own schema."""
+    path = scratch_path(spark, label)
+    sink(result, path, sep="\t")
+    return spark.read.option("sep", "\t").csv(path, schema=result.schema)
+
+
+def mat_add_files(spark, d):
+    """Matrix files in, tab-separated cells out, read back."""
+    m, n = (read_cells(spark, _through_files(spark, k, B.cell_lines(f(spark, d))))
+            for k, f in (("m", B.matrix_m), ("n", B.matrix_n)))
+    return _written(spark, "sum", M.matrix_add(m, n, on_duplicate="sum"), write_delimited)
+
+
 def mat_render_dense(spark, d):
     cells = M.resolve_duplicates(B.order_line_cells(spark, d), "sum")
     return M.render_dense(M.block_coords(cells, rows=100, cols=8), rows=100, cols=8)
@@ -105,6 +129,13 @@ def graph_text_group_sizes(spark, d):
     return G.group_sizes(G.min_label_groups(adj, "all"))
 
 
+def graph_files_group_sizes(spark, d):
+    """Adjacency files in (scanner style), tab-separated sizes out, read back."""
+    path = _through_files(spark, "graph", B.order_adjacency_lines(spark, d))
+    sizes = G.group_sizes(G.min_label_groups(read_adjacency(spark, path, mode="prefix"), "all"))
+    return _written(spark, "sizes", sizes, write_delimited)
+
+
 def graph_pregel_min(spark, d):
     return G.pregel_min(G.adjacency_to_edges(B.order_adjacency(spark, d), distinct=False))
 
@@ -148,6 +179,13 @@ def rating_hist_sql(spark, d):
     return R.rating_histogram(raw, mode="sql")
 
 
+def rating_hist_files(spark, d):
+    """Ratings files in, histogram lines out, read back."""
+    path = _through_files(spark, "ratings", B.rating_lines(spark, d))
+    hist = R.rating_histogram(read_ratings(spark, path, mode="raw"), mode="sql")
+    return _written(spark, "histogram", hist, write_lines)
+
+
 def ratings_parse(spark, d):
     typed = parse_ratings(strip_headers(B.rating_lines(spark, d)), mode="typed",
                           user_type="bigint")
@@ -167,6 +205,7 @@ QUERIES: dict[str, Query] = {
     "mat_add_max": mat_add_max,
     "mat_add_text": mat_add_text,
     "mat_add_checked": mat_add_checked,
+    "mat_add_files": mat_add_files,
     "mat_add_blockjoin_checked": mat_add_blockjoin_checked,
     "mat_render_dense": mat_render_dense,
     "graph_candidates": graph_candidates,
@@ -177,6 +216,7 @@ QUERIES: dict[str, Query] = {
     "graph_group_sizes_sources": _sizes("sources"),
     "graph_group_sizes_endpoints": graph_group_sizes_endpoints,
     "graph_text_group_sizes": graph_text_group_sizes,
+    "graph_files_group_sizes": graph_files_group_sizes,
     "graph_pregel_min": graph_pregel_min,
     "graph_triplets": graph_triplets,
     "adjacency_to_edges": adjacency_to_edges,
@@ -184,6 +224,7 @@ QUERIES: dict[str, Query] = {
     "rating_hist_avg": rating_hist_avg,
     "rating_hist_text": rating_hist_text,
     "rating_hist_sql": rating_hist_sql,
+    "rating_hist_files": rating_hist_files,
     "ratings_parse": ratings_parse,
     "ratings_parse_raw": ratings_parse_raw,
 }
@@ -289,4 +330,8 @@ ORACLES: dict[str, str] = {
                          "from lineitem",
 }
 
+ORACLES["mat_add_files"] = ORACLES["mat_add_outer"]
+ORACLES["graph_files_group_sizes"] = ORACLES["graph_group_sizes_all"]
+ORACLES["rating_hist_files"] = ORACLES["rating_hist_sql"]
+
 FLAGSHIP = "rating_hist_avg"

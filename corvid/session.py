@@ -3,8 +3,11 @@ shared checkpoint folder that iterative operators cut their lineage into."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import threading
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,13 +70,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
     if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="corvid-ckpt-"))
+        folder = tempfile.mkdtemp(prefix="corvid-ckpt-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
         return sc.getCheckpointDir()
     raise RuntimeError(
         "spark.checkpoint.dir is not set; iterative operators need a shared "
         "folder (HDFS/object store) to cut lineage into")
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the checkpoint folder, which all executors share."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/corvid/{label}-{uuid.uuid4().hex}"
+
+
 def default_parallelism(spark: SparkSession) -> int:
     sc = _context(spark)
     if sc is not None:

@@ -20,7 +20,7 @@ from corvid.plans import bindings as B  # noqa: E402
 from corvid.plans.queries import QUERIES  # noqa: E402
 from corvid.session import _static_planning, cut_lineage, local_session  # noqa: E402
 
-SHOWN = ["mat_add_outer", "mat_add_blockjoin", "mat_render_dense", "rating_hist_avg",
+SHOWN = ["mat_add_outer", "mat_add_blockjoin", "mat_add_blockjoin_checked", "mat_render_dense", "rating_hist_avg",
          "rating_hist_sql", "adjacency_to_edges"]
 
 
@@ -53,8 +53,8 @@ def main(argv):
     for title, threshold in (("propagation round (no hot source)", G.HOT_EDGES),
                              ("propagation round (hot sources, threshold 5)", 5)):
         layout = G.layout_edges(edges, "src", threshold=threshold)
-        labels = cut_lineage(G.propagation_round(layout, G._start_labels(
-            G.vertex_universe(adj, "all", edges), layout.partitions)),
+        labels = cut_lineage(G.propagation_round(layout, G.start_labels(
+            G.vertex_universe(adj, "all", layout.edges()), layout)),
             keep_partitioning=True, partitions=layout.partitions)
         rnd = G.propagation_round(layout, labels)
         with _static_planning(spark, layout.partitions):
@@ -63,15 +63,11 @@ def main(argv):
                   "are checkpointed scans (`Scan ExistingRDD`).", "", "```", _clean(plan),
                   "```", ""]
     layout = G.layout_edges(edges, "src")
-    e = layout.edges()
-    hot_dst = G.hot_keys(e, "dst")
-    verts = e.select(G.F.col("src").alias("id")).unionByName(e.select(G.F.col("dst").alias("id")))
-    labels = cut_lineage(G.pregel_round(e, G._start_labels(verts, layout.partitions), layout,
-                                        hot_dst), keep_partitioning=True, partitions=layout.partitions)
-    step = G.pregel_round(e, labels, layout, hot_dst)
+    labels = G.start_labels(G.vertex_universe(adj, "endpoints", layout.edges()), layout)
+    step = G.pregel_round(layout, labels)
     with _static_planning(spark, layout.partitions):
         plan = step.select(*step.columns)._jdf.queryExecution().executedPlan().toString()
-    parts += ["## Pregel superstep (triplet form)", "", f"{layout.partitions} partitions.", "",
+    parts += ["## Pregel superstep", "", f"{layout.partitions} partitions.", "",
               "```", _clean(plan), "```", ""]
     with open(out, "w") as f:
         f.write("\n".join(parts))
