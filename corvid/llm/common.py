@@ -102,10 +102,13 @@ def gram_hashes(ids, k: int):
     return mix64(out)
 
 
-def join_sized(big: DataFrame, small: DataFrame, on, how: str, rows: int = 1_000_000) -> DataFrame:
-    """Join a stored ``small`` by broadcast when it has at most ``rows`` rows
-    (of bounded width), and by shuffling both sides beyond."""
-    return big.join(F.broadcast(small) if small.count() <= rows else small, on, how)
+def join_sized(big: DataFrame, small: DataFrame, on, how: str, rows: int = 1_000_000,
+               width: Column | None = None) -> DataFrame:
+    """Join a stored ``small`` by broadcast when it is small, and by shuffling
+    both sides beyond. Its size is its number of rows, or for rows that hold
+    arrays the sum of ``width``, their entries."""
+    size = small.agg(F.count("*") if width is None else F.sum(width)).first()[0] or 0
+    return big.join(F.broadcast(small) if size <= rows else small, on, how)
 
 
 NO_ID = (1 << 63) - 1  # stands for a null id in join keys

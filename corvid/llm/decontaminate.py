@@ -15,8 +15,8 @@ position a fingerprint.
 Scale: documents are scanned once and never shuffled; a row per document (and
 per hit) goes on. The fingerprints of the benchmark are broadcast in blocks of
 at most ``BLOCK`` (one scan of the documents per block), the words around them
-only up to ``CONTEXTS`` rows and by an ordinary join beyond (AQE splits a hot
-fingerprint). Items that agree around a fingerprint share one row, so a passage
+only up to ``CONTEXTS`` rows and ``OCTETS`` bytes, and are joined the ordinary way
+beyond (AQE splits a hot fingerprint). Items that agree around a fingerprint share one row, so a passage
 common to many items does not multiply the hits.
 
 Defined results: null, empty and word-less documents have no words, no hits
@@ -36,7 +36,7 @@ from corvid.llm.common import LOWER, UPPER, drop_rows, row_key, store
 
 WINDOW, K = 13, 8
 BLOCK = 2_000_000
-CONTEXTS = 200_000
+CONTEXTS, OCTETS = 200_000, 32 << 20
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 POSITION = (1 << 31) - 1  # low bits of a fingerprint
 
@@ -154,7 +154,9 @@ def scan(docs: DataFrame, contexts: DataFrame, id_col: str = "doc_id",
     short = sorted(r["k"] for r in contexts.where("need = 0").select("k").distinct().collect())
     keys = contexts.select("fp").distinct()
     blocks = max(1, math.ceil(keys.count() / BLOCK))
-    near = contexts if contexts.count() > CONTEXTS else F.broadcast(contexts)
+    rows, octets = contexts.agg(F.count("*"), F.sum(
+        F.octet_length(F.concat_ws(" ", "gram", "before", "after", "items")))).first()
+    near = contexts if rows > CONTEXTS or (octets or 0) > OCTETS else F.broadcast(contexts)
     wings, reach = WINDOW - K, max(K, *short, 1) + WINDOW - K
     base = docs.select(
         F.monotonically_increasing_id().alias("__rid"),

@@ -44,6 +44,7 @@ def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         import pyarrow as pa
 
         classes, words, matrix = defaultdict(lambda: 0), defaultdict(Counter), class_matrix()
+        sizes: Counter = Counter()
 
         def rows(found):
             return pa.RecordBatch.from_arrays(
@@ -60,7 +61,9 @@ def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for lang, texts in joined.items():
                 classes[lang] += sum(byte_counts(x) for x in texts)
                 for data in texts:
-                    words[lang].update(data.lower().split())
+                    found = data.lower().split()
+                    words[lang].update(found)
+                    sizes[lang] += len(found)
             if sum(map(len, words.values())) > FLUSH:
                 yield rows([(g, "word", w, n) for g, c in words.items() for w, n in c.items()])
                 words.clear()
@@ -68,34 +71,33 @@ def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for lang, found in classes.items():
             totals = np.asarray(found) @ matrix
             last += [(lang, "class", str(i).encode(), int(n)) for i, n in enumerate(totals)]
+            last.append((lang, "size", b"", sizes[lang]))
         if last:
             yield rows(last)
 
     known = text_frame(docs, id_col, text_col, F.col(lang_col).cast("string").alias("lang")) \
         .where(F.col("lang").isNotNull()).select("lang", "text")
+    sizes = known.groupBy("lang").count()
+    total = sizes.agg(F.sum("count")).first()[0] or 0
+    langs = [r["lang"] for r in sizes.where(F.col("count") >= total / 1000).collect()]  # <= 1000
+    known = known.where(F.col("lang").isin(langs))
     counts = (known.mapInArrow(count, "lang string, kind string, item binary, n long")
               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
     ranked = counts.withColumn("place", F.row_number().over(
         Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")))
     rows = ranked.where(F.col("place") <= max(common, len(CLASSES))).collect()
-    totals: dict[str, int] = {}
-    for r in rows:
-        if r["kind"] == "class":
-            totals[r["lang"]] = totals.get(r["lang"], 0) + r["n"]
-    least = sum(totals.values()) / 1000
     out = {}
-    for lang, total in sorted(totals.items()):
-        if total < max(1, least):
-            continue
-        shares = [0.0] * len(CLASSES)
-        for r in rows:
-            if r["lang"] == lang and r["kind"] == "class":
-                shares[int(bytes(r["item"]))] = r["n"] / total
-        spaces = shares[CLASSES.index("space")] + shares[CLASSES.index("newline")]
-        found = {bytes(r["item"]): r["n"] / max(1.0, spaces * total) for r in rows
-                 if r["lang"] == lang and r["kind"] == "word" and r["place"] <= common}
-        scale = max(1.0, sum(found.values()))
-        out[lang] = (shares, {w: n / scale for w, n in found.items()})
+    for lang in sorted({r["lang"] for r in rows}):
+        own = [r for r in rows if r["lang"] == lang]
+        size = sum(r["n"] for r in own if r["kind"] == "size")
+        total = sum(r["n"] for r in own if r["kind"] == "class")
+        if size and total:
+            shares = [0.0] * len(CLASSES)
+            for r in own:
+                if r["kind"] == "class":
+                    shares[int(bytes(r["item"]))] = r["n"] / total
+            out[lang] = (shares, {bytes(r["item"]): r["n"] / size for r in own
+                                  if r["kind"] == "word" and r["place"] <= common})
     return out
 
 

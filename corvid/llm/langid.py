@@ -17,7 +17,7 @@ Words are the runs of letters of the lower-cased text, in chunks of at most
 ``CHUNK`` characters. Defined results: a text that is null or has no letter
 is ``und`` with score 0; without any learnt language every text is ``und``;
 ties go to the language first in order; languages with less than a
-10,000th of the learning rows are not learnt (so that at most 10,000 models
+2,000th of the learning rows are not learnt (so that at most 2,000 models
 exist); a null id counts as neither held out nor learning.
 """
 
@@ -236,7 +236,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pieces = vocabulary(vocabulary_path)
     total = learn.count()
     langs = sorted(r["lang"] for r in learn.groupBy("lang").count()
-                   .where(F.col("count") >= max(1, total / 10_000)).collect())
+                   .where(F.col("count") >= max(1, total / 2_000)).collect())
     if not langs:
         return {"langs": [], "p": np.zeros((len(pieces) + 1, 0))}
     counts = (word_counts(learn.where(F.col("lang").isin(langs)).select("lang", "text"))

@@ -47,7 +47,7 @@ BUCKET = 4_000
 MEMBERS = 300
 HUBS = 64
 SET_WORDS = 2_000_000
-WIDE = 2_000_000  # rows of the key tables that may be broadcast
+WIDE = 1_000_000  # rows of the key tables that may be broadcast
 
 
 def shingle_set(data: bytes | None, known: WordIds, size: int = SHINGLE):
@@ -383,7 +383,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  pa.array(found, pa.binary())], ["comp", "members", "cid", "n", "shingles"])
 
     keyed = texts.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).drop("doc_id")
-    sets = store(join_sized(keyed, wanted, ["id", "row_key"], "inner", WIDE // 2)
+    sets = store(join_sized(keyed, wanted, ["id", "row_key"], "inner", WIDE)
                  .select("comp", "members", "cid", "n", "text")
                  .mapInArrow(sets_of, "comp long, members long, cid long, n long, shingles binary")
                  .dropDuplicates(["cid"]), "sets")

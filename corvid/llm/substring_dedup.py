@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.common import WordIds, gram_hashes, join_sized, mix64, raw_bytes, store
+from corvid.llm.fm_index import shared_spans
 
 GRAM = 20
 HOT = 1_000
@@ -177,7 +178,7 @@ def _owned_rows(texts: DataFrame, owned: DataFrame, window: int) -> DataFrame:
                 [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
                 ["hot", "key", "doc_id", "row_key", "s", "words"])
 
-    joined = join_sized(texts, lists, ["doc_id", "row_key"], "inner", ROWS // 4)
+    joined = join_sized(texts, lists, ["doc_id", "row_key"], "inner", ROWS, F.size("parts"))
     return joined.select("doc_id", "row_key", "text", "parts").mapInArrow(
         run, "hot boolean, key long, doc_id long, row_key long, s long, words binary")
 
@@ -187,8 +188,6 @@ def _search(window: int):
         import numpy as np
         import pandas as pd
 
-        from corvid.llm.fm_index import shared_spans
-
         segments = [np.frombuffer(x, np.uint64) for x in frame["words"]]
         _, owners = np.unique(frame["doc_id"], return_inverse=True)
         spans = shared_spans(segments, owners, window)
@@ -246,7 +245,7 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str, window: int, *more)
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("__id"),
                         F.xxhash64(text).alias("__key"), text.alias("text"), *more)
-    return join_sized(texts, spans, ["__id", "__key"], "left", ROWS // 4)
+    return join_sized(texts, spans, ["__id", "__key"], "left", ROWS, F.size("spans"))
 
 
 def kept_words(data: bytes | None, spans) -> tuple[list[bytes], int, int]:
