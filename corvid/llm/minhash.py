@@ -45,7 +45,7 @@ THRESHOLD = (85, 100)
 MARGIN = 0.175
 BUCKET = 4_000
 MEMBERS = 300
-HUBS = 64
+FIRST_HUBS, HUBS = 64, 4_096
 SET_WORDS = 2_000_000
 WIDE = 1_000_000  # rows of the key tables that may be broadcast
 
@@ -273,39 +273,59 @@ def _confirm(frame):
     return pd.DataFrame({"node": np.array(cids, np.int64), "root": np.array(roots, np.int64)})
 
 
+class Hubs:
+    """Sets of some classes of one component, as an inverted index shingle ->
+    hubs: one lookup counts what a set shares with each of them."""
+
+    def __init__(self, hubs: list):
+        import numpy as np
+
+        self.cids = np.array([cid for cid, _ in hubs], np.int64)
+        self.sizes = np.array([len(x) for _, x in hubs], np.int64)
+        owner = np.repeat(np.arange(len(hubs)), self.sizes)
+        flat = np.concatenate([x for _, x in hubs])
+        order = np.argsort(flat, kind="stable")
+        self.values, starts = np.unique(flat[order], return_index=True)
+        self.bounds = np.append(starts, len(flat))
+        self.owner = owner[order]
+
+    def linked(self, shingles):
+        """Numbers of the hubs that are linked with a set."""
+        import numpy as np
+
+        at = np.minimum(np.searchsorted(self.values, shingles), len(self.values) - 1)
+        at = at[self.values[at] == shingles]
+        counts = self.bounds[at + 1] - self.bounds[at]
+        skip = np.repeat(self.bounds[at] - np.cumsum(counts) + counts, counts)
+        found = self.owner[skip + np.arange(len(skip))]
+        both = np.bincount(found, minlength=len(self.cids))
+        return np.flatnonzero(is_linked(both, self.sizes, len(shingles)))
+
+
 def _hub_links(hubs: dict):
-    """Edges (cid, hub) of a spanning forest of each task's links to
-    ``hubs`` (comp -> [(cid, set)])."""
+    """Edges (cid, hub) that connect each task's members and hubs as all their
+    links do; per member one edge for each group of hubs it joins first."""
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        root: dict = {}
-
-        def find(x):
-            while root.setdefault(x, x) != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
+        index = {comp: Hubs(x) for comp, x in hubs.items()}
+        group = {comp: np.arange(len(x)) for comp, x in hubs.items()}
         for batch in batches:
             edges = []
             for comp, cid, raw in zip(batch.column("comp").to_pylist(),
                                       batch.column("cid").to_pylist(),
                                       batch.column("shingles").to_pylist()):
-                own = np.frombuffer(raw, np.uint64)
-                for hub, shingles in hubs.get(comp, ()):
-                    short, long = sorted((len(own), len(shingles)))
-                    if hub == cid or THRESHOLD[1] * short < THRESHOLD[0] * long:
-                        continue
-                    if find(cid) == find(hub):
-                        continue
-                    at = np.searchsorted(shingles, own)
-                    both = np.count_nonzero(shingles[np.minimum(at, len(shingles) - 1)] == own)
-                    if is_linked(both, len(own), len(shingles)):
-                        edges.append((cid, hub))
-                        root[find(cid)] = find(hub)
+                if comp not in index:
+                    continue
+                found = index[comp].linked(np.frombuffer(raw, np.uint64))
+                own = group[comp]
+                groups, first = np.unique(own[found], return_index=True)
+                edges += [(cid, hub) for hub in index[comp].cids[found[first]].tolist()
+                          if hub != cid]
+                if len(groups) > 1:
+                    own[np.isin(own, groups)] = groups[0]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in edges], pa.int64()),
                                               pa.array([x[1] for x in edges], pa.int64())],
                                              ["a", "b"])
@@ -313,10 +333,10 @@ def _hub_links(hubs: dict):
     return run
 
 
-def confirm_large(members: DataFrame, hubs: int = HUBS) -> DataFrame:
+def confirm_large(members: DataFrame, first: int = FIRST_HUBS, hubs: int = HUBS) -> DataFrame:
     """(node, root) of stored ``members`` (comp, cid, n, shingles) of large
-    components. Each round compares up to ``hubs`` classes of a component (512
-    and about ``SET_WORDS`` shingles in all) with all its members."""
+    components. Each round compares some classes (``first``, later ``hubs``, and
+    about ``SET_WORDS`` shingles) with all members of their components."""
     import numpy as np
 
     spark = members.sparkSession
@@ -329,13 +349,12 @@ def confirm_large(members: DataFrame, hubs: int = HUBS) -> DataFrame:
         rest = groups.groupBy("comp").agg(
             F.max(F.struct("size", "root"))["root"].alias("largest"), F.count("*").alias("groups"))
         open_ = left.join(rest.where("groups > 1"), "comp").where("root <> largest")
-        ranked = open_.select("comp", "cid", "n").orderBy("cid").limit(512).collect()
-        taken, budget, per = [], SET_WORDS, {}
-        for r in ranked:
-            if per.get(r["comp"], 0) < hubs and (budget >= r["n"] or not taken):
+        ranked = open_.select("cid", "n").orderBy("cid").limit(first if done is None else hubs)
+        taken, budget = [], SET_WORDS
+        for r in ranked.collect():
+            if budget >= r["n"] or not taken:
                 taken.append(r["cid"])
                 budget -= r["n"]
-                per[r["comp"]] = per.get(r["comp"], 0) + 1
         if not taken:
             break
         picked = spark.createDataFrame([(x,) for x in taken], "cid long")

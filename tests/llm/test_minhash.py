@@ -75,7 +75,7 @@ def test_hot_buckets_and_large_components(spark, bucket, largest):
 
 
 def test_few_hubs_a_round(spark, monkeypatch):
-    monkeypatch.setattr(M, "HUBS", 2)
+    monkeypatch.setattr(M.confirm_large, "__defaults__", (1, 2))
     rows = [(i, t) for i, t in enumerate(chain(9))]
     assert run(spark, rows, largest=2) == brute(rows)
 
