@@ -113,7 +113,7 @@ def js_distance(p, q):
 
 
 def judge(docs: DataFrame, refs: dict, id_col: str = "doc_id", text_col: str = "text",
-          min_words: int = 100, class_limit: float = 0.22, word_limit: float = 0.5) -> DataFrame:
+          min_words: int = 100, class_limit: float = 0.28, word_limit: float = 0.5) -> DataFrame:
     def measure(batches):
         import numpy as np
         import pyarrow as pa

@@ -55,13 +55,14 @@ _LETTERS = None
 
 
 def letter_words(text: str) -> list[str]:
-    """Lower-cased runs of letters."""
+    """Lower-cased runs of letters (and of other word characters but digits);
+    none if the text has no letter."""
     global _LETTERS
     if _LETTERS is None:
         import re
 
         _LETTERS = re.compile(r"[^\W\d_]+").findall
-    return _LETTERS(text.lower())
+    return _LETTERS(text.lower()) if any(map(str.isalpha, text)) else []
 
 
 def chunks(word: str) -> list[str]:

@@ -25,7 +25,7 @@ def labelled(got, labels, column, fold=True):
     return [(r, marks[r["doc_id"]]) for r in got if r["doc_id"] in marks and r["held_out"] == fold]
 
 
-AWKWARD = [(1, None), (2, ""), (3, " \n\t "), (4, "!!! 12"), (4, "!!! 12"), (None, "idiot l0ser"),
+AWKWARD = [(1, None), (2, ""), (3, " \n\t "), (4, "!!! 12 ²½"), (4, "!!! 12 ²½"), (None, "idiot l0ser"),
            (None, None), (5, "idiot " * 3), (6, prose(1, 30_000)), (7, "É" * 5000), (8, "\x00 a")]
 
 
