@@ -2,7 +2,9 @@
 node hangs its larger neighbours, then its smaller ones, below the smallest it
 knows). Each step is two joins on partially aggregated minima; edges are
 written to the shared folder after every round, and no group is ever gathered
-in one task. A few rounds do, since paths halve in each."""
+in one task: the edges of nodes with very many (at most ``MOST`` nodes can be
+such) meet a broadcast of their minima where they are. A few rounds do, since
+paths halve in each."""
 
 from __future__ import annotations
 
@@ -12,6 +14,20 @@ from pyspark.sql import functions as F
 from corvid.llm.common import store
 
 
+MOST, LEAST = 50_000, 500
+
+
+def _with_least(edges: DataFrame, key: str, value: str, size: int) -> DataFrame:
+    """``edges`` with ``m``, the least ``value`` of each row's ``key``."""
+    limit = max(LEAST, size // MOST)
+    low = edges.groupBy(key).agg(F.min(value).alias("m"), F.count("*").alias("n"))
+    hot = low.where(F.col("n") > limit).select(key, F.col("m").alias("h"))  # <= MOST rows
+    marked = edges.join(F.broadcast(hot), key, "left")
+    cold = marked.where("h is null").drop("h").join(
+        low.where(F.col("n") <= limit).select(key, "m"), key)
+    return cold.unionByName(marked.where("h is not null").withColumnRenamed("h", "m"))
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b: long): the smallest node
     of its component. Nulls and loops in ``edges`` are ignored."""
@@ -20,11 +36,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while _open(now):
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"),
-                                                          F.col("m").alias("b"))
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.explode(F.array(
+        size = now.count()
+        large = (_with_least(both, "u", "v", 2 * size).where("v > u")
+                 .select(F.col("v").alias("a"), F.least("u", "m").alias("b")))
+        small = _with_least(large, "a", "b", size).select(F.explode(F.array(
             F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"),
                                                            F.col("m").alias("b")))).alias("e"))
         now = store(small.select("e.*").where("a <> b").distinct(), "edges")

@@ -6,12 +6,13 @@
    character may stand for itself, for the letters it resembles, for nothing
    (a separator) or, in a run, for fewer copies. Viterbi decoding under the
    trigram model picks the restored word.
-3. Evidence is the log odds of restored words and of their beginnings, learnt
-   from labelled rows; a logistic model over a text's strongest and total
+3. Evidence is the log odds of restored words, of their beginnings and of
+   their letters without repetition, learnt from labelled rows; a logistic model over a text's strongest and total
    evidence gives the score.
 
-To keep copies of one document from making its rare words look toxic, the
-support of a feature is counted over distinct (feature, preceding word) pairs.
+To keep copies of one document from making its rare words look toxic, a
+document supports a feature only if it is the first that has it after some
+preceding word.
 
 The trigram counts are task-side arrays summed in Spark (at most 28^3 rows).
 The classifier is fitted on at most ``sample`` toxic and ``sample`` clean
@@ -35,6 +36,7 @@ from corvid.llm.common import fold, raw_bytes, text_frame
 
 SAMPLE = 4_000
 LEXICON = 20_000
+SPAN = 12
 SLICE = 64  # texts whose features are held at once
 #: what a mark may stand for (fixed values)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t",
@@ -156,55 +158,69 @@ class Restored(dict):
 
 
 def joined_words(text: str) -> list[str]:
-    """White-space words; three or more single characters in a row are one
-    word as well (spaced-out letters)."""
+    """White-space words; of three or more single characters in a row
+    (spaced-out letters) also the joined word, and where it is longer than
+    ``SPAN`` or hides a word behind its first letters every part of ``SPAN``
+    characters."""
     words = text.split()
     out, run = list(words), []
-    for w in words:
+    for w in [*words, "  "]:
         if len(w) == 1:
             run.append(w)
             continue
         if len(run) > 2:
-            out.append("".join(run))
+            joined = "".join(run)
+            out += [joined[i:i + SPAN] for i in range(max(1, len(run) - 2))]
         run = []
-    if len(run) > 2:
-        out.append("".join(run))
     return out
 
 
+def squeezed(word: str) -> str:
+    """``word`` with every run of one character reduced to a single one."""
+    return "".join(c for c, last in zip(word, " " + word) if c != last)
+
+
 def word_features(word: str) -> list[str]:
     if len(word) < 3:
         return []
-    return [f"={word}"] + [f"^{word[:k]}" for k in (4, 5, 6) if len(word) >= k]
+    return [f"={word}", f"~{squeezed(word)}"] + [f"^{word[:k]}" for k in (4, 5, 6)
+                                                 if len(word) >= k]
 
 
 def _supports(frame: DataFrame, logp, only: set | None) -> DataFrame:
-    """(feature, n): distinct preceding words with ``only`` None, else the
-    number of texts that have it."""
+    """(feature, n): with ``only`` None the documents that are the first (by
+    id) to have the feature after some word, else the texts that have it."""
 
     def count(batches):
         import pyarrow as pa
 
         restored = Restored(logp)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for i in range(0, len(texts), SLICE):
-                pairs, single = set(), []
-                for text in texts[i:i + SLICE]:
+                found: list | dict = [] if only is not None else {}
+                for doc_id, text in zip(ids[i:i + SLICE], texts[i:i + SLICE]):
                     words = [restored[w] for w in joined_words(text or "")]
-                    if only is None:
-                        for left, word in zip(["", *words], words):
-                            pairs.update((f, left) for f in word_features(word))
-                    else:
-                        single += {f for w in set(words) for f in word_features(w)} & only
-                found = list(pairs) if only is None else [(f, "") for f in single]
+                    if only is not None:
+                        found += [(f, "", doc_id) for f in
+                                  {f for w in set(words) for f in word_features(w)} & only]
+                        continue
+                    for left, word in zip(["", *words], words):
+                        for f in word_features(word):
+                            found[f, left] = min(doc_id, found.get((f, left), doc_id))
+                if only is None:
+                    found = [(f, left, doc_id) for (f, left), doc_id in found.items()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in found], pa.string()),
-                     pa.array([x[1] for x in found], pa.string())], ["feature", "left"])
+                    [pa.array([x[k] for x in found], kind)
+                     for k, kind in enumerate((pa.string(), pa.string(), pa.int64()))],
+                    ["feature", "left", "doc_id"])
 
-    rows = frame.select("text").mapInArrow(count, "feature string, left string")
-    rows = rows.distinct() if only is None else rows
-    return rows.groupBy("feature").agg(F.count("*").alias("n"))
+    rows = frame.select("doc_id", "text").mapInArrow(
+        count, "feature string, left string, doc_id long")
+    if only is not None:
+        return rows.groupBy("feature").agg(F.count("*").alias("n"))
+    first = rows.groupBy("feature", "left").agg(F.min("doc_id").alias("doc_id"))
+    return first.groupBy("feature").agg(F.count_distinct("doc_id").alias("n"))
 
 
 class Evidence(dict):
@@ -245,7 +261,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         return {"logp": logp, "weights": {}, "line": (0.0, 0.0, -60.0)}
-    least = max(5, counts[1] // 400)
+    least = max(3, counts[1] // 400)
     toxic = {r["feature"]: r["n"] for r in _supports(sides[1], logp, None)
              .where(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(LEXICON).collect()}
     clean = {r["feature"]: r["n"] for r in _supports(sides[0], logp, set(toxic)).collect()}

@@ -102,6 +102,24 @@ def test_disguised_words_are_restored(spark, tables):
         assert toxicity.disguised(seen) and toxicity.decode(seen, logp) == meant
     assert not any(map(toxicity.disguised, ["the", "the.", "2024", "555-8810", "", "--"]))
     assert "idiot" in toxicity.joined_words("an i d i o t here")
+    assert "idiot" in toxicity.joined_words("a i d i o t")
+    assert toxicity.joined_words("a b") == ["a", "b"] and toxicity.joined_words("") == []
+    assert set(toxicity.word_features("looser")) & set(toxicity.word_features("loser")) == {"~loser"}
+
+
+def test_disguised_toxic_words_score_high(spark, tables):
+    docs, labels = tables
+    model = toxicity.fit_toxicity(docs, labels)
+    plain = next(r["text"] for r in docs.orderBy("doc_id").collect()
+                 if len(r["text"].split()) > 60 and not any(
+                     w in r["text"] for w in ("idiot", "loser", "moron", "scum", "stupid")))
+    clean = " ".join(plain.split()[:60])
+    rows = [clean] + [f"{clean} {w} {clean}" for w in (
+        "l0ser idiot m0ron", "i d i o t l o s e r s c u m", "ST*PID!!! IDIOOOT LOOOSER scum",
+        "s-c-u-m m.o.r.o.n id10t")]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(
+        frame(spark, list(enumerate(rows))), model).collect()}
+    assert got[0] < 0.3 and all(got[i] > 0.7 for i in range(1, len(rows))), got
 
 
 def test_decode_is_the_best_path(spark, tables):

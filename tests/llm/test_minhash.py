@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from corvid.llm import components
 from corvid.llm import minhash as M
 from corvid.llm.components import connected_components
 from tests.llm.helpers import frame, lower_ascii, prose, white_words
@@ -105,7 +106,9 @@ def test_estimate_is_near_the_similarity():
         assert abs(np.mean(errors)) < 0.03
 
 
-def test_components(spark):
+@pytest.mark.parametrize("least", [500, 1])
+def test_components(spark, monkeypatch, least):
+    monkeypatch.setattr(components, "LEAST", least)
     edges = [(i, i + 1) for i in range(1, 30)] + [(40, 41), (41, 40), (50, 50), (60, 45), (45, 61)]
     got = connected_components(spark.createDataFrame(edges, "a long, b long"))
     roots = {r["node"]: r["root"] for r in got.collect()}
