@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from corvid.llm.common import fold, mix64, store, text_frame
 
 CHUNK = 24
+SLICE = 4_000  # chunks whose lattices are built at once
 FLUSH = 400_000
 SPACE = "▁"
 
@@ -256,16 +257,17 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             sums, lookup = np.zeros_like(p), Pieces(pieces)
             for batch in batches:
                 words, by = batch.column("word").to_pylist(), batch.column("by").to_pylist()
-                for i in range(0, len(words), 4000):
-                    parts, weights = [], []
-                    for word, found in zip(words[i:i + 4000], by[i:i + 4000]):
-                        w = np.zeros(len(langs))
-                        for x in found:
-                            w[at[x["lang"]]] += x["n"]
-                        for part in chunks(word):
-                            parts.append(part)
-                            weights.append(w)
-                    sums += Lattices(lookup, parts).expected(p, np.array(weights))
+                parts, weights = [], []
+                for word, found in zip(words, by):
+                    w = np.zeros(len(langs))
+                    for x in found:
+                        w[at[x["lang"]]] += x["n"]
+                    own = chunks(word)
+                    parts += own
+                    weights += [w] * len(own)
+                for i in range(0, len(parts), SLICE):
+                    lattice = Lattices(lookup, parts[i:i + SLICE])
+                    sums += lattice.expected(p, np.array(weights[i:i + SLICE]))
             rows, cols = np.nonzero(sums)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.int32()), pa.array(cols, pa.int32()),
@@ -301,16 +303,19 @@ class WordScores(dict):
         new = [w for w in words if w not in self]
         while len(self) + len(new) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        for i in range(0, len(new), 4000):
-            some = new[i:i + 4000]
-            parts = [(k, part) for k, w in enumerate(some) for part in chunks(w)]
-            lattice = Lattices(self.pieces, [x for _, x in parts])
+        owners, parts = [], []
+        for k, w in enumerate(new):
+            own = chunks(w)
+            parts += own
+            owners += [k] * len(own)
+        sums = np.zeros((len(new), self.rows.shape[1]))
+        for i in range(0, len(parts), SLICE):
+            lattice = Lattices(self.pieces, parts[i:i + SLICE])
             logs = np.log(np.maximum(lattice.totals(lattice.forward(self.p)), 1e-300))
-            sums = np.zeros((len(some), self.rows.shape[1]))
-            np.add.at(sums, [k for k, _ in parts], logs)
-            for k, w in enumerate(some):
-                self.rows[len(self)] = sums[k]
-                self[w] = len(self)
+            np.add.at(sums, owners[i:i + SLICE], logs)
+        self.rows[len(self):len(self) + len(new)] = sums
+        for w in new:
+            self[w] = len(self)
 
 
 def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",

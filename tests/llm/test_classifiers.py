@@ -26,7 +26,7 @@ def labelled(got, labels, column, fold=True):
 
 
 AWKWARD = [(1, None), (2, ""), (3, " \n\t "), (4, "!!! 12 ²½"), (4, "!!! 12 ²½"), (None, "idiot l0ser"),
-           (None, None), (5, "idiot " * 3), (6, prose(1, 30_000)), (7, "É" * 5000), (8, "\x00 a")]
+           (None, None), (5, "idiot " * 3), (6, prose(1, 30_000)), (7, "É" * 300_000), (8, "\x00 a")]
 
 
 def awkward_scores(got):
