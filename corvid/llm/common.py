@@ -44,12 +44,35 @@ def fold(id_col: str, mod: int) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % mod
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session sends at most 1,000 rows to Python at once, unless
+    it has a setting of its own: 10,000 whole texts, the default, take
+    hundreds of MB outside the heap of every executor."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, "1000")
+    return df
+
+
 def text_frame(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     """Only the id and the text, under fixed names that cannot clash."""
+    docs = small_batches(docs)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text"), *more)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, whatever their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def slices(batches, rows: int = 256):
+    """Arrow batches in slices, so that few texts are Python objects at once."""
+    for batch in batches:
+        for i in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(i, rows)
+
+
 def raw_bytes(batch, name: str = "text") -> list:
     """A string column of an Arrow batch as UTF-8 ``bytes`` (None for null)."""
     import pyarrow as pa
@@ -62,7 +85,7 @@ def raw_bytes(batch, name: str = "text") -> list:
 class WordIds(dict):
     """word (bytes) -> 64-bit hash, remembered; forgets all when too large."""
 
-    LIMIT = 500_000
+    LIMIT = 300_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -126,6 +149,6 @@ def drop_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str,
     """``docs`` without the rows whose key is in ``gone`` (__id, __key), with
     their own columns whatever their names."""
     keyed = docs.select(*row_key(id_col, text_col),
-                        F.struct(*[docs[c] for c in docs.columns]).alias("__row"))
+                        whole_row(docs).alias("__row"))
     gone = store(gone.distinct(), "dropped")
     return join_sized(keyed, gone, ["__id", "__key"], "left_anti", rows).select("__row.*")

@@ -37,7 +37,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import WordIds, gram_hashes, join_sized, mix64, raw_bytes, store
+from corvid.llm.common import (WordIds, gram_hashes, join_sized, mix64, raw_bytes, slices,
+                               small_batches, store, whole_row)
 from corvid.llm.fm_index import shared_spans
 
 GRAM = 20
@@ -115,8 +116,8 @@ def segments_of(ids, window: int):
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.xxhash64(text).alias("row_key"), text.alias("text"))
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"),
+                                      F.xxhash64(text).alias("row_key"), text.alias("text"))
 
 
 def occurrences(texts: DataFrame, window: int) -> DataFrame:
@@ -128,7 +129,7 @@ def occurrences(texts: DataFrame, window: int) -> DataFrame:
 
         known = WordIds()
         names = ["anchor", "content", "doc_id", "row_key", "s", "e"]
-        for batch in batches:
+        for batch in slices(batches):
             parts = []
             for doc_id, key, data in zip(batch.column("doc_id").to_pylist(),
                                          batch.column("row_key").to_pylist(), raw_bytes(batch)):
@@ -145,42 +146,40 @@ def occurrences(texts: DataFrame, window: int) -> DataFrame:
 
 
 def _owned_rows(texts: DataFrame, owned: DataFrame, window: int) -> DataFrame:
-    """For every owned segment its words (cold) or its windows (hot):
-    (hot, key, doc_id, row_key, s, words)."""
+    """For every owned segment its words (cold, keyed by anchor) or its windows
+    (hot, keyed by digest): (hot, key, anchor, content, doc_id, at, words), ``at``
+    being the place in the segment."""
     lists = store(owned.groupBy("doc_id", "row_key").agg(
-        F.collect_list(F.struct("anchor", "hot", "s", "e")).alias("parts")), "owned")
+        F.collect_list(F.struct("anchor", "content", "hot", "s", "e")).alias("parts")), "owned")
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         known = WordIds()
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
-            for doc_id, key, data, parts in zip(*(batch.column(c).to_pylist() if c != "text"
-                                                  else raw_bytes(batch) for c in
-                                                  ("doc_id", "row_key", "text", "parts"))):
+            for doc_id, data, parts in zip(batch.column("doc_id").to_pylist(), raw_bytes(batch),
+                                           batch.column("parts").to_pylist()):
                 ids = known.of((data or b"").split())
                 digests = None
                 for part in parts:
-                    s, e = part["s"], part["e"]
+                    s, e, name = part["s"], part["e"], (part["anchor"], part["content"])
                     if not part["hot"]:
-                        rows.append((False, part["anchor"], doc_id, key, s,
-                                     ids[s:e].tobytes()))
+                        rows.append((False, name[0], *name, doc_id, 0, ids[s:e].tobytes()))
                         continue
                     digests = digests or Digests(ids)
                     at = np.arange(s, e - window + 1)
-                    for start, digest in zip(at.tolist(), digests.of(at, at + window)
-                                             .view(np.int64).tolist()):
-                        rows.append((True, digest, doc_id, key, start, None))
-            kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                    rows += [(True, digest, *name, doc_id, i, None) for i, digest in
+                             enumerate(digests.of(at, at + window).view(np.int64).tolist())]
+            kinds = (pa.bool_(), *[pa.int64()] * 5, pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-                ["hot", "key", "doc_id", "row_key", "s", "words"])
+                ["hot", "key", "anchor", "content", "doc_id", "at", "words"])
 
     joined = join_sized(texts, lists, ["doc_id", "row_key"], "inner", ROWS, F.size("parts"))
-    return joined.select("doc_id", "row_key", "text", "parts").mapInArrow(
-        run, "hot boolean, key long, doc_id long, row_key long, s long, words binary")
+    return joined.select("doc_id", "text", "parts").mapInArrow(
+        run, "hot boolean, key long, anchor long, content long, doc_id long, at long, words binary")
 
 
 def _search(window: int):
@@ -191,18 +190,15 @@ def _search(window: int):
         segments = [np.frombuffer(x, np.uint64) for x in frame["words"]]
         _, owners = np.unique(frame["doc_id"], return_inverse=True)
         spans = shared_spans(segments, owners, window)
-        counts = [len(x) for x in spans]
-        at = np.repeat(np.arange(len(frame)), counts)
+        at = np.repeat(np.arange(len(frame)), [len(x) for x in spans])
         found = np.array([p for x in spans for p in x], np.int64).reshape(-1, 2)
-        start = frame["s"].to_numpy()[at]
-        return pd.DataFrame({"doc_id": frame["doc_id"].to_numpy()[at],
-                             "row_key": frame["row_key"].to_numpy()[at],
-                             "s": start + found[:, 0], "e": start + found[:, 1]})
+        return pd.DataFrame({**{c: frame[c].to_numpy()[at] for c in ("anchor", "content", "doc_id")},
+                             "rs": found[:, 0], "re": found[:, 1]})
 
     return run
 
 
-SPANS = "doc_id long, row_key long, s long, e long"
+FOUND = "anchor long, content long, doc_id long, rs long, re long"
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -223,18 +219,23 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        ["anchor", "content"])
               .where("doc_id > first").select("doc_id", "row_key", "s", "e"))
     owned = (contents.where("contents > 1")
-             .select("anchor", (F.col("contents") > HOT).alias("hot"), "own.*"))
+             .select("anchor", "content", (F.col("contents") > HOT).alias("hot"), "own.*"))
     rows = store(_owned_rows(texts, owned, window), "owners")
     cold = rows.where(~F.col("hot"))
     words = cold.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     shards = max(1, math.ceil(words / 8 / SHARD))
     matched = (cold.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-               .groupBy("shard").applyInPandas(_search(window), SPANS))
+               .select("shard", "anchor", "content", "doc_id", "words")
+               .groupBy("shard").applyInPandas(_search(window), FOUND))
     windows = rows.where("hot")
     least = windows.groupBy("key").agg(F.min("doc_id").alias("first"))
-    single = (windows.join(least, "key").where("doc_id > first")
-              .select("doc_id", "row_key", "s", (F.col("s") + window).alias("e")))
-    return copies.unionByName(matched).unionByName(single)
+    single = windows.join(least, "key").where("doc_id > first").select(
+        "anchor", "content", "doc_id", F.col("at").alias("rs"), (F.col("at") + window).alias("re"))
+    # the owner may have its segment in several places
+    owners = met.join(matched.unionByName(single), ["anchor", "content", "doc_id"]).select(
+        "doc_id", "row_key", (F.col("s") + F.col("rs")).alias("s"),
+        (F.col("s") + F.col("re")).alias("e"))
+    return copies.unionByName(owners)
 
 
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, window: int, *more) -> DataFrame:
@@ -271,7 +272,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, data, spans in zip(batch.column("__id").to_pylist(), raw_bytes(batch),
                                            batch.column("spans").to_pylist()):
@@ -295,17 +296,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """All rows of ``docs`` with the repeated words taken out of the text: a
     text that loses words becomes its kept words joined by one space (empty if
     none is left), the others stay as they are."""
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("string")
+    @F.arrow_udf("string", F.ArrowUDFType.SCALAR)
     def cut(texts, spans):
-        import pandas as pd
+        import pyarrow as pa
 
-        return pd.Series([t if s is None else b" ".join(kept_words(t.encode(), s)[0]).decode()
-                          for t, s in zip(texts, spans)], dtype=object)
+        out: list = []
+        for i in range(0, len(texts), 256):
+            out += [t if s is None else b" ".join(kept_words(t.encode(), s)[0]).decode()
+                    for t, s in zip(texts.slice(i, 256).to_pylist(),
+                                    spans.slice(i, 256).to_pylist())]
+        return pa.array(out, pa.string())
 
     rows = _with_spans(docs, id_col, text_col, window,
-                       F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+                       whole_row(docs).alias("row"))
     rows = rows.withColumn("text", cut("text", "spans"))
     return rows.select(*[F.col("text").alias(c) if c == text_col
                          else F.col("row").getField(c).alias(c) for c in docs.columns])

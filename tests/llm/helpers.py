@@ -5,12 +5,12 @@ import random
 import re
 
 SCHEMA = "doc_id long, text string, lang string, source string, kept boolean, score double, " \
-         "row string, n_words long, piece string, spans string"
+         "row string, n_words long, piece string, spans string, `a.b` string"
 
 
 def frame(spark, rows):
     """documents with clashing extra columns; rows are (doc_id, text[, lang])."""
-    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", None, None, 2.0, "row", -1, "p", None)
+    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", None, None, 2.0, "row", -1, "p", None, "dot")
             for r in rows]
     return spark.createDataFrame(full, SCHEMA).repartition(3)
 

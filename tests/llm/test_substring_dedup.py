@@ -56,6 +56,16 @@ def test_hot_anchors_and_random_mosaics(spark, monkeypatch, hot):
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [0, 1000])
+def test_passage_many_times_in_a_row(spark, monkeypatch, hot):
+    monkeypatch.setattr(S, "HOT", hot)
+    passage = prose(7, 55)
+    rows = [(1, prose(8, 40) + " " + passage + " " + prose(9, 40)),
+            (2, prose(10, 30) + f" {passage}" * 13 + " " + prose(11, 20)),
+            (2, f"{passage} " * 3), (3, f"{passage} " * 5 + prose(12, 20))]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_small_windows(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(0, 40)))) for i in range(25)]
