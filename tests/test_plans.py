@@ -1,7 +1,5 @@
 """Plan shapes that the scale design relies on."""
 
-import tempfile
-
 from corvid.operators import graph as G
 from corvid.operators import matrix as M
 from corvid.operators.ratings import rating_histogram
