@@ -117,7 +117,10 @@ def benchmark_contexts(bench: DataFrame, id_col: str = "item_id",
                           words(F.col(text_col)).alias("__words"))
              .where(F.col("__item").isNotNull() & (F.size("__words") > 0)))
     long_items = _fingerprints(items.where(F.size("__words") >= WINDOW), [])
-    placed = (long_items.select("__item", "__words", F.explode("__fps").alias("__c"))
+    # outer: from a plain explode the optimizer infers a filter on the array's
+    # size and pushes it below, with the whole chain of hashes written out
+    placed = (long_items.select("__item", "__words", F.explode_outer("__fps").alias("__c"))
+              .where(F.col("__c").isNotNull())
               .withColumn("__p", F.col("__c").bitwiseAND(F.lit(POSITION)).cast("int")))
     wings = WINDOW - K
     full = placed.select(
@@ -168,10 +171,11 @@ def scan(docs: DataFrame, contexts: DataFrame, id_col: str = "doc_id",
     for block in range(blocks):
         # a null fingerprint stands for the document itself, once
         fps = F.concat(F.array(F.lit(None).cast("long")), F.col("__fps")) if block == 0 \
-            else F.col("__fps")
+            else F.when(F.size("__fps") > 0, F.col("__fps")).otherwise(
+                F.array(F.lit(0).cast("long")))
         some = keys.where(F.pmod(F.xxhash64("fp"), F.lit(blocks)) == block) \
             .withColumn("__known", F.lit(True))
-        rows = (cut.select(*kept, "n_words", "__words", F.explode(fps).alias("__c"))
+        rows = (cut.select(*kept, "n_words", "__words", F.explode_outer(fps).alias("__c"))
                 .withColumn("fp", _key(F.col("__c")))
                 .join(F.broadcast(some), "fp", "left")  # at most BLOCK keys
                 .where(F.col("__c").isNull() | F.col("__known")))
