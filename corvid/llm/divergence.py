@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.llm.common import WordIds, gram_hashes, raw_bytes, text_frame
+from corvid.llm.common import WordIds, gram_hashes, raw_bytes, slices, text_frame
 from corvid.llm.textstats import (CLASSES, WHITE, byte_counts, class_matrix, dup_lines,
                                   repeat_cover)
 
@@ -52,7 +52,7 @@ def references(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                                                       pa.binary(), pa.int64()))],
                 ["lang", "kind", "item", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             langs = batch.column("lang").to_pylist()
             joined = defaultdict(list)
             for lang, data in zip(langs, raw_bytes(batch)):
@@ -128,7 +128,7 @@ def judge(docs: DataFrame, refs: dict, id_col: str = "doc_id", text_col: str = "
         owns = word_refs > 0
         owns[:, -1] = True
         word_refs[:, -1] = np.clip(1 - word_refs.sum(1), 0, 1)
-        for batch in batches:
+        for batch in slices(batches):
             out = {k: [] for k in OUT}
             for doc_id, data in zip(batch.column("doc_id").to_pylist(), raw_bytes(batch)):
                 data = data or b""

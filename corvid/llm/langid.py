@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import fold, mix64, store, text_frame
+from corvid.llm.common import fold, mix64, slices, store, text_frame
 
 CHUNK = 24
 SLICE = 4_000  # chunks whose lattices are built at once
@@ -215,7 +215,7 @@ def word_counts(frame: DataFrame) -> DataFrame:
                 [pa.array([x[i] for x in found], kind) for i, kind in
                  enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "word", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text in zip(batch.column("lang").to_pylist(),
                                   batch.column("text").to_pylist()):
                 words[lang].update(letter_words(text or ""))
@@ -325,7 +325,7 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
         import pyarrow as pa
 
         langs, known = model["langs"], None
-        for batch in batches:
+        for batch in slices(batches):
             known = known if known is not None else WordScores(model)
             texts = [letter_words(t or "") for t in batch.column("text").to_pylist()]
             found, scores = [], []

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from corvid.llm.common import WordIds, gram_hashes, raw_bytes, text_frame
+from corvid.llm.common import WordIds, gram_hashes, raw_bytes, slices, text_frame
 
 K, WINDOW, BAND = 3, 3, 12
 OUT = "doc_id long, license string, start long, end long, matched long, template_words long, " \
@@ -149,7 +149,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None,
         sieve = np.zeros(1 << 16, bool)
         for _, value in index:
             sieve[value & 0xFFFF] = True
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, data in zip(batch.column("doc_id").to_pylist(), raw_bytes(batch)):
                 words = words_of(data)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.common import (NO_ID, WordIds, drop_rows, gram_hashes, join_sized, mix64, raw_bytes,
-                               store)
+                               slices, small_batches, store)
 from corvid.llm.components import connected_components
 
 SHINGLE = 5
@@ -46,7 +46,7 @@ MARGIN = 0.175
 BUCKET = 4_000
 MEMBERS = 300
 FIRST_HUBS, HUBS = 64, 4_096
-SET_WORDS = 2_000_000
+SET_WORDS = 1_000_000
 WIDE = 1_000_000  # rows of the key tables that may be broadcast
 
 
@@ -112,8 +112,8 @@ def band_keys(values):
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.xxhash64(text).alias("row_key"), text.alias("text"))
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"),
+                                      F.xxhash64(text).alias("row_key"), text.alias("text"))
 
 
 def signatures(texts: DataFrame) -> DataFrame:
@@ -124,7 +124,7 @@ def signatures(texts: DataFrame) -> DataFrame:
         import xxhash
 
         known, seed = WordIds(), seeds()
-        for batch in batches:
+        for batch in slices(batches):
             sizes, digests, sigs, bands = [], [], [], []
             for data in raw_bytes(batch):
                 found = shingle_set(data, known)
@@ -395,7 +395,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         import pyarrow as pa
 
         known = WordIds()
-        for batch in batches:
+        for batch in slices(batches):
             found = [shingle_set(data, known).tobytes() for data in raw_bytes(batch)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("comp", "members", "cid", "n")),

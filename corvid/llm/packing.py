@@ -24,7 +24,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import store, text_frame
+from corvid.llm.common import slices, store, text_frame
 
 GROUP = 65_536
 TOKENIZER = "byte_bpe_50k.json"
@@ -91,7 +91,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             _ENCODERS[where] = Encoder(*where)
         encode = _ENCODERS[where]
         end = np.array([end_id], "<u4")
-        for batch in batches:
+        for batch in slices(batches):
             rows = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
             for doc_id, text in zip(batch.column("doc_id").to_pylist(),
                                     batch.column("text").to_pylist()):

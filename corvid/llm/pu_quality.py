@@ -27,7 +27,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import WordIds, fold, gram_hashes, raw_bytes, text_frame
+from corvid.llm.common import (WordIds, fold, gram_hashes, raw_bytes, slices, small_batches,
+                               text_frame)
 from corvid.llm.textstats import CLASSES, byte_counts, class_matrix, class_of_byte, repeat_cover
 
 SAMPLE = 20_000
@@ -78,7 +79,7 @@ def features(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         ids, of_byte, matrix = WordIds(), class_of_byte(), class_matrix()
-        for batch in batches:
+        for batch in slices(batches):
             x = [describe(data or b"", ids, of_byte, matrix) for data in raw_bytes(batch)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
@@ -177,7 +178,7 @@ def score_quality(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col
         import pyarrow as pa
 
         ids, of_byte, matrix = WordIds(), class_of_byte(), class_matrix()
-        for batch in batches:
+        for batch in slices(batches):
             x = [describe(data or b"", ids, of_byte, matrix) for data in raw_bytes(batch)]
             if "constant" in model:
                 scores = np.full(len(x), model["constant"])
@@ -197,17 +198,19 @@ def score_quality(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col
 def keep_quality(docs: DataFrame, model: dict, text_col: str = "text",
                  threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` (all its columns) that the classifier accepts."""
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("double")
+    @F.arrow_udf("double", F.ArrowUDFType.SCALAR)
     def score(texts):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        ids, of_byte, matrix = WordIds(), class_of_byte(), class_matrix()
         if "constant" in model:
-            return pd.Series(np.full(len(texts), model["constant"]))
-        x = [describe((t or "").encode(), ids, of_byte, matrix) for t in texts]
-        return pd.Series(network_score(model, np.array(x).reshape(-1, N_FEATURES)))
-
-    return docs.where(score(F.col(text_col).cast("string")) >= threshold)
+            return pa.array(np.full(len(texts), model["constant"]))
+        ids, of_byte, matrix = WordIds(), class_of_byte(), class_matrix()
+        out = [np.empty(0)]
+        for i in range(0, len(texts), 256):
+            x = [describe((t or "").encode(), ids, of_byte, matrix)
+                 for t in texts.slice(i, 256).to_pylist()]
+            out.append(network_score(model, np.array(x).reshape(-1, N_FEATURES)))
+        return pa.array(np.concatenate(out), pa.float64())
+
+    return small_batches(docs).where(score(F.col(text_col).cast("string")) >= threshold)

@@ -32,7 +32,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import fold, raw_bytes, text_frame
+from corvid.llm.common import fold, raw_bytes, slices, text_frame
 
 SAMPLE = 4_000
 LEXICON = 20_000
@@ -65,7 +65,7 @@ def char_model(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"):
         of[ord("A"):ord("Z") + 1] = np.arange(1, 27)
         of[0xC0:] = 27
         sums = np.zeros(A ** 3, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for data in raw_bytes(batch):
                 if data:
                     raw = np.frombuffer(data, np.uint8)
@@ -195,7 +195,7 @@ def _supports(frame: DataFrame, logp, only: set | None) -> DataFrame:
         import pyarrow as pa
 
         restored = Restored(logp)
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for i in range(0, len(texts), SLICE):
                 found: list | dict = [] if only is not None else {}
@@ -277,7 +277,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         import pyarrow as pa
 
         evidence = Evidence(model)
-        for batch in batches:
+        for batch in slices(batches):
             x = [evidence.of(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array([a for a, _ in x], pa.float64()),
@@ -312,7 +312,7 @@ def score_toxicity(docs: DataFrame, model: dict, id_col: str = "doc_id", text_co
         import pyarrow as pa
 
         evidence, (a, b, c) = Evidence(model), model["line"]
-        for batch in batches:
+        for batch in slices(batches):
             scores = []
             for text in batch.column("text").to_pylist():
                 top, total = evidence.of(text)

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corvid.llm.common import join_sized, new_path, store
+from corvid.llm.common import join_sized, new_path, slices, small_batches, store
 
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
@@ -75,7 +75,7 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
     """(file, block, value): the bytes between magics, in file order within a
     split; the first chunk of a file is what precedes its first magic."""
-    return (spark.read.option("lineSep", MAGIC).text(path)
+    return (small_batches(spark.read.option("lineSep", MAGIC).text(path))
             .select(F.col("_metadata.file_path").alias("file"),
                     F.col("_metadata.file_block_start").alias("block"),
                     F.col("value").cast("binary").alias("value")))
@@ -136,7 +136,7 @@ def _candidates(batches):
     def total():
         return {"file": where[0], "block": where[1], "total": offset}
 
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for file, block, chunk in zip(*(batch.column(c).to_pylist()
                                         for c in ("file", "block", "value"))):
@@ -213,7 +213,7 @@ def _pieces(batches):
     import pyarrow as pa
 
     where, offset = None, 0
-    for batch in batches:
+    for batch in slices(batches):
         ats, column = [], batch.column("value").to_pylist()
         for file, block, chunk in zip(batch.column("file").to_pylist(),
                                       batch.column("block").to_pylist(), column):
