@@ -4,9 +4,10 @@ A window is ``window`` consecutive words of one document; a word goes when it
 lies in a window whose words also start in a document with a smaller id.
 
 1. Anchors. Of the ``window - GRAM + 1`` grams of ``GRAM`` words in a window the
-   one with the smallest hash (leftmost of equals) is its anchor, so equal
-   windows have equal anchors at equal places. The consecutive windows with
-   one anchor form a segment. Anchors met in one document only are dropped.
+   smallest hash is its anchor, so equal windows have equal anchors. Consecutive
+   windows with one anchor form a segment, of ``LONGEST`` windows at most (a
+   repeated line has the same anchor all along). Anchors met in one document
+   only are dropped.
 2. Copies. Segments with the same words have the smallest document as their
    owner; in every other document all their words go. No search is needed.
 3. Shards. What remains are different segments around one anchor. The owners'
@@ -45,7 +46,7 @@ GRAM = 20
 HOT = 1_000
 SHARD = 400_000
 BLOCK = 1 << 22  # windows of one document handled at once
-PLACES = (1 << 24) - 1
+LONGEST = 64  # windows of a segment
 ROWS = 1_000_000
 _BASE = 0x9E3779B97F4A7C15
 
@@ -98,18 +99,21 @@ def segments_of(ids, window: int):
     grams, digests = gram_hashes(ids, gram), Digests(ids)
     width, parts = window - gram + 1, []
     for at in range(0, len(ids) - window + 1, BLOCK):
-        here = grams[at:at + BLOCK + width - 1]
-        key = (here & np.uint64(~PLACES & (1 << 64) - 1)) | np.arange(len(here), dtype=np.uint64)
+        least = grams[at:at + BLOCK + width - 1]
         span = 1
         while 2 * span <= width:
-            key = np.minimum(key[:-span], key[span:])
+            least = np.minimum(least[:-span], least[span:])
             span *= 2
         if span < width:
-            key = np.minimum(key[:len(key) - (width - span)], key[width - span:])
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        last = np.append(first[1:], len(key)) - 1
-        place = at + (key[first] & np.uint64(PLACES)).astype(np.int64)
-        parts.append((grams[place], at + first, at + last + window))
+            least = np.minimum(least[:len(least) - (width - span)], least[width - span:])
+        first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        last = np.append(first[1:], len(least))
+        cuts = -(-(last - first) // LONGEST)  # pieces of each run
+        run = np.repeat(np.arange(len(first)), cuts)
+        piece = np.arange(len(run)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+        begin = first[run] + LONGEST * piece
+        stop = np.minimum(begin + LONGEST, last[run])
+        parts.append((least[begin], at + begin, at + stop - 1 + window))
     anchor, start, end = (np.concatenate(x) for x in zip(*parts))
     return anchor, digests.of(start, end), start, end
 
