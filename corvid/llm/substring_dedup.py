@@ -242,10 +242,30 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return copies.unionByName(owners)
 
 
+def _joined(batches):
+    """Sorted intervals of each row, with those that meet made one."""
+    import pyarrow as pa
+
+    for batch in slices(batches, 1024):
+        out = []
+        for spans in batch.column("spans").to_pylist():
+            joined: list = []
+            for x in spans:
+                if joined and x["s"] <= joined[-1]["e"]:
+                    joined[-1]["e"] = max(joined[-1]["e"], x["e"])
+                else:
+                    joined.append({"s": x["s"], "e": x["e"]})
+            out.append(joined)
+        kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("row_key"), pa.array(out, kind)],
+            ["doc_id", "row_key", "spans"])
+
+
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, window: int, *more) -> DataFrame:
-    spans = store(repeated_spans(docs, id_col, text_col, window)
-                  .groupBy("doc_id", "row_key")
-                  .agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans")), "spans")
+    lists = (repeated_spans(docs, id_col, text_col, window).groupBy("doc_id", "row_key")
+             .agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans")))
+    spans = store(lists.mapInArrow(_joined, lists.schema), "spans")
     spans = spans.select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), "spans")
     text = F.col(text_col).cast("string")
     texts = docs.select(F.col(id_col).cast("long").alias("__id"),
