@@ -9,27 +9,33 @@ score, and ``score`` its posterior under equal priors.
 
 Learning: words are counted per language over *all* learning rows, then
 expectation-maximisation over all segmentations re-estimates the piece
-probabilities. Both the counting and the E-step run as Spark jobs; only the
-tables piece x language (vocabulary-bounded) and the language counts reach the
-driver.
+probabilities. Both the counting and the E-step run as Spark jobs. Every
+language of the learning rows is learnt, whatever its share: languages are
+taken in blocks of ``LANGS`` in order, and only the names and the table piece x
+language of one block are on the driver. The sums of the last E-step are kept
+as stored tables (piece, lang, n). Scoring is a scan for each block; with
+several blocks the best language and the sum of likelihoods of each text are
+put together by id and text.
 
 Words are the runs of letters of the lower-cased text, in chunks of at most
 ``CHUNK`` characters. Defined results: a text that is null or has no letter
 is ``und`` with score 0; without any learnt language every text is ``und``;
-ties go to the language first in order; languages with less than a
-2,000th of the learning rows are not learnt (so that at most 2,000 models
-exist); a null id counts as neither held out nor learning.
+ties go to the language first in order; a null id counts as neither held out
+nor learning.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvid.llm.common import fold, mix64, slices, store, text_frame
 
 CHUNK = 24
-SLICE = 4_000  # chunks whose lattices are built at once
+SLICE = 4_000  # chunks whose lattices are built at once, of up to 8 languages
+LANGS = 64  # languages that are learnt and scored at once
 FLUSH = 400_000
 SPACE = "▁"
 
@@ -227,29 +233,51 @@ def word_counts(frame: DataFrame) -> DataFrame:
             .groupBy("lang", "word").agg(F.sum("n").alias("n")))
 
 
-def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  lang_col: str = "lang", mod: int = 3, held: int = 1, rounds: int = 2,
-                  vocabulary_path: str | None = None) -> dict:
-    """{"langs": [...], "p": [piece + 1, lang]} learnt from all learning rows."""
+def language_blocks(langs: DataFrame, size: int):
+    """The languages in order, in lists of at most ``size``."""
+    rest = langs
+    while found := [r["lang"] for r in rest.orderBy("lang").limit(size).collect()]:
+        yield found
+        if len(found) < size:
+            return
+        rest = langs.where(F.col("lang") > found[-1])
+
+
+def lattice_slice(langs: int) -> int:
+    return max(1, SLICE * 8 // max(8, langs))
+
+
+def first_guess(size: int, langs: int):
+    """By rank in the public vocabulary, the same for all languages."""
     import numpy as np
 
-    learn = (text_frame(docs, id_col, text_col, F.col(lang_col).cast("string").alias("lang"))
-             .where((fold("doc_id", mod) != held) & F.col("lang").isNotNull()))
-    pieces = vocabulary(vocabulary_path)
-    total = learn.count()
-    langs = sorted(r["lang"] for r in learn.groupBy("lang").count()
-                   .where(F.col("count") >= max(1, total / 2_000)).collect())
-    if not langs:
-        return {"langs": [], "p": np.zeros((len(pieces) + 1, 0))}
-    counts = (word_counts(learn.where(F.col("lang").isin(langs)).select("lang", "text"))
-              .groupBy("word").agg(F.collect_list(F.struct("lang", "n")).alias("by")))
-    counts = store(counts, "words")  # one row per distinct word, at most len(langs) entries each
-    at = {g: i for i, g in enumerate(langs)}
-    # first guess: by rank in the public vocabulary, the same for all languages
-    p = np.repeat(1.0 / (np.arange(len(pieces) + 1) + 100.0)[:, None], len(langs), 1)
+    p = np.repeat(1.0 / (np.arange(size + 1) + 100.0)[:, None], langs, 1)
     p[-1] = 1e-9
-    p /= p.sum(0)
+    return p / p.sum(0)
+
+
+def shares(sums: DataFrame, size: int, langs: int):
+    """p [size + 1, language] from expected counts (piece, lang, n)."""
+    import numpy as np
+
+    found = sums.toPandas()
+    q = np.zeros((size + 1, langs))
+    q[found["piece"], found["lang"]] = found["n"]
+    q += 0.01  # smoothing; also the unknown character's share
+    return q / q.sum(0)
+
+
+def fit_block(counts: DataFrame, langs: list[str], pieces: dict[str, int],
+              rounds: int) -> DataFrame | None:
+    """Stored sums (piece, number in ``langs``, n) of the last of ``rounds``
+    E-steps over ``counts`` (word, by)."""
+    import numpy as np
+
+    at, step = {g: i for i, g in enumerate(langs)}, lattice_slice(len(langs))
+    p, sums = first_guess(len(pieces), len(langs)), None
     for _ in range(rounds):
+        if sums is not None:
+            p = shares(sums, len(pieces), len(langs))
 
         def expect(batches, p=p):
             import pyarrow as pa
@@ -265,21 +293,50 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     own = chunks(word)
                     parts += own
                     weights += [w] * len(own)
-                for i in range(0, len(parts), SLICE):
-                    lattice = Lattices(lookup, parts[i:i + SLICE])
-                    sums += lattice.expected(p, np.array(weights[i:i + SLICE]))
+                for i in range(0, len(parts), step):
+                    lattice = Lattices(lookup, parts[i:i + step])
+                    sums += lattice.expected(p, np.array(weights[i:i + step]))
             rows, cols = np.nonzero(sums)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.int32()), pa.array(cols, pa.int32()),
                  pa.array(sums[rows, cols], pa.float64())], ["piece", "lang", "n"])
 
-        found = (counts.mapInArrow(expect, "piece int, lang int, n double")
-                 .groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas())
-        q = np.zeros_like(p)
-        q[found["piece"], found["lang"]] = found["n"]
-        q += 0.01  # smoothing; also the unknown character's share
-        p = q / q.sum(0)
-    return {"langs": langs, "p": p, "pieces": vocabulary_path}
+        sums = store(counts.mapInArrow(expect, "piece int, lang int, n double")
+                     .groupBy("piece", "lang").agg(F.sum("n").alias("n")), "piece-sums")
+    return sums
+
+
+def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  lang_col: str = "lang", mod: int = 3, held: int = 1, rounds: int = 2,
+                  vocabulary_path: str | None = None, block: int | None = None) -> dict:
+    """The languages, and the expected piece counts of each ``block`` of them,
+    as stored tables, learnt from all learning rows."""
+    block = block or LANGS
+    learn = (text_frame(docs, id_col, text_col, F.col(lang_col).cast("string").alias("lang"))
+             .where((fold("doc_id", mod) != held) & F.col("lang").isNotNull())
+             .select("lang", "text"))
+    pieces = vocabulary(vocabulary_path)
+    langs = store(learn.select("lang").distinct(), "languages")
+    several = langs.count() > block
+    counts = word_counts(learn)
+    if several:  # sorted, so that a block reads its own languages only
+        counts = store(counts.sortWithinPartitions("lang"), "words-by-language")
+    sums = []
+    for names in language_blocks(langs, block):
+        own = counts.where(F.col("lang").between(names[0], names[-1])) if several else counts
+        own = own.groupBy("word").agg(F.collect_list(F.struct("lang", "n")).alias("by"))
+        # one row per distinct word, at most len(names) entries each
+        sums.append(fit_block(store(own, "words"), names, pieces, rounds))
+    return {"langs": langs, "block": block, "sums": sums, "size": len(pieces),
+            "pieces": vocabulary_path}
+
+
+def models(model: dict):
+    """{"langs": [...], "p": [piece + 1, lang]} of one block after the other."""
+    for names, sums in zip(language_blocks(model["langs"], model["block"]), model["sums"]):
+        p = (first_guess(model["size"], len(names)) if sums is None
+             else shares(sums, model["size"], len(names)))
+        yield {"langs": names, "p": p, "pieces": model["pieces"]}
 
 
 class WordScores(dict):
@@ -294,11 +351,13 @@ class WordScores(dict):
         super().__init__()
         self.p, self.pieces = model["p"], Pieces(vocabulary(model.get("pieces")))
         self.rows = np.zeros((1024, len(model["langs"])))
+        self.limit = self.LIMIT * 16 // max(16, len(model["langs"]))
+        self.step = lattice_slice(len(model["langs"]))
 
     def learn(self, words: set[str]) -> None:
         import numpy as np
 
-        if len(self) + len(words) > self.LIMIT:
+        if len(self) + len(words) > self.limit:
             self.clear()
         new = [w for w in words if w not in self]
         while len(self) + len(new) > len(self.rows):
@@ -309,17 +368,20 @@ class WordScores(dict):
             parts += own
             owners += [k] * len(own)
         sums = np.zeros((len(new), self.rows.shape[1]))
-        for i in range(0, len(parts), SLICE):
-            lattice = Lattices(self.pieces, parts[i:i + SLICE])
+        for i in range(0, len(parts), self.step):
+            lattice = Lattices(self.pieces, parts[i:i + self.step])
             logs = np.log(np.maximum(lattice.totals(lattice.forward(self.p)), 1e-300))
-            np.add.at(sums, owners[i:i + SLICE], logs)
+            np.add.at(sums, owners[i:i + self.step], logs)
         self.rows[len(self):len(self) + len(new)] = sums
         for w in new:
             self[w] = len(self)
 
 
-def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
-             mod: int = 3, held: int = 1) -> DataFrame:
+def _scores(model: dict):
+    """Per text of a frame with ``doc_id``, ``held_out`` and ``key``: the best
+    of the model's languages, its log likelihood ``top``, and the sum ``rest``
+    of all likelihoods as multiples of it (0 if no language can be told)."""
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -328,25 +390,53 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
         for batch in slices(batches):
             known = known if known is not None else WordScores(model)
             texts = [letter_words(t or "") for t in batch.column("text").to_pylist()]
-            found, scores = [], []
+            found, tops, rests = [], [], []
             for i in range(0, len(texts), 256):
                 some = texts[i:i + 256]
                 known.learn({w for words in some for w in words})
                 for words in some:
                     if not words or not langs:
                         found.append("und")
-                        scores.append(0.0)
+                        tops.append(0.0)
+                        rests.append(0.0)
                         continue
                     at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
                     total = known.rows[at].sum(0)
                     best = int(total.argmax())
                     found.append(langs[best])
-                    scores.append(float(1 / np.exp(np.clip(total - total[best], -700, 0)).sum()))
+                    tops.append(float(total[best]))
+                    rests.append(float(np.exp(np.clip(total - total[best], -700, 0)).sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(found, pa.string()),
-                 pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
+                [batch.column("doc_id"), batch.column("held_out"), batch.column("key"),
+                 pa.array(found, pa.string()), pa.array(tops, pa.float64()),
+                 pa.array(rests, pa.float64())],
+                ["doc_id", "held_out", "key", "lang_pred", "top", "rest"])
+
+    return run
 
+
+def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
+             mod: int = 3, held: int = 1) -> DataFrame:
+    schema = "doc_id long, held_out boolean, key long, lang_pred string, top double, rest double"
     frame = text_frame(docs, id_col, text_col)
-    frame = frame.withColumn("held_out", F.coalesce(fold("doc_id", mod) == held, F.lit(False)))
-    return frame.mapInArrow(
-        run, "doc_id long, held_out boolean, lang_pred string, score double")
+    frame = (frame.withColumn("held_out", F.coalesce(fold("doc_id", mod) == held, F.lit(False)))
+             .withColumn("key", F.xxhash64("text")))
+    if len(model["sums"]) < 2:
+        none = {"langs": [], "p": first_guess(model["size"], 0), "pieces": model["pieces"]}
+        found = frame.mapInArrow(_scores(next(models(model), none)), schema)
+    else:
+        found = reduce(DataFrame.unionByName, [
+            store(frame.mapInArrow(_scores(own), schema), "scores").withColumn("block", F.lit(k))
+            for k, own in enumerate(models(model))])
+        row = ["doc_id", "held_out", "key"]
+        found = found.groupBy(*row, "block").agg(
+            F.min(F.struct((-F.col("top")).alias("low"), "lang_pred", "rest")).alias("best"),
+            F.count("*").alias("n"))
+        found = (found.groupBy(*row).agg(F.collect_list("best").alias("by"), F.max("n").alias("n"))
+                 .withColumn("best", F.array_min("by"))
+                 .withColumn("rest", F.aggregate("by", F.lit(0.0), lambda total, x: total
+                             + x["rest"] * F.exp(F.col("best.low") - x["low"])))
+                 .select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n")))  # repeated rows
+                 .select(*row, "best.lang_pred", "rest"))
+    score = F.when(F.col("rest") > 0, 1 / F.col("rest")).otherwise(0.0)
+    return found.select("doc_id", "held_out", "lang_pred", score.alias("score"))

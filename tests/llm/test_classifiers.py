@@ -5,7 +5,7 @@ import zlib
 import pytest
 
 from corvid.llm import langid, pu_quality, toxicity
-from corvid.llm.common import table
+from corvid.llm.common import store, table
 from tests.llm.helpers import frame, prose
 
 SF = "/root/testdata/sf0.01"
@@ -158,6 +158,31 @@ def test_language(spark, tables):
     assert {r["lang_pred"] for r in langid.identify(docs, none).collect()} == {"und"}
 
 
+def test_every_language_is_learnt(spark):
+    rare = "zyxo vuqa zyxo quva xozy vaqu zyxo"
+    rows = [(i, f"the house and the garden {i % 7}", "en") for i in range(8_000)]
+    rows += [(10_000 + i, rare, "rare") for i in range(4)]
+    docs = frame(spark, rows)
+    got = langid.identify(docs, langid.fit_languages(docs)).where("doc_id >= 10000").collect()
+    assert len(got) == 4 and {r["lang_pred"] for r in got} == {"rare"}
+
+
+def test_blocks_of_languages(spark, tables):
+    docs, _ = tables
+    docs = docs.select("doc_id", "text", "lang").limit(300)
+    docs = store(docs.unionByName(docs.limit(5)).unionByName(
+        frame(spark, AWKWARD).select("doc_id", "text", "lang")), "docs")
+
+    def run(block):
+        got = langid.identify(docs, langid.fit_languages(docs, block=block)).collect()
+        return sorted(((r["doc_id"], r["lang_pred"], r["held_out"], r["score"]) for r in got),
+                      key=str)
+
+    whole, parts = run(64), run(1)
+    assert [x[:3] for x in whole] == [x[:3] for x in parts] and len(whole) == docs.count()
+    assert [x[3] for x in whole] == pytest.approx([x[3] for x in parts], abs=1e-6)
+
+
 def test_forward_sums_all_segmentations():
     import itertools
 
