@@ -22,8 +22,9 @@ together in one task, and no other is.
 Defined results: null html is an empty payload; a page without an id is a
 record without an id (null when read back) and a revisit if an equal payload
 has an id; repeated rows are records each; line breaks in a url become spaces;
-an empty table gives no records. A chain that meets bytes which are no record
-ends there, the rest of that file is left out.
+an empty table gives no records; a header may have any length. A chain that
+meets bytes which are no record ends there, the rest of that file is left out,
+or with ``whole`` the read fails: ``round_trip`` loses no page silently.
 """
 
 from __future__ import annotations
@@ -78,6 +79,7 @@ def _chunks(spark: SparkSession, path: str) -> DataFrame:
     return (small_batches(spark.read.option("lineSep", MAGIC).text(path))
             .select(F.col("_metadata.file_path").alias("file"),
                     F.col("_metadata.file_block_start").alias("block"),
+                    F.col("_metadata.file_size").alias("size"),
                     F.col("value").cast("binary").alias("value")))
 
 
@@ -85,7 +87,7 @@ def parse_header(chunk: bytes) -> dict | None:
     """Header fields of a candidate, with the offset of its block; None if
     there is no complete header with a length."""
     end = chunk.find(b"\r\n\r\n")
-    if end < 0 or end > 65_536:
+    if end < 0:
         return None
     fields = {}
     for line in chunk[:end].split(b"\r\n"):
@@ -112,6 +114,7 @@ def parse_header(chunk: bytes) -> dict | None:
 
 
 _FIELDS = {"file": "string", "block": "long", "at": "long", "next": "long", "total": "long",
+           "size": "long",
            "type": "string", "page_id": "long", "refers_to": "long", "url": "string",
            "told": "string", "told_size": "long", "block_at": "long", "length": "long",
            "sha1": "string"}
@@ -125,7 +128,7 @@ def _candidates(batches):
     import pyarrow as pa
 
     kinds = {"string": pa.string(), "long": pa.int64()}
-    where, offset, first, waiting = None, 0, False, []
+    where, offset, first, waiting, whole = None, 0, False, [], 0
     step = len(MAGIC)
 
     def table(rows):
@@ -134,16 +137,16 @@ def _candidates(batches):
             list(_FIELDS))
 
     def total():
-        return {"file": where[0], "block": where[1], "total": offset}
+        return {"file": where[0], "block": where[1], "total": offset, "size": whole}
 
     for batch in slices(batches):
         rows = []
-        for file, block, chunk in zip(*(batch.column(c).to_pylist()
-                                        for c in ("file", "block", "value"))):
+        for file, block, size, chunk in zip(*(batch.column(c).to_pylist()
+                                              for c in ("file", "block", "size", "value"))):
             if (file, block) != where:
                 if where:
                     rows += [x for x, _, _ in waiting] + [total()]
-                where, offset, waiting = (file, block), 0, []
+                where, offset, waiting, whole = (file, block), 0, [], size
                 first = block == 0
             for entry in waiting:  # payloads that hold the magic go on here
                 more = (MAGIC.encode() + chunk)[:entry[2]]
@@ -239,17 +242,31 @@ def _digest_of_pieces(frame):
         hashlib.sha1(data[skip:skip + length]).hexdigest()]})
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def _check_ends(good: DataFrame, splits: DataFrame) -> None:
+    """Fail if the chain of a file ends before the file does. The totals count
+    a magic behind the last chunk, where only a file cut after a magic has one."""
+    files = splits.groupBy("file").agg(F.sum("total").alias("total"), F.max("size").alias("size"))
+    ends = good.groupBy("file").agg(F.max("next").alias("end"))
+    end = F.coalesce("end", F.lit(0))
+    cut = files.join(ends, "file", "left").where(
+        (end != F.col("total") - len(MAGIC)) | (F.col("total") == F.col("size")))
+    found = cut.select("file", end.alias("end"), "size").orderBy("file").head(1)
+    if found:
+        raise ValueError(f"records of {found[0]['file']} end at byte {found[0]['end']} of "
+                         f"{found[0]['size']}")
+
+
+def read_warc(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     """Verified records: file, at, type, page_id, refers_to, url, length,
     sha1 (of the block), told and told_size (payload digest and size in the
-    header)."""
+    header). With ``whole`` a file that is not records to its end is an error."""
     schema = ", ".join(f"`{k}` {v}" for k, v in _FIELDS.items())
     found = store(_chunks(spark, path).mapInArrow(_candidates, schema), "candidates")
-    bases = store(found.where("total is not null").select("file", "block", "total").withColumn(
+    bases = store(found.where("total is not null").select("file", "block", "total", "size").withColumn(
         "base", F.coalesce(F.sum("total").over(  # a row per split of one file
             Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0))), "splits")
-    placed = (found.where("total is null").drop("total")
+    placed = (found.where("total is null").drop("total", "size")
               .join(bases.select("file", "block", "base"), ["file", "block"])
               .withColumn("at", F.col("at") + F.col("base"))
               .withColumn("next", F.col("next") + F.col("base")).drop("base"))
@@ -264,6 +281,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     real = (links.groupBy("file", "block").cogroup(starts.groupBy("file", "block"))
             .applyInPandas(_follow, link).select("file", "at"))
     good = store(placed.join(real, ["file", "at"], "left_semi"), "records")
+    if whole:
+        _check_ends(good, bases)
     cut = good.where("sha1 is null").select(
         "file", "at", "length", (F.col("at") + len(MAGIC) + F.col("block_at")).alias("start"))
     if cut.head(1):  # at most one record a split goes on beyond it
@@ -293,7 +312,7 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     path = path or new_path(spark, "warc")
     write_warc(pages, path, id_col, url_col, payload_col, least)
     revisit = F.col("type") == "revisit"
-    return read_warc(spark, path).select(
+    return read_warc(spark, path, whole=True).select(
         "page_id",
         F.when(revisit, F.col("told_size")).otherwise(F.col("length")).alias("payload_bytes"),
         F.when(revisit, F.col("told")).otherwise(F.col("sha1")).alias("payload_digest"),

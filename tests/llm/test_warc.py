@@ -58,5 +58,27 @@ def test_chain_ends_at_garbage(spark):
     assert [r["page_id"] for r in warc.read_warc(spark, path).collect()] == [1]
 
 
+@pytest.mark.parametrize("split", ["128m", "3k"])
+def test_long_url(spark, split):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    rows = [(1, "u", "a"), (2, "http://a/" + "x" * 100_000, "b"), (3, "u", "c"), (4, "u", "d")]
+    try:
+        spark.conf.set(key, split)
+        got = warc.round_trip(pages(spark, rows)).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("rest", ["garbage " + FAKE, FAKE[:-9], FAKE[:10], FAKE[:4]])
+def test_whole_files_only(spark, tmp_path, rest):
+    for name, text in (("good", FAKE * 3), ("cut", FAKE * 2 + rest)):
+        (tmp_path / name).write_bytes(text.encode())
+    assert warc.read_warc(spark, str(tmp_path / "good"), whole=True).count() == 3
+    with pytest.raises(ValueError, match="cut end"):
+        warc.read_warc(spark, str(tmp_path), whole=True)
+
+
 def test_empty_table(spark):
     assert warc.round_trip(pages(spark, [])).count() == 0
