@@ -51,6 +51,25 @@ def test_divergence_keeps_good_and_rejects_junk(spark):
     assert sum(r["kept"] for r in junk) <= 0.1 * len(junk)
 
 
+def test_rare_languages_have_references(spark):
+    import random
+
+    def text(seed, words):
+        rng = random.Random(seed)
+        return " ".join(rng.choice(words) for _ in range(120))
+
+    common = [f"{a}{b}" for a in "bcdfghjklm" for b in "aeiou"]
+    rare = [f"{a}{b}{a}" for a in "npqrstvwxz" for b in "aeiou"]
+    rows = [(i, text(i, common), "en") for i in range(2_100)] + [(9_000, text(1, rare), "rare"),
+                                                                 (9_000, text(1, rare), "rare")]
+    docs = frame(spark, rows)
+    whole = sorted(tuple(r) for r in divergence.quality_rules(docs).collect())
+    assert all(r[7] for r in whole if r[0] == 9_000) and len(whole) == len(rows)
+    parts = sorted(tuple(r) for r in divergence.quality_rules(docs, langs=1).collect())
+    assert [r[:8] for r in parts] == [r[:8] for r in whole]
+    assert [x for r in parts for x in r[8:]] == pytest.approx([x for r in whole for x in r[8:]])
+
+
 def test_distance_is_jensen_shannon():
     import numpy as np
     p, q = np.array([0.5, 0.5, 0.0]), np.array([0.25, 0.25, 0.5])
