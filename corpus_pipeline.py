@@ -17,8 +17,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return minhash.drop_near_duplicates(docs)
+    """One document of each group of near copies, of similarity 0.8 or more."""
+    return minhash.drop_near_duplicates(docs, threshold=(8, 10))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

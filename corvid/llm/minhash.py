@@ -2,8 +2,8 @@
 
 1. A document's set is its distinct shingles of ``SHINGLE`` words (one shingle
    if it is shorter). ``HASHES`` minima give a signature that keeps the low
-   four bits of each, packed into words; ``BANDS`` hashes of ``ROWS`` full minima
-   each are the band keys. Documents with equal sets form one class, of which
+   four bits of each, packed into words; hashes of some full minima each are the
+   band keys (``shape``: 22 bands of 5 at the default threshold, 28 of 4 at 0.8). Documents with equal sets form one class, of which
    only one goes on.
 2. Classes that share a band key are compared by their packed signatures: the
    share of equal nibbles (bit counts), corrected for chance collisions,
@@ -19,8 +19,8 @@
    out, and links inside a group are not enumerated.
 
 A pair at the threshold shares no band with probability (1 - 0.85^5)^22 =
-2.5e-6 and falls below the margin (five standard deviations) with 3e-7; pairs
-above it with less. Everything that is reported linked is exact.
+2.5e-6, or (1 - 0.8^4)^28 = 4e-7, and falls below the margin (five standard
+deviations) with 3e-7; pairs above it with less. Everything that is reported linked is exact.
 
 Defined results: null, empty and word-less texts have no shingle, are kept and
 linked with nothing; a row without an id is kept only if no row of its group
@@ -40,9 +40,9 @@ from corvid.llm.common import (NO_ID, WordIds, drop_rows, gram_hashes, join_size
 from corvid.llm.components import connected_components
 
 SHINGLE = 5
-HASHES, ROWS, BANDS = 112, 5, 22
+HASHES = 112
 THRESHOLD = (85, 100)
-MARGIN = 0.175
+MISSED = 1e-5  # share of the pairs at the threshold that may share no band
 BUCKET = 4_000
 MEMBERS = 300
 FIRST_HUBS, HUBS = 64, 4_096
@@ -50,6 +50,16 @@ SET_WORDS = 1_000_000
 WIDE = 1_000_000  # rows of the key tables that may be broadcast
 
 
+def shape(threshold: tuple[int, int]) -> tuple[int, int, float]:
+    """Rows and bands of the band keys (the longest bands that miss ``MISSED``
+    at most) and the margin of the estimate: five standard deviations."""
+    share = threshold[0] / threshold[1]
+    rows = max((r for r in range(1, HASHES + 1)
+                if (1 - share ** r) ** (HASHES // r) <= MISSED), default=1)
+    differ = (1 - share) * 15 / 16
+    return rows, HASHES // rows, 5 * 16 / 15 * math.sqrt(differ * (1 - differ) / HASHES)
+
+
 def shingle_set(data: bytes | None, known: WordIds, size: int = SHINGLE):
     """Sorted distinct 64-bit shingle hashes."""
     import numpy as np
@@ -100,12 +110,12 @@ def estimate(a, b):
     return 1 - differ / HASHES * (16 / 15)
 
 
-def band_keys(values):
+def band_keys(values, rows: int, bands: int):
     import numpy as np
 
-    parts = values[:ROWS * BANDS].reshape(BANDS, ROWS)
-    key = mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
-    for i in range(ROWS):
+    parts = values[:rows * bands].reshape(bands, rows)
+    key = mix64(np.arange(1, bands + 1, dtype=np.uint64))
+    for i in range(rows):
         key = mix64(key ^ parts[:, i])
     return key.view(np.int64)
 
@@ -116,7 +126,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                       F.xxhash64(text).alias("row_key"), text.alias("text"))
 
 
-def signatures(texts: DataFrame) -> DataFrame:
+def signatures(texts: DataFrame, per_band: int, n_bands: int) -> DataFrame:
     """(doc_id, row_key, n_shingles, digest, sig, bands) per row."""
 
     def run(batches):
@@ -137,7 +147,7 @@ def signatures(texts: DataFrame) -> DataFrame:
                 low = minima(found, seed)
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sigs.append(pack(low).tobytes())
-                bands.append(band_keys(low))
+                bands.append(band_keys(low, per_band, n_bands))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("row_key"), pa.array(sizes, pa.int64()),
                  pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()),
@@ -233,7 +243,7 @@ class Sets:
         values, flat = np.unique(np.concatenate(sets), return_inverse=True)
         self.flat, self.mask = flat, np.zeros(len(values), bool)
 
-    def linked(self, one: int, others):
+    def linked(self, one: int, others, threshold):
         """Mask of ``others`` that are linked with ``one``."""
         import numpy as np
 
@@ -242,14 +252,14 @@ class Sets:
         both = np.fromiter((np.count_nonzero(self.mask[self.flat[self.starts[x]:self.starts[x + 1]]])
                             for x in others), np.int64, len(others))
         self.mask[mine] = False
-        return is_linked(both, self.sizes[others], self.sizes[one])
+        return is_linked(both, self.sizes[others], self.sizes[one], threshold)
 
 
-def is_linked(both, size, other):
-    return THRESHOLD[1] * both >= THRESHOLD[0] * (size + other - both)
+def is_linked(both, size, other, threshold):
+    return threshold[1] * both >= threshold[0] * (size + other - both)
 
 
-def _confirm(frame):
+def _confirm(frame, threshold):
     """Roots of the classes of whole components (comp, cid, sets)."""
     import numpy as np
     import pandas as pd
@@ -265,7 +275,7 @@ def _confirm(frame):
             cids.append(own[root])
             roots.append(own[root])
             while reached and len(rest):
-                near = sets.linked(reached.pop(), rest)
+                near = sets.linked(reached.pop(), rest, threshold)
                 reached += rest[near].tolist()
                 cids += own[rest[near]].tolist()
                 roots += [own[root]] * int(near.sum())
@@ -289,7 +299,7 @@ class Hubs:
         self.bounds = np.append(starts, len(flat))
         self.owner = owner[order]
 
-    def linked(self, shingles):
+    def linked(self, shingles, threshold):
         """Numbers of the hubs that are linked with a set."""
         import numpy as np
 
@@ -299,10 +309,10 @@ class Hubs:
         skip = np.repeat(self.bounds[at] - np.cumsum(counts) + counts, counts)
         found = self.owner[skip + np.arange(len(skip))]
         both = np.bincount(found, minlength=len(self.cids))
-        return np.flatnonzero(is_linked(both, self.sizes, len(shingles)))
+        return np.flatnonzero(is_linked(both, self.sizes, len(shingles), threshold))
 
 
-def _hub_links(hubs: dict):
+def _hub_links(hubs: dict, threshold):
     """Edges (cid, hub) that connect each task's members and hubs as all their
     links do; per member one edge for each group of hubs it joins first."""
 
@@ -319,7 +329,7 @@ def _hub_links(hubs: dict):
                                       batch.column("shingles").to_pylist()):
                 if comp not in index:
                     continue
-                found = index[comp].linked(np.frombuffer(raw, np.uint64))
+                found = index[comp].linked(np.frombuffer(raw, np.uint64), threshold)
                 own = group[comp]
                 groups, first = np.unique(own[found], return_index=True)
                 edges += [(cid, hub) for hub in index[comp].cids[found[first]].tolist()
@@ -333,7 +343,8 @@ def _hub_links(hubs: dict):
     return run
 
 
-def confirm_large(members: DataFrame, first: int = FIRST_HUBS, hubs: int = HUBS) -> DataFrame:
+def confirm_large(members: DataFrame, first: int = FIRST_HUBS, hubs: int = HUBS,
+                  *, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """(node, root) of stored ``members`` (comp, cid, n, shingles) of large
     components. Each round compares some classes (``first``, later ``hubs``, and
     about ``SET_WORDS`` shingles) with all members of their components."""
@@ -361,8 +372,8 @@ def confirm_large(members: DataFrame, first: int = FIRST_HUBS, hubs: int = HUBS)
         sets: dict = {}
         for r in members.join(F.broadcast(picked), "cid").select("comp", "cid", "shingles").collect():
             sets.setdefault(r["comp"], []).append((r["cid"], np.frombuffer(r["shingles"], np.uint64)))
-        new = members.select("comp", "cid", "shingles").mapInArrow(_hub_links(sets),
-                                                                   "a long, b long")
+        new = members.select("comp", "cid", "shingles").mapInArrow(
+            _hub_links(sets, threshold), "a long, b long")
         links = store(new if links is None else new.unionByName(links), "links")
         roots = store(connected_components(links), "roots")
         labels = (members.select("comp", "cid", "n").join(
@@ -373,17 +384,20 @@ def confirm_large(members: DataFrame, first: int = FIRST_HUBS, hubs: int = HUBS)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    margin: float = MARGIN, bucket: int = BUCKET,
-                    largest: int = MEMBERS) -> DataFrame:
-    """Per row: doc_id, row_key, n_shingles, component_id, kept."""
+                    margin: float | None = None, bucket: int = BUCKET,
+                    largest: int = MEMBERS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
+    """Per row: doc_id, row_key, n_shingles, component_id, kept. Texts are linked
+    from a similarity of ``threshold`` (a fraction); bands and margin follow it."""
+    per_band, n_bands, deviations = shape(threshold)
+    margin = deviations if margin is None else margin
     texts = _texts(docs, id_col, text_col)
-    rows = store(signatures(texts), "signatures")
+    rows = store(signatures(texts, per_band, n_bands), "signatures")
     ident = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "row_key")
     classes = store(rows.where("n_shingles > 0").groupBy("digest").agg(
         F.min(ident).alias("own"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"),
         F.first("bands").alias("bands"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    edges = candidate_edges(classes, THRESHOLD[0] / THRESHOLD[1] - margin, bucket)
+    edges = candidate_edges(classes, threshold[0] / threshold[1] - margin, bucket)
     comps = store(connected_components(edges), "components")
     sizes = comps.groupBy("root").agg(F.count("*").alias("members"))
     wanted = store(
@@ -411,10 +425,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bins = max(1, math.ceil(total / SET_WORDS))
     roots = (small.withColumn("bin", F.pmod(F.xxhash64("comp"), F.lit(bins)))
              .select("bin", "comp", "cid", "shingles")
-             .groupBy("bin").applyInPandas(_confirm, "node long, root long"))
+             .groupBy("bin").applyInPandas(lambda part: _confirm(part, threshold), "node long, root long"))
     large = sets.where(F.col("members") > largest)
     if large.head(1):
-        roots = roots.unionByName(confirm_large(store(large, "large")))
+        roots = roots.unionByName(confirm_large(store(large, "large"), threshold=threshold))
     roots = store(roots, "roots")
     grouped = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "digest", F.coalesce("root", "cid").alias("root"), F.col("own.id").alias("id"))

@@ -93,6 +93,20 @@ def test_drop_keeps_one_of_each_group(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [1, 3, 4]
 
 
+def test_threshold_of_the_pipeline(spark):
+    import corpus_pipeline as C
+    rows = []
+    for k in range(20):  # 100 shingles each; 90 shared is 0.818, 88 is 0.786
+        text = [f"t{k}x{i}" for i in range(104)]
+        rows += [(10 * k + j, " ".join(text[:n] + [f"o{k}x{i}x{j}" for i in range(104 - n)]))
+                 for j, n in enumerate([104, 94 if k % 2 else 92])]
+    docs = frame(spark, rows)
+    left = {r["doc_id"] for r in C.near_dedup(spark, docs, "").collect()}
+    assert left == {d for d, _ in rows if d % 10 == 0 or d // 10 % 2 == 0}
+    assert M.near_duplicates(docs).where("not kept").count() == 0
+    assert M.shape((85, 100))[:2] == (5, 22) and M.shape((8, 10))[:2] == (4, 28)
+
+
 def test_estimate_is_near_the_similarity():
     seed, rng = M.seeds(), np.random.default_rng(1)
     for share in (0.3, 0.6, 0.9):
