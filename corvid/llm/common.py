@@ -125,6 +125,42 @@ def gram_hashes(ids, k: int):
     return mix64(out)
 
 
+def fold(frame: DataFrame, run) -> DataFrame:
+    """(part, payload): what ``run(batches)`` yields in each task, as bytes."""
+    def whole(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        for payload in run(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()),
+                                              pa.array([payload], pa.binary())],
+                                             ["part", "payload"])
+
+    return frame.mapInArrow(whole, "part long, payload binary")
+
+
+def tree(parts: DataFrame, merge, fan: int = 16) -> bytes | None:
+    """The payloads of ``parts`` merged into one, ``fan`` parts at a time in
+    Spark jobs, each level written; None if there is none."""
+    def run(frame):
+        import pandas as pd
+
+        frame = frame.sort_values("part")
+        return pd.DataFrame({"part": [int(frame["part"].iloc[0]) // fan],
+                             "payload": [merge(list(frame["payload"]))]})
+
+    now = store(parts, "part")
+    last = now.agg(F.max("part")).first()[0]
+    if last is None:
+        return None
+    while last > 0:
+        now = store(now.groupBy(F.floor(F.col("part") / fan).alias("g"))
+                    .applyInPandas(run, "part long, payload binary"), "part")
+        last //= fan
+    return now.first()["payload"]
+
+
 def join_sized(big: DataFrame, small: DataFrame, on, how: str, rows: int = 1_000_000,
                width: Column | None = None) -> DataFrame:
     """Join a stored ``small`` by broadcast when it is small, and by shuffling

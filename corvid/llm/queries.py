@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.llm import decontaminate, divergence, langid, licenses, minhash, packing, pu_quality, substring_dedup, toxicity, warc
+from corvid.llm import (decontaminate, divergence, jaccard_join, langid, licenses, minhash, packing,
+                        pu_quality, source_audit, substring_dedup, toxicity, warc, whitening)
 from corvid.llm.common import table
 
 
@@ -61,6 +62,19 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_rank_one_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_adaptive_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op13_pointer_sort_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing_decontamination": op1_winnowing_decontamination,
     "op2_pu_quality": op2_pu_quality,
@@ -72,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_marginal_unigram_langid": op8_marginal_unigram_langid,
     "op9_noisy_channel_toxicity": op9_noisy_channel_toxicity,
     "op10_fm_index_substring_dedup": op10_fm_index_substring_dedup,
+    "op11_rank_one_whitening": op11_rank_one_whitening,
+    "op12_adaptive_prefix_join": op12_adaptive_prefix_join,
+    "op13_pointer_sort_audit": op13_pointer_sort_audit,
 }
 
 OP1_SQL = r"""
@@ -109,7 +126,7 @@ FROM d LEFT JOIN places USING (rid) LEFT JOIN its USING (rid)
 """
 
 # words are the runs of anything but space and \t..\r
-OP3_SQL = r"""
+_LINKED_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -122,15 +139,17 @@ pairs AS (
   FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
 links AS (
   SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-  WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+  WHERE 100 * shared >= {least} * (x.n + y.n - shared)),
 reach(a, b) AS (
   SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
 low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
 SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
-       least(doc_id, coalesce(low.b, doc_id)) AS component_id,
-       doc_id = least(doc_id, coalesce(low.b, doc_id)) AS kept
+       least(doc_id, coalesce(low.b, doc_id)) AS component_id{more}
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.a = doc_id
 """
+OP3_SQL = _LINKED_SQL.replace("{least}", "85").replace(
+    "{more}", ", doc_id = least(doc_id, coalesce(low.b, doc_id)) AS kept")
+OP12_SQL = _LINKED_SQL.replace("{least}", "80").replace("{more}", "")
 
 OP4_SQL = """
 WITH p AS (
@@ -165,9 +184,50 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n
 FROM kept
 """
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs
+      FROM t GROUP BY lang, source, term),
+k AS (SELECT lang, term, sum(n) AS total FROM c GROUP BY lang, term HAVING sum(docs) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+g AS (
+  SELECT d.lang, d.source, coalesce(max(v.v), 0) AS v, coalesce(max(v.n), 0) AS nl
+  FROM d LEFT JOIN v ON v.lang = d.lang GROUP BY d.lang, d.source),
+s AS (SELECT c.lang, c.source, sum(c.n) AS n FROM c JOIN k USING (lang, term)
+      GROUP BY c.lang, c.source),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 1) // (coalesce(s.n, 0) + g.v) AS p,
+         1 + CAST(1000000000 AS HUGEINT) * (k.total + 1) // (g.nl + g.v) AS q
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN s ON s.lang = g.lang AND s.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sums.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM every)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLES: dict[str, str] = {
     "op1_winnowing_decontamination": OP1_SQL,
     "op3_bbit_minhash_dedup": OP3_SQL,
     "op4_warc_boundary_chain": OP4_SQL,
     "op10_fm_index_substring_dedup": OP10_SQL,
+    "op12_adaptive_prefix_join": OP12_SQL,
+    "op13_pointer_sort_audit": OP13_SQL,
 }
