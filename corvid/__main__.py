@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from corvid.operators import graph as G
 from corvid.operators import matrix as M
 from corvid.operators import ratings as R
-from corvid.sources import (read_adjacency, read_cells, read_ratings, write_delimited,
+from corvid.sources import (read_cells, read_links, read_ratings, write_delimited,
                             write_lines)
 
 
@@ -66,7 +66,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             return
         result = blocks
     elif args.cmd == "groups":
-        adj = read_adjacency(spark, args.graph, mode=args.parse)
+        adj = read_links(spark, args.graph, mode=args.parse)
         if args.form == "pregel":
             if args.universe != "endpoints":
                 raise SystemExit("--form pregel counts edge endpoints: use --universe endpoints")

@@ -1,8 +1,9 @@
 """Scalar column expressions shared by the operators.
 
 Everything here builds a ``Column`` from built-in functions, so it stays
-inside whole-stage codegen and is pushed / pruned by Catalyst like any other
-expression.
+inside whole-stage codegen. Catalyst prunes and pushes such expressions, and
+where one is used several times it may write it out as often; ``once`` is the
+barrier for those that should not be.
 """
 
 from __future__ import annotations
@@ -10,6 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
+def once(df: DataFrame, *columns: Column) -> DataFrame:
+    """``df.select(*columns)`` whose columns are evaluated once for each row,
+    however often they are used. The row is generated from an array of one
+    struct: neither are expressions merged across a generator, nor filters on
+    what it generates pushed below it (a plain projection would be written out
+    again for every use in a filter above it)."""
+    return (df.select(F.explode_outer(F.array(F.struct(*columns))).alias("_once"))
+            .select("_once.*"))
+
+
 def comma_tokens(text: Column, drop_trailing_empty: bool = True) -> Column:
     """Split a line on commas.
 
@@ -76,11 +88,15 @@ def fixed3(v: Column) -> Column:
     return F.format_string("%.3f", v)
 
 
-def check_rows(df: DataFrame, *checks: tuple[Column, Column]) -> DataFrame:
+def check_rows(df: DataFrame, *checks: tuple[Column, Column],
+               where: Column | None = None) -> DataFrame:
     """Fail the job when a row meets a condition; ``checks`` are (condition,
-    message). The check is a row filter, so no projection or count over the
-    result can do without it."""
+    message), ``where`` (a place in the input) is added to every message. The
+    check is a row filter, so no projection or count over the result can do
+    without it."""
     ok = F.lit(True)
     for bad, message in reversed(checks):
+        if where is not None:
+            message = F.concat(message, F.coalesce(where, F.lit("")))
         ok = F.when(bad, F.raise_error(message).cast("boolean")).otherwise(ok)
     return df.where(ok)

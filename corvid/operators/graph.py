@@ -62,9 +62,13 @@ EDGES_PER_PARTITION = 1_000_000
 
 
 def adjacency_to_edges(adj: DataFrame, distinct: bool = True) -> DataFrame:
-    """``(id, adj)`` -> distinct ``(src, dst)``; lines repeating an id add
+    """``(id, adj)``, or links ``(id, dst)`` with a null ``dst`` for an id
+    without neighbours, -> distinct ``(src, dst)``; lines repeating an id add
     their neighbours (union of adjacency). ``distinct=False`` keeps repeated
     edges (enough for propagation, and no shuffle)."""
+    if "adj" not in adj.columns:
+        links = adj.where(F.col("dst").isNotNull()).select(F.col("id").alias("src"), "dst")
+        return links.distinct() if distinct else links
     # explode_outer + a filter on the generated column: a plain explode makes
     # the optimizer infer a size(adj) > 0 filter and push it below the
     # parser, where it re-evaluates the whole parse expression

@@ -1,10 +1,12 @@
 """Block addition of sparse matrices.
 
 A matrix is a DataFrame of cells ``(i, j, v)``. A block matrix is the same
-cells keyed by block coordinate and in-block offset ``(bi, bj, oi, oj, v)``;
-dense blocks are never built in the core path. Addition is one union and one
-aggregate keyed by cell, so it costs a single shuffle with map-side partial
-aggregation, and a block is never one 10,000-value object in one task.
+cells keyed by block coordinate and in-block offset ``(bi, bj, oi, oj, v)``.
+Addition of sparse blocks is one union and one aggregate keyed by cell, so it
+costs a single shuffle with map-side partial aggregation. Full blocks are
+added as positional arrays (``block_arrays``, ``add_block_arrays``): one row
+and one array addition for ``rows * cols`` cells; ``matrix_add_blocks`` picks
+the form by the share of stored cells.
 """
 
 from __future__ import annotations
@@ -146,18 +148,98 @@ def render_dense(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataF
                     .alias("line")))
 
 
+def _inside(rows: int, cols: int) -> F.Column:
+    return F.coalesce(F.col("oi").between(0, rows - 1) & F.col("oj").between(0, cols - 1), F.lit(False))
+
+
+def block_arrays(blocks: DataFrame, rows: int = ROWS, cols: int = COLS,
+                 on_duplicate: str = "error") -> DataFrame:
+    """Blocks as positional arrays ``(bi, bj, values ARRAY<DOUBLE>)``, row by
+    row, NULL where no cell is stored. Input: block form ``(bi, bj, oi, oj,
+    v)``; an offset outside the block fails the job, repeated cells are
+    resolved by ``on_duplicate``, a NULL value counts as no cell.
+
+    One exchange, on the block: its cells (at most ``rows * cols`` different
+    ones) are sorted by position, and the gaps between neighbours are filled
+    in one pass over them. The partitioning by block stays, so an addition of
+    two such tables moves nothing more.
+    """
+    if on_duplicate not in DUPLICATE_POLICIES:
+        raise ValueError(f"on_duplicate must be one of {DUPLICATE_POLICIES}")
+    checked = check_rows(blocks, (~_inside(rows, cols), F.lit("offset outside the block")))
+    at = (F.col("oi") * cols + F.col("oj")).cast("int").alias("at")
+    placed = (checked.where("v is not null").repartition("bi", "bj")
+              .groupBy("bi", "bj", at)
+              .agg((F.max if on_duplicate == "max" else F.sum)("v").alias("v"),
+                   F.count(F.lit(1)).alias("c")))
+    if on_duplicate == "error":
+        placed = check_rows(placed, (F.col("c") > 1, F.concat(
+            F.lit("duplicate cell at position "), F.col("at").cast("string"), F.lit(" of block ("),
+            F.col("bi").cast("string"), F.lit(","), F.col("bj").cast("string"), F.lit(")"))))
+    stored = (placed.groupBy("bi", "bj")
+              .agg(F.array_sort(F.collect_list(F.struct("at", "v"))).alias("e")))
+    before = F.concat(F.array(F.lit(-1)), F.slice(F.transform("e", lambda x: x["at"]), 1,
+                                                  F.size("e") - 1))
+    none = F.lit(None).cast("double")
+    filled = F.flatten(F.zip_with("e", before, lambda x, p: F.concat(
+        F.array_repeat(none, x["at"] - p - 1), F.array(x["v"]))))
+    rest = F.array_repeat(none, F.lit(rows * cols - 1) - F.element_at("e", -1)["at"])
+    return stored.select("bi", "bj", F.concat(filled, rest).alias("values"))
+
+
 def dense_blocks(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataFrame:
     """Numeric dense blocks ``(bi, bj, values ARRAY<DOUBLE>)``, row by row,
-    zeros where no cell is stored (at most ``rows * cols`` values a block)."""
-    inside = F.col("oi").between(0, rows - 1) & F.col("oj").between(0, cols - 1)
-    cells = check_rows(blocks, (~F.coalesce(inside, F.lit(False)),
-                                F.lit("offset outside the block")))
-    at = (F.col("oi") * cols + F.col("oj")).cast("int")
-    stored = cells.groupBy("bi", "bj").agg(
-        F.map_from_entries(F.collect_list(F.struct(at.alias("at"), "v"))).alias("m"))
-    return stored.select("bi", "bj", F.transform(
-        F.sequence(F.lit(0), F.lit(rows * cols - 1)),
-        lambda k: F.coalesce(F.try_element_at("m", k), F.lit(0.0))).alias("values"))
+    zeros where no cell is stored (``rows * cols`` values a block)."""
+    arrays = block_arrays(blocks, rows, cols)
+    return arrays.select("bi", "bj", F.transform(
+        "values", lambda v: F.coalesce(v, F.lit(0.0))).alias("values"))
+
+
+def add_block_arrays(m: DataFrame, n: DataFrame, how: str = "outer") -> DataFrame:
+    """Element-wise sum of two tables of ``block_arrays``: block meets block
+    (one row each), array is added to array. A position stored in neither
+    input stays NULL. ``inner`` keeps the blocks of both inputs only."""
+    if how not in ("outer", "inner"):
+        raise ValueError(f"how must be 'outer' or 'inner', not {how!r}")
+    both = (m.withColumnRenamed("values", "_m").hint("merge")
+            .join(n.withColumnRenamed("values", "_n"), ["bi", "bj"],
+                  "full" if how == "outer" else "inner"))
+    added = F.zip_with("_m", "_n", lambda x, y: F.when(x.isNull() & y.isNull(), None).otherwise(
+        F.coalesce(x, F.lit(0.0)) + F.coalesce(y, F.lit(0.0))))
+    return both.select("bi", "bj", F.when(F.col("_m").isNull(), F.col("_n"))
+                       .when(F.col("_n").isNull(), F.col("_m")).otherwise(added).alias("values"))
+
+
+def cells_from_arrays(arrays: DataFrame, cols: int = COLS) -> DataFrame:
+    """Positional arrays back to block form ``(bi, bj, oi, oj, v)``."""
+    return (arrays.select("bi", "bj", F.posexplode_outer("values").alias("_at", "v"))
+            .where("v is not null")
+            .select("bi", "bj", F.expr(f"_at div {int(cols)}").alias("oi"),
+                    (F.col("_at") % cols).cast("long").alias("oj"), "v"))
+
+
+FULL = 0.5  # share of stored cells from which blocks are added as arrays
+
+
+def fill(cells: DataFrame, rows: int = ROWS, cols: int = COLS) -> float:
+    """Mean share of the positions of a block that hold a cell, over the
+    blocks that hold any: one aggregate of per-block counts."""
+    per_block = (block_coords(cells, rows, cols).groupBy("bi", "bj")
+                 .agg(F.count(F.lit(1)).alias("c")))
+    cells_, blocks = per_block.agg(F.sum("c"), F.count(F.lit(1))).first()
+    return (cells_ or 0) / (blocks * rows * cols) if blocks else 0.0
+
+
+def matrix_add_blocks(m: DataFrame, n: DataFrame, how: str = "outer", on_duplicate: str = "error",
+                      rows: int = ROWS, cols: int = COLS) -> DataFrame:
+    """``matrix_add`` in the form that fits the inputs: where the blocks of
+    both are full (``FULL``) as arrays, one row and one addition per block
+    instead of one per cell, otherwise cell by cell. Same result."""
+    if min(fill(m, rows, cols), fill(n, rows, cols)) < FULL:
+        return matrix_add(m, n, how, on_duplicate, rows, cols)
+    arrays = [block_arrays(block_coords(check_rows(x, _negative()), rows, cols), rows, cols,
+                           on_duplicate) for x in (m, n)]
+    return cells_from_arrays(add_block_arrays(*arrays, how=how), cols)
 
 
 def cells_from_blocks(blocks: DataFrame, rows: int = ROWS, cols: int = COLS) -> DataFrame:

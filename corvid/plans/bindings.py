@@ -57,11 +57,16 @@ def cell_lines(cells: DataFrame) -> DataFrame:
                                     F.format_string("%.3f", "v")).alias("value"))
 
 
-def order_line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lineitem as an order x line-number matrix of quantities."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("i"), F.col("l_linenumber").cast("long").alias("j"),
-        F.col("l_quantity").alias("v"))
+def order_line_cells(spark: SparkSession, sf_dir: str, value: str = "l_quantity",
+                     returned: bool | None = None) -> DataFrame:
+    """All lineitem (or the returned, or the other lines) as an order x
+    line-number matrix of a column, by default the quantity."""
+    li = table(spark, sf_dir, "lineitem")
+    if returned is not None:
+        cond = F.col("l_returnflag").eqNullSafe("R")
+        li = li.where(cond if returned else ~cond)
+    return li.select(F.col("l_orderkey").alias("i"), F.col("l_linenumber").cast("long").alias("j"),
+                     F.col(value).cast("double").alias("v"))
 
 
 # ---------------------------------------------------------------- graph
@@ -96,6 +101,18 @@ def order_adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.unionByName(customers).unionByName(suppliers)
 
 
+def scanned_adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``order_adjacency_lines`` as scanner-style readers meet them: every
+    order's line goes on with its priority, which is no integer, and another
+    id, which a reader that stops at the first bad token never sees."""
+    orders = table(spark, sf_dir, "orders").select(F.concat_ws(
+        ",", F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string"),
+        F.coalesce("o_orderpriority", F.lit("none")), F.col("o_custkey").cast("string"))
+        .alias("value"))
+    bare = order_adjacency_lines(spark, sf_dir).where(~F.col("value").contains(","))
+    return orders.unionByName(bare)
+
+
 def lineitem_adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines ``order,part,supplier`` (an id and two neighbours), one
     per lineitem row."""

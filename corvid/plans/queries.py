@@ -18,9 +18,9 @@ from corvid.operators import matrix as M
 from corvid.operators import ratings as R
 from corvid.plans import bindings as B
 from corvid.session import scratch_path
-from corvid.sources import (parse_adjacency, parse_cells, parse_edges, parse_ratings,
-                            read_adjacency, read_cells, read_ratings, strip_headers,
-                            write_delimited, write_lines)
+from corvid.sources import (parse_cells, parse_edges, parse_links, parse_ratings, read_cells,
+                            read_links, read_ratings, strip_headers, write_delimited,
+                            write_lines)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,40 @@ def mat_render_dense(spark, d):
     return M.render_dense(M.block_coords(cells, rows=100, cols=8), rows=100, cols=8)
 
 
+# order x line-number blocks of 100 x 8: every order has a first line, few an
+# eighth, so about half of the positions are stored
+LINES = {"rows": 100, "cols": 8}
+
+
+def mat_dense_blocks(spark, d):
+    """Numeric dense blocks, one row per position (zeros included)."""
+    cells = M.resolve_duplicates(B.order_line_cells(spark, d), "sum")
+    return (M.dense_blocks(M.block_coords(cells, **LINES), **LINES)
+            .select("bi", "bj", F.posexplode_outer("values").alias("_at", "v"))
+            .select("bi", "bj", F.col("_at").cast("long").alias("pos"), "v"))
+
+
+def mat_add_dense(spark, d):
+    """Element-wise sum of the dense blocks of two full matrices: quantities
+    and line numbers of all orders."""
+    q, n = B.order_line_cells(spark, d), B.order_line_cells(spark, d, "l_linenumber")
+    arrays = [M.block_arrays(M.block_coords(x, **LINES), **LINES, on_duplicate="sum") for x in (q, n)]
+    return M.cells_from_arrays(M.add_block_arrays(*arrays), LINES["cols"])
+
+
+def mat_add_dense_inner(spark, d):
+    """Block-inner addition of dense blocks: returned lines and the others."""
+    arrays = [M.block_arrays(M.block_coords(B.order_line_cells(spark, d, returned=r), **LINES),
+                             **LINES, on_duplicate="sum") for r in (True, False)]
+    return M.cells_from_arrays(M.add_block_arrays(*arrays, how="inner"), LINES["cols"])
+
+
+def mat_add_blocks(spark, d):
+    """Addition in the form that the blocks' fill calls for."""
+    q, n = B.order_line_cells(spark, d), B.order_line_cells(spark, d, "l_linenumber")
+    return M.matrix_add_blocks(q, n, on_duplicate="sum", **LINES)
+
+
 # ---------------------------------------------------------------- graph
 
 
@@ -125,14 +159,14 @@ def _sizes(universe):
 
 def graph_text_group_sizes(spark, d):
     """Text in, as the graph programs read it: adjacency lines -> sizes."""
-    adj = parse_adjacency(B.order_adjacency_lines(spark, d))
+    adj = parse_links(B.order_adjacency_lines(spark, d))
     return G.group_sizes(G.min_label_groups(adj, "all"))
 
 
 def graph_files_group_sizes(spark, d):
     """Adjacency files in (scanner style), tab-separated sizes out, read back."""
-    path = _through_files(spark, "graph", B.order_adjacency_lines(spark, d))
-    sizes = G.group_sizes(G.min_label_groups(read_adjacency(spark, path, mode="prefix"), "all"))
+    path = _through_files(spark, "graph", B.scanned_adjacency_lines(spark, d))
+    sizes = G.group_sizes(G.min_label_groups(read_links(spark, path, mode="prefix"), "all"))
     return _written(spark, "sizes", sizes, write_delimited)
 
 
@@ -208,6 +242,10 @@ QUERIES: dict[str, Query] = {
     "mat_add_files": mat_add_files,
     "mat_add_blockjoin_checked": mat_add_blockjoin_checked,
     "mat_render_dense": mat_render_dense,
+    "mat_dense_blocks": mat_dense_blocks,
+    "mat_add_dense": mat_add_dense,
+    "mat_add_dense_inner": mat_add_dense_inner,
+    "mat_add_blocks": mat_add_blocks,
     "graph_candidates": graph_candidates,
     "graph_minlabel_all": _minlabel("all"),
     "graph_minlabel_sources": _minlabel("sources"),
@@ -330,6 +368,24 @@ ORACLES: dict[str, str] = {
                          "from lineitem",
 }
 
+_OL = ("select l_orderkey // 100 bi, l_linenumber // 8 bj, l_orderkey % 100 oi, "
+       "cast(l_linenumber % 8 as bigint) oj, sum({v}) v, "
+       "max(case when l_returnflag is not distinct from 'R' then 1 else 0 end) r, "
+       "max(case when l_returnflag is distinct from 'R' then 1 else 0 end) o "
+       "from lineitem group by 1, 2, 3, 4")
+ORACLES["mat_dense_blocks"] = (
+    f"with b as ({_OL.format(v='l_quantity')}), "
+    "g as (select k.bi, k.bj, p.pos from (select distinct bi, bj from b) k, range(800) p(pos)) "
+    "select g.bi, cast(g.bj as bigint) bj, g.pos, coalesce(b.v, 0.0)::double v from g "
+    "left join b on b.bi = g.bi and b.bj = g.bj and b.oi * 8 + b.oj = g.pos")
+ORACLES["mat_add_dense"] = ORACLES["mat_add_blocks"] = (
+    f"select bi, cast(bj as bigint) bj, oi, oj, v::double v "
+    f"from ({_OL.format(v='l_quantity + l_linenumber')})")
+ORACLES["mat_add_dense_inner"] = (
+    f"with b as ({_OL.format(v='l_quantity')}), "
+    "k as (select bi, bj from b group by bi, bj having max(r) = 1 and max(o) = 1) "
+    "select b.bi, cast(b.bj as bigint) bj, b.oi, b.oj, b.v::double v from b "
+    "join k on b.bi = k.bi and b.bj = k.bj")
 ORACLES["mat_add_files"] = ORACLES["mat_add_outer"]
 ORACLES["graph_files_group_sizes"] = ORACLES["graph_group_sizes_all"]
 ORACLES["rating_hist_files"] = ORACLES["rating_hist_sql"]

@@ -5,10 +5,12 @@ from corvid.sources.text import (  # noqa: F401
     parse_adjacency,
     parse_cells,
     parse_edges,
+    parse_links,
     parse_ratings,
     read_adjacency,
     read_cells,
     read_lines,
+    read_links,
     read_ratings,
     strip_headers,
 )

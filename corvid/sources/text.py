@@ -4,22 +4,48 @@ Every reader is ``spark.read.text`` (a splittable, column-pruned scan with
 filter pushdown) followed by a parser that takes a one-column DataFrame of
 lines (column ``value``). The parsers work on any DataFrame of lines, so
 the same code reads files, streams, or lines that Spark derives from a
-table.
+table. A line is split once and its tokens are parsed once (``once``),
+whatever the checks and the projections above read of them.
+
+The strict readers name the file and the line in the message of a failing
+check: the file is a metadata column of the scan, read only where a line is bad.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.functions.columns import check_rows, comma_tokens, long_or_null, not_long, token
+from corvid.functions.columns import (check_rows, comma_tokens, long_or_null, not_long, once,
+                                      token)
 
 # ---------------------------------------------------------------- lines
 
+FILE = "_corvid_file"  # name of the file column of ``read_lines(with_file=True)``
+
+
+def read_lines(spark: SparkSession, path: str | list[str], with_file: bool = False) -> DataFrame:
+    """Lines of one or more text files as column ``value``, with their file as
+    a second column on request."""
+    lines = spark.read.text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias(FILE)) if with_file else lines
+
+
+EXCERPT = 80  # characters of a bad line that its message shows
+
+
+def _split_once(lines: DataFrame, col: str) -> DataFrame:
+    """``_t``, the tokens of every line, with the beginning of the line and its
+    file (if known) for messages."""
+    file = F.col(FILE) if FILE in lines.columns else F.lit(None).cast("string")
+    return lines.select(F.substring(F.col(col), 1, EXCERPT).alias("_line"), file.alias("_file"),
+                        F.explode_outer(F.array(comma_tokens(F.col(col)))).alias("_t"))
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of one or more text files as column ``value``."""
-    return spark.read.text(path)
+
+def _place() -> Column:
+    """Where a bad line comes from; evaluated for bad lines only."""
+    return F.concat(F.lit(" in line '"), F.coalesce("_line", F.lit("")), F.lit("'"),
+                    F.coalesce(F.concat(F.lit(" of "), F.col("_file")), F.lit("")))
 
 
 def strip_headers(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -40,28 +66,57 @@ def parse_cells(lines: DataFrame, col: str = "value") -> DataFrame:
     readers throw on such input); negative indices are rejected too, since
     they have no block position.
     """
-    toks = lines.select(comma_tokens(F.col(col)).alias("_t"))
     t = F.col("_t")
     i, j, v = (F.trim(token(t, k)) for k in range(3))
-    parsed = toks.select(i.alias("_i"), j.alias("_j"), v.alias("_v"), long_or_null(i).alias("i"),
-                         long_or_null(j).alias("j"), v.try_cast("double").alias("v"))
+    parsed = once(_split_once(lines, col), i.alias("_i"), j.alias("_j"), v.alias("_v"),
+                  "_line", "_file", long_or_null(i).alias("i"), long_or_null(j).alias("j"),
+                  v.try_cast("double").alias("v"))
     # a row filter, so the checks hold whatever columns are read
     good = check_rows(
-        parsed, not_long(F.col("_i"), "row index"), not_long(F.col("_j"), "column index"),
+        parsed, _unparsed("i", "_i", "row index"), _unparsed("j", "_j", "column index"),
         (F.col("v").isNull(), F.concat(F.lit("cell line without a numeric value: '"),
                                        F.coalesce("_v", F.lit("<missing>")), F.lit("'"))),
         ((F.col("i") < 0) | (F.col("j") < 0), F.concat(
-            F.lit("negative cell index ("), F.col("_i"), F.lit(","), F.col("_j"), F.lit(")"))))
+            F.lit("negative cell index ("), F.col("_i"), F.lit(","), F.col("_j"), F.lit(")"))),
+        where=_place())
     return good.select("i", "j", "v")
 
 
+def _unparsed(value: str, raw: str, what: str) -> tuple[Column, Column]:
+    """(condition, message) of a token that did not parse into column ``value``."""
+    return F.col(value).isNull(), not_long(F.col(raw), what)[1]
+
+
 def read_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return parse_cells(read_lines(spark, path))
+    return parse_cells(read_lines(spark, path, with_file=True))
 
 
 # ---------------------------------------------------------------- adjacency
 
 
+def _neighbours(lines: DataFrame, mode: str, col: str) -> DataFrame:
+    """``(id LONG, adj ARRAY<LONG>)`` of checked lines: the tokens parsed once,
+    in ``prefix`` mode cut before the first that is not an integer."""
+    if mode not in ("strict", "prefix"):
+        raise ValueError(f"mode must be 'strict' or 'prefix', not {mode!r}")
+    t = F.col("_t")
+    tail = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
+    parsed = once(_split_once(lines, col), token(t, 0).alias("_s"), tail.alias("_n"), "_line", "_file",
+                  long_or_null(token(t, 0)).alias("id"), F.transform(tail, long_or_null).alias("adj"))
+    bad = F.array_position(F.transform("adj", lambda x: x.isNull()), True)
+    parsed = once(parsed, "id", "_s", "_n", "_line", "_file", "adj",
+                  F.coalesce(bad, F.lit(0)).cast("int").alias("_bad"))
+    checks = [_unparsed("id", "_s", "vertex id")]
+    if mode == "strict":
+        checks.append((F.col("_bad") > 0, F.concat(
+            F.lit("not an integer neighbour: '"), F.get("_n", F.col("_bad") - 1), F.lit("'"))))
+    good = check_rows(parsed, *checks, where=_place())
+    if mode == "strict":
+        return good.select("id", "adj")
+    return good.select("id", F.when(F.col("_bad") == 0, F.col("adj")).otherwise(
+        F.slice("adj", 1, F.greatest(F.col("_bad") - 1, F.lit(0)))).alias("adj"))
+
+
 def parse_adjacency(lines: DataFrame, mode: str = "strict",
                     col: str = "value") -> DataFrame:
     """``id,n1,n2,...`` lines -> ``(id LONG, adj ARRAY<LONG>)``.
@@ -71,45 +126,47 @@ def parse_adjacency(lines: DataFrame, mode: str = "strict",
     ``prefix``: neighbours are read up to the first token that is not an
     integer; the rest of the line is ignored (scanner-style reading).
     The id token must be an integer in both modes.
+
+    For callers that want a line's neighbours together; ``parse_links`` gives
+    them one to a row, which is all the graph operators need.
     """
-    if mode not in ("strict", "prefix"):
-        raise ValueError(f"mode must be 'strict' or 'prefix', not {mode!r}")
-    toks = lines.select(comma_tokens(F.col(col)).alias("_t"))
+    return _neighbours(lines, mode, col)
+
+
+def parse_links(lines: DataFrame, mode: str = "strict", col: str = "value") -> DataFrame:
+    """``id,n1,n2,...`` lines -> ``(id LONG, dst LONG)``, a row per neighbour,
+    and one with a null ``dst`` for a line without any. Modes as in
+    ``parse_adjacency``. Strict lines are exploded before they are parsed, so
+    every token is a scalar of generated code; prefix lines need the place of
+    their first bad token and are cut as arrays."""
+    if mode != "strict":
+        return _neighbours(lines, mode, col).select("id", F.explode_outer("adj").alias("dst"))
     t = F.col("_t")
-    toks = check_rows(toks, not_long(token(t, 0), "vertex id"))
     tail = F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))
-    parsed = toks.select(long_or_null(token(t, 0)).alias("id"), tail.alias("_n"),
-                         F.transform(tail, long_or_null).alias("adj"))
-    first_bad = F.coalesce(F.array_position(F.transform("adj", lambda x: x.isNull()), True),
-                           F.lit(0))
-    if mode == "strict":
-        parsed = check_rows(parsed, (first_bad > 0, F.concat(
-            F.lit("not an integer neighbour: '"),
-            F.get("_n", (first_bad - 1).cast("int")), F.lit("'"))))
-        return parsed.select("id", "adj")
-    return parsed.select("id", F.when(first_bad == 0, F.col("adj")).otherwise(
-        F.slice("adj", 1, F.greatest(first_bad - 1, F.lit(0)).cast("int"))).alias("adj"))
+    toks = _split_once(lines, col).select("_line", "_file", token(t, 0).alias("_s"),
+                                          F.explode_outer(tail).alias("_d"))
+    parsed = once(toks, "_s", "_d", "_line", "_file", long_or_null(F.col("_s")).alias("id"),
+                  long_or_null(F.col("_d")).alias("dst"))
+    bad, message = _unparsed("dst", "_d", "neighbour")
+    return check_rows(parsed, _unparsed("id", "_s", "vertex id"),
+                      (F.col("_d").isNotNull() & bad, message),
+                      where=_place()).select("id", "dst")
 
 
 def parse_edges(lines: DataFrame, col: str = "value") -> DataFrame:
     """``id,n1,n2,...`` lines (strict) -> ``(src LONG, dst LONG)``, a row per
-    neighbour: the tokens are exploded first and parsed as scalars, inside
-    code generation. A bare id gives no edge but is checked as well."""
-    t = F.col("_t")
-    toks = (lines.select(comma_tokens(F.col(col)).alias("_t"))
-            .select(token(t, 0).alias("_s"), F.explode_outer(
-                F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0)))).alias("_d")))
-    parsed = toks.select("_s", "_d", long_or_null(F.col("_s")).alias("src"),
-                         long_or_null(F.col("_d")).alias("dst"))
-    neighbour = not_long(F.col("_d"), "neighbour")
-    good = check_rows(parsed, not_long(F.col("_s"), "vertex id"),
-                      (F.col("_d").isNotNull() & neighbour[0], neighbour[1]))
-    return good.where("dst is not null").select("src", "dst")
+    neighbour. A bare id gives no edge but is checked as well."""
+    return (parse_links(lines, "strict", col).where("dst is not null")
+            .select(F.col("id").alias("src"), "dst"))
 
 
 def read_adjacency(spark: SparkSession, path: str | list[str],
                    mode: str = "strict") -> DataFrame:
-    return parse_adjacency(read_lines(spark, path), mode=mode)
+    return parse_adjacency(read_lines(spark, path, with_file=True), mode=mode)
+
+
+def read_links(spark: SparkSession, path: str | list[str], mode: str = "strict") -> DataFrame:
+    return parse_links(read_lines(spark, path, with_file=True), mode=mode)
 
 
 # ---------------------------------------------------------------- ratings

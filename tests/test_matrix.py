@@ -181,3 +181,55 @@ def test_add_matches_brute_force_and_commutes(spark, ms, ns):
     bn = {(i // 100, j // 100) for i, j, _ in ns}
     inner = {k: v for k, v in expect.items() if k[:2] in bm & bn}
     assert as_dict(M.matrix_add(m, n, how="inner")) == inner
+
+
+# ------------------------------------------------------------ dense blocks
+
+
+def arrays(df):
+    return {(r.bi, r.bj): r.values for r in df.collect()}
+
+
+def test_block_arrays_are_positional(spark):
+    c = cells(spark, [(0, 0, 1), (1, 2, 5), (3, 1, 7), (2, 2, 9)])
+    got = arrays(M.block_arrays(M.block_coords(c, 2, 3), 2, 3))
+    assert got == {(0, 0): [1.0, None, None, None, None, 5.0],
+                   (1, 0): [None, None, 9.0, None, 7.0, None]}
+    assert arrays(M.dense_blocks(M.block_coords(c, 2, 3), 2, 3))[(0, 0)] == [1, 0, 0, 0, 0, 5]
+    back = M.cells_from_arrays(M.block_arrays(M.block_coords(c, 2, 3), 2, 3), 3)
+    assert as_dict(back) == as_dict(M.block_coords(c, 2, 3))
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6), st.integers(1, 9)), max_size=25),
+       st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6), st.integers(1, 9)), max_size=25),
+       st.sampled_from(["outer", "inner"]), st.sampled_from(["sum", "max"]))
+def test_array_form_equals_cell_form(spark, a, b, how, policy):
+    m, n = cells(spark, a), cells(spark, b)
+    added = M.add_block_arrays(*[M.block_arrays(M.block_coords(x, 3, 2), 3, 2, policy) for x in (m, n)],
+                               how=how)
+    assert as_dict(M.cells_from_arrays(added, 2)) == \
+        as_dict(M.matrix_add(m, n, how=how, on_duplicate=policy, rows=3, cols=2))
+
+
+def test_array_form_checks(spark):
+    twice = M.block_coords(cells(spark, [(0, 0, 1), (0, 0, 2)]), 2, 2)
+    assert arrays(M.block_arrays(twice, 2, 2, "sum")) == {(0, 0): [3.0, None, None, None]}
+    outside = spark.createDataFrame([(0, 0, 5, 0, 1.0)], "bi long, bj long, oi long, oj long, v double")
+    for df in (M.block_arrays(twice, 2, 2), M.block_arrays(outside, 2, 2)):
+        with pytest.raises(FAIL):
+            df.count()
+
+
+def test_form_follows_the_fill(spark):
+    full = cells(spark, [(i, j, 1) for i in range(4) for j in range(4)])
+    sparse = cells(spark, [(0, 0, 1), (3, 3, 1)])
+    assert M.fill(full, 2, 2) == 1.0 and M.fill(sparse, 2, 2) == 0.25
+    assert M.fill(cells(spark, []), 2, 2) == 0.0
+    plan = M.matrix_add_blocks(full, full, rows=2, cols=2)._jdf.queryExecution().toString()
+    assert "zip_with" in plan.lower() or "zipwith" in plan.lower()
+    plan = M.matrix_add_blocks(full, sparse, rows=2, cols=2)._jdf.queryExecution().toString()
+    assert "zipwith" not in plan.lower().replace("_", "")
+    for other in (full, sparse):
+        assert as_dict(M.matrix_add_blocks(full, other, rows=2, cols=2)) == \
+            as_dict(M.matrix_add(full, other, rows=2, cols=2))

@@ -102,3 +102,10 @@ def test_inner_add_has_no_join(spark):
                                     on_duplicate=policy))
         assert len(exchanges(plan)) == 2 and "Join" not in plan, plan
         assert plan.count("Scan parquet") == 2 and "partial_sum" in plan, plan
+
+
+def test_array_addition_moves_each_input_once(spark):
+    arrays = [M.block_arrays(M.block_coords(x(spark, SF)), on_duplicate="sum")
+              for x in (B.matrix_m, B.matrix_n)]
+    plan = plan_of(M.add_block_arrays(*arrays))
+    assert len(exchanges(plan)) == 2 and plan.count("Scan parquet") == 2, plan

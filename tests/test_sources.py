@@ -9,7 +9,8 @@ from pyspark.errors import PySparkException
 from corvid.operators import graph as G
 from corvid.operators import matrix as M
 from corvid.operators.ratings import rating_histogram
-from corvid.sources import (parse_adjacency, parse_cells, parse_edges, read_adjacency, read_cells, read_lines, read_ratings,
+from corvid.sources import (parse_adjacency, parse_cells, parse_edges, parse_links, read_adjacency,
+                            read_cells, read_lines, read_links, read_ratings,
                             strip_headers, write_delimited, write_lines)
 from tests.test_graph import SMALL as GRAPH_SMALL
 from tests.test_matrix import M_SMALL, N_SMALL
@@ -84,3 +85,54 @@ def test_checks_cannot_be_pruned(spark, ansi):
         assert sorted((r.id, r.adj) for r in got) == [(4, [2]), (5, [1]), (6, [7, -8]), (7, [])]
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_split_once(spark):
+    """However many checks and projections read the tokens, over files and
+    over lines derived from a table."""
+    path = write_text(["1,2,3.5", "4,5,6.5"])
+    derived = spark.range(5).selectExpr("concat_ws(',', id, id, format_string('%.3f', id / 2)) value")
+    for cells in (read_cells(spark, path), parse_cells(derived)):
+        for df in (cells, cells.groupBy("i", "j").sum("v"),
+                   M.matrix_add(cells, cells, on_duplicate="sum")):
+            plan = plan_of(df)
+            assert plan.count("split(") == plan.count("FileScan ") + plan.count("Range ("), plan
+            assert plan.count("format_string(") <= 2
+    lines = spark.range(5).selectExpr("concat_ws(',', id, id + 1, id + 2) value")
+    for mode in ("strict", "prefix"):
+        for df in (parse_adjacency(lines, mode), parse_links(lines, mode),
+                   G.adjacency_to_edges(parse_links(lines, mode)),
+                   G.adjacency_to_edges(parse_adjacency(lines, mode))):
+            assert plan_of(df).count("split(") == 1, plan_of(df)
+    assert plan_of(parse_edges(lines)).count("split(") == 1
+    assert "transform(" not in plan_of(parse_links(lines))
+
+
+def test_links_match_adjacency(spark):
+    lines = GRAPH_SMALL + ["77", "5,,", "-3,+4"]
+    scanned = lines + ["8,1,x,9", "9,99999999999999999999,1", "10, 2"]
+    for mode, some in (("strict", lines), ("prefix", lines), ("prefix", scanned)):
+        df = spark.createDataFrame([(x,) for x in some], "value string")
+        want = sorted(((r.id, d) for r in parse_adjacency(df, mode).collect()
+                       for d in (r.adj or [None])), key=str)
+        assert sorted(map(tuple, parse_links(df, mode).collect()), key=str) == want
+        a = G.group_sizes(G.min_label_groups(parse_adjacency(df, mode))).collect()
+        assert G.group_sizes(G.min_label_groups(parse_links(df, mode))).collect() == a
+
+
+@pytest.mark.parametrize("read, bad", [
+    (read_cells, "7,x,2.0"), (read_cells, "1,2"), (read_cells, "-4,1,1"),
+    (read_adjacency, "1,2,oops"), (read_links, "3,,4")])
+def test_messages_name_the_file_and_the_line(spark, read, bad):
+    path = write_text(["1,2,3", "4,5,6"], "good.txt")
+    with open(os.path.join(path, "broken.txt"), "w") as f:
+        f.write("7,8,9\n" + bad + "\n")
+    df = read(spark, path)
+    with pytest.raises(PySparkException) as e:
+        df.count()
+    assert "broken.txt" in str(e.value) and f"'{bad}'" in str(e.value)
+    assert "ReadSchema: struct<value:string>" in plan_of(df)  # the scan reads no more
