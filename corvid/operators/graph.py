@@ -9,12 +9,13 @@ its own id) -- not connected components.
 
 Execution plan (see ``propagate``):
 
-* edges are prepared once (``layout_edges``), split by source degree. Edges
-  of ordinary sources are hash-partitioned and sorted on ``src`` and written
-  to the checkpoint folder; edges of "hot" sources (more than a threshold of
-  out-edges) are spread evenly over all partitions instead. The hot-key table
-  has a proven size bound (``hot_keys``). Repeated edges stay: ``min`` ignores
-  them, and making them distinct would cost a shuffle of its own.
+* edges are prepared once (``layout_edges``), split by source degree, and kept
+  as tables in the run's folder (``corvid.session.Tables``). Edges of ordinary
+  sources are hash-partitioned and sorted on ``src``; edges of "hot" sources
+  (more than a threshold of out-edges) are spread evenly over all partitions
+  instead. The hot-key table has a proven size bound (``hot_keys``). Repeated
+  edges stay: ``min`` ignores them, and making them distinct would cost a
+  shuffle of its own.
 * labels are hash-partitioned and sorted on ``id`` with the same partition
   count, so the join of ordinary edges with labels needs no exchange and no
   sort of the edges; hot edges are joined with a broadcast of the hot sources'
@@ -27,9 +28,10 @@ Execution plan (see ``propagate``):
   once, and merged into the labels with a left join + ``least``; the
   reduced messages are partitioned like the labels, so that join adds no
   exchange either, and targets outside the universe drop out.
-* every round's labels are written with a reliable checkpoint (shared
-  folder): the plan restarts from a scan each round and a lost executor
-  costs a re-read, not a recomputation of earlier rounds.
+* every round's labels are a table ``round-0``, ``round-1``, ...: a lost
+  executor costs a re-read, and after a lost driver ``resume`` goes on from
+  the last finished round. Rounds are planned in a session of their own, so
+  the caller's session keeps its settings throughout.
 
 Building is executing: ``layout_edges``, ``propagate``, ``min_label_groups`` and
 ``pregel_min`` run their jobs (layout and rounds) before they return.
@@ -43,7 +45,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.session import cut_lineage, default_parallelism, persist_adaptive
+from corvid.session import Tables, cut_lineage, default_parallelism, scratch_path
 
 ROUNDS = 5  # fixed value: propagation rounds of the reference programs
 UNIVERSES = ("all", "sources", "endpoints")
@@ -146,12 +148,11 @@ def hot_keys(edges: DataFrame, key: str, threshold: int = HOT_EDGES,
     The threshold is raised to ``ceil(|E| / max_hot)`` when that is larger,
     so at most ``max_hot`` keys are hot and their salts total at most
     ``2 * max_hot``: a proven bound for every broadcast built from them. One
-    job reads the degree table (partially aggregated) for |E| and the
-    largest degree; the hot table is only built when some degree is above
-    the threshold.
+    job counts |E| and the largest degree (degrees partially aggregated);
+    only when some degree is above the threshold are degrees counted again
+    for the hot table. Nothing is kept on executors in between.
     """
-    deg = persist_adaptive(edges.groupBy(F.col(key).alias("hk"))
-                           .agg(F.count(F.lit(1)).alias("d")))
+    deg = edges.groupBy(F.col(key).alias("hk")).agg(F.count(F.lit(1)).alias("d"))
     n_edges, max_deg = deg.agg(F.sum("d"), F.max("d")).first()
     n_edges, max_deg = n_edges or 0, max_deg or 0
     t = max(int(threshold), math.ceil(n_edges / max_hot), 1)
@@ -159,7 +160,6 @@ def hot_keys(edges: DataFrame, key: str, threshold: int = HOT_EDGES,
     if max_deg > t:
         table = cut_lineage(deg.where(F.col("d") > t)
                             .select("hk", F.ceil(F.col("d") / t).cast("int").alias("nsalt")))
-    deg.unpersist()
     return HotKeys(table, t, n_edges)
 
 
@@ -174,20 +174,30 @@ def partitions_for(spark, n_edges: int) -> int:
 
 @dataclass
 class EdgeLayout:
-    """Edges laid out for repeated joins with labels on ``key``.
+    """Edges laid out for repeated joins with labels on ``key``, as tables.
 
     ``light``: edges of ordinary keys, hash-partitioned and sorted on ``key``
-    in ``partitions`` parts and checkpointed. ``heavy``: edges of hot keys,
-    spread over all partitions and checkpointed, or ``None``.
+    in ``tables.parts`` parts. ``heavy``: edges of hot keys, spread over all
+    partitions by their other end, or ``None``.
     """
     light: DataFrame
     heavy: DataFrame | None
     hot: HotKeys
     key: str
-    partitions: int
+    tables: Tables
+
+    @property
+    def partitions(self) -> int:
+        return self.tables.parts
+
+    def names(self) -> list[str]:
+        return ["edges-light"] + (["edges-heavy", "hot"] if self.heavy is not None else [])
 
     def edges(self) -> DataFrame:
-        return self.light if self.heavy is None else self.light.unionByName(self.heavy)
+        """All edges, in the caller's session."""
+        light = self.tables.files("edges-light", EDGES)
+        return light if self.heavy is None else \
+            light.unionByName(self.tables.files("edges-heavy", EDGES))
 
     def with_labels(self, labels: DataFrame, out: str = "grp") -> DataFrame:
         """``(src, dst, <out>)``: every edge with the label of its ``key``
@@ -209,25 +219,46 @@ class EdgeLayout:
 
 
 def layout_edges(edges: DataFrame, key: str = "src", threshold: int = HOT_EDGES,
-                 max_hot: int = MAX_HOT_KEYS, partitions: int | None = None) -> EdgeLayout:
-    """Lay ``edges`` out for joins on ``key`` (written once to the checkpoint
-    folder); repeated edges stay."""
+                 max_hot: int = MAX_HOT_KEYS, partitions: int | None = None,
+                 folder: str | None = None) -> EdgeLayout:
+    """Lay ``edges`` out for joins on ``key`` (written once, to ``folder`` or a
+    fresh one); repeated edges stay."""
     other = "dst" if key == "src" else "src"
     spark = edges.sparkSession
-    base = edges.select("src", "dst")
+    base = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"))
     hot = hot_keys(base, key, threshold, max_hot)
     n = partitions or partitions_for(spark, hot.n_edges)
-    if hot.table is None:
-        light, heavy = base, None
-    else:
+    tables = Tables(spark, folder or scratch_path(spark, "graph"), n)
+    light = base
+    if hot.table is not None:
         tagged = base.join(F.broadcast(hot.table), F.col(key) == F.col("hk"), "left")
         light = tagged.where(F.col("hk").isNull()).select("src", "dst")
-        spread = F.pmod(F.xxhash64(other), F.col("nsalt"))
-        heavy = cut_lineage(tagged.where(F.col("hk").isNotNull())
-                            .repartition(n, F.col(key), spread).select("src", "dst"))
-    light = cut_lineage(light.repartition(n, key).sortWithinPartitions(key),
-                        keep_partitioning=True, partitions=n)
-    return EdgeLayout(light, heavy, hot, key, n)
+        tables.write("edges-heavy", tagged.where(F.col("hk").isNotNull())
+                     .select("src", "dst").repartition(n, other), other)
+        hot.table.write.mode("overwrite").parquet(tables.path("hot"))
+    tables.write("edges-light", light.repartition(n, key), key)
+    spark.createDataFrame([(n, key, hot.threshold, hot.n_edges, hot.table is not None)], ABOUT) \
+        .coalesce(1).write.mode("overwrite").parquet(tables.path("layout"))
+    return _layout(tables, key, hot.threshold, hot.n_edges, hot.table is not None)
+
+
+# columns of the tables of a run
+EDGES, HOT, LABELS = "src long, dst long", "hk long, nsalt int", "id long, grp long, changed boolean"
+ABOUT = "parts int, key string, threshold long, n_edges long, heavy boolean"
+
+
+def _layout(tables: Tables, key: str, threshold: int, n_edges: int, heavy: bool) -> EdgeLayout:
+    return EdgeLayout(
+        tables.read("edges-light", key, EDGES),
+        tables.read("edges-heavy", "dst" if key == "src" else "src", EDGES) if heavy else None,
+        HotKeys(tables.spark.read.schema(HOT).parquet(tables.path("hot")) if heavy else None,
+                threshold, n_edges), key, tables)
+
+
+def open_layout(spark, folder: str) -> EdgeLayout:
+    """The layout that ``layout_edges`` wrote to ``folder``."""
+    r = spark.read.schema(ABOUT).parquet(f"{folder.rstrip('/')}/layout").first()
+    return _layout(Tables(spark, folder, r["parts"]), r["key"], r["threshold"], r["n_edges"], r["heavy"])
 
 
 # ---------------------------------------------------------------- rounds
@@ -258,38 +289,69 @@ def _apply_messages(labels: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def start_labels(vertices: DataFrame, layout: EdgeLayout) -> DataFrame:
-    """Initial labels, partitioned and sorted like the layout's edges and
-    checkpointed; all count as changed."""
-    n = layout.partitions
-    # min(id), not a copy of the id column: with two equal columns the
-    # checkpoint may record the partitioning by the wrong one
+    """Initial labels (table ``round-0``), partitioned and sorted like the
+    layout's edges; all count as changed."""
     labels = (vertices.groupBy("id").agg(F.min("id").alias("grp"))
-              .withColumn("changed", F.lit(True))
-              .repartition(n, "id").sortWithinPartitions("id"))
-    return cut_lineage(labels, keep_partitioning=True, partitions=n)
+              .withColumn("changed", F.lit(True)).repartition(layout.partitions, "id"))
+    layout.tables.write("round-0", labels, "id")
+    return layout.tables.read("round-0", "id", LABELS)
 
 
-def run_rounds(layout: EdgeLayout, vertices: DataFrame, rounds: int, step=None) -> DataFrame:
+def run_rounds(layout: EdgeLayout, vertices: DataFrame | None, rounds: int, step=None,
+               keep: bool = True) -> DataFrame:
     """Labels after ``rounds`` rounds of ``step`` (``propagation_round``), or
-    after fewer if no label changes any more."""
+    after fewer if no label changes any more. Goes on after the last finished
+    round in the layout's folder; ``vertices`` are only read if there is none.
+    Every round stays readable (``round_labels``), or with ``keep`` false
+    only the last one."""
     step = step or propagation_round
-    labels = start_labels(vertices, layout)
-    for done in range(1, rounds + 1):
-        labels = cut_lineage(step(layout, labels), keep_partitioning=True,
-                             partitions=layout.partitions)
-        if done < rounds and not labels.where("changed").head(1):
+    tables = layout.tables
+    done = max((k for k in range(rounds + 1) if tables.finished(f"round-{k}")), default=-1)
+    if done < 0:
+        if vertices is None:
+            raise ValueError(f"no finished round in {tables.folder}")
+        start_labels(vertices, layout)
+        done = 0
+    while done < rounds:
+        labels = tables.read(f"round-{done}", "id", LABELS)
+        if done and not labels.where("changed").head(1):
             break
-    return labels.select("id", "grp")
+        tables.write(f"round-{done + 1}", step(layout, labels), "id")
+        if not keep:
+            tables.drop(f"round-{done}")
+        done += 1
+    return round_labels(layout, done)
+
+
+def round_labels(layout: EdgeLayout, number: int) -> DataFrame:
+    """``(id, grp)`` after a finished round, in the caller's session."""
+    return layout.tables.files(f"round-{number}", LABELS).select("id", "grp")
+
+
+def resume(spark, folder: str, rounds: int = ROUNDS, step=None) -> DataFrame:
+    """Finish a run whose driver was lost, from the tables in ``folder``: the
+    layout and the last finished round. The inputs are not read again."""
+    return run_rounds(open_layout(spark, folder), None, rounds, step)
+
+
+def _own_run(layout: EdgeLayout, vertices: DataFrame, rounds: int, step, folder: str | None):
+    """``run_rounds`` of a layout nobody else uses: unless the caller named the
+    folder, only the last round's table stays in it."""
+    labels = run_rounds(layout, vertices, rounds, step, keep=folder is not None)
+    if folder is None:
+        layout.tables.drop(*layout.names(), "layout")
+    return labels
 
 
 def propagate(edges: DataFrame, vertices: DataFrame, rounds: int = ROUNDS,
               hot_threshold: int = HOT_EDGES, max_hot: int = MAX_HOT_KEYS,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, folder: str | None = None) -> DataFrame:
     """Labels ``(id, grp)`` of every vertex of ``vertices`` after ``rounds``
     rounds of min-label propagation along ``edges``. ``partitions`` sets how
-    edges and labels are split (default: ``partitions_for`` the edge count)."""
-    layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions)
-    return run_rounds(layout, vertices, rounds)
+    edges and labels are split (default: ``partitions_for`` the edge count).
+    With ``folder`` the run's tables stay there for ``resume``."""
+    layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions, folder)
+    return _own_run(layout, vertices, rounds, propagation_round, folder)
 
 
 def propagation_round(layout: EdgeLayout, labels: DataFrame) -> DataFrame:
@@ -306,12 +368,14 @@ def group_sizes(labels: DataFrame) -> DataFrame:
 
 
 def min_label_groups(adj: DataFrame, universe: str = "all", rounds: int = ROUNDS,
-                     hot_threshold: int = HOT_EDGES, partitions: int | None = None) -> DataFrame:
-    """Adjacency -> labels after ``rounds`` rounds over the chosen universe.
-    The vertices at edge ends are read from the laid-out edges."""
+                     hot_threshold: int = HOT_EDGES, partitions: int | None = None,
+                     folder: str | None = None) -> DataFrame:
+    """Adjacency (or links) -> labels after ``rounds`` rounds over the chosen
+    universe. The vertices at edge ends are read from the laid-out edges."""
     layout = layout_edges(adjacency_to_edges(adj, distinct=False), "src", hot_threshold,
-                          partitions=partitions)
-    return run_rounds(layout, vertex_universe(adj, universe, layout.edges()), rounds)
+                          partitions=partitions, folder=folder)
+    return _own_run(layout, vertex_universe(adj, universe, layout.edges()), rounds,
+                    propagation_round, folder)
 
 
 # ---------------------------------------------------------------- triplets
@@ -350,7 +414,8 @@ def graph_triplets(edges: DataFrame, labels: DataFrame, attr: str | None = "src"
 
 
 def pregel_min(edges: DataFrame, rounds: int = ROUNDS, hot_threshold: int = HOT_EDGES,
-               max_hot: int = MAX_HOT_KEYS, partitions: int | None = None) -> DataFrame:
+               max_hot: int = MAX_HOT_KEYS, partitions: int | None = None,
+               folder: str | None = None) -> DataFrame:
     """Vertex-program form, vertices = edge endpoints.
 
     Each vertex starts with its own id. Per superstep the edges of vertices
@@ -361,10 +426,10 @@ def pregel_min(edges: DataFrame, rounds: int = ROUNDS, hot_threshold: int = HOT_
     where it is and no superstep moves the edges. Gives the same labels as
     ``propagate`` over the ``endpoints`` universe.
     """
-    layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions)
+    layout = layout_edges(edges, "src", hot_threshold, max_hot, partitions, folder)
     e = layout.edges()
     verts = e.select(F.col("src").alias("id")).unionByName(e.select(F.col("dst").alias("id")))
-    return run_rounds(layout, verts, rounds, pregel_round)
+    return _own_run(layout, verts, rounds, pregel_round, folder)
 
 
 def pregel_round(layout: EdgeLayout, labels: DataFrame) -> DataFrame:

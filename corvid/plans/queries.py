@@ -182,8 +182,8 @@ def graph_group_sizes_endpoints(spark, d):
 def graph_triplets(spark, d):
     """Triplets over the labels after one round."""
     adj, layout = _order_layout(spark, d)
-    labels = G.run_rounds(layout, G.vertex_universe(adj, "endpoints", layout.edges()), 1)
-    return G.graph_triplets(layout.edges(), labels, "src", layout,
+    G.run_rounds(layout, G.vertex_universe(adj, "endpoints", layout.edges()), 1)
+    return G.graph_triplets(layout.edges(), layout.tables.read("round-1", "id", G.LABELS), "src", layout,
                             G.hot_keys(layout.edges(), "dst"))
 
 

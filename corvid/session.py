@@ -1,14 +1,15 @@
-"""Session helpers: building a session for local runs, and resolving the
-shared checkpoint folder that iterative operators cut their lineage into."""
+"""Session helpers: building a session for local runs, resolving the shared
+checkpoint folder that iterative operators write to, and the tables of an
+iterative run (``Tables``). No setting of the caller's session is changed."""
 
 from __future__ import annotations
 
 import atexit
 import shutil
 import tempfile
-import threading
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,9 +80,44 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "folder (HDFS/object store) to cut lineage into")
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("corvid_workspace", default=None)
+
+
+@contextmanager
+def workspace(spark: SparkSession):
+    """A folder of its own in the checkpoint folder for all that operators
+    write inside the ``with`` block; deleted, with everything in it, at the
+    end. Results that read it lazily must be written or collected before."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/corvid/{uuid.uuid4().hex}"
+    token = _FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _FOLDER.reset(token)
+        remove_path(spark, folder)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the checkpoint folder, which all executors share."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/corvid/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the workspace if there is one, else in the checkpoint
+    folder; all executors share both."""
+    folder = _FOLDER.get() or f"{checkpoint_dir(spark).rstrip('/')}/corvid"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -91,66 +127,78 @@ def default_parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-_PLANNING_LOCK = threading.RLock()
+# Settings of the session that rounds are planned in. A table's buckets are its
+# partitioning, so joins on the bucket column read it in place, and one sorted
+# file per bucket is read as sorted. Static plans keep exchanges at the tables'
+# partition count.
+ROUND_CONF = {
+    "spark.sql.adaptive.enabled": "false",
+    "spark.sql.sources.bucketing.enabled": "true",
+    "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+}
 
 
-@contextmanager
-def _static_planning(spark: SparkSession, shuffle_partitions: int | None = None):
-    """Plan the enclosed action without AQE, and with ``shuffle_partitions``
-    when given. An adaptive plan reports no output partitioning, so a
-    checkpoint taken under AQE forgets how its rows are clustered and every
-    later join re-shuffles it; and exchanges must produce the same partition
-    count as the data they meet, or Spark re-shuffles that data to match.
-    The lock keeps two such actions of this process from interleaving."""
-    settings = {"spark.sql.adaptive.enabled": "false"}
-    if shuffle_partitions:
-        settings["spark.sql.shuffle.partitions"] = str(int(shuffle_partitions))
-    with _PLANNING_LOCK:
-        before = {k: spark.conf.get(k) for k in settings}
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        try:
-            yield
-        finally:
-            for k, v in before.items():
-                spark.conf.set(k, v)
-
-
-def persist_adaptive(df: DataFrame, level=None) -> DataFrame:
-    """``persist`` whose cached plan may be re-partitioned by AQE.
-
-    By default Spark plans cached data without AQE partition coalescing, so
-    a cache built in a session with many shuffle partitions keeps them all
-    and every later job over it runs that many tasks. Used only for caches
-    whose partitioning nothing relies on."""
-    from pyspark import StorageLevel
-
-    spark = df.sparkSession
-    key = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
-    with _PLANNING_LOCK:
-        before = spark.conf.get(key, "false")
-        spark.conf.set(key, "true")
-        try:
-            return df.persist(level or StorageLevel.MEMORY_AND_DISK)
-        finally:
-            spark.conf.set(key, before)
-
-
-def cut_lineage(df: DataFrame, keep_partitioning: bool = False,
-                partitions: int | None = None) -> DataFrame:
-    """Reliable checkpoint into the shared folder: the plan restarts from the
-    written files, and a lost executor costs a re-read, not a recomputation
-    of earlier rounds.
+class Tables:
+    """Tables of one iterative run, in one shared folder.
 
-    ``keep_partitioning``: the checkpoint records the hash partitioning of
-    ``df`` (planned without AQE, exchanges with ``partitions`` parts), so
-    joins and aggregates on the same keys and partition count read it
-    without an exchange.
+    They are hash-partitioned and sorted on a key (bucketed into ``parts``), and
+    read by ``self.spark``, a session beside the caller's with settings of its
+    own: joins on the key move neither table, and the caller's session plans
+    its other queries as ever. The folder alone is enough to go on after the
+    driver is lost: a table counts once its write has been committed, and
+    the names are registered anew from the files.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    if not keep_partitioning:
-        return df.checkpoint(eager=True)
-    with _static_planning(spark, partitions):
-        # a new Dataset, so no physical plan made earlier under AQE is reused
-        return df.select(*df.columns).checkpoint(eager=True)
+
+    def __init__(self, spark: SparkSession, folder: str, parts: int):
+        self.caller, self.folder, self.parts = spark, folder.rstrip("/"), int(parts)
+        self.spark = spark.newSession()
+        for key, value in {**ROUND_CONF, "spark.sql.shuffle.partitions": str(self.parts)}.items():
+            self.spark.conf.set(key, value)
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def _registered(self, name: str) -> str:
+        unique = uuid.uuid5(uuid.NAMESPACE_URL, self.path(name)).hex
+        return f"spark_catalog.default.corvid_{unique}"
+
+    def finished(self, name: str) -> bool:
+        return path_exists(self.caller, self.path(name) + "/_SUCCESS")
+
+    def write(self, name: str, df: DataFrame, key: str) -> None:
+        """``df`` as a table bucketed on ``key``. It should arrive in ``parts``
+        hash partitions of ``key``, so that every bucket is one file."""
+        self.forget(name)
+        (df.write.mode("overwrite").format("parquet").bucketBy(self.parts, key).sortBy(key)
+         .option("path", self.path(name)).saveAsTable(self._registered(name)))
+
+    def read(self, name: str, key: str, columns: str) -> DataFrame:
+        """The table in ``self.spark``; ``columns`` is its schema as DDL."""
+        table = self._registered(name)
+        if not self.spark.catalog.tableExists(table):
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({key}) "
+                           f"SORTED BY ({key}) INTO {self.parts} BUCKETS "
+                           f"LOCATION '{self.path(name)}'")
+        return self.spark.table(table)
+
+    def files(self, name: str, columns: str) -> DataFrame:
+        """The table as the caller's session reads it, by its files."""
+        return self.caller.read.schema(columns).parquet(self.path(name))
+
+    def forget(self, *names: str) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._registered(name)}")
+
+    def drop(self, *names: str) -> None:
+        """Remove tables with their files."""
+        self.forget(*names)
+        for name in names:
+            remove_path(self.caller, self.path(name))
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared folder: the plan restarts from the
+    written files, and a lost executor costs a re-read."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -1,7 +1,7 @@
 """Write PLANS.md: the physical plans of the headline queries at sf0.1.
 
 Adaptive queries are run first (their own plan, counted on the executors)
-so the final adaptive plan is shown; a propagation round is shown as its checkpoint action plans it
+so the final adaptive plan is shown; a propagation round is shown as its own session plans it
 (static, with the layout's partition count).
 Usage: python dump_plans.py [sf_dir] [out]
 """
@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from corvid.operators import graph as G  # noqa: E402
 from corvid.plans import bindings as B  # noqa: E402
 from corvid.plans.queries import QUERIES  # noqa: E402
-from corvid.session import _static_planning, cut_lineage, local_session  # noqa: E402
+from corvid.session import local_session  # noqa: E402
 
 SHOWN = ["mat_add_outer", "mat_add_blockjoin", "mat_add_blockjoin_checked", "mat_render_dense", "rating_hist_avg",
          "rating_hist_sql", "adjacency_to_edges"]
@@ -53,20 +53,16 @@ def main(argv):
     for title, threshold in (("propagation round (no hot source)", G.HOT_EDGES),
                              ("propagation round (hot sources, threshold 5)", 5)):
         layout = G.layout_edges(edges, "src", threshold=threshold)
-        labels = cut_lineage(G.propagation_round(layout, G.start_labels(
-            G.vertex_universe(adj, "all", layout.edges()), layout)),
-            keep_partitioning=True, partitions=layout.partitions)
-        rnd = G.propagation_round(layout, labels)
-        with _static_planning(spark, layout.partitions):
-            plan = rnd.select(*rnd.columns)._jdf.queryExecution().executedPlan().toString()
+        G.run_rounds(layout, G.vertex_universe(adj, "all", layout.edges()), 1)
+        rnd = G.propagation_round(layout, layout.tables.read("round-1", "id", G.LABELS))
+        plan = rnd._jdf.queryExecution().executedPlan().toString()
         parts += [f"## {title}", "", f"{layout.partitions} partitions; edges and labels "
-                  "are checkpointed scans (`Scan ExistingRDD`).", "", "```", _clean(plan),
+                  "are bucketed tables.", "", "```", _clean(plan),
                   "```", ""]
     layout = G.layout_edges(edges, "src")
     labels = G.start_labels(G.vertex_universe(adj, "endpoints", layout.edges()), layout)
     step = G.pregel_round(layout, labels)
-    with _static_planning(spark, layout.partitions):
-        plan = step.select(*step.columns)._jdf.queryExecution().executedPlan().toString()
+    plan = step._jdf.queryExecution().executedPlan().toString()
     parts += ["## Pregel superstep", "", f"{layout.partitions} partitions.", "",
               "```", _clean(plan), "```", ""]
     with open(out, "w") as f:

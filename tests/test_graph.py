@@ -4,6 +4,7 @@ triplet form against union form, brute force on random graphs."""
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
@@ -214,3 +215,93 @@ def test_random_graphs_against_brute_force(spark, seed):
         assert sum(c for _, c in sizes(G.min_label_groups(a, universe))) == len(got)
     pre = {r.id: r.grp for r in G.pregel_min(e).collect()}
     assert pre == brute(lines, "endpoints")
+
+
+# ------------------------------------------------------------ rounds as tables
+
+
+LONG_CHAIN = [f"{k},{k + 1}" for k in range(9)] + ["20,21", "21,20", "30"]
+
+
+@pytest.mark.parametrize("threshold", [G.HOT_EDGES, 1])
+@pytest.mark.parametrize("form", ["union", "pregel"])
+def test_run_ends_after_round_three_and_is_finished_from_its_tables(spark, tmp_path, form, threshold):
+    lines = LONG_CHAIN + ["0," + ",".join(str(k) for k in range(40, 60))]
+    a = adj(spark, lines)
+    folder = str(tmp_path / "run")
+    step = G.propagation_round if form == "union" else G.pregel_round
+    universe = "all" if form == "union" else "endpoints"
+
+    def run(rounds, **options):
+        if form == "union":
+            return G.min_label_groups(a, rounds=rounds, hot_threshold=threshold, **options)
+        return G.pregel_min(G.adjacency_to_edges(a), rounds, threshold, **options)
+
+    run(3, folder=folder)
+    # the driver is gone: another session that knows the folder and no names
+    other = spark.newSession()
+    layout = G.open_layout(other, folder)
+    layout.tables.forget(*layout.names(), *[f"round-{k}" for k in range(4)])
+    assert (layout.heavy is None) == (threshold > 1)
+    done = {r.id: r.grp for r in G.resume(other, folder, 5, step).collect()}
+    assert done == brute(lines, universe) == {r.id: r.grp for r in run(5).collect()}
+    # every round is readable
+    for k in range(6):
+        got = {r.id: r.grp for r in G.round_labels(layout, k).collect()}
+        assert got == brute(lines, universe, rounds=k)
+    # resuming a finished run computes nothing
+    calls = []
+    again = G.resume(other, folder, 5, lambda *x: calls.append(1))
+    assert not calls and {r.id: r.grp for r in again.collect()} == done
+
+
+def test_a_round_that_was_cut_off_is_not_taken_for_finished(spark, tmp_path):
+    folder = str(tmp_path / "run")
+    a = adj(spark, LONG_CHAIN)
+    G.min_label_groups(a, rounds=3, folder=folder)
+    (tmp_path / "run" / "round-3" / "_SUCCESS").unlink()
+    got = {r.id: r.grp for r in G.resume(spark, folder, 5).collect()}
+    assert got == brute(LONG_CHAIN, "all")
+
+
+def test_nothing_to_resume(spark, tmp_path):
+    layout = G.layout_edges(G.adjacency_to_edges(adj(spark, ["1,2"])), folder=str(tmp_path / "x"))
+    with pytest.raises(ValueError, match="no finished round"):
+        G.resume(spark, layout.tables.folder)
+
+
+def test_rounds_leave_the_session_alone(spark):
+    """While rounds run in another thread, a query of the same session is
+    planned with its own settings."""
+    import threading
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen, stop = set(), threading.Event()
+
+    def watch():
+        while not stop.is_set():
+            q = spark.range(10).groupBy((F.col("id") % 3).alias("k")).count()
+            plan = q._jdf.queryExecution().executedPlan().toString()
+            seen.add(("AdaptiveSparkPlan" in plan, spark.conf.get("spark.sql.shuffle.partitions")))
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        assert labels(spark, LONG_CHAIN, "all") == brute(LONG_CHAIN, "all")
+    finally:
+        stop.set()
+        thread.join()
+    assert seen == {(True, before)}
+
+
+def test_only_the_last_round_stays(spark):
+    from corvid.session import workspace
+
+    with workspace(spark) as folder:
+        labels(spark, LONG_CHAIN, "all")
+        fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        listed = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(fs)
+        inner = listed[0].getPath()
+        names = sorted(x.getPath().getName() for x in inner.getFileSystem(
+            spark.sparkContext._jsc.hadoopConfiguration()).listStatus(inner))
+    assert len(listed) == 1 and names == ["round-5"]

@@ -4,18 +4,20 @@ from corvid.operators import graph as G
 from corvid.operators import matrix as M
 from corvid.operators.ratings import rating_histogram
 from corvid.plans import bindings as B
-from corvid.session import _static_planning, cut_lineage
 
 SF = "/root/testdata/sf0.001"
 
 
-def plan_of(df, static=False, partitions=None):
-    if static:
-        with _static_planning(df.sparkSession, partitions):
-            return df.select(*df.columns)._jdf.queryExecution().executedPlan().toString()
+def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def after_round(adj, edges, layout):
+    """The stored labels after one round."""
+    G.run_rounds(layout, G.vertex_universe(adj, "all", edges), 1)
+    return layout.tables.read("round-1", "id", G.LABELS)
+
+
 def exchanges(plan):
     return [line.strip() for line in plan.splitlines() if "Exchange" in line
             and "BroadcastExchange" not in line and "ReusedExchange" not in line]
@@ -25,9 +27,8 @@ def test_round_moves_only_reduced_messages(spark):
     adj = B.order_adjacency(spark, SF)
     edges = G.adjacency_to_edges(adj)
     layout = G.layout_edges(edges, "src", partitions=8)
-    labels = cut_lineage(G.propagation_round(layout, G.start_labels(
-        G.vertex_universe(adj, "all", edges), layout)), keep_partitioning=True)
-    plan = plan_of(G.propagation_round(layout, labels), static=True)
+    labels = after_round(adj, edges, layout)
+    plan = plan_of(G.propagation_round(layout, labels))
     ex = exchanges(plan)
     assert len(ex) == 1, plan
     assert "partial_min" in plan
@@ -41,10 +42,9 @@ def test_round_keeps_its_own_partition_count(spark):
     adj = B.order_adjacency(spark, SF)
     edges = G.adjacency_to_edges(adj)
     layout = G.layout_edges(edges, "src", partitions=3)
-    labels = cut_lineage(G.propagation_round(layout, G.start_labels(
-        G.vertex_universe(adj, "all", edges), layout)), keep_partitioning=True, partitions=3)
+    labels = after_round(adj, edges, layout)
     assert labels.rdd.getNumPartitions() == 3
-    plan = plan_of(G.propagation_round(layout, labels), static=True, partitions=3)
+    plan = plan_of(G.propagation_round(layout, labels))
     assert len(exchanges(plan)) == 1, plan
     got = {r.id: r.grp for r in G.propagate(edges, G.vertex_universe(adj, "all", edges),
                                             partitions=3).collect()}
@@ -57,9 +57,8 @@ def test_round_with_hot_sources_broadcasts_only_hot_labels(spark):
     edges = G.adjacency_to_edges(adj)
     layout = G.layout_edges(edges, "src", threshold=5, partitions=8)
     assert layout.heavy is not None
-    labels = cut_lineage(G.propagation_round(layout, G.start_labels(
-        G.vertex_universe(adj, "all", edges), layout)), keep_partitioning=True)
-    plan = plan_of(G.propagation_round(layout, labels), static=True)
+    labels = after_round(adj, edges, layout)
+    plan = plan_of(G.propagation_round(layout, labels))
     assert len(exchanges(plan)) == 1, plan
     # hot edges meet a broadcast of the hot labels only (a semi join with
     # the bounded hot-key table), ordinary edges a sort-merge join in place
@@ -90,7 +89,7 @@ def test_pregel_round_moves_only_reduced_messages(spark):
     edges = G.adjacency_to_edges(B.order_adjacency(spark, SF))
     layout = G.layout_edges(edges, "src", partitions=4)
     labels = G.start_labels(G.vertex_universe(None, "endpoints", layout.edges()), layout)
-    plan = plan_of(G.pregel_round(layout, labels), static=True, partitions=4)
+    plan = plan_of(G.pregel_round(layout, labels))
     ex = exchanges(plan)
     assert len(ex) == 1 and "hashpartitioning(id" in ex[0], plan
     assert "partial_min" in plan

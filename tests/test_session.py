@@ -1,8 +1,8 @@
-"""Checkpoint-folder policy and the static-planning switch."""
+"""Checkpoint-folder policy, workspaces and the tables of a run."""
 
 import pytest
 
-from corvid.session import _static_planning, checkpoint_dir
+from corvid.session import Tables, checkpoint_dir, path_exists, scratch_path, workspace
 
 
 class FakeConf(dict):
@@ -71,36 +71,34 @@ def test_session_without_context_uses_the_setting():
         checkpoint_dir(FakeSession(None))
 
 
-def test_static_planning_restores_settings(spark):
-    before_aqe = spark.conf.get("spark.sql.adaptive.enabled")
-    before_n = spark.conf.get("spark.sql.shuffle.partitions")
-    with _static_planning(spark, 3):
-        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
-    assert spark.conf.get("spark.sql.adaptive.enabled") == before_aqe
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before_n
-    with pytest.raises(ValueError):
-        with _static_planning(spark, 3):
-            raise ValueError("boom")
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before_n
-
-
-def test_adaptive_cache_coalesces_partitions(spark):
-    from corvid.session import persist_adaptive
-
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "64")
-    try:
-        plain = spark.range(1000).selectExpr("id % 10 as k").distinct().persist()
-        plain.count()
-        adaptive = persist_adaptive(spark.range(2000).selectExpr("id % 10 as k").distinct())
-        adaptive.count()
-        assert plain.rdd.getNumPartitions() == 64
-        assert adaptive.rdd.getNumPartitions() < 64
-        assert sorted(r.k for r in adaptive.collect()) == list(range(10))
-        plain.unpersist()
-        adaptive.unpersist()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert spark.conf.get("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning",
-                          "false") == "false"
+def test_tables_are_read_in_place_and_settings_stay(spark, tmp_path):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled",
+                                             "spark.sql.shuffle.partitions")}
+    t = Tables(spark, str(tmp_path / "run"), 3)
+    rows = spark.range(100).selectExpr("id", "id % 7 as v")
+    assert not t.finished("a")
+    for name in ("a", "b"):
+        t.write(name, rows.repartition(3, "id"), "id")
+    assert t.finished("a")
+    a, b = (t.read(n, "id", "id long, v long") for n in "ab")
+    plan = a.hint("merge").join(b, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort [" not in plan, plan
+    assert a.rdd.getNumPartitions() == 3
+    assert {k: spark.conf.get(k) for k in before} == before
+    # the folder alone is enough: names are registered again
+    t.forget("a")
+    again = Tables(spark, str(tmp_path / "run"), 3)
+    assert again.read("a", "id", "id long, v long").count() == 100
+    assert again.files("a", "id long, v long").agg({"v": "sum"}).first()[0] == sum(i % 7 for i in range(100))
+    again.drop("a", "b")
+    assert not path_exists(spark, t.path("a"))
+
+
+def test_workspace_owns_its_folder(spark):
+    assert scratch_path(spark, "x").startswith(checkpoint_dir(spark))
+    with workspace(spark) as folder:
+        path = scratch_path(spark, "x")
+        assert path.startswith(folder)
+        spark.range(3).write.parquet(path)
+        assert path_exists(spark, path)
+    assert not path_exists(spark, folder) and not scratch_path(spark, "x").startswith(folder)
