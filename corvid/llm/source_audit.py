@@ -32,12 +32,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvid.llm.common import join_sized, small_batches, store
+from corvid.llm.common import join_sized, raw_bytes, small_batches, store
 
 MIN_DOCS = 3
 TOP = 200
 SCALE = 1_000_000_000  # fixed value of the contract: p is in units of 10^-9
-SLICE = 4 << 20  # bytes of text whose pointers are sorted at once
+SLICE = 8 << 20  # bytes of text whose pointers are sorted at once
 SMALL = 1 << 15  # pointers of a slice that one sort finishes
 PAIRS = 500_000  # pair sums a task holds before it hands them on
 COUNTS = "lang string, source string, term string, n long, docs long"
@@ -206,37 +206,47 @@ def _long_text(text: bytes) -> dict:
 def term_runs(docs: DataFrame, lang_col: str, source_col: str, text_col: str) -> DataFrame:
     """(lang, source, term, n, docs): the runs of all slices."""
 
-    def run(batches):
+    def counted(names, groups, texts):
         import numpy as np
         import pyarrow as pa
 
+        groups = np.array(groups, np.int64)
+        for piece in _pieces(texts):
+            if len(piece) == 1 and len(piece[0][1]) > SLICE:
+                found = _long_text(piece[0][1])
+                terms, n = list(found), np.array(list(found.values()), np.int64)
+                own = np.full(len(terms), groups[piece[0][0]])
+                held = np.ones(len(terms), np.int64)
+            else:
+                data = np.frombuffer(b" ".join(x for _, x in piece), np.uint8)
+                sizes = np.array([len(x) + 1 for _, x in piece])
+                terms, own, n, held = runs(data, np.cumsum(sizes) - sizes,
+                                           groups[[i for i, _ in piece]])
+            if not len(terms):
+                continue
+            langs, sources = (pa.DictionaryArray.from_arrays(
+                pa.array(own, pa.int32()), pa.array([x[k] for x in names], pa.string()))
+                .cast(pa.string()) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [langs, sources, pa.array(terms, pa.binary()).cast(pa.string()),
+                 pa.array(n, pa.int64()), pa.array(held, pa.int64())],
+                ["lang", "source", "term", "n", "docs"])
+
+    def run(batches):
+        # texts of several batches to a slice, so that their runs are longer
+        known: dict = {}
+        groups, texts, size = [], [], 0
         for batch in batches:
-            langs, sources = (batch.column(c).to_pylist() for c in ("lang", "source"))
-            known: dict = {}
-            groups = np.array([known.setdefault(x, len(known)) for x in zip(langs, sources)],
-                              np.int64)
-            names = list(known)
-            column = batch.column("text")
-            kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
-            for piece in _pieces(column.cast(kind).to_pylist()):
-                if len(piece) == 1 and len(piece[0][1]) > SLICE:
-                    found = _long_text(piece[0][1])
-                    terms, n = list(found), np.array(list(found.values()), np.int64)
-                    own = np.full(len(terms), groups[piece[0][0]])
-                    held = np.ones(len(terms), np.int64)
-                else:
-                    data = np.frombuffer(b" ".join(x for _, x in piece), np.uint8)
-                    sizes = np.array([len(x) + 1 for _, x in piece])
-                    terms, own, n, held = runs(data, np.cumsum(sizes) - sizes,
-                                               groups[[i for i, _ in piece]])
-                if not len(terms):
-                    continue
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[g][0] for g in own.tolist()], pa.string()),
-                     pa.array([names[g][1] for g in own.tolist()], pa.string()),
-                     pa.array(terms, pa.binary()).cast(pa.string()),
-                     pa.array(n, pa.int64()), pa.array(held, pa.int64())],
-                    ["lang", "source", "term", "n", "docs"])
+            groups += [known.setdefault(x, len(known)) for x in
+                       zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())]
+            new = raw_bytes(batch)
+            texts += new
+            size += sum(map(len, new))
+            if size >= SLICE:
+                yield from counted(list(known), groups, texts)
+                known, groups, texts, size = {}, [], [], 0
+        if texts:
+            yield from counted(list(known), groups, texts)
 
     return _texts(docs, lang_col, source_col, text_col).mapInArrow(run, COUNTS)
 
@@ -332,12 +342,20 @@ class PairSums(dict):
     def add(self, lang, own, other, value) -> None:
         import numpy as np
 
-        key = own * (1 << 31) + other
-        keys, at = np.unique(key, return_inverse=True)
-        sums = np.zeros(len(keys), np.int64)
-        np.add.at(sums, at, value)
-        for k, v in zip(keys.tolist(), sums.tolist()):
-            self[lang, k] = self.get((lang, k), 0) + v
+        width = int(max(own.max(initial=0), other.max(initial=0))) + 1
+        key = own * width + other
+        if width * width <= 4 * len(key):
+            sums, seen = np.zeros(width * width, np.int64), np.zeros(width * width, bool)
+            np.add.at(sums, key, value)
+            seen[key] = True
+            keys = np.flatnonzero(seen)
+            sums = sums[keys]
+        else:
+            keys, at = np.unique(key, return_inverse=True)
+            sums = np.zeros(len(keys), np.int64)
+            np.add.at(sums, at, value)
+        for a, b, v in zip((keys // width).tolist(), (keys % width).tolist(), sums.tolist()):
+            self[lang, a, b] = self.get((lang, a, b), 0) + v
 
     def batch(self):
         import pyarrow as pa
@@ -345,47 +363,53 @@ class PairSums(dict):
         names = list(self)
         out = pa.RecordBatch.from_arrays(
             [pa.array([x[0] for x in names], pa.string()),
-             pa.array([x[1] >> 31 for x in names], pa.int64()),
-             pa.array([x[1] & (1 << 31) - 1 for x in names], pa.int64()),
+             pa.array([x[1] for x in names], pa.int64()),
+             pa.array([x[2] for x in names], pa.int64()),
              pa.array(list(self.values()), pa.int64())], ["lang", "own", "other", "value"])
         self.clear()
         return out
 
 
 SUMS = "lang string, own long, other long, value long"
-CROSS = 1 << 20  # pairs of sources of a term that are held at once
+CROSS = 1 << 19  # pairs of sources of terms that are held at once
 
 
 def common_terms(batches):
     """Part (b): over rows (lang, terms, codes, counts, sizes) of one kept term
     each, what pairs of sources that both have it differ from part (a)."""
     import numpy as np
+    import pyarrow.compute as pc
 
     sums = PairSums()
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist()
-                     for c in ("lang", "terms", "codes", "counts", "sizes")))
-        held: dict = {}
-        for lang, terms, codes, counts, sizes in rows:
-            code, size = np.array(codes, np.int64), np.array(sizes, np.int64)
-            p, z = exact_p(counts, size, terms), exact_p(0, size, terms)
-            step = max(1, CROSS // len(code))
-            for i in range(0, len(code), step):
-                cut = slice(i, i + step)
-                value = (exact_f(p[cut, None], p[None, :]) - exact_f(p[cut, None], z[None, :])
-                         - exact_f(z[cut, None], p[None, :]) + exact_f(z[cut, None], z[None, :]))
-                own, other = np.broadcast_arrays(code[cut, None], code[None, :])
+        for lang in pc.unique(batch.column("lang")).to_pylist():
+            some = batch.filter(pc.equal(batch.column("lang"), lang))
+            many = some.column("codes").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            code, count, size = (some.column(c).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                                 for c in ("codes", "counts", "sizes"))
+            terms = int(some.column("terms")[0].as_py())
+            p, z = exact_p(count, size, terms), exact_p(0, size, terms)
+            # entry by entry the sources of the same term: (entry, first, sources)
+            reach = np.repeat(many, many)
+            first = np.repeat(np.cumsum(many) - many, many)
+            ends = np.cumsum(reach)
+            at = 0
+            while at < len(code):
+                stop = max(at + 1, int(np.searchsorted(
+                    ends, (ends[at - 1] if at else 0) + CROSS, "right")))
+                here = reach[at:stop]
+                own = np.repeat(np.arange(at, stop), here)
+                step = np.arange(len(own)) - np.repeat(np.cumsum(here) - here, here)
+                other = np.repeat(first[at:stop], here) + step
                 away = own != other
-                parts = held.setdefault(lang, [])
-                parts.append((own[away], other[away], value[away]))
-                if sum(len(x[0]) for x in parts) > CROSS:
-                    sums.add(lang, *map(np.concatenate, zip(*parts)))
-                    parts.clear()
-            if len(sums) > PAIRS:
-                yield sums.batch()
-        for lang, parts in held.items():
-            if parts:
-                sums.add(lang, *map(np.concatenate, zip(*parts)))
+                own, other = own[away], other[away]
+                value = (exact_f(p[own], p[other]) - exact_f(p[own], z[other])
+                         - exact_f(z[own], p[other]) + exact_f(z[own], z[other]))
+                if len(own):
+                    sums.add(lang, code[own], code[other], value)
+                at = stop
+                if len(sums) > PAIRS:
+                    yield sums.batch()
     yield sums.batch()
 
 
