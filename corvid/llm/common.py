@@ -13,12 +13,10 @@ Conventions of every operator here:
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvid.session import checkpoint_dir
+from corvid.session import scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -28,8 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/corvid-llm/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the shared checkpoint folder, or in the workspace that
+    the caller opened (``corvid.session.workspace``) and that is removed with
+    all tables in it."""
+    return scratch_path(spark, label)
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -44,13 +44,19 @@ def fold(id_col: str, mod: int) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % mod
 
 
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+         "spark.sql.execution.arrow.maxBytesPerBatch": (None, "8m")}
+
+
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``; its session sends at most 1,000 rows to Python at once, unless
-    it has a setting of its own: 10,000 whole texts, the default, take
-    hundreds of MB outside the heap of every executor."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if conf.get(key) == "10000":
-        conf.set(key, "1000")
+    """``df``; its session sends at most 1,000 rows and about 8 MB to Python at
+    once, unless it has settings of its own: 10,000 whole texts, the default,
+    take hundreds of MB outside the heap of every executor, and so do 1,000
+    long ones."""
+    conf = df.sparkSession.conf
+    for key, (default, value) in BATCH.items():
+        if conf.get(key, None) in (default, "2147483647", "-1"):
+            conf.set(key, value)
     return df
 
 

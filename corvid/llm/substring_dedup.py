@@ -17,8 +17,10 @@ lies in a window whose words also start in a document with a smaller id.
    match a segment of a smaller owner.
 4. Hot anchors, with more than ``HOT`` different segments (a short passage
    common to many documents), would make an unbounded shard. Their segments
-   are split into single windows, which a partial aggregate reduces to the
-   smallest document per window.
+   are cut anew around longer anchors (``FINER``: grams of 35 and then of 50
+   words, the window itself), which deals them to other, smaller shards: steps
+   2 and 3 again. The last cut is into single windows, and those around a gram
+   as long as the window are equal, so it ends in step 2 for any input.
 
 Scale: no text is shuffled up to step 2, only (anchor, content, id, place); a
 shard holds about ``SHARD`` words. Copies and windows are reduced in the map
@@ -43,7 +45,9 @@ from corvid.llm.common import (WordIds, gram_hashes, join_sized, mix64, raw_byte
 from corvid.llm.fm_index import shared_spans
 
 GRAM = 20
+FINER = (0.7, 1.0)  # shares of the window that finer anchors take
 HOT = 1_000
+HELD = 4 << 20  # bytes of words a task holds before it hands rows on
 SHARD = 400_000
 BLOCK = 1 << 22  # windows of one document handled at once
 LONGEST = 64  # windows of a segment
@@ -88,14 +92,15 @@ class Digests:
             return mix64(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def segments_of(ids, window: int):
-    """(anchor, digest, start, end) arrays of the segments of one document."""
+def segments_of(ids, window: int, gram: int = GRAM, longest: int = LONGEST):
+    """(anchor, digest, start, end) arrays of the segments of one document,
+    anchored by grams of ``gram`` words, of at most ``longest`` windows."""
     import numpy as np
 
     none = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, int), np.empty(0, int)
     if len(ids) < window:
         return none
-    gram = min(GRAM, window)
+    gram = min(gram, window)
     grams, digests = gram_hashes(ids, gram), Digests(ids)
     width, parts = window - gram + 1, []
     for at in range(0, len(ids) - window + 1, BLOCK):
@@ -108,11 +113,11 @@ def segments_of(ids, window: int):
             least = np.minimum(least[:len(least) - (width - span)], least[width - span:])
         first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         last = np.append(first[1:], len(least))
-        cuts = -(-(last - first) // LONGEST)  # pieces of each run
+        cuts = -(-(last - first) // longest)  # pieces of each run
         run = np.repeat(np.arange(len(first)), cuts)
         piece = np.arange(len(run)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
-        begin = first[run] + LONGEST * piece
-        stop = np.minimum(begin + LONGEST, last[run])
+        begin = first[run] + longest * piece
+        stop = np.minimum(begin + longest, last[run])
         parts.append((least[begin], at + begin, at + stop - 1 + window))
     anchor, start, end = (np.concatenate(x) for x in zip(*parts))
     return anchor, digests.of(start, end), start, end
@@ -149,41 +154,52 @@ def occurrences(texts: DataFrame, window: int) -> DataFrame:
         run, "anchor long, content long, doc_id long, row_key long, s long, e long")
 
 
-def _owned_rows(texts: DataFrame, owned: DataFrame, window: int) -> DataFrame:
-    """For every owned segment its words (cold, keyed by anchor) or its windows
-    (hot, keyed by digest): (hot, key, anchor, content, doc_id, at, words), ``at``
-    being the place in the segment."""
+def _word_rows(texts: DataFrame, owned: DataFrame) -> DataFrame:
+    """The words of every owned segment: (anchor, content, doc_id, hot, words)."""
     lists = store(owned.groupBy("doc_id", "row_key").agg(
         F.collect_list(F.struct("anchor", "content", "hot", "s", "e")).alias("parts")), "owned")
 
     def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
         known = WordIds()
-        for batch in slices(batches):
-            rows = []
+        for batch in slices(batches, 64):
+            rows = _Rows()
             for doc_id, data, parts in zip(batch.column("doc_id").to_pylist(), raw_bytes(batch),
                                            batch.column("parts").to_pylist()):
                 ids = known.of((data or b"").split())
-                digests = None
                 for part in parts:
-                    s, e, name = part["s"], part["e"], (part["anchor"], part["content"])
-                    if not part["hot"]:
-                        rows.append((False, name[0], *name, doc_id, 0, ids[s:e].tobytes()))
-                        continue
-                    digests = digests or Digests(ids)
-                    at = np.arange(s, e - window + 1)
-                    rows += [(True, digest, *name, doc_id, i, None) for i, digest in
-                             enumerate(digests.of(at, at + window).view(np.int64).tolist())]
-            kinds = (pa.bool_(), *[pa.int64()] * 5, pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-                ["hot", "key", "anchor", "content", "doc_id", "at", "words"])
+                    rows.add((part["anchor"], part["content"], doc_id, part["hot"]),
+                             ids[part["s"]:part["e"]].tobytes())
+                    if rows.size > HELD:
+                        yield rows.batch()
+            yield rows.batch()
 
     joined = join_sized(texts, lists, ["doc_id", "row_key"], "inner", ROWS, F.size("parts"))
-    return joined.select("doc_id", "text", "parts").mapInArrow(
-        run, "hot boolean, key long, anchor long, content long, doc_id long, at long, words binary")
+    return joined.select("doc_id", "text", "parts").mapInArrow(run, WORDS)
+
+
+WORDS = "anchor long, content long, doc_id long, hot boolean, words binary"
+
+
+class _Rows:
+    """Rows that a task holds back until they are ``HELD`` bytes."""
+
+    def __init__(self, *_):
+        self.keys, self.words, self.size = [], [], 0
+
+    def add(self, key: tuple, words: bytes) -> None:
+        self.keys.append(key)
+        self.words.append(words)
+        self.size += len(words) + 100
+
+    def batch(self):
+        import pyarrow as pa
+
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        out = pa.RecordBatch.from_arrays(
+            [*(pa.array([k[i] for k in self.keys], kind) for i, kind in enumerate(kinds)),
+             pa.array(self.words, pa.binary())], ["anchor", "content", "doc_id", "hot", "words"])
+        self.__init__()
+        return out
 
 
 def _search(window: int):
@@ -205,38 +221,114 @@ def _search(window: int):
 FOUND = "anchor long, content long, doc_id long, rs long, re long"
 
 
+def _owners(segments: DataFrame, place: str) -> DataFrame:
+    """Stored (anchor, content, own, contents): of equal segments the one with
+    the smallest document, and the number of different ones of its anchor."""
+    owner = segments.groupBy("anchor", "content").agg(
+        F.min(F.struct("doc_id", *place.split())).alias("own"))
+    spread = owner.groupBy("anchor").agg(F.count("*").alias("contents"))
+    return store(owner.join(spread, "anchor"), "contents")
+
+
+def _matched(rows: DataFrame, window: int) -> DataFrame:
+    """Step 3 over segments (anchor, content, doc_id, words): ``FOUND``."""
+    words = rows.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+    shards = max(1, math.ceil(words / 8 / SHARD))
+    return (rows.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+            .select("shard", "anchor", "content", "doc_id", "words")
+            .groupBy("shard").applyInPandas(_search(window), FOUND))
+
+
+FINE = "anchor long, content long, doc_id long, at long, n long, a0 long, c0 long, words binary"
+
+
+def _finer(rows: DataFrame, window: int, gram: int, longest: int) -> DataFrame:
+    """Segments (anchor, content, doc_id, words, a0, c0, at) cut anew around
+    grams of ``gram`` words; a0 and c0 name the segment of step 1 that they are
+    part of, ``at`` is their place in it."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        names = [x.split()[0] for x in FINE.split(", ")]
+        for batch in slices(batches, 1024):
+            held: list = [[] for _ in names]
+            for doc_id, words, a0, c0, base in zip(*(batch.column(c).to_pylist() for c in
+                                                     ("doc_id", "words", "a0", "c0", "at"))):
+                ids = np.frombuffer(words, np.uint64)
+                anchor, content, s, e = segments_of(ids, window, gram, longest)
+                for column, values in zip(held, (
+                        anchor.view(np.int64).tolist(), content.view(np.int64).tolist(),
+                        [doc_id] * len(s), (s + base).tolist(), (e - s).tolist(), [a0] * len(s),
+                        [c0] * len(s), [ids[x:y].tobytes() for x, y in zip(s.tolist(), e.tolist())])):
+                    column += values
+                if 500 * len(held[0]) > HELD:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, pa.int64() if name != "words" else pa.binary())
+                         for x, name in zip(held, names)], names)
+                    held = [[] for _ in names]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64() if name != "words" else pa.binary())
+                 for x, name in zip(held, names)], names)
+
+    return rows.select("doc_id", "words", "a0", "c0", "at").mapInArrow(run, FINE)
+
+
+def _hot_matched(rows: DataFrame, window: int, hot: int) -> list[DataFrame]:
+    """Step 4 for the segments (anchor, content, doc_id, words) of hot anchors:
+    what is found, as tables of (a0, c0, doc_id, rs, re)."""
+    found, more = [], rows.select("doc_id", "words", F.col("anchor").alias("a0"),
+                                  F.col("content").alias("c0"), F.lit(0).cast("long").alias("at"))
+    for i, share in enumerate(FINER):
+        if not more.head(1):
+            break
+        last = i == len(FINER) - 1
+        fine = store(_finer(more, window, max(GRAM, int(share * window)), 1 if last else LONGEST),
+                     "finer")
+        owners = _owners(fine, "words")
+        named = owners.select("anchor", "content", F.col("own.doc_id").alias("first"),
+                              (F.col("contents") > 1).alias("many"), (F.col("contents") > hot).alias("hot"))
+        met = fine.drop("words").join(named, ["anchor", "content"])
+        found.append(met.where("doc_id > first").select(
+            "a0", "c0", "doc_id", F.col("at").alias("rs"), (F.col("at") + F.col("n")).alias("re")))
+        if last:
+            break
+        own = owners.where("contents > 1").select(
+            "anchor", "content", "own.doc_id", "own.words", (F.col("contents") > hot).alias("hot"))
+        matched = store(_matched(own.where(~F.col("hot")), window), "matched")
+        # the owner of a fine segment may have it in several segments of step 1
+        mine = met.where("doc_id = first")
+        found.append(mine.join(matched, ["anchor", "content", "doc_id"]).select(
+            "a0", "c0", "doc_id", (F.col("at") + F.col("rs")).alias("rs"),
+            (F.col("at") + F.col("re")).alias("re")))
+        more = store(fine.join(named.where("hot"), ["anchor", "content"]).where("doc_id = first")
+                     .select("doc_id", "words", "a0", "c0", "at"), "hotter")
+    return found
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = 50) -> DataFrame:
+                   window: int = 50, hot: int | None = None) -> DataFrame:
     """(doc_id, row_key, s, e): word intervals that go; row_key is
     ``xxhash64(text)``. The intervals of a row may overlap."""
+    hot = HOT if hot is None else hot
     texts = _texts(docs, id_col, text_col)
     found = occurrences(texts, window)
     shared = store(found.groupBy("anchor")
                    .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
                    .where("low < high").select("anchor"), "anchors")
     met = store(join_sized(found, shared, "anchor", "inner", 2 * ROWS), "segments")
-    owner = met.groupBy("anchor", "content").agg(
-        F.min(F.struct("doc_id", "row_key", "s", "e")).alias("own"))
-    spread = owner.groupBy("anchor").agg(F.count("*").alias("contents"))
-    contents = store(owner.join(spread, "anchor"), "contents")
+    contents = _owners(met, "row_key s e")
     copies = (met.join(contents.select("anchor", "content", F.col("own.doc_id").alias("first")),
                        ["anchor", "content"])
               .where("doc_id > first").select("doc_id", "row_key", "s", "e"))
     owned = (contents.where("contents > 1")
-             .select("anchor", "content", (F.col("contents") > HOT).alias("hot"), "own.*"))
-    rows = store(_owned_rows(texts, owned, window), "owners")
-    cold = rows.where(~F.col("hot"))
-    words = cold.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    shards = max(1, math.ceil(words / 8 / SHARD))
-    matched = (cold.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-               .select("shard", "anchor", "content", "doc_id", "words")
-               .groupBy("shard").applyInPandas(_search(window), FOUND))
-    windows = rows.where("hot")
-    least = windows.groupBy("key").agg(F.min("doc_id").alias("first"))
-    single = windows.join(least, "key").where("doc_id > first").select(
-        "anchor", "content", "doc_id", F.col("at").alias("rs"), (F.col("at") + window).alias("re"))
+             .select("anchor", "content", (F.col("contents") > hot).alias("hot"), "own.*"))
+    rows = store(_word_rows(texts, owned), "owners")
+    found = _matched(rows.where(~F.col("hot")), window)
+    for part in _hot_matched(rows.where("hot"), window, hot):
+        found = found.unionByName(part.toDF("anchor", "content", "doc_id", "rs", "re"))
     # the owner may have its segment in several places
-    owners = met.join(matched.unionByName(single), ["anchor", "content", "doc_id"]).select(
+    owners = met.join(found, ["anchor", "content", "doc_id"]).select(
         "doc_id", "row_key", (F.col("s") + F.col("rs")).alias("s"),
         (F.col("s") + F.col("re")).alias("e"))
     return copies.unionByName(owners)
