@@ -13,7 +13,8 @@ shared window is found from its own fingerprint. Items shorter than
 position a fingerprint.
 
 Scale: documents are scanned once and never shuffled; a row per document (and
-per hit) goes on. The fingerprints of the benchmark are broadcast in blocks of
+per hit) goes on. A place takes the words it is compared by along when it leaves
+its text, so a long text with many hits costs no more than many short ones. The fingerprints of the benchmark are broadcast in blocks of
 at most ``BLOCK`` (one scan of the documents per block), the words around them
 only up to ``CONTEXTS`` rows and ``OCTETS`` bytes, and are joined the ordinary way
 beyond (AQE splits a hot fingerprint). Items that agree around a fingerprint share one row, so a passage
@@ -105,7 +106,7 @@ def _key(c: Column) -> Column:
 
 
 def _word(at: Column) -> Column:
-    return F.get("__words", at)
+    return F.get("__words", at)  # null outside the text
 
 
 def benchmark_contexts(bench: DataFrame, id_col: str = "item_id",
@@ -161,12 +162,23 @@ def scan(docs: DataFrame, contexts: DataFrame, id_col: str = "doc_id",
         F.octet_length(F.concat_ws(" ", "gram", "before", "after", "items")))).first()
     near = contexts if rows > CONTEXTS or (octets or 0) > OCTETS else F.broadcast(contexts)
     wings, reach = WINDOW - K, max(K, *short, 1) + WINDOW - K
-    base = docs.select(
-        F.monotonically_increasing_id().alias("__rid"),
-        *row_key(id_col, text_col), F.col(id_col).cast("long").alias("doc_id"),
-        words(F.col(text_col)).alias("__words"))
+    keyed = docs.select(
+        F.monotonically_increasing_id().alias("__rid"), *row_key(id_col, text_col),
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("__text"))
+    if blocks > 1:  # every block's scan must see the same numbers
+        keyed = store(keyed, "numbered")
+    base = keyed.withColumn("__words", words(F.col("__text"))).drop("__text")
     kept = ["__rid", "__id", "__key", "doc_id"]
     cut = _fingerprints(base, short).withColumn("n_words", F.size("__words").cast("long"))
+
+    def with_words(c: Column) -> Column:
+        # the few words around a place, so that no row of a place holds the text
+        p = c.bitwiseAND(F.lit(POSITION)).cast("int")
+        back = F.reverse(F.slice("__words", F.greatest(p - wings, F.lit(0)) + 1,
+                                 F.least(p, F.lit(wings))))
+        return F.struct(c.alias("__c"), back.alias("__back"),
+                        F.slice("__words", p + 1, reach).alias("__on"))
+
     found = None
     for block in range(blocks):
         # a null fingerprint stands for the document itself, once
@@ -175,16 +187,13 @@ def scan(docs: DataFrame, contexts: DataFrame, id_col: str = "doc_id",
                 F.array(F.lit(0).cast("long")))
         some = keys.where(F.pmod(F.xxhash64("fp"), F.lit(blocks)) == block) \
             .withColumn("__known", F.lit(True))
-        rows = (cut.select(*kept, "n_words", "__words", F.explode_outer(fps).alias("__c"))
-                .withColumn("fp", _key(F.col("__c")))
+        rows = (cut.select(*kept, "n_words", F.explode_outer(F.transform(fps, with_words)).alias("__x"))
+                .select(*kept, "n_words", "__x.*").withColumn("fp", _key(F.col("__c")))
                 .join(F.broadcast(some), "fp", "left")  # at most BLOCK keys
                 .where(F.col("__c").isNull() | F.col("__known")))
-        p = F.col("__c").bitwiseAND(F.lit(POSITION)).cast("int")
-        rows = rows.select(
-            *kept, "n_words", "fp", "__c", p.alias("__p"),
-            *[F.when(F.col("__c").isNotNull(), F.transform(F.array(*map(F.lit, steps)),
-                                                           lambda j: _word(p + j))).alias(name)
-              for name, steps in (("__back", range(-1, -wings - 1, -1)), ("__on", range(reach)))])
+        rows = rows.select(*kept, "n_words", "fp", "__c",
+                           F.col("__c").bitwiseAND(F.lit(POSITION)).cast("int").alias("__p"),
+                           "__back", "__on")
         found = rows if found is None else found.unionByName(rows)
     hits = found.join(near, "fp", "left")
     k = F.col("k")

@@ -88,3 +88,26 @@ def test_no_python_in_the_plan(spark):
         [(1, prose(1, 20))], "item_id long, text string")
     plan = D.contamination(docs, bench)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_long_contaminated_text(spark):
+    """A text of 200,000 words, all of them out of the benchmark."""
+    items = [prose(500 + i, 400, 5000) for i in range(50)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    long_ = " ".join(items * 10)
+    docs = frame(spark, [(1, long_), (2, long_ + " " + prose(1, 100, 5000)), (3, prose(2, 5000, 5000))])
+    got = {r["doc_id"]: r for r in D.contamination(docs, bench).collect()}
+    assert (got[1]["n_words"], got[1]["n_hit"], got[1]["n_items"]) == (200_000, 200_000, 50)
+    assert (got[2]["n_words"], got[2]["n_hit"], got[2]["n_items"]) == (200_100, 200_000, 50)
+    assert got[1]["contaminated"] and not got[3]["contaminated"]
+
+
+def test_blocks_of_an_input_without_order(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK", 3)
+    item = prose(3, 60)
+    rows = [(i, item if i % 3 == 0 else prose(i + 50, 40)) for i in range(30)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = frame(spark, rows).repartition(7, "source").repartition(5)
+    got = sorted((r["doc_id"], r["n_words"], r["n_hit"])
+                 for r in D.contamination(docs, bench).collect())
+    assert got == sorted((i, len(t.split()), 60 if i % 3 == 0 else 0) for i, t in rows)
