@@ -10,13 +10,13 @@
    estimates the similarity. Classes estimated within a margin of the
    threshold hang together in a candidate component; each band bucket yields a
    spanning forest, never all pairs. A bucket of more than ``BUCKET`` classes is
-   not gathered: all its members hang on its smallest one.
-3. Links are confirmed on full sets. A component of up to ``MEMBERS`` classes is
-   searched in one task: each class reached is compared with all not yet
-   reached. Larger ones are confirmed in rounds: some classes (hubs) are
-   compared with all members, in parallel, until only classes that hang
-   together have not been hubs; so no pair that could join two groups is left
-   out, and links inside a group are not enumerated.
+   not gathered here: all its members hang on its smallest one, and their
+   signatures are compared in step 3.
+3. Links are confirmed on full sets (``confirm``): small components in one task
+   each, large ones in two rounds of bounded blocks, whatever their shape. In
+   both, a pair is counted only if its signatures are estimated within the
+   margin. No pair that could join two groups is left out, and links inside a
+   group are not enumerated.
 
 A pair at the threshold shares no band with probability (1 - 0.85^5)^22 =
 2.5e-6, or (1 - 0.8^4)^28 = 4e-7, and falls below the margin (five standard
@@ -30,6 +30,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import DataFrame
@@ -38,15 +39,13 @@ from pyspark.sql import functions as F
 from corvid.llm.common import (NO_ID, WordIds, drop_rows, gram_hashes, join_sized, mix64, raw_bytes,
                                slices, small_batches, store)
 from corvid.llm.components import connected_components
+from corvid.llm.confirm import MEMBERS, confirm
 
 SHINGLE = 5
 HASHES = 112
 THRESHOLD = (85, 100)
 MISSED = 1e-5  # share of the pairs at the threshold that may share no band
 BUCKET = 4_000
-MEMBERS = 300
-FIRST_HUBS, HUBS = 64, 4_096
-SET_WORDS = 1_000_000
 WIDE = 1_000_000  # rows of the key tables that may be broadcast
 
 
@@ -232,155 +231,20 @@ def candidate_edges(classes: DataFrame, least: float, bucket: int = BUCKET) -> D
     return small.unionByName(large)
 
 
-class Sets:
-    """Sets over dense ids, to compare one with many."""
+class SignatureHints:
+    """Packed signatures of some classes; near are those estimated at
+    ``least`` or more."""
 
-    def __init__(self, sets: list):
+    def __init__(self, least: float, hints: list):
         import numpy as np
 
-        self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        values, flat = np.unique(np.concatenate(sets), return_inverse=True)
-        self.flat, self.mask = flat, np.zeros(len(values), bool)
+        self.least = least
+        self.sigs = np.frombuffer(b"".join(hints), np.uint64).reshape(len(hints), -1)
 
-    def linked(self, one: int, others, threshold):
-        """Mask of ``others`` that are linked with ``one``."""
+    def near(self, hint: bytes):
         import numpy as np
 
-        mine = self.flat[self.starts[one]:self.starts[one + 1]]
-        self.mask[mine] = True
-        both = np.fromiter((np.count_nonzero(self.mask[self.flat[self.starts[x]:self.starts[x + 1]]])
-                            for x in others), np.int64, len(others))
-        self.mask[mine] = False
-        return is_linked(both, self.sizes[others], self.sizes[one], threshold)
-
-
-def is_linked(both, size, other, threshold):
-    return threshold[1] * both >= threshold[0] * (size + other - both)
-
-
-def _confirm(frame, threshold):
-    """Roots of the classes of whole components (comp, cid, sets)."""
-    import numpy as np
-    import pandas as pd
-
-    cids, roots = [], []
-    for _, part in frame.groupby("comp", sort=True):
-        part = part.sort_values("cid")
-        own = part["cid"].to_numpy()
-        sets = Sets([np.frombuffer(x, np.uint64) for x in part["shingles"]])
-        rest = np.arange(len(own))
-        while len(rest):
-            root, rest, reached = rest[0], rest[1:], [rest[0]]
-            cids.append(own[root])
-            roots.append(own[root])
-            while reached and len(rest):
-                near = sets.linked(reached.pop(), rest, threshold)
-                reached += rest[near].tolist()
-                cids += own[rest[near]].tolist()
-                roots += [own[root]] * int(near.sum())
-                rest = rest[~near]
-    return pd.DataFrame({"node": np.array(cids, np.int64), "root": np.array(roots, np.int64)})
-
-
-class Hubs:
-    """Sets of some classes of one component, as an inverted index shingle ->
-    hubs: one lookup counts what a set shares with each of them."""
-
-    def __init__(self, hubs: list):
-        import numpy as np
-
-        self.cids = np.array([cid for cid, _ in hubs], np.int64)
-        self.sizes = np.array([len(x) for _, x in hubs], np.int64)
-        owner = np.repeat(np.arange(len(hubs)), self.sizes)
-        flat = np.concatenate([x for _, x in hubs])
-        order = np.argsort(flat, kind="stable")
-        self.values, starts = np.unique(flat[order], return_index=True)
-        self.bounds = np.append(starts, len(flat))
-        self.owner = owner[order]
-
-    def linked(self, shingles, threshold):
-        """Numbers of the hubs that are linked with a set."""
-        import numpy as np
-
-        at = np.minimum(np.searchsorted(self.values, shingles), len(self.values) - 1)
-        at = at[self.values[at] == shingles]
-        counts = self.bounds[at + 1] - self.bounds[at]
-        skip = np.repeat(self.bounds[at] - np.cumsum(counts) + counts, counts)
-        found = self.owner[skip + np.arange(len(skip))]
-        both = np.bincount(found, minlength=len(self.cids))
-        return np.flatnonzero(is_linked(both, self.sizes, len(shingles), threshold))
-
-
-def _hub_links(hubs: dict, threshold):
-    """Edges (cid, hub) that connect each task's members and hubs as all their
-    links do; per member one edge for each group of hubs it joins first."""
-
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        index = {comp: Hubs(x) for comp, x in hubs.items()}
-        group = {comp: np.arange(len(x)) for comp, x in hubs.items()}
-        for batch in batches:
-            edges = []
-            for comp, cid, raw in zip(batch.column("comp").to_pylist(),
-                                      batch.column("cid").to_pylist(),
-                                      batch.column("shingles").to_pylist()):
-                if comp not in index:
-                    continue
-                found = index[comp].linked(np.frombuffer(raw, np.uint64), threshold)
-                own = group[comp]
-                groups, first = np.unique(own[found], return_index=True)
-                edges += [(cid, hub) for hub in index[comp].cids[found[first]].tolist()
-                          if hub != cid]
-                if len(groups) > 1:
-                    own[np.isin(own, groups)] = groups[0]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in edges], pa.int64()),
-                                              pa.array([x[1] for x in edges], pa.int64())],
-                                             ["a", "b"])
-
-    return run
-
-
-def confirm_large(members: DataFrame, first: int = FIRST_HUBS, hubs: int = HUBS,
-                  *, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """(node, root) of stored ``members`` (comp, cid, n, shingles) of large
-    components. Each round compares some classes (``first``, later ``hubs``, and
-    about ``SET_WORDS`` shingles) with all members of their components."""
-    import numpy as np
-
-    spark = members.sparkSession
-    links = done = None
-    labels = members.select("comp", "cid", F.col("cid").alias("root"), "n")
-    while True:
-        left = labels if done is None else labels.join(done, "cid", "left_anti")
-        # classes that never were hubs, by group; the largest group may rest
-        groups = left.groupBy("comp", "root").agg(F.count("*").alias("size"))
-        rest = groups.groupBy("comp").agg(
-            F.max(F.struct("size", "root"))["root"].alias("largest"), F.count("*").alias("groups"))
-        open_ = left.join(rest.where("groups > 1"), "comp").where("root <> largest")
-        ranked = open_.select("cid", "n").orderBy("cid").limit(first if done is None else hubs)
-        taken, budget = [], SET_WORDS
-        for r in ranked.collect():
-            if budget >= r["n"] or not taken:
-                taken.append(r["cid"])
-                budget -= r["n"]
-        if not taken:
-            break
-        picked = spark.createDataFrame([(x,) for x in taken], "cid long")
-        sets: dict = {}
-        for r in members.join(F.broadcast(picked), "cid").select("comp", "cid", "shingles").collect():
-            sets.setdefault(r["comp"], []).append((r["cid"], np.frombuffer(r["shingles"], np.uint64)))
-        new = members.select("comp", "cid", "shingles").mapInArrow(
-            _hub_links(sets, threshold), "a long, b long")
-        links = store(new if links is None else new.unionByName(links), "links")
-        roots = store(connected_components(links), "roots")
-        labels = (members.select("comp", "cid", "n").join(
-            roots.select(F.col("node").alias("cid"), "root"), "cid", "left")
-            .withColumn("root", F.coalesce("root", "cid")))
-        done = picked if done is None else done.unionByName(picked)
-    return labels.select(F.col("cid").alias("node"), "root")
+        return np.flatnonzero(estimate(self.sigs, np.frombuffer(hint, np.uint64)) >= self.least)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -401,9 +265,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = store(connected_components(edges), "components")
     sizes = comps.groupBy("root").agg(F.count("*").alias("members"))
     wanted = store(
-        comps.join(sizes, "root").join(classes.select("cid", "own", "n"), F.col("cid") == F.col("node"))
-        .select(F.col("root").alias("comp"), "members", "cid", "n", "own.id", "own.row_key"),
-        "wanted")
+        comps.join(sizes, "root").join(classes.select("cid", "own", "n", "sig"), F.col("cid") == F.col("node"))
+        .select(F.col("root").alias("comp"), "members", "cid", "n", F.col("sig").alias("hint"),
+                "own.id", "own.row_key"), "wanted")
 
     def sets_of(batches):
         import pyarrow as pa
@@ -412,24 +276,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for batch in slices(batches):
             found = [shingle_set(data, known).tobytes() for data in raw_bytes(batch)]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("comp", "members", "cid", "n")),
-                 pa.array(found, pa.binary())], ["comp", "members", "cid", "n", "shingles"])
+                [*(batch.column(c) for c in ("comp", "members", "cid", "n", "hint")),
+                 pa.array(found, pa.binary())], ["comp", "members", "cid", "n", "hint", "shingles"])
 
     keyed = texts.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).drop("doc_id")
     sets = store(join_sized(keyed, wanted, ["id", "row_key"], "inner", WIDE)
-                 .select("comp", "members", "cid", "n", "text")
-                 .mapInArrow(sets_of, "comp long, members long, cid long, n long, shingles binary")
+                 .select("comp", "members", "cid", "n", "hint", "text")
+                 .mapInArrow(sets_of, "comp long, members long, cid long, n long, hint binary, "
+                                      "shingles binary")
                  .dropDuplicates(["cid"]), "sets")
-    small = sets.where(F.col("members") <= largest)
-    total = small.agg(F.sum("n")).first()[0] or 0
-    bins = max(1, math.ceil(total / SET_WORDS))
-    roots = (small.withColumn("bin", F.pmod(F.xxhash64("comp"), F.lit(bins)))
-             .select("bin", "comp", "cid", "shingles")
-             .groupBy("bin").applyInPandas(lambda part: _confirm(part, threshold), "node long, root long"))
-    large = sets.where(F.col("members") > largest)
-    if large.head(1):
-        roots = roots.unionByName(confirm_large(store(large, "large"), threshold=threshold))
-    roots = store(roots, "roots")
+    least = threshold[0] / threshold[1] - margin
+    roots = confirm(sets, functools.partial(SignatureHints, least), threshold, largest)
     grouped = classes.join(roots, F.col("cid") == F.col("node"), "left").select(
         "digest", F.coalesce("root", "cid").alias("root"), F.col("own.id").alias("id"))
     least = grouped.groupBy("root").agg(F.min("id").alias("least"))

@@ -1,9 +1,10 @@
+import functools
 import random
 
 import numpy as np
 import pytest
 
-from corvid.llm import components
+from corvid.llm import components, confirm
 from corvid.llm import minhash as M
 from corvid.llm.components import connected_components
 from tests.llm.helpers import frame, lower_ascii, prose, white_words
@@ -75,10 +76,26 @@ def test_hot_buckets_and_large_components(spark, bucket, largest):
     assert run(spark, rows, bucket=bucket, largest=largest) == brute(rows)
 
 
-def test_few_hubs_a_round(spark, monkeypatch):
-    monkeypatch.setattr(M.confirm_large, "__defaults__", (1, 2))
-    rows = [(i, t) for i, t in enumerate(chain(9))]
-    assert run(spark, rows, largest=2) == brute(rows)
+def test_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(confirm, "WORDS", 400)
+    rows = [(i, t) for i, t in enumerate(chain(9))] + awkward()
+    assert run(spark, rows, bucket=2, largest=2) == brute(rows)
+
+
+def test_one_band_key_of_unlinked_classes(spark, monkeypatch):
+    """20,000 classes share all band keys and none is linked: components are
+    taken twice (candidates, hubs) and once more, whatever their number."""
+    n, calls = 20_000, []
+    monkeypatch.setattr(confirm, "connected_components",
+                        lambda e: calls.append(1) or connected_components(e))
+    rng = np.random.default_rng(2)
+    sets = np.sort(rng.integers(0, 1 << 63, (n, 6), np.uint64), axis=1)
+    sigs = rng.integers(0, 1 << 63, (n, M.HASHES // 16), np.uint64)
+    rows = [(0, n, i, 6, bytearray(sigs[i].tobytes()), bytearray(sets[i].tobytes())) for i in range(n)]
+    members = spark.createDataFrame(rows, "comp long, members long, cid long, n long, hint binary, "
+                                          "shingles binary")
+    got = confirm.confirm(members, functools.partial(M.SignatureHints, 0.7), (85, 100))
+    assert got.where("node = root").count() == got.count() == n and len(calls) == 2
 
 
 def test_empty_table(spark):
