@@ -131,7 +131,7 @@ def gram_hashes(ids, k: int):
     return mix64(out)
 
 
-def fold(frame: DataFrame, run) -> DataFrame:
+def partials(frame: DataFrame, run) -> DataFrame:
     """(part, payload): what ``run(batches)`` yields in each task, as bytes."""
     def whole(batches):
         import pyarrow as pa

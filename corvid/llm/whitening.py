@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import fold, tree
+from corvid.llm.common import partials, tree
 
 RANK = 256
 ROUNDS = 50
@@ -317,7 +317,7 @@ def spectrum(frame: DataFrame, size: int, centre: Centre, rank: int = RANK) -> S
             all_.merge(Spectrum.unpack(other, rank))
         return all_.pack()
 
-    return Spectrum.unpack(tree(fold(frame, run), merge, FAN), rank)
+    return Spectrum.unpack(tree(partials(frame, run), merge, FAN), rank)
 
 
 def covariance_times(frame: DataFrame, size: int, centre: Centre, basis):
@@ -333,7 +333,7 @@ def covariance_times(frame: DataFrame, size: int, centre: Centre, basis):
             trace += float((y * y).sum())
         yield np.append(total.ravel(), trace).tobytes()
 
-    found = np.frombuffer(tree(fold(frame, run), _summed, FAN)) / centre.n
+    found = np.frombuffer(tree(partials(frame, run), _summed, FAN)) / centre.n
     return found[:-1].reshape(basis.shape), float(found[-1])
 
 
@@ -431,7 +431,7 @@ def identity_error(frame: DataFrame, size: int, centre: Centre, scaled) -> float
                     sums += w.T @ w
             yield sums.tobytes()
 
-        return np.frombuffer(tree(fold(frame, run), _summed, FAN)) / centre.n
+        return np.frombuffer(tree(partials(frame, run), _summed, FAN)) / centre.n
 
     mean = total(None)
     covariance = total(mean).reshape(k, k)
