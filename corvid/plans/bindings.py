@@ -144,3 +144,13 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = li.where(F.col("l_linenumber") == 1).select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit(":")).alias("value"))
     return body.unionByName(headers)
+
+
+def broken_rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken rating lines, one for every second, third and fourth line of an
+    order: no rating, a rating that is no number, a user that is none."""
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_linenumber").between(2, 4))
+    part = F.col("l_partkey").cast("string")
+    return li.select(F.when(F.col("l_linenumber") == 2, part)
+                     .when(F.col("l_linenumber") == 3, F.concat(part, F.lit(",many,")))
+                     .otherwise(F.concat(F.lit("u"), part, F.lit(",3,"))).alias("value"))

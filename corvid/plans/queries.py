@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corvid.operators import graph as G
@@ -18,9 +18,9 @@ from corvid.operators import matrix as M
 from corvid.operators import ratings as R
 from corvid.plans import bindings as B
 from corvid.session import scratch_path
-from corvid.sources import (parse_cells, parse_edges, parse_links, parse_ratings, read_cells,
-                            read_links, read_ratings, strip_headers, write_delimited,
-                            write_lines)
+from corvid.sources import (REJECTS, observe_rejects, parse_cells, parse_edges, parse_links,
+                            parse_ratings, read_cells, read_in_order, read_lines, read_links,
+                            read_ratings, strip_headers, write_delimited, write_lines)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,14 @@ def _written(spark, label, result, sink):
     return spark.read.option("sep", "\t").csv(path, schema=result.schema)
 
 
+def _in_order(spark, label, result, sink):
+    """An ordered result written by a text sink and read back with the place
+    ``pos`` of every line in the files."""
+    path = scratch_path(spark, label)
+    sink(result, path, sep="\t")
+    return read_in_order(spark, path, result.schema)
+
+
 def mat_add_files(spark, d):
     """Matrix files in, tab-separated cells out, read back."""
     m, n = (read_cells(spark, _through_files(spark, k, B.cell_lines(f(spark, d))))
@@ -167,7 +175,7 @@ def graph_files_group_sizes(spark, d):
     """Adjacency files in (scanner style), tab-separated sizes out, read back."""
     path = _through_files(spark, "graph", B.scanned_adjacency_lines(spark, d))
     sizes = G.group_sizes(G.min_label_groups(read_links(spark, path, mode="prefix"), "all"))
-    return _written(spark, "sizes", sizes, write_delimited)
+    return _in_order(spark, "sizes", sizes, write_delimited)
 
 
 def graph_pregel_min(spark, d):
@@ -217,7 +225,21 @@ def rating_hist_files(spark, d):
     """Ratings files in, histogram lines out, read back."""
     path = _through_files(spark, "ratings", B.rating_lines(spark, d))
     hist = R.rating_histogram(read_ratings(spark, path, mode="raw"), mode="sql")
-    return _written(spark, "histogram", hist, write_lines)
+    return _in_order(spark, "histogram", hist, write_lines)
+
+
+def rating_rejects(spark, d):
+    """Lines that the typed histogram of ratings files leaves out, by cause:
+    counted by the pass that writes the histogram."""
+    lines = B.rating_lines(spark, d).unionByName(B.broken_rating_lines(spark, d))
+    path = _through_files(spark, "ratings", lines)
+    observation = Observation("rating rejects")
+    seen = observe_rejects(read_lines(spark, path), observation, user_type="bigint")
+    typed = parse_ratings(seen, mode="typed", user_type="bigint")
+    write_lines(R.rating_histogram(typed, mode="avg"), scratch_path(spark, "histogram"))
+    counts = observation.get
+    return spark.createDataFrame([(c, counts[c]) for c in ("lines", *REJECTS)],
+                                 "cause string, n long")
 
 
 def ratings_parse(spark, d):
@@ -263,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "rating_hist_text": rating_hist_text,
     "rating_hist_sql": rating_hist_sql,
     "rating_hist_files": rating_hist_files,
+    "rating_rejects": rating_rejects,
     "ratings_parse": ratings_parse,
     "ratings_parse_raw": ratings_parse_raw,
 }
@@ -387,7 +410,21 @@ ORACLES["mat_add_dense_inner"] = (
     "select b.bi, cast(b.bj as bigint) bj, b.oi, b.oj, b.v::double v from b "
     "join k on b.bi = k.bi and b.bj = k.bj")
 ORACLES["mat_add_files"] = ORACLES["mat_add_outer"]
-ORACLES["graph_files_group_sizes"] = ORACLES["graph_group_sizes_all"]
-ORACLES["rating_hist_files"] = ORACLES["rating_hist_sql"]
+# the place of a row in the order of the result, as the files must hold it
+ORACLES["graph_files_group_sizes"] = (
+    f"select *, row_number() over (order by grp) - 1 pos from ({ORACLES['graph_group_sizes_all']})")
+ORACLES["rating_hist_files"] = (
+    f"select *, row_number() over (order by rating) - 1 pos from ({ORACLES['rating_hist_sql']})")
+# every line of an order is a rating, the first also a header; lines 2, 3 and 4
+# are broken once more: no rating, no number, no user
+ORACLES["rating_rejects"] = """
+with l as (select l_linenumber k, cast(trunc(l_quantity) as integer) % 6 r from lineitem)
+select 'lines' cause, count(*) + count(*) filter (k <= 4) n from l
+union all select 'header', count(*) filter (k = 1) from l
+union all select 'no_rating', count(*) filter (k = 2) from l
+union all select 'bad_rating', count(*) filter (k = 3) from l
+union all select 'bad_user', count(*) filter (k = 4) from l
+union all select 'not_positive', count(*) filter (r <= 0) from l
+"""
 
 FLAGSHIP = "rating_hist_avg"

@@ -1,7 +1,9 @@
 """Sources and sinks."""
 
-from corvid.sources.sinks import write_delimited, write_lines  # noqa: F401
+from corvid.sources.sinks import read_in_order, write_delimited, write_lines  # noqa: F401
 from corvid.sources.text import (  # noqa: F401
+    REJECTS,
+    observe_rejects,
     parse_adjacency,
     parse_cells,
     parse_edges,

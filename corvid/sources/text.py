@@ -202,3 +202,35 @@ def parse_ratings(lines: DataFrame, mode: str = "typed", user_type: str = "int",
 def read_ratings(spark: SparkSession, path: str | list[str], mode: str = "typed",
                  user_type: str = "int") -> DataFrame:
     return parse_ratings(read_lines(spark, path), mode=mode, user_type=user_type)
+
+
+REJECTS = ("header", "no_rating", "bad_rating", "bad_user", "not_positive")
+
+
+def observe_rejects(lines: DataFrame, observation: Observation, user_type: str = "int",
+                    col: str = "value") -> DataFrame:
+    """``lines`` unchanged, counted on their way by the cause for which the
+    typed histogram leaves them out, the first that holds: ``header`` (ends in
+    ``:``), ``no_rating`` (no second field), ``bad_rating`` (not a number),
+    ``not_positive`` (zero, negative; NaN counts as positive, as in the
+    histogram), and ``bad_user`` (kept, in the NULL user group). ``lines`` is
+    the number of all. The counts are metrics of the pass that reads the lines,
+    whichever action that is, and cost no scan of their own:
+    ``observation.get`` after it. A map task that must run again because its
+    output was lost is counted again.
+    """
+    if user_type not in USER_TYPES:
+        raise ValueError(f"user_type must be one of {USER_TYPES}, not {user_type!r}")
+    tokens = F.split(F.col(col), ",")
+    user = F.get(tokens, 0).try_cast(user_type)
+    rating = F.get(tokens, 1)
+    number = rating.try_cast("double")
+    cause = (F.when(F.col(col).isNull() | F.col(col).endswith(":"), "header")
+             .when(rating.isNull(), "no_rating").when(number.isNull(), "bad_rating")
+             .when(~(number > 0), "not_positive").when(user.isNull(), "bad_user"))
+    # evaluated once for all counts
+    marked = lines.select(F.struct(*[F.col(f"`{c}`") for c in lines.columns]).alias("_line"),
+                          F.explode_outer(F.array(cause)).alias("_cause"))
+    counted = marked.observe(observation, F.count(F.lit(1)).alias("lines"),
+                             *[F.count_if(F.col("_cause") == c).alias(c) for c in REJECTS])
+    return counted.select("_line.*")

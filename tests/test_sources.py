@@ -4,13 +4,15 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.errors import PySparkException
 
 from corvid.operators import graph as G
 from corvid.operators import matrix as M
 from corvid.operators.ratings import rating_histogram
-from corvid.sources import (parse_adjacency, parse_cells, parse_edges, parse_links, read_adjacency,
-                            read_cells, read_lines, read_links, read_ratings,
+from corvid.sources import (REJECTS, observe_rejects, parse_adjacency, parse_cells, parse_edges, parse_links,
+                            parse_ratings, read_adjacency,
+                            read_cells, read_in_order, read_lines, read_links, read_ratings,
                             strip_headers, write_delimited, write_lines)
 from tests.test_graph import SMALL as GRAPH_SMALL
 from tests.test_matrix import M_SMALL, N_SMALL
@@ -136,3 +138,61 @@ def test_messages_name_the_file_and_the_line(spark, read, bad):
         df.count()
     assert "broken.txt" in str(e.value) and f"'{bad}'" in str(e.value)
     assert "ReadSchema: struct<value:string>" in plan_of(df)  # the scan reads no more
+
+
+# ------------------------------------------------------------ rejects, order
+
+
+def brute_rejects(lines):
+    found = dict.fromkeys(REJECTS, 0)
+    for line in lines:
+        t = line.split(",")
+        if line.endswith(":"):
+            found["header"] += 1
+            continue
+        if len(t) < 2:
+            found["no_rating"] += 1
+            continue
+        try:
+            rating = float(t[1])
+        except ValueError:
+            found["bad_rating"] += 1
+            continue
+        if rating <= 0:
+            found["not_positive"] += 1
+        elif not t[0].strip().isdigit():
+            found["bad_user"] += 1
+    return {"lines": len(lines), **found}
+
+
+def test_rejects_are_counted_by_the_pass_itself(spark):
+    lines = RATINGS_SMALL + ["7", "8,x,d", "8,0,d", "8,-1,d", "u,3,d", ",2,d", "9,4", "", "abc:", "1,2:"]
+    path = write_text(lines)
+    seen = Observation("rejects")
+    df = rating_histogram(parse_ratings(observe_rejects(read_lines(spark, path), seen)))
+    plan = plan_of(df)
+    assert plan.count("FileScan") == 1 and plan.count("CollectMetrics") == 1, plan
+    plain = rating_histogram(parse_ratings(read_lines(spark, path)))
+    assert df.collect() == plain.collect()
+    assert seen.get == brute_rejects(lines)
+
+
+def test_sinks_keep_the_order_and_readers_restore_it(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="corvid-order-"), "o")
+    rows = (spark.range(0, 5000, 1, 7).selectExpr("(id * 7919) % 5000 k", "id v")
+            .repartition(5).orderBy("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_delimited(rows, out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len([f for f in os.listdir(out) if f.startswith("part")]) > 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")  # many splits a file
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        back = read_in_order(spark, out, rows.schema).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.k for r in sorted(back, key=lambda r: r.pos)] == list(range(5000))
+    assert sorted(r.pos for r in back) == list(range(5000))
