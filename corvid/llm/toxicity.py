@@ -16,9 +16,11 @@ preceding word.
 
 The trigram counts are task-side arrays summed in Spark (at most 28^3 rows).
 The classifier is fitted on at most ``sample`` toxic and ``sample`` clean
-labelled rows (parameter); the sample's words are counted in Spark, and only
-features with support reach the driver (at most ``LEXICON``). Scoring is one
-scan without shuffle.
+labelled rows (parameter); the sample's words are counted and their odds taken
+in Spark, and all features with odds of ``min_odds`` or more reach the driver:
+each needs ``support`` of the toxic rows, so their number is bounded by the
+sample. Scoring is one scan without shuffle. Words of any length are decoded,
+long ones in overlapping parts of ``LONG`` characters.
 
 Defined results: a null, empty or word-less text has no evidence and gets the
 score of none; without labels of both kinds every score is 0; repeated rows
@@ -32,11 +34,11 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.llm.common import fold, raw_bytes, slices, text_frame
+from corvid.llm.common import fold, raw_bytes, slices, store, text_frame
 
 SAMPLE = 4_000
-LEXICON = 20_000
 SPAN = 12
+LONG = 64
 SLICE = 64  # texts whose features are held at once
 #: what a mark may stand for (fixed values)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t",
@@ -88,7 +90,7 @@ def char_model(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"):
 def disguised(word: str) -> bool:
     """Letters mixed with look-alike marks or separators, or a run of three."""
     letters = sum(map(str.isalpha, word))
-    if not letters or len(word) > 64:
+    if not letters:
         return False
     core = word.strip(STRIP)
     inner = any(c in LEET or c in SEPARATORS for c in core) or any(
@@ -137,6 +139,30 @@ def decode(word: str, logp, keep: float = -1.0, swap: float = -2.0, drop: float
     return max((s + logp[a][b][0], text) for (a, b), (s, text) in best.items())[1]
 
 
+def short_runs(word: str) -> str:
+    """``word`` with runs of five and more of one character cut to five: how
+    long a longer run is makes no difference to ``decode``."""
+    if len(word) <= 5:
+        return word
+    out, run = [], 0
+    for c, last in zip(word, "\0" + word):
+        run = run + 1 if c == last else 1
+        if run <= 5:
+            out.append(c)
+    return "".join(out)
+
+
+def parts(word: str) -> list[str]:
+    """``word`` in parts of at most ``LONG`` characters, cut behind separators
+    where there are any near."""
+    out = []
+    while len(word) > LONG:
+        at = max((i + 1 for i in range(LONG // 2, LONG) if word[i] in SEPARATORS), default=LONG)
+        out.append(word[:at])
+        word = word[at:]
+    return [*out, word]
+
+
 class Restored(dict):
     """word -> restored word, remembered (forgets all when too large)."""
 
@@ -148,7 +174,9 @@ class Restored(dict):
 
     def restore(self, word: str) -> str:
         low = word.lower()
-        return (decode(low, self.logp) if disguised(low) else low).strip(STRIP)
+        if not disguised(low):
+            return low.strip(STRIP)
+        return "".join(decode(x, self.logp) for x in parts(short_runs(low))).strip(STRIP)
 
     def __missing__(self, word: str) -> str:
         if len(self) >= self.LIMIT:
@@ -156,6 +184,17 @@ class Restored(dict):
         value = self[word] = self.restore(word)
         return value
 
+    def words(self, text: str) -> list[str]:
+        """The restored words of a text; of words longer than ``LONG`` also
+        every part of ``SPAN`` characters, as of spaced-out letters."""
+        return [x for w in joined_words(text) for x in spans(self[w])]
+
+
+def spans(word: str) -> list[str]:
+    if len(word) <= LONG:
+        return [word]
+    return [word, *(word[i:i + SPAN] for i in range(len(word) - 2))]
+
 
 def joined_words(text: str) -> list[str]:
     """White-space words; of three or more single characters in a row
@@ -187,9 +226,9 @@ def word_features(word: str) -> list[str]:
                                                  if len(word) >= k]
 
 
-def _supports(frame: DataFrame, logp, only: set | None) -> DataFrame:
-    """(feature, n): with ``only`` None the documents that are the first (by
-    id) to have the feature after some word, else the texts that have it."""
+def _supports(frame: DataFrame, logp, first: bool) -> DataFrame:
+    """(feature, n): with ``first`` the documents that are the first (by id) to
+    have the feature after some word, else all that have it."""
 
     def count(batches):
         import pyarrow as pa
@@ -198,29 +237,41 @@ def _supports(frame: DataFrame, logp, only: set | None) -> DataFrame:
         for batch in slices(batches):
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             for i in range(0, len(texts), SLICE):
-                found: list | dict = [] if only is not None else {}
+                found: dict = {}
                 for doc_id, text in zip(ids[i:i + SLICE], texts[i:i + SLICE]):
-                    words = [restored[w] for w in joined_words(text or "")]
-                    if only is not None:
-                        found += [(f, "", doc_id) for f in
-                                  {f for w in set(words) for f in word_features(w)} & only]
+                    words = restored.words(text or "")
+                    if not first:
+                        found.update(((f, "", doc_id), doc_id) for w in set(words)
+                                     for f in word_features(w))
                         continue
                     for left, word in zip(["", *words], words):
                         for f in word_features(word):
                             found[f, left] = min(doc_id, found.get((f, left), doc_id))
-                if only is None:
-                    found = [(f, left, doc_id) for (f, left), doc_id in found.items()]
+                rows = [(*key[:2], doc_id) for key, doc_id in found.items()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[k] for x in found], kind)
+                    [pa.array([x[k] for x in rows], kind)
                      for k, kind in enumerate((pa.string(), pa.string(), pa.int64()))],
                     ["feature", "left", "doc_id"])
 
     rows = frame.select("doc_id", "text").mapInArrow(
         count, "feature string, left string, doc_id long")
-    if only is not None:
+    if not first:
         return rows.groupBy("feature").agg(F.count("*").alias("n"))
-    first = rows.groupBy("feature", "left").agg(F.min("doc_id").alias("doc_id"))
-    return first.groupBy("feature").agg(F.count_distinct("doc_id").alias("n"))
+    least = rows.groupBy("feature", "left").agg(F.min("doc_id").alias("doc_id"))
+    return least.groupBy("feature").agg(F.count_distinct("doc_id").alias("n"))
+
+
+def feature_odds(toxic: DataFrame, clean: DataFrame, counts: dict, support: int,
+                 min_odds: float) -> DataFrame:
+    """(feature, odds) of the features with ``support`` toxic documents or more
+    and log odds of ``min_odds`` or more, from (feature, n) of both sides."""
+    def share(n, label):
+        return F.log((n + 0.5) / F.lit(counts[label] + 1.0))
+
+    some = toxic.where(F.col("n") >= support).join(
+        clean.withColumnRenamed("n", "c"), "feature", "left")
+    odds = share(F.col("n"), 1) - share(F.coalesce("c", F.lit(0)), 0)
+    return some.select("feature", odds.alias("odds")).where(F.col("odds") >= min_odds)
 
 
 class Evidence(dict):
@@ -234,8 +285,8 @@ class Evidence(dict):
         if len(self) >= Restored.LIMIT:
             self.clear()
         value = self[word] = max(
-            (self.weights.get(f, 0.0) for f in word_features(self.restored.restore(word))),
-            default=0.0)
+            (self.weights.get(f, 0.0) for x in spans(self.restored.restore(word))
+             for f in word_features(x)), default=0.0)
         return value
 
     def of(self, text: str | None) -> tuple[float, float]:
@@ -245,7 +296,10 @@ class Evidence(dict):
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", label_col: str = "toxic", mod: int = 3, held: int = 1,
-                 sample: int = SAMPLE, min_odds: float = 3.0) -> dict:
+                 sample: int = SAMPLE, min_odds: float = 3.0,
+                 support: int | None = None) -> dict:
+    """``support``: toxic documents that a feature needs, by default 3 or a
+    400th of the toxic rows."""
     import numpy as np
 
     logp = char_model(docs, text_col, id_col)
@@ -256,21 +310,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
              .groupBy("doc_id").agg(F.max("label").alias("label")))
     picked = {y: marks.where(F.col("label") == y).orderBy(F.xxhash64("doc_id"), "doc_id")
               .limit(sample) for y in (0, 1)}
-    rows = frame.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")  # <= 2 * sample ids
+    # at most 2 * sample ids; of rows that share an id one is learnt from
+    rows = store(frame.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
+                 .groupBy("doc_id", "label").agg(F.max("text").alias("text")), "sample")
     sides = {y: rows.where(F.col("label") == y) for y in (0, 1)}
     counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(counts) < 2:
         return {"logp": logp, "weights": {}, "line": (0.0, 0.0, -60.0)}
-    least = max(3, counts[1] // 400)
-    toxic = {r["feature"]: r["n"] for r in _supports(sides[1], logp, None)
-             .where(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(LEXICON).collect()}
-    clean = {r["feature"]: r["n"] for r in _supports(sides[0], logp, set(toxic)).collect()}
-    weights = {}
-    for f, a in toxic.items():
-        odds = (math.log((a + 0.5) / (counts[1] + 1))
-                - math.log((clean.get(f, 0) + 0.5) / (counts[0] + 1)))
-        if odds >= min_odds:
-            weights[f] = odds
+    support = max(3, counts[1] // 400) if support is None else support
+    weights = {r["feature"]: r["odds"] for r in feature_odds(
+        _supports(sides[1], logp, True), _supports(sides[0], logp, False), counts, support,
+        min_odds).collect()}
     model = {"logp": logp, "weights": weights}
 
     def measure(batches):

@@ -1,5 +1,6 @@
 """Learned operators: held-out accuracy on the small tables, awkward rows."""
 
+import math
 import zlib
 
 import pytest
@@ -213,3 +214,33 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(totals, [brute(w)[0] for w in words])
     want = sum(brute(w)[1] / brute(w)[0] for w in words)
     assert np.allclose(lattice.expected(p, np.ones((len(words), 2))), want)
+
+
+def test_long_disguised_words_are_decoded(tables):
+    logp = toxicity.char_model(tables[0])
+    restored = toxicity.Restored(logp)
+    assert restored["1d" + "i" * 98 + "0t"] == restored["1diii0t"] == "idiot"
+    phrase = ".".join(["hello", "th3re", "y0u", "1d1ot"] * 6)  # over 100 characters
+    assert len(phrase) > 100 and any(x.startswith("idiot") for x in toxicity.spans(restored[phrase]))
+    assert toxicity.short_runs("a" * 9 + "b") == "aaaaab"
+    assert "".join(toxicity.parts(phrase)) == phrase
+    assert max(map(len, toxicity.parts("x" * 1000))) <= toxicity.LONG
+
+
+def test_no_feature_is_cut(spark):
+    """More than 20,000 features with odds: all are kept, the clean ones go."""
+    toxic = spark.range(25_000).selectExpr("concat('=t', id) feature", "5 + id % 7 n")
+    common = spark.range(30_000).selectExpr("concat('=c', id) feature", "100L n")
+    clean = common.unionByName(spark.range(10).selectExpr("concat('=t', id) feature", "90L n"))
+    got = toxicity.feature_odds(toxic.unionByName(common), clean, {1: 200, 0: 200}, 5, 1.5)
+    odds = {r["feature"]: r["odds"] for r in got.collect()}
+    assert set(odds) == {f"=t{i}" for i in range(10, 25_000)}
+    assert abs(odds["=t14"] - (math.log(5.5 / 201) - math.log(0.5 / 201))) < 1e-12
+
+
+def test_rows_that_share_an_id_are_learnt_once(spark, tables):
+    docs, labels = tables
+    many = docs.unionByName(docs.limit(3).join(spark.range(200).select(), how="cross"))
+    ids = [r["doc_id"] for r in docs.limit(3).collect()]
+    model = toxicity.fit_toxicity(many, labels)
+    assert model["line"] == toxicity.fit_toxicity(docs, labels)["line"] and ids
