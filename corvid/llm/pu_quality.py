@@ -6,9 +6,10 @@ a small network minimises the non-negative unbiased risk
 
     prior * R_p(+1) + max(0, R_u(-1) - prior * R_p(-1))
 
-so no negative example is needed. The class prior is estimated as the share of
-positives among the labelled learning rows (or given). When the bracket turns
-negative in a batch, the step goes against it, as the method prescribes.
+so no negative example is needed: labels other than 1 are not read. The class
+prior is estimated from positives against unlabelled rows (``estimate_prior``),
+or given. When the bracket turns negative in a batch, the step goes against
+it, as the method prescribes.
 
 Fitting uses at most ``sample`` positives and about ``sample`` unlabelled rows
 (picked by a hash of the id over all rows; the bound is a parameter); only
@@ -82,9 +83,96 @@ def features(docs: DataFrame) -> DataFrame:
         for batch in slices(batches):
             x = [describe(data or b"", ids, of_byte, matrix) for data in raw_bytes(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array(x, pa.list_(pa.float64()))], ["label", "x"])
+                [batch.column("doc_id"), batch.column("label"), pa.array(x, pa.list_(pa.float64()))],
+                ["doc_id", "label", "x"])
 
-    return docs.mapInArrow(run, "label int, x array<double>")
+    return docs.mapInArrow(run, "doc_id long, label int, x array<double>")
+
+
+def sigmoid(z):
+    import numpy as np
+
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def pu_step(w: dict, xp, xu, prior: float, decay: float = 1e-4):
+    """(objective, gradient) of one batch of positives and unlabelled rows:
+    prior * R_p(+1) + R_u(-1) - prior * R_p(-1) while the difference is not
+    negative, else the negated difference; plus the weights' decay."""
+    import numpy as np
+
+    x, n, nu = np.concatenate([xp, xu]), len(xp), len(xu)
+    h = np.tanh(x @ w["a"] + w["b"])
+    z = h @ w["c"] + w["d"]
+    s = sigmoid(z)
+    # softplus losses: l(+1) = log(1 + e^-z), l(-1) = log(1 + e^z)
+    minus = np.logaddexp(0, z[n:]).mean() - prior * np.logaddexp(0, z[:n]).mean()
+    g = np.empty(len(x))
+    if minus >= 0:
+        value = prior * np.logaddexp(0, -z[:n]).mean() + minus
+        g[:n] = prior * (s[:n] - 1) / n - prior * s[:n] / n
+        g[n:] = s[n:] / nu
+    else:
+        value = -minus
+        g[:n] = prior * s[:n] / n
+        g[n:] = -s[n:] / nu
+    back = np.outer(g, w["c"]) * (1 - h * h)
+    value += decay / 2 * ((w["a"] ** 2).sum() + (w["c"] ** 2).sum())
+    return value, {"a": x.T @ back + decay * w["a"], "b": back.sum(0),
+                   "c": h.T @ g + decay * w["c"], "d": np.array([g.sum()])}
+
+
+def estimate_prior(positive, unlabelled, sure: float = 0.1, seed: int = 11) -> float:
+    """Share of positives among the unlabelled rows, from the two samples alone.
+
+    A logistic model tells positives from unlabelled rows. Among those it puts
+    above a threshold the share of unlabelled rows over the share of positives
+    bounds the prior from above, and comes close to it where hardly a negative
+    is above. The threshold is the one with the least bound when both shares
+    are only known up to their deviation (Hoeffding, probability ``sure``).
+    Two folds: each is scored by the model of the other.
+    """
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-3
+    sides = [np.clip((x - mean) / scale, -8, 8) for x in (positive, unlabelled)]
+    folds = [np.array_split(rng.permutation(len(x)), 2) for x in sides]
+    found = []
+    for i in (0, 1):
+        own, other = ([x[f[k]] for x, f in zip(sides, folds)] for k in (i, 1 - i))
+        if not all(map(len, [*own, *other])):
+            return 0.5
+        w = _logistic(np.concatenate(own), np.repeat([1.0, 0.0], [len(own[0]), len(own[1])]))
+        p, u = (np.sort(x @ w[:-1] + w[-1]) for x in other)
+        cuts = np.unique(np.concatenate([p, u]))
+        above_p = 1 - np.searchsorted(p, cuts) / len(p)
+        above_u = 1 - np.searchsorted(u, cuts) / len(u)
+        spread = sum(np.sqrt(np.log(4 / sure) / (2 * len(x))) for x in (p, u))
+        some = above_p > 0
+        bound = (above_u[some] + spread) / above_p[some]
+        at = int(np.argmin(bound))
+        found.append(above_u[some][at] / above_p[some][at])
+    return float(np.clip(np.mean(found), 0.001, 0.999))
+
+
+def _logistic(x, y, rounds: int = 25):
+    """Weights (the last is the constant) by Newton steps, classes weighed
+    alike, with a ridge."""
+    import numpy as np
+
+    x = np.column_stack([x, np.ones(len(x))])
+    weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    w = np.zeros(x.shape[1])
+    ridge = 1e-3 * len(x) * np.eye(len(w))
+    for _ in range(rounds):
+        p = sigmoid(x @ w)
+        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge
+        step = np.linalg.solve(h, x.T @ (weight * (p - y)) + ridge @ w)
+        w -= np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
 
 
 def nonnegative_pu(positive, unlabelled, prior: float, epochs: int = 60, step: float = 0.01,
@@ -103,29 +191,10 @@ def nonnegative_pu(positive, unlabelled, prior: float, epochs: int = 60, step: f
     m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
     t, parts = 0, max(1, min(len(xp), len(xu)) // 512)
 
-    def sigmoid(z):
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
     for _ in range(epochs):
         for bp, bu in zip(np.array_split(rng.permutation(len(xp)), parts),
                           np.array_split(rng.permutation(len(xu)), parts)):
-            x = np.concatenate([xp[bp], xu[bu]])
-            h = np.tanh(x @ w["a"] + w["b"])
-            z = h @ w["c"] + w["d"]
-            s = sigmoid(z)
-            np_, nu = len(bp), len(bu)
-            # softplus losses: l(+1) = log(1+e^-z), l(-1) = log(1+e^z)
-            minus = np.logaddexp(0, z[np_:]).mean() - prior * np.logaddexp(0, z[:np_]).mean()
-            g = np.zeros(len(x))
-            if minus >= 0:
-                g[:np_] = prior * (s[:np_] - 1) / np_ - prior * s[:np_] / np_
-                g[np_:] = s[np_:] / nu
-            else:  # climb out: descend on the negated bracket
-                g[:np_] = prior * s[:np_] / np_
-                g[np_:] = -s[np_:] / nu
-            back = np.outer(g, w["c"]) * (1 - h * h)
-            grad = {"a": x.T @ back + 1e-4 * w["a"], "b": back.sum(0),
-                    "c": h.T @ g + 1e-4 * w["c"], "d": np.array([g.sum()])}
+            grad = pu_step(w, xp[bp], xu[bu], prior)[1]
             t += 1
             for k in w:
                 m[k] = 0.9 * m[k] + 0.1 * grad[k]
@@ -151,10 +220,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     learn = fold("doc_id", mod) != held
     marks = (labels.select(F.col(id_col).cast("long").alias("doc_id"),
                            F.col(label_col).cast("int").alias("label"))
-             .where(learn & F.col("label").isin(0, 1)))
-    share = marks.agg(F.avg("label")).first()[0]
-    prior = prior if prior is not None else share
-    picked = (marks.where("label = 1").select("doc_id").distinct()
+             .where(learn & (F.col("label") == 1)))
+    picked = (marks.select("doc_id").distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
               .withColumn("label", F.lit(1)))
     total = max(1, frame.count())
@@ -163,11 +230,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                    < F.lit(int(min(1.0, sample / total) * (1 << 30))))
             .withColumn("label", F.lit(0))
             .unionByName(frame.join(F.broadcast(picked), "doc_id")))  # at most `sample` ids
-    found = features(rows.select("text", "label")).collect()
+    # of rows that share an id one is learnt from: 2 * sample rows, about
+    rows = rows.groupBy("doc_id", "label").agg(F.max("text").alias("text"))
+    found = sorted(features(rows.select("doc_id", "text", "label")).collect(),
+                   key=lambda r: r["doc_id"])
     x = {k: np.array([r["x"] for r in found if r["label"] == k]).reshape(-1, N_FEATURES)
          for k in (0, 1)}
     if not len(x[0]) or not len(x[1]):
         return {"constant": 0.5 if prior is None else float(prior)}
+    prior = estimate_prior(x[1], x[0]) if prior is None else prior
     return nonnegative_pu(x[1], x[0], min(0.999, max(0.001, float(prior))))
 
 

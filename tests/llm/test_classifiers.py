@@ -3,6 +3,7 @@
 import math
 import zlib
 
+import numpy as np
 import pytest
 
 from corvid.llm import langid, pu_quality, toxicity
@@ -56,6 +57,55 @@ def test_quality(spark, tables):
         ({None} if left.where("doc_id is null").count() else set())
 
 
+def test_quality_from_positives_alone(spark, tables):
+    """No negative label is read, and the prior is not taken from the labels."""
+    docs, labels = tables
+    both = pu_quality.fit_quality(docs, labels)
+    only = pu_quality.fit_quality(docs, labels.where("quality = 1"))
+    assert all((both[k] == only[k]).all() for k in both)
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.4, 0.8])
+def test_prior_of_a_mixture(prior):
+    rng = np.random.default_rng(int(prior * 10))
+    good, bad = (lambda n: rng.normal(0, 1, (n, 5))), (lambda n: rng.normal(2.2, 1, (n, 5)))
+    n = int(6000 * prior)
+    unlabelled = np.concatenate([good(n), bad(6000 - n)])
+    assert abs(pu_quality.estimate_prior(good(3000), unlabelled) - prior) < 0.06
+
+
+@pytest.mark.parametrize("prior,shift", [(0.3, 0.0), (0.9, 0.0), (0.9, 4.0)])
+def test_risk_and_gradient(prior, shift):
+    """The step's objective against its definition, its gradient against
+    differences; with ``shift`` the bracket is negative."""
+    rng = np.random.default_rng(3)
+    d, k = 4, 3
+    w = {"a": rng.normal(size=(d, k)), "b": rng.normal(size=k), "c": rng.normal(size=k),
+         "d": np.array([shift])}
+    xp, xu = rng.normal(size=(20, d)) + 1, rng.normal(size=(30, d)) - 1
+    if shift:  # the network is sure of the positives and against the others
+        w["a"], w["b"], w["c"] = np.ones((d, k)), np.zeros(k), np.full(k, 6.0)
+        w["d"] = np.array([0.0])
+
+    def objective(v):
+        z = [np.tanh(x @ v["a"] + v["b"]) @ v["c"] + v["d"] for x in (xp, xu)]
+        plus, minus = np.log1p(np.exp(-z[0])).mean(), np.log1p(np.exp(z[0])).mean()
+        bracket = np.log1p(np.exp(z[1])).mean() - prior * minus
+        decay = 0.5e-4 * ((v["a"] ** 2).sum() + (v["c"] ** 2).sum())
+        return (prior * plus + bracket if bracket >= 0 else -bracket) + decay, bracket
+
+    value, grad = pu_quality.pu_step(w, xp, xu, prior)
+    assert abs(value - objective(w)[0]) < 1e-10
+    assert (objective(w)[1] < 0) == bool(shift)
+    for name in w:
+        for i in np.ndindex(w[name].shape):
+            up, down = ({n: x.copy() for n, x in w.items()} for _ in range(2))
+            up[name][i] += 1e-6
+            down[name][i] -= 1e-6
+            slope = (objective(up)[0] - objective(down)[0]) / 2e-6
+            assert abs(slope - grad[name][i]) < 1e-6
+
+
 def test_quality_without_labels_or_rows(spark, tables):
     docs, labels = tables
     none = labels.where("1 = 0")
