@@ -2,7 +2,8 @@
 
 Templates are cut into words (lower-cased letters and digits). The smallest of
 every ``WINDOW`` consecutive hashes of ``K`` words is a fingerprint in an
-inverted index fingerprint -> (template, place); the index is a parameter of
+inverted index fingerprint -> (template, place); of a template of fewer than
+``SHORT`` words every pair of neighbours is one. The index is a parameter of
 bounded size and travels with the tasks. A document's grams are looked up in
 it. Hits of one template on nearby diagonals form a candidate region, which is
 aligned with the template word by word inside a band of ``BAND`` diagonals (a
@@ -10,6 +11,13 @@ quarter of the template's words, if that is less) around the hits: the alignment
 equal matches takes the shortest span. Regions whose matched words reach
 ``coverage`` of the template are reported with their spans.
 
+What is found for certain: a region that holds two neighbouring words of a
+short template, or ``K + WINDOW - 1`` = 5 of a longer one, in a row. With a
+fifth of the words replaced a short template always keeps such a pair (fewer
+than half of its pairs can go); of the longer ones every run of 20 words with
+at most three replaced does. Only a short template whose words are all kept
+apart by others can be missed.
+
 Scale: one scan of whole texts, no shuffle; work per document grows with its
 words and hits. A license that a third of the documents carry costs each of
 them its own alignment.
@@ -26,7 +34,7 @@ from pyspark.sql import DataFrame
 
 from corvid.llm.common import WordIds, gram_hashes, raw_bytes, slices, text_frame
 
-K, WINDOW, BAND = 3, 3, 12
+K, WINDOW, BAND, SHORT = 3, 3, 12, 15
 OUT = "doc_id long, license string, start long, end long, matched long, template_words long, " \
       "coverage double"
 
@@ -60,6 +68,37 @@ CONDITIONS OF ANY KIND, either express or implied.""",
     "GPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms
 of the GNU General Public License as published by the Free Software Foundation, either version 3 of
 the License, or (at your option) any later version.""",
+    "ISC-whole": """Permission to use, copy, modify, and/or distribute this software for any purpose
+with or without fee is hereby granted, provided that the above copyright notice and this permission
+notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO
+EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY
+DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE.""",
+    "MIT-whole": """Permission is hereby granted, free of charge, to any person obtaining a copy of
+this software and associated documentation files (the "Software"), to deal in the Software without
+restriction, including without limitation the rights to use, copy, modify, merge, publish,
+distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
+Software is furnished to do so, subject to the following conditions: The above copyright notice and
+this permission notice shall be included in all copies or substantial portions of the Software. THE
+SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain. Anyone is
+free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code
+form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event
+will the authors be held liable for any damages arising from the use of this software. Permission is
+granted to anyone to use this software for any purpose, including commercial applications, and to
+alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this
+software must not be misrepresented; you must not claim that you wrote the original software. If you
+use this software in a product, an acknowledgment in the product documentation would be appreciated
+but is not required. 2. Altered source versions must be plainly marked as such, and must not be
+misrepresented as being the original software. 3. This notice may not be removed or altered from any
+source distribution.""",
 }
 
 
@@ -69,11 +108,16 @@ def words_of(data: bytes | None) -> list[bytes]:
     return re.findall(rb"[0-9a-z\x80-\xff]+", (data or b"").lower())
 
 
+def gram_size(words: int) -> int:
+    return min(2, words) if words < SHORT else K
+
+
 def fingerprints(ids) -> list[tuple[int, int]]:
-    """(hash, place) of the winnowed grams of a template; shorter templates
-    are one gram."""
-    k = min(K, len(ids))
-    grams = gram_hashes(ids, k)
+    """(hash, place) of the winnowed grams of a template, of all its grams if
+    it is short."""
+    grams = gram_hashes(ids, gram_size(len(ids)))
+    if len(ids) < SHORT:
+        return [(int(g), j) for j, g in enumerate(grams)]
     width = min(WINDOW, len(grams))
     places = {min(range(i, i + width), key=lambda j: (grams[j], j))
               for i in range(len(grams) - width + 1)}
@@ -107,7 +151,7 @@ def align(template: list, words: list, start: int, end: int, low: int, high: int
 
 
 def band(size: int) -> int:
-    return min(BAND, size // 4)
+    return min(BAND, max(2, size // 4))
 
 
 def regions(hits: list[tuple[int, int]], size: int):
@@ -142,10 +186,10 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None,
 
         known = WordIds()
         index: dict = defaultdict(list)
-        sizes = sorted({min(K, len(v)) for v in texts.values()})
+        sizes = sorted({gram_size(len(v)) for v in texts.values()})
         for name, words in texts.items():
             for value, place in fingerprints(known.of(words)):
-                index[min(K, len(words)), value].append((name, place))
+                index[gram_size(len(words)), value].append((name, place))
         sieve = np.zeros(1 << 16, bool)
         for _, value in index:
             sieve[value & 0xFFFF] = True

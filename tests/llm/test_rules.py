@@ -1,5 +1,7 @@
 """Divergence rules, license scans, registration and the pipeline."""
 
+import itertools
+import random
 import math
 import re
 
@@ -93,6 +95,43 @@ def best_alignment(template, words):
     return row[-1]
 
 
+SHORT = {k: v for k, v in licenses.TEMPLATES.items()
+         if len(licenses.words_of(v.encode())) < licenses.SHORT}
+
+
+def test_short_notices_at_the_coverage(spark):
+    """Every way to replace a fifth of a short notice's words is found, and so
+    are notices with a word put in between."""
+    rows, want = [], set()
+    for name, text in SHORT.items():
+        words = text.split()
+        n = len(licenses.words_of(text.encode()))
+        if n != len(words):
+            words = [w.decode() for w in licenses.words_of(text.encode())]
+        for gone in itertools.combinations(range(n), n // 5):
+            i = len(rows)
+            rows.append((i, "some text " + " ".join("zq" if k in gone else w for k, w in enumerate(words))
+                         + " and more of it"))
+            want.add((i, name))
+    rows += [(9001, "Released under an MIT License."), (9002, "All rights are reserved.")]
+    want |= {(9001, "MIT-notice"), (9002, "all-rights-reserved")}
+    found = {(r["doc_id"], r["license"]) for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    assert want <= found and len(want) > 30
+
+
+def test_whole_licenses_with_replaced_words(spark):
+    rng = random.Random(4)
+    rows = []
+    for i, name in enumerate(["MIT-whole", "ISC-whole", "Zlib", "Unlicense"] * 10):
+        words = licenses.TEMPLATES[name].split()
+        for k in rng.sample(range(len(words)), len(words) * 18 // 100):
+            words[k] = f"zq{k}"
+        rows.append((i, name, " ".join(words)))
+    found = {(r["doc_id"], r["license"]) for r in licenses.scan_licenses(
+        frame(spark, [(i, t) for i, _, t in rows])).collect()}
+    assert {(i, name) for i, name, _ in rows} <= found
+
+
 def test_licenses(spark):
     mit = licenses.TEMPLATES["MIT"]
     words = mit.split()
