@@ -1,7 +1,7 @@
 """Command line: the three workloads from text files to tab-separated text.
 
     spark-submit -m corvid add M_PATH N_PATH OUT [--how outer|inner] ...
-    spark-submit -m corvid groups GRAPH_PATH OUT [--universe all|sources|endpoints] ...
+    spark-submit -m corvid groups GRAPH_PATH OUT [--universe all|sources|endpoints] [--folder DIR] ...
     spark-submit -m corvid ratings RATINGS_PATH OUT [--mode avg|sql]
 
 (or ``python -m corvid ...`` for a local run). The master, the shuffle
@@ -46,6 +46,8 @@ def _parser() -> argparse.ArgumentParser:
     g.add_argument("--parse", choices=("strict", "prefix"), default="strict")
     g.add_argument("--form", choices=("union", "pregel"), default="union",
                    help="pregel: triplet form over edge endpoints")
+    g.add_argument("--folder", help="keep every round's labels in this shared folder; a run "
+                                    "that was cut off goes on from its last finished round")
 
     r = sub.add_parser("ratings", help="histogram of users by truncated mean rating")
     r.add_argument("ratings")
@@ -67,12 +69,16 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         result = blocks
     elif args.cmd == "groups":
         adj = read_links(spark, args.graph, mode=args.parse)
-        if args.form == "pregel":
-            if args.universe != "endpoints":
-                raise SystemExit("--form pregel counts edge endpoints: use --universe endpoints")
-            labels = G.pregel_min(G.adjacency_to_edges(adj), rounds=args.rounds)
+        pregel = args.form == "pregel"
+        if pregel and args.universe != "endpoints":
+            raise SystemExit("--form pregel counts edge endpoints: use --universe endpoints")
+        if args.folder and G.started(spark, args.folder):
+            labels = G.resume(spark, args.folder, args.rounds,
+                              G.pregel_round if pregel else G.propagation_round)
+        elif pregel:
+            labels = G.pregel_min(G.adjacency_to_edges(adj), args.rounds, folder=args.folder)
         else:
-            labels = G.min_label_groups(adj, args.universe, rounds=args.rounds)
+            labels = G.min_label_groups(adj, args.universe, args.rounds, folder=args.folder)
         result = G.group_sizes(labels)
     else:
         mode = "typed" if args.mode == "avg" else "raw"

@@ -45,7 +45,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvid.session import Tables, cut_lineage, default_parallelism, scratch_path
+from corvid.session import (Tables, cut_lineage, default_parallelism, path_exists,
+                            scratch_path)
 
 ROUNDS = 5  # fixed value: propagation rounds of the reference programs
 UNIVERSES = ("all", "sources", "endpoints")
@@ -328,6 +329,11 @@ def round_labels(layout: EdgeLayout, number: int) -> DataFrame:
     return layout.tables.files(f"round-{number}", LABELS).select("id", "grp")
 
 
+def started(spark, folder: str) -> bool:
+    """Whether ``folder`` holds a run that ``resume`` can finish."""
+    return path_exists(spark, f"{folder.rstrip('/')}/round-0/_SUCCESS")
+
+
 def resume(spark, folder: str, rounds: int = ROUNDS, step=None) -> DataFrame:
     """Finish a run whose driver was lost, from the tables in ``folder``: the
     layout and the last finished round. The inputs are not read again."""
@@ -338,6 +344,8 @@ def _own_run(layout: EdgeLayout, vertices: DataFrame, rounds: int, step, folder:
     """``run_rounds`` of a layout nobody else uses: unless the caller named the
     folder, only the last round's table stays in it."""
     labels = run_rounds(layout, vertices, rounds, step, keep=folder is not None)
+    # results read the files; no name stays behind in the catalog
+    layout.tables.forget(*layout.names(), *(f"round-{k}" for k in range(rounds + 1)))
     if folder is None:
         layout.tables.drop(*layout.names(), "layout")
     return labels

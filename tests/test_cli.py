@@ -43,6 +43,17 @@ def test_groups(spark):
         assert read_tsv(spark, out, "grp long, n long") == [(0, 3), (1, 7)]
 
 
+def test_groups_go_on_in_their_folder(spark, tmp_path):
+    chain = write_text([f"{k},{k + 1}" for k in range(8)])
+    folder, out, again, fresh = str(tmp_path / "run"), out_dir(), out_dir(), out_dir()
+    run(spark, ["groups", chain, out, "--rounds", "2", "--folder", folder])
+    run(spark, ["groups", chain, again, "--folder", folder])
+    run(spark, ["groups", chain, fresh])
+    sizes = [read_tsv(spark, x, "grp long, n long") for x in (out, again, fresh)]
+    assert sizes[1] == sizes[2] != sizes[0]
+    assert sorted(os.listdir(folder)) == ["edges-light", "layout"] + [f"round-{k}" for k in range(6)]
+
+
 def test_ratings(spark):
     r = write_text(RATINGS_SMALL)
     for mode in ("avg", "sql"):
