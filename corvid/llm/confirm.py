@@ -6,7 +6,7 @@ are searched in one task each, many to a task. Large ones are confirmed in two
 rounds, whatever their size and shape:
 
 1. some members (``HUBS`` of each component) are compared with all others,
-   which are dealt to blocks of about ``WORDS`` shingles; in a group of near
+   which are dealt to blocks of about ``BLOCK`` shingles; in a group of near
    copies this joins nearly all of them;
 2. members outside a component's largest joined group are compared with all
    its members, block against block, so that no pair which could join two
@@ -28,7 +28,8 @@ from corvid.llm.common import join_sized, store
 from corvid.llm.components import connected_components
 
 MEMBERS = 300
-WORDS = 1_000_000
+WORDS = 1_000_000  # shingles of small components that one task searches
+BLOCK = 250_000
 HUBS = 8
 
 
@@ -160,7 +161,7 @@ def _blocks(members: DataFrame, probes: DataFrame, hints, threshold) -> DataFram
     """(a, b) links between ``probes`` and ``members`` (comp, root, cid, n,
     shingles, hint) of the same component, block against block."""
     def sized(rows, name):
-        return rows.groupBy("comp").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / WORDS))
+        return rows.groupBy("comp").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / BLOCK))
                                         .cast("int").alias(name))
 
     counts = store(sized(members, "mb").join(sized(probes, "pb"), "comp"), "blocks")

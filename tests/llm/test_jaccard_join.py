@@ -60,7 +60,7 @@ def test_against_all_pairs(spark, options):
 
 
 def test_small_blocks_and_many_buckets(spark, monkeypatch):
-    for module, name, value in ((jaccard_join, "PART", 400), (confirm, "WORDS", 700),
+    for module, name, value in ((jaccard_join, "PART", 400), (confirm, "BLOCK", 700),
                                 (jaccard_join, "SEEN", 5)):
         monkeypatch.setattr(module, name, value)
     rows = awkward()
@@ -108,7 +108,7 @@ def _members(spark, sets):
 def test_one_component_of_unlinked_and_linked_classes(spark, monkeypatch):
     """Thousands of classes that share a shingle, a few of them linked: no pass
     but the two of ``confirm``, and no link lost."""
-    monkeypatch.setattr(confirm, "WORDS", 3000)
+    monkeypatch.setattr(confirm, "BLOCK", 3000)
     sets = [[0] + [10 * i + j + 1 for j in range(9)] for i in range(2000)]
     sets += [s[:9] + [10 ** 6 + i] for i, s in enumerate(sets[::100])]  # 9 of 11: linked
     calls = []

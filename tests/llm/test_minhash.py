@@ -77,7 +77,7 @@ def test_hot_buckets_and_large_components(spark, bucket, largest):
 
 
 def test_small_blocks(spark, monkeypatch):
-    monkeypatch.setattr(confirm, "WORDS", 400)
+    monkeypatch.setattr(confirm, "BLOCK", 400)
     rows = [(i, t) for i, t in enumerate(chain(9))] + awkward()
     assert run(spark, rows, bucket=2, largest=2) == brute(rows)
 
