@@ -39,7 +39,7 @@ from corvid.llm.common import fold, raw_bytes, slices, store, text_frame
 SAMPLE = 4_000
 SPAN = 12
 LONG = 64
-SLICE = 64  # texts whose features are held at once
+HELD = 100_000  # features a task holds before it hands them on
 #: what a mark may stand for (fixed values)
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t",
         "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c",
@@ -233,25 +233,30 @@ def _supports(frame: DataFrame, logp, first: bool) -> DataFrame:
     def count(batches):
         import pyarrow as pa
 
-        restored = Restored(logp)
+        restored, found = Restored(logp), {}
+
+        def rows():
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([f for f, _, _ in found], pa.string()),
+                 pa.array([left for _, left, _ in found], pa.string()),
+                 pa.array(list(found.values()), pa.int64())], ["feature", "left", "doc_id"])
+            found.clear()
+            return out
+
         for batch in slices(batches):
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for i in range(0, len(texts), SLICE):
-                found: dict = {}
-                for doc_id, text in zip(ids[i:i + SLICE], texts[i:i + SLICE]):
-                    words = restored.words(text or "")
-                    if not first:
-                        found.update(((f, "", doc_id), doc_id) for w in set(words)
-                                     for f in word_features(w))
-                        continue
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(),
+                                    batch.column("text").to_pylist()):
+                words = restored.words(text or "")
+                if not first:
+                    found.update(((f, "", doc_id), doc_id) for w in set(words)
+                                 for f in word_features(w))
+                else:
                     for left, word in zip(["", *words], words):
                         for f in word_features(word):
-                            found[f, left] = min(doc_id, found.get((f, left), doc_id))
-                rows = [(*key[:2], doc_id) for key, doc_id in found.items()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[k] for x in rows], kind)
-                     for k, kind in enumerate((pa.string(), pa.string(), pa.int64()))],
-                    ["feature", "left", "doc_id"])
+                            found[f, left, 0] = min(doc_id, found.get((f, left, 0), doc_id))
+                if len(found) > HELD:
+                    yield rows()
+        yield rows()
 
     rows = frame.select("doc_id", "text").mapInArrow(
         count, "feature string, left string, doc_id long")
