@@ -145,3 +145,41 @@ def test_components(spark, monkeypatch, least):
     roots = {r["node"]: r["root"] for r in got.collect()}
     assert roots == {**{i: 1 for i in range(1, 31)}, 40: 40, 41: 40, 60: 45, 45: 45, 61: 45}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_forest_in_chunks(monkeypatch):
+    """Stars of a task's edges, also when a node's edges fall into several chunks."""
+    import pyarrow as pa
+    rng = random.Random(5)
+    for chunk in (1, 4, 500_000):
+        monkeypatch.setattr(components, "CHUNK", chunk)
+        edges = sorted((max(x), min(x)) for x in ((rng.randrange(60), rng.randrange(60))
+                                                  for _ in range(50)) if x[0] != x[1])
+        batches = [pa.RecordBatch.from_pydict({"a": [x[0] for x in edges[i:i + 3]],
+                                               "b": [x[1] for x in edges[i:i + 3]]})
+                   for i in range(0, len(edges), 3)]
+        out = [(r["a"], r["b"]) for x in components._forests(batches) for r in x.to_pylist()]
+
+        def roots(pairs):
+            low = {x: x for p in edges for x in p}
+            for _ in low:
+                for a, b in pairs:
+                    low[a] = low[b] = min(low[a], low[b])
+            return low
+        assert roots(out) == roots(edges) and all(a > b for a, b in out)
+        assert chunk < 100 or dict(out) == {k: v for k, v in roots(edges).items() if k != v}
+
+
+def test_components_take_few_jobs(spark):
+    """Links like those of one large group (members of eight hubs, one hub
+    below the next): every job costs the driver memory."""
+    edges = [(100 + i, 10 + i % 8) for i in range(2000)] + [(100 + i, 10 + i % 7) for i in range(2000)] \
+        + [(11 + k, 10 + k) for k in range(7)]
+    sc = spark.sparkContext
+    sc.setJobGroup("components", "components")
+    try:
+        roots = connected_components(spark.createDataFrame(edges, "a long, b long").repartition(6)).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(roots) == 2008 and {r["root"] for r in roots} == {10}
+    assert len(sc.statusTracker().getJobIdsForGroup("components")) <= 30
